@@ -1,0 +1,50 @@
+"""The model graph as plain functions of (spark, sf_dir).
+
+Each function composes lazily; nothing runs until an action. A model used by several
+consumers is rebuilt from the same lineage in each query plan (the planner reuses
+identical shuffles); the batch pipeline in ``plans.pipeline`` instead writes the
+shared layers once and reads them back.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from actuaria.operators import intermediate, marts, staging
+from actuaria.sources import rawlayer
+
+
+def stg_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_policies(rawlayer.raw_policies(spark, sf_dir))
+
+
+def stg_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return staging.stg_claims(rawlayer.raw_claims(spark, sf_dir))
+
+
+def stg_contracts(spark: SparkSession) -> DataFrame:
+    return staging.stg_contracts(rawlayer.raw_contracts(spark))
+
+
+def claims_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intermediate.claims_enriched(stg_claims(spark, sf_dir), stg_policies(spark, sf_dir))
+
+
+def portfolio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intermediate.portfolio(stg_policies(spark, sf_dir), stg_contracts(spark))
+
+
+def portfolio_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intermediate.portfolio_summary(claims_enriched(spark, sf_dir))
+
+
+def loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.loss_ratio_mart(stg_policies(spark, sf_dir), stg_claims(spark, sf_dir))
+
+
+def claims_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.claims_frequency_mart(claims_enriched(spark, sf_dir), stg_policies(spark, sf_dir))
+
+
+def portfolio_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.portfolio_performance_mart(portfolio(spark, sf_dir), claims_enriched(spark, sf_dir))
