@@ -2,44 +2,438 @@
 
 Every query reads the driver tables (or data Spark derives from them) in full. Audit
 clock columns are not emitted here (they are non-deterministic); the batch pipeline
-adds them when it writes the layers.
+adds them when it writes the layers. Within one query the layers are built once as
+DataFrame objects, so a layer used twice is the same subplan (the planner reuses its
+shuffles).
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from actuaria.operators import intermediate, marts
-from actuaria.plans import models
+from actuaria.functions import bands, formatting, metrics
+from actuaria.operators import accidents, dashboard, intermediate, marts, quality, staging
+from actuaria.session import scratch_path
+from actuaria.sources import loaders, rawlayer
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _loss_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.loss_ratio(spark, sf_dir).orderBy(*marts.loss_ratio_order())
+class Layers:
+    """Lazily built layers of one run over one scale-factor folder."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
 
-def _claims_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.claims_frequency(spark, sf_dir).orderBy(*marts.frequency_order())
+    @cached_property
+    def raw_policies(self) -> DataFrame:
+        return rawlayer.raw_policies(self.spark, self.sf_dir)
 
+    @cached_property
+    def raw_claims(self) -> DataFrame:
+        return rawlayer.raw_claims(self.spark, self.sf_dir)
 
-def _portfolio_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.portfolio_performance(spark, sf_dir).orderBy(*marts.performance_order())
+    @cached_property
+    def raw_contracts(self) -> DataFrame:
+        return rawlayer.raw_contracts(self.spark)
 
+    @cached_property
+    def stg_policies(self) -> DataFrame:
+        return staging.stg_policies(self.raw_policies)
 
-def _portfolio_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.portfolio_summary(spark, sf_dir).orderBy(*intermediate.summary_order())
+    @cached_property
+    def stg_claims(self) -> DataFrame:
+        return staging.stg_claims(self.raw_claims)
 
+    @cached_property
+    def stg_contracts(self) -> DataFrame:
+        return staging.stg_contracts(self.raw_contracts)
 
-QUERIES: dict[str, Query] = {
-    "loss_ratio": _loss_ratio,
-    "stg_policies": models.stg_policies,
-    "stg_claims": models.stg_claims,
-    "claims_enriched": models.claims_enriched,
-    "portfolio": models.portfolio,
-    "portfolio_summary": _portfolio_summary,
-    "claims_frequency": _claims_frequency,
-    "portfolio_performance": _portfolio_performance,
-}
+    @cached_property
+    def enriched(self) -> DataFrame:
+        return intermediate.claims_enriched(self.stg_claims, self.stg_policies)
+
+    @cached_property
+    def portfolio(self) -> DataFrame:
+        return intermediate.portfolio(self.stg_policies, self.stg_contracts)
+
+    @cached_property
+    def portfolio_summary(self) -> DataFrame:
+        return intermediate.portfolio_summary(self.enriched)
+
+    @cached_property
+    def mart_loss_ratio(self) -> DataFrame:
+        return marts.loss_ratio_mart(self.stg_policies, self.stg_claims)
+
+    @cached_property
+    def mart_claims_frequency(self) -> DataFrame:
+        return marts.claims_frequency_mart(self.enriched, self.stg_policies)
+
+    @cached_property
+    def mart_portfolio_performance(self) -> DataFrame:
+        return marts.portfolio_performance_mart(self.portfolio, self.enriched)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {
+            "raw_policies": self.raw_policies,
+            "raw_claims": self.raw_claims,
+            "stg_policies": self.stg_policies,
+            "stg_claims": self.stg_claims,
+            "stg_contracts": self.stg_contracts,
+            "int_claims_enriched": self.enriched,
+            "int_portfolio": self.portfolio,
+            "mart_loss_ratio": self.mart_loss_ratio,
+            "mart_claims_frequency": self.mart_claims_frequency,
+            "mart_portfolio_performance": self.mart_portfolio_performance,
+        }
+
+
+QUERIES: dict[str, Query] = {}
+
+
+def query(name: str):
+    def register(fn: Callable[[Layers], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: fn(Layers(spark, sf_dir))
+        return fn
+
+    return register
+
+
+# ---- models -----------------------------------------------------------------------------
+
+
+@query("loss_ratio")
+def _loss_ratio(L: Layers) -> DataFrame:
+    return L.mart_loss_ratio.orderBy(*marts.loss_ratio_order())
+
+
+@query("stg_policies")
+def _stg_policies(L: Layers) -> DataFrame:
+    return L.stg_policies
+
+
+@query("stg_claims")
+def _stg_claims(L: Layers) -> DataFrame:
+    return L.stg_claims
+
+
+@query("claims_enriched")
+def _claims_enriched(L: Layers) -> DataFrame:
+    return L.enriched
+
+
+@query("portfolio")
+def _portfolio(L: Layers) -> DataFrame:
+    return L.portfolio
+
+
+@query("portfolio_summary")
+def _portfolio_summary(L: Layers) -> DataFrame:
+    return L.portfolio_summary.orderBy(*intermediate.summary_order())
+
+
+@query("claims_frequency")
+def _claims_frequency(L: Layers) -> DataFrame:
+    return L.mart_claims_frequency.orderBy(*marts.frequency_order())
+
+
+@query("portfolio_performance")
+def _portfolio_performance(L: Layers) -> DataFrame:
+    return L.mart_portfolio_performance.orderBy(*marts.performance_order())
+
+
+# ---- dashboard ----------------------------------------------------------------------------
+
+
+@query("default_years")
+def _default_years(L: Layers) -> DataFrame:
+    return dashboard.default_years(L.mart_loss_ratio)
+
+
+@query("filter_options")
+def _filter_options(L: Layers) -> DataFrame:
+    return dashboard.filter_options(L.mart_loss_ratio)
+
+
+@query("dashboard_filter")
+def _dashboard_filter(L: Layers) -> DataFrame:
+    """One LOB, an explicit year list and the alert toggle on."""
+    f = dashboard.DashboardFilter(lob="auto", years=(1996, 1997, 1998), alerts_only=True)
+    return dashboard.apply_filter(L.mart_loss_ratio, f)
+
+
+@query("kpi_cards")
+def _kpi_cards(L: Layers) -> DataFrame:
+    return dashboard.kpi_cards(dashboard.default_view(L.mart_loss_ratio))
+
+
+@query("kpi_cards_text")
+def _kpi_cards_text(L: Layers) -> DataFrame:
+    return dashboard.kpi_cards_text(dashboard.kpi_cards(dashboard.default_view(L.mart_loss_ratio)))
+
+
+@query("lob_loss_ratio")
+def _lob_loss_ratio(L: Layers) -> DataFrame:
+    return dashboard.lob_loss_ratio(dashboard.default_view(L.mart_loss_ratio))
+
+
+@query("region_frequency")
+def _region_frequency(L: Layers) -> DataFrame:
+    return dashboard.region_frequency(dashboard.default_view(L.mart_loss_ratio))
+
+
+@query("loss_ratio_trend")
+def _loss_ratio_trend(L: Layers) -> DataFrame:
+    return dashboard.loss_ratio_trend(L.mart_loss_ratio)
+
+
+@query("alerts")
+def _alerts(L: Layers) -> DataFrame:
+    return dashboard.alerts(L.mart_loss_ratio)
+
+
+@query("actuarial_summary")
+def _actuarial_summary(L: Layers) -> DataFrame:
+    return dashboard.actuarial_summary(L.raw_policies, L.raw_claims)
+
+
+# ---- data quality ---------------------------------------------------------------------------
+
+
+@query("qa_not_null")
+def _qa_not_null(L: Layers) -> DataFrame:
+    checks = quality.dbt_not_null_checks() + [
+        c for c in quality.claims_suite_checks() if c.expectation == "not_null"
+    ]
+    return quality.run_row_checks(L.tables(), checks)
+
+
+@query("qa_unique")
+def _qa_unique(L: Layers) -> DataFrame:
+    spec = quality.dbt_unique_spec() + quality.claims_suite_unique_spec()
+    return quality.run_unique_checks(L.tables(), spec)
+
+
+@query("qa_accepted_values")
+def _qa_accepted_values(L: Layers) -> DataFrame:
+    checks = quality.dbt_accepted_checks() + [
+        c for c in quality.claims_suite_checks() if c.expectation == "accepted_values"
+    ]
+    return quality.run_row_checks(L.tables(), checks)
+
+
+@query("qa_between")
+def _qa_between(L: Layers) -> DataFrame:
+    checks = [c for c in quality.claims_suite_checks() if c.expectation == "between"]
+    return quality.run_row_checks(L.tables(), checks)
+
+
+@query("qa_pair_order")
+def _qa_pair_order(L: Layers) -> DataFrame:
+    checks = [c for c in quality.claims_suite_checks() if c.expectation == "a_greater_than_b"]
+    return quality.run_row_checks(L.tables(), checks)
+
+
+@query("qa_invariants")
+def _qa_invariants(L: Layers) -> DataFrame:
+    return quality.run_row_checks(L.tables(), quality.invariant_checks())
+
+
+@query("qa_no_negative_premium")
+def _qa_no_negative_premium(L: Layers) -> DataFrame:
+    return quality.no_negative_premium(L.mart_loss_ratio)
+
+
+@query("qa_lr_bounds")
+def _qa_lr_bounds(L: Layers) -> DataFrame:
+    return quality.loss_ratio_within_bounds(L.mart_loss_ratio)
+
+
+@query("qa_lr_positive")
+def _qa_lr_positive(L: Layers) -> DataFrame:
+    return quality.loss_ratio_positive(L.enriched)
+
+
+@query("qa_claim_count")
+def _qa_claim_count(L: Layers) -> DataFrame:
+    return quality.claim_count_consistency(L.mart_loss_ratio, L.stg_claims)
+
+
+@query("qa_orphan_claims")
+def _qa_orphan_claims(L: Layers) -> DataFrame:
+    return quality.orphan_claims(L.stg_claims, L.stg_policies)
+
+
+@query("qa_null_rate")
+def _qa_null_rate(L: Layers) -> DataFrame:
+    return quality.null_rates("raw_policies", L.raw_policies).unionByName(
+        quality.null_rates("raw_claims", L.raw_claims)
+    )
+
+
+def all_quality_results(L: Layers) -> DataFrame:
+    t = L.tables()
+    row_checks = (
+        quality.dbt_not_null_checks()
+        + quality.dbt_accepted_checks()
+        + quality.claims_suite_checks()
+    )
+    unique = quality.dbt_unique_spec() + quality.claims_suite_unique_spec()
+    singular = {
+        "assert_no_negative_premiums": quality.no_negative_premium(L.mart_loss_ratio),
+        "assert_loss_ratio_within_bounds": quality.loss_ratio_within_bounds(L.mart_loss_ratio),
+        "assert_loss_ratio_positive": quality.loss_ratio_positive(L.enriched),
+        "assert_claim_count_consistency": quality.claim_count_consistency(
+            L.mart_loss_ratio, L.stg_claims
+        ),
+    }
+    singular_rows = [
+        df.agg(F.count(F.lit(1)).alias("unexpected")).select(
+            F.lit(quality.DBT).alias("suite"),
+            F.lit(name).alias("table_name"),
+            F.lit("").alias("column_name"),
+            F.lit("singular").alias("expectation"),
+            F.lit(1).cast("bigint").alias("evaluated"),
+            "unexpected",
+            (F.col("unexpected") == 0).alias("success"),
+        )
+        for name, df in singular.items()
+    ]
+    return reduce(
+        DataFrame.unionByName,
+        [quality.run_row_checks(t, row_checks), quality.run_unique_checks(t, unique), *singular_rows],
+    )
+
+
+@query("quality_report")
+def _quality_report(L: Layers) -> DataFrame:
+    return quality.suite_summary(all_quality_results(L))
+
+
+# ---- accidents ------------------------------------------------------------------------------
+
+
+@query("accidents_enriched")
+def _accidents_enriched(L: Layers) -> DataFrame:
+    files = rawlayer.accident_files(L.spark, L.sf_dir)
+    return accidents.enrich_accidents(files["caract"], files["lieux"], files["usag"], files["vehic"])
+
+
+@query("accidents_csv")
+def _accidents_csv(L: Layers) -> DataFrame:
+    """The same accident files written as ``;``/ISO-8859-1 CSV and read back by kind
+    (files in a folder that is not a year: the year is the header's ``an``)."""
+    root = scratch_path(L.spark, f"accidents-{uuid.uuid4().hex}")
+    names = {"caract": "caracteristiques", "lieux": "lieux", "usag": "usagers", "vehic": "vehicules"}
+    for kind, df in rawlayer.accident_files(L.spark, L.sf_dir).items():
+        loaders.write_csv(df, f"{root}/all/{names[kind]}.csv")
+    return accidents.read_accident_dir(L.spark, root)
+
+
+# ---- loaders and materialisation --------------------------------------------------------------
+
+
+@query("load_all_counts")
+def _load_all_counts(L: Layers) -> DataFrame:
+    """Row counts of the three raw datasets as ``(table_name, rows)``."""
+    parts = [
+        ("policies", L.raw_policies),
+        ("claims", L.raw_claims),
+        ("contracts", L.raw_contracts),
+    ]
+    return reduce(
+        DataFrame.unionByName,
+        [
+            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
+            for n, df in parts
+        ],
+    )
+
+
+@query("load_parquet")
+def _load_parquet(L: Layers) -> DataFrame:
+    """Raw policies written as Parquet, loaded (twice: replace, not append) into the
+    ``raw`` database, read back from the catalog."""
+    path = scratch_path(L.spark, f"raw-policies-{uuid.uuid4().hex}")
+    loaders.write_table(L.raw_policies, path)
+    table = f"policies_{uuid.uuid4().hex[:8]}"
+    loaders.load_parquet(L.spark, path, table)
+    loaders.load_parquet(L.spark, path, table)
+    return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
+
+
+@query("marts_roundtrip")
+def _marts_roundtrip(L: Layers) -> DataFrame:
+    """The loss-ratio mart materialised as a Parquet table and read back whole."""
+    path = scratch_path(L.spark, f"mart-loss-ratio-{uuid.uuid4().hex}")
+    loaders.write_table(L.mart_loss_ratio, path)
+    return loaders.read_table(L.spark, path)
+
+
+# ---- scalar functions applied to the data ----------------------------------------------------
+
+
+@query("claim_metrics")
+def _claim_metrics(L: Layers) -> DataFrame:
+    e = L.enriched
+    return e.select(
+        "claim_id",
+        metrics.loss_ratio("ultimate_cost_eur", "annual_premium_eur", 2).alias("loss_ratio_2dp"),
+        metrics.safe_divide("paid_amount_eur", "ultimate_cost_eur", 4).alias("paid_to_incurred"),
+        metrics.safe_divide(
+            F.col("reserve_eur") - F.col("paid_amount_eur"), "ultimate_cost_eur", 6
+        ).alias("net_reserve_share"),
+        metrics.cents_to_euros((F.col("ultimate_cost_eur") * 100).cast("bigint")).alias(
+            "ultimate_from_cents"
+        ),
+        metrics.combined_ratio("ultimate_cost_eur", "outstanding_reserve_eur", "annual_premium_eur").alias(
+            "cost_and_outstanding_ratio"
+        ),
+    )
+
+
+@query("policy_status_asof")
+def _policy_status_asof(L: Layers) -> DataFrame:
+    as_of = F.lit("2000-12-31").cast("date")
+    return L.stg_policies.select(
+        "policy_id", "expiry_date", bands.policy_status_asof("expiry_date", as_of).alias("status_asof")
+    )
+
+
+@query("claim_status_rule")
+def _claim_status_rule(L: Layers) -> DataFrame:
+    return L.stg_claims.select(
+        "claim_id",
+        "paid_amount_eur",
+        "ultimate_cost_eur",
+        bands.claim_status_rule("paid_amount_eur", "ultimate_cost_eur").alias("status_by_payment"),
+    )
+
+
+@query("year_spine")
+def _year_spine(L: Layers) -> DataFrame:
+    """Every year between the first and last inception year (gap-free axis)."""
+    bounds = L.stg_policies.agg(F.min("inception_year").alias("a"), F.max("inception_year").alias("b"))
+    return bounds.select(formatting.year_spine("a", "b"))
+
+
+@query("herfindahl_index")
+def _herfindahl_index(L: Layers) -> DataFrame:
+    """Claims concentration across regions per (lob, year): the sum of squared
+    regional shares, computed exactly as sum(n^2) / (sum n)^2 in one aggregation."""
+    n = F.col("claim_count").cast("decimal(20,0)")
+    totals = L.portfolio_summary.groupBy("line_of_business", "accident_year").agg(
+        F.sum(n * n).alias("_squares"), F.sum(n).alias("_total")
+    )
+    return totals.select(
+        "line_of_business",
+        "accident_year",
+        metrics.round_half_up(
+            metrics.ratio("_squares", F.col("_total") * F.col("_total")), 6
+        ).alias("herfindahl_index"),
+    )
