@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from actuaria.functions.bands import high_loss_ratio_flag
 from actuaria.functions.metrics import mean, ratio, round_half_up, share_squared
 from actuaria.operators.median import exact_median
+from actuaria.session import materialize
 
 SEGMENT = ["line_of_business", "region", "accident_year"]
 
@@ -79,13 +80,24 @@ def loss_ratio_mart(stg_policies: DataFrame, stg_claims: DataFrame) -> DataFrame
 FREQUENCY_KEYS = ["line_of_business", "region", "age_segment", "accident_year", "claim_type"]
 
 
-def claims_frequency_mart(enriched: DataFrame, stg_policies: DataFrame) -> DataFrame:
+def claims_frequency_mart(
+    enriched: DataFrame, stg_policies: DataFrame, materialize_input: bool = True
+) -> DataFrame:
     """Frequency and severity per (lob, region, age segment, year, claim type).
 
     ``policy_count`` comes from policies by *inception* year and has no claim type, so
     it repeats across claim types. The median is exact and skew-safe
     (:func:`exact_median`), DECIMAL(16,3) — cast to DECIMAL(18,3).
+
+    The claims are read four times (the aggregates and three median passes), so the
+    narrow projection they need is written once to the checkpoint folder first,
+    unless ``enriched`` is already a stored table (``materialize_input=False``).
     """
+    needed = [*FREQUENCY_KEYS, "claim_id", "ultimate_cost_eur", "reporting_lag_days",
+              "is_ibnr_candidate", "severity_band"]
+    enriched = enriched.select(*needed)
+    if materialize_input:
+        enriched = materialize(enriched, "claims-frequency-input")
     cost = F.col("ultimate_cost_eur")
     band = F.col("severity_band")
     agg = enriched.groupBy(*FREQUENCY_KEYS).agg(

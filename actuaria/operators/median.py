@@ -2,20 +2,23 @@
 
 ``percentile_cont(0.5)`` in Spark keeps every distinct value of a group in one
 aggregation buffer; when one group holds a third of all rows that buffer is a third
-of the data in one task. This operator finds the two middle order statistics by
-radix selection instead:
+of the data in one task. This operator finds the middle order statistics by radix
+selection instead, with plain DataFrame operations:
 
-1. ``n`` per group (partial + final count).
-2. For each 17-bit digit of the value, from the most significant one: a histogram
-   ``(group, digit) -> count`` over the rows still matching the chosen prefix
-   (map-side combined, so a hot group is spread over all map tasks), then a running
-   sum over at most 2^17 digits per group picks the digit that holds the target rank.
-3. The upper middle value (even ``n``) is the same value or the smallest value above
-   it, one more grouped ``min``.
+* For each 17-bit digit of the value, most significant first, a histogram
+  ``(group, digit) -> (count, min value)`` over the rows still matching the chosen
+  prefix. It is map-side combined, so a hot group is spread over all map tasks and
+  a group never has more than 2^17 histogram rows.
+* A running sum over the digits of each group picks the digit that holds the target
+  rank ``floor((n - 1) / 2)``; the group size ``n`` is the histogram total of the
+  first pass. ``lead(min)`` keeps, at every level, the smallest value of the next
+  non-empty bucket: the upper middle value (even ``n``) is the same value when it
+  repeats, else the nearest such successor. No extra pass is needed for it.
 
-Passes: ``ceil(bits / 17)`` for a DECIMAL(p, s) input (3 for p = 15) plus two. The
-small per-group state joins back to the rows; the planner broadcasts it from its
-measured size and otherwise uses a (skew-split) shuffle join.
+Passes: ``ceil(bits / 17)`` for a DECIMAL(p, s) input (3 for p = 15); the first needs
+no join, later ones join the small per-group state (one row per group) back to the
+rows — broadcast by the planner from its measured size, else a skew-split shuffle
+join. Give it a materialised input (``session.materialize``): each pass re-reads it.
 """
 
 from __future__ import annotations
@@ -30,9 +33,9 @@ from pyspark.sql import functions as F
 DIGIT_BITS = 17
 
 
-def _key_match(left: DataFrame, right: DataFrame, keys: list[str], rkeys: list[str]) -> Column:
-    conds = [left[k].eqNullSafe(right[r]) for k, r in zip(keys, rkeys)]
-    return reduce(lambda a, b: a & b, conds) if conds else F.lit(True)
+def _null_safe(a: list[str], b: list[str]) -> Column:
+    conds = [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(a, b)]
+    return reduce(lambda p, q: p & q, conds) if conds else F.lit(True)
 
 
 def exact_median(
@@ -44,74 +47,72 @@ def exact_median(
     alias: str = "median",
 ) -> DataFrame:
     """``keys + [alias]``: the exact continuous median of DECIMAL(precision, scale)
-    ``value`` per group (NULL values ignored, groups of only NULLs omitted).
+    ``value`` per group (NULL values ignored; a group of only NULLs has no row).
 
     The result is DECIMAL(precision + 1, scale + 1), exact: the mean of the two
     middle values needs one more decimal place.
     """
     offset = 10**precision  # shifts any DECIMAL(p, s) unscaled value to >= 0
-    bits = math.ceil(math.log2(2 * offset))
-    passes = math.ceil(bits / DIGIT_BITS)
+    passes = math.ceil(math.ceil(math.log2(2 * offset)) / DIGIT_BITS)
     mask = (1 << DIGIT_BITS) - 1
-    rkeys = [f"_g{i}" for i in range(len(keys))]
-    hkeys = [f"_h{i}" for i in range(len(keys))]
+    gk = [f"_g{i}" for i in range(len(keys))]
+    sk = [f"_s{i}" for i in range(len(keys))]
 
     unscaled = (F.col(value) * F.lit(10**scale)).cast("long") + F.lit(offset)
-    rows = df.select(*keys, unscaled.alias("_u")).where(F.col("_u").isNotNull())
-
-    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    state = sizes.select(
-        *[F.col(k).alias(r) for k, r in zip(keys, rkeys)],
-        "_n",
-        F.lit(0).cast("long").alias("_prefix"),
-        F.floor((F.col("_n") - 1) / 2).alias("_rank"),
-    )
-    by_group = Window.partitionBy(*rkeys).orderBy("_digit").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    rows = df.select(*[F.col(k).alias(g) for k, g in zip(keys, gk)], unscaled.alias("_u")).where(
+        F.col("_u").isNotNull()
     )
+    in_group = Window.partitionBy(*gk)
+    by_digit = in_group.orderBy("_digit")
+    running = by_digit.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    state: DataFrame | None = None
+    carried: list[str] = []
     for p in range(passes):
         shift = (passes - 1 - p) * DIGIT_BITS
-        cand = rows.join(state, _key_match(rows, state, keys, rkeys)).where(
-            F.shiftrightunsigned(F.col("_u"), shift + DIGIT_BITS) == F.col("_prefix")
+        digit = F.shiftrightunsigned(F.col("_u"), shift).bitwiseAND(F.lit(mask)).alias("_digit")
+        stats = [F.count(F.lit(1)).alias("_c"), F.min("_u").alias("_min")]
+        if state is None:
+            hist = rows.groupBy(*gk, digit).agg(*stats)
+            hist = hist.select(
+                "*",
+                F.sum("_c").over(in_group).alias("_n"),
+                F.lit(0).cast("long").alias("_prefix"),
+            ).withColumn("_rank", F.floor((F.col("_n") - 1) / 2))
+        else:
+            st = state.select(*[F.col(g).alias(s) for g, s in zip(gk, sk)], *state.columns[len(gk):])
+            cand = rows.join(st, _null_safe(gk, sk)).where(
+                F.shiftrightunsigned(F.col("_u"), shift + DIGIT_BITS) == F.col("_prefix")
+            )
+            hist = cand.groupBy(*gk, "_n", "_prefix", "_rank", *carried, digit).agg(*stats)
+        nxt = f"_next{p}"
+        hist = hist.select(
+            "*",
+            F.sum("_c").over(running).alias("_cum"),
+            F.lead("_min").over(by_digit).alias(nxt),
         )
-        hist = cand.groupBy(
-            *rkeys,
-            "_n",
-            "_prefix",
-            "_rank",
-            (F.shiftrightunsigned(F.col("_u"), shift).bitwiseAND(F.lit(mask))).alias("_digit"),
-        ).agg(F.count(F.lit(1)).alias("_c"))
-        hist = hist.withColumn("_cum", F.sum("_c").over(by_group))
         state = hist.where(
             (F.col("_cum") - F.col("_c") <= F.col("_rank")) & (F.col("_rank") < F.col("_cum"))
         ).select(
-            *rkeys,
+            *gk,
             "_n",
             (F.shiftleft(F.col("_prefix"), DIGIT_BITS) + F.col("_digit")).alias("_prefix"),
             (F.col("_rank") - (F.col("_cum") - F.col("_c"))).alias("_rank"),
             F.col("_c").alias("_mult"),
+            *carried,
+            nxt,
         )
+        carried.append(nxt)
 
-    # After the last pass _prefix is the lower middle value and _mult its multiplicity.
-    lower = state.withColumn(
-        "_need_next",
-        (F.col("_n") % 2 == 0) & (F.col("_rank") + 1 >= F.col("_mult")),
-    )
-    pending = lower.where("_need_next").select(*rkeys, F.col("_prefix").alias("_lo"))
-    nxt = (
-        rows.join(pending, _key_match(rows, pending, keys, rkeys))
-        .where(F.col("_u") > F.col("_lo"))
-        .groupBy(*[F.col(r).alias(h) for r, h in zip(rkeys, hkeys)])
-        .agg(F.min("_u").alias("_next"))
-    )
-    both = lower.join(nxt, _key_match(lower, nxt, rkeys, hkeys), how="left").select(
-        *rkeys,
-        F.col("_prefix").alias("_lo"),
-        F.when(F.col("_need_next"), F.col("_next")).otherwise(F.col("_prefix")).alias("_hi"),
+    # _prefix is now the lower middle value, _mult its multiplicity.
+    lower = F.col("_prefix")
+    successor = F.coalesce(*[F.col(c) for c in reversed(carried)])
+    upper = F.when((F.col("_n") % 2 == 1) | (F.col("_rank") + 1 < F.col("_mult")), lower).otherwise(
+        successor
     )
     half_unit = F.lit(Decimal(5) / Decimal(10 ** (scale + 1)))
-    total = (F.col("_lo") + F.col("_hi") - F.lit(2 * offset)).cast(f"decimal({precision + 2},0)")
-    return both.select(
-        *[F.col(r).alias(k) for k, r in zip(keys, rkeys)],
+    total = (lower + upper - F.lit(2 * offset)).cast(f"decimal({precision + 2},0)")
+    return state.select(
+        *[F.col(g).alias(k) for g, k in zip(gk, keys)],
         (total * half_unit).cast(f"decimal({precision + 1},{scale + 1})").alias(alias),
     )

@@ -25,18 +25,27 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Layers:
-    """Lazily built layers of one run over one scale-factor folder."""
+    """Lazily built layers of one run over one scale-factor folder.
+
+    ``_keep`` is the materialisation hook: here every layer stays a lazy DataFrame;
+    :class:`actuaria.plans.pipeline.StoredLayers` writes each one once instead.
+    """
+
+    materialized = False
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
+    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+        return df
+
     @cached_property
     def raw_policies(self) -> DataFrame:
-        return rawlayer.raw_policies(self.spark, self.sf_dir)
+        return self._keep("raw_policies", rawlayer.raw_policies(self.spark, self.sf_dir))
 
     @cached_property
     def raw_claims(self) -> DataFrame:
-        return rawlayer.raw_claims(self.spark, self.sf_dir)
+        return self._keep("raw_claims", rawlayer.raw_claims(self.spark, self.sf_dir))
 
     @cached_property
     def raw_contracts(self) -> DataFrame:
@@ -44,11 +53,11 @@ class Layers:
 
     @cached_property
     def stg_policies(self) -> DataFrame:
-        return staging.stg_policies(self.raw_policies)
+        return self._keep("stg_policies", staging.stg_policies(self.raw_policies))
 
     @cached_property
     def stg_claims(self) -> DataFrame:
-        return staging.stg_claims(self.raw_claims)
+        return self._keep("stg_claims", staging.stg_claims(self.raw_claims))
 
     @cached_property
     def stg_contracts(self) -> DataFrame:
@@ -56,27 +65,37 @@ class Layers:
 
     @cached_property
     def enriched(self) -> DataFrame:
-        return intermediate.claims_enriched(self.stg_claims, self.stg_policies)
+        return self._keep(
+            "int_claims_enriched", intermediate.claims_enriched(self.stg_claims, self.stg_policies)
+        )
 
     @cached_property
     def portfolio(self) -> DataFrame:
-        return intermediate.portfolio(self.stg_policies, self.stg_contracts)
+        return self._keep("int_portfolio", intermediate.portfolio(self.stg_policies, self.stg_contracts))
 
     @cached_property
     def portfolio_summary(self) -> DataFrame:
-        return intermediate.portfolio_summary(self.enriched)
+        return self._keep("int_portfolio_summary", intermediate.portfolio_summary(self.enriched))
 
     @cached_property
     def mart_loss_ratio(self) -> DataFrame:
-        return marts.loss_ratio_mart(self.stg_policies, self.stg_claims)
+        return self._keep("mart_loss_ratio", marts.loss_ratio_mart(self.stg_policies, self.stg_claims))
 
     @cached_property
     def mart_claims_frequency(self) -> DataFrame:
-        return marts.claims_frequency_mart(self.enriched, self.stg_policies)
+        return self._keep(
+            "mart_claims_frequency",
+            marts.claims_frequency_mart(
+                self.enriched, self.stg_policies, materialize_input=not self.materialized
+            ),
+        )
 
     @cached_property
     def mart_portfolio_performance(self) -> DataFrame:
-        return marts.portfolio_performance_mart(self.portfolio, self.enriched)
+        return self._keep(
+            "mart_portfolio_performance",
+            marts.portfolio_performance_mart(self.portfolio, self.enriched),
+        )
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -312,7 +331,11 @@ def all_quality_results(L: Layers) -> DataFrame:
 
 @query("quality_report")
 def _quality_report(L: Layers) -> DataFrame:
-    return quality.suite_summary(all_quality_results(L))
+    """The quality gate as in a pipeline run: every layer is built and written once,
+    then all suites run on the stored tables."""
+    from actuaria.plans.pipeline import StoredLayers
+
+    return quality.suite_summary(all_quality_results(StoredLayers(L.spark, L.sf_dir)))
 
 
 # ---- accidents ------------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import uuid
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -83,3 +84,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+
+    Cuts the lineage before a DataFrame is read several times (each later read is a
+    columnar scan of the written table, not a recomputation) and survives the loss
+    of executors, unlike cached blocks or a local checkpoint.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
