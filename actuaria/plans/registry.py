@@ -398,6 +398,17 @@ def _marts_roundtrip(L: Layers) -> DataFrame:
     return loaders.read_table(L.spark, path)
 
 
+@query("stream_staged_claims")
+def _stream_staged_claims(L: Layers) -> DataFrame:
+    """Raw claims landed as Parquet files, staged by the incremental (streaming) path
+    in one availableNow run, read back from its sink."""
+    from actuaria.streaming import stage_incrementally
+
+    run = scratch_path(L.spark, f"stream-{uuid.uuid4().hex}")
+    loaders.write_table(L.raw_claims, f"{run}/landing")
+    return stage_incrementally(L.spark, "claims", f"{run}/landing", f"{run}/staged", f"{run}/checkpoint")
+
+
 # ---- scalar functions applied to the data ----------------------------------------------------
 
 
@@ -445,6 +456,15 @@ def _year_spine(L: Layers) -> DataFrame:
     return bounds.select(formatting.year_spine("a", "b"))
 
 
+@query("ceded_losses")
+def _ceded_losses(L: Layers) -> DataFrame:
+    """Gross / ceded / net losses per (lob, year) under the treaties in force on the
+    claim date (the treaties cover 2023; claims outside their period cede nothing)."""
+    from actuaria.operators import reinsurance
+
+    return reinsurance.ceded_by_segment(L.stg_claims, L.stg_contracts)
+
+
 @query("herfindahl_index")
 def _herfindahl_index(L: Layers) -> DataFrame:
     """Claims concentration across regions per (lob, year): the sum of squared

@@ -123,3 +123,27 @@ def test_claims_frequency_median_and_policy_count(spark):
     r = out[0]
     assert r.median_severity_eur == D("25.005") and r.claim_count == 4 and r.policy_count == 2
     assert r.small_claims == 3 and r.medium_claims == 1 and r.observed_frequency == 2.0
+
+
+def test_ceded_losses_excess_of_loss_and_quota_share(spark):
+    from actuaria.operators.reinsurance import ceded_by_segment, ceded_losses
+
+    day = dt.date(2023, 6, 1)
+    raw = claims(spark, [
+        clm("A1", "P", lob="Auto", cost="50000.00", paid="0", day=day, reported=day),    # below retention
+        clm("A2", "P", lob="Auto", cost="300000.00", paid="0", day=day, reported=day),   # 200k ceded
+        clm("A3", "P", lob="Auto", cost="900000.00", paid="0", day=day, reported=day),   # capped at 500k
+        clm("L1", "P", lob="Liability", cost="1000.00", paid="0", day=day, reported=day),  # 30 % ceded
+        clm("H1", "P", lob="Health", cost="1000.00", paid="0", day=day, reported=day),   # no treaty
+        clm("A4", "P", lob="Auto", cost="300000.00", paid="0", reported=DAY + dt.timedelta(days=5),
+            day=dt.date(2022, 6, 1)),                                                     # outside the period
+    ])
+    sc = staging.stg_claims(raw)
+    contracts = staging.stg_contracts(raw_contracts(spark))
+    got = {r.claim_id: r.ceded_eur for r in ceded_losses(sc, contracts).collect()}
+    assert got == {"A1": D("0.00"), "A2": D("200000.00"), "A3": D("500000.00"), "L1": D("300.00"),
+                   "H1": D("0.00"), "A4": D("0.00")}
+    seg = {(r.line_of_business, r.accident_year): r for r in ceded_by_segment(sc, contracts).collect()}
+    auto = seg[("auto", 2023)]
+    assert auto.gross_eur == D("1250000.00") and auto.ceded_eur == D("700000.00") and auto.net_eur == D("550000.00")
+    assert auto.covered_claim_treaty_pairs == 3 and seg[("auto", 2022)].ceded_eur == D("0.00")
