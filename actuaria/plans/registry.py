@@ -390,6 +390,16 @@ def _load_parquet(L: Layers) -> DataFrame:
     return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
 
 
+@query("load_csv")
+def _load_csv(L: Layers) -> DataFrame:
+    """Raw claims written as headed CSV, loaded with inferred types into ``raw``."""
+    path = scratch_path(L.spark, f"raw-claims-csv-{uuid.uuid4().hex}")
+    loaders.write_csv(L.raw_claims, path, sep=",", encoding="UTF-8")
+    table = f"claims_csv_{uuid.uuid4().hex[:8]}"
+    loaders.load_csv(L.spark, path, table)
+    return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
+
+
 @query("marts_roundtrip")
 def _marts_roundtrip(L: Layers) -> DataFrame:
     """The loss-ratio mart materialised as a Parquet table and read back whole."""
