@@ -34,6 +34,19 @@ RENAME = {
 # ------------------------------------------------------------------------------------
 
 
+def _left_join_skew_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """``left LEFT JOIN right`` when ``right`` may repeat one key very often.
+
+    Adaptive execution splits a skewed partition only on the row-preserving side of
+    an outer join; here the many rows are on the other side. The same result is the
+    inner join (skewed partitions split on either side) plus the left rows without
+    any match (an anti join against the distinct right keys, deduplicated map-side).
+    """
+    matched = left.join(right, keys, "inner")
+    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(unmatched, allowMissingColumns=True)
+
+
 def _usable(df: DataFrame | None) -> bool:
     return df is not None and "Num_Acc" in df.columns
 
@@ -61,7 +74,7 @@ def enrich_accidents(
 
     out = header
     if _usable(lieux):
-        out = out.join(lieux.select(*keys, "catr", "surf"), keys, "left")
+        out = _left_join_skew_safe(header, lieux.select(*keys, "catr", "surf"), keys)
     if _usable(usagers):
         users = usagers.groupBy(*keys).agg(
             F.max("grav").alias("grav"), F.count(F.lit(1)).alias("nb_victimes")

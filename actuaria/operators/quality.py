@@ -217,8 +217,9 @@ def claim_count_consistency(mart_loss_ratio: DataFrame, stg_claims: DataFrame) -
 
 
 def orphan_claims(claims: DataFrame, policies: DataFrame) -> DataFrame:
-    """Claims whose policy_id has no policy (referential integrity, anti join)."""
-    return claims.join(policies.select("policy_id"), "policy_id", "left_anti").select(
+    """Claims whose policy_id has no policy (referential integrity, anti join against
+    the distinct policy ids, deduplicated map-side)."""
+    return claims.join(policies.select("policy_id").distinct(), "policy_id", "left_anti").select(
         "claim_id", "policy_id"
     )
 
