@@ -5,7 +5,7 @@ aggregation buffer; when one group holds a third of all rows that buffer is a th
 of the data in one task. This operator finds the middle order statistics by radix
 selection instead, with plain DataFrame operations:
 
-* For each 17-bit digit of the value, most significant first, a histogram
+* For each digit (at most 17 bits) of the value, most significant first, a histogram
   ``(group, digit) -> (count, min value)`` over the rows still matching the chosen
   prefix. It is map-side combined, so a hot group is spread over all map tasks and
   a group never has more than 2^17 histogram rows.
@@ -15,10 +15,12 @@ selection instead, with plain DataFrame operations:
   non-empty bucket: the upper middle value (even ``n``) is the same value when it
   repeats, else the nearest such successor. No extra pass is needed for it.
 
-Passes: ``ceil(bits / 17)`` for a DECIMAL(p, s) input (3 for p = 15); the first needs
-no join, later ones join the small per-group state (one row per group) back to the
-rows — broadcast by the planner from its measured size, else a skew-split shuffle
-join. Give it a materialised input (``session.materialize``): each pass re-reads it.
+Passes: ``ceil(bits / 17)`` where ``bits`` covers the global value range (one small
+min/max aggregate fixes the digit plan; money up to ~1.7e8 in cents needs 2 passes).
+The first pass needs no join; later ones join the small per-group state (one row per
+group) back to the rows — broadcast by the planner from its measured size, else a
+skew-split shuffle join. Give it a materialised input (``session.materialize``):
+each pass re-reads it.
 """
 
 from __future__ import annotations
@@ -52,16 +54,24 @@ def exact_median(
     The result is DECIMAL(precision + 1, scale + 1), exact: the mean of the two
     middle values needs one more decimal place.
     """
-    offset = 10**precision  # shifts any DECIMAL(p, s) unscaled value to >= 0
-    passes = math.ceil(math.ceil(math.log2(2 * offset)) / DIGIT_BITS)
-    mask = (1 << DIGIT_BITS) - 1
     gk = [f"_g{i}" for i in range(len(keys))]
     sk = [f"_s{i}" for i in range(len(keys))]
-
-    unscaled = (F.col(value) * F.lit(10**scale)).cast("long") + F.lit(offset)
-    rows = df.select(*[F.col(k).alias(g) for k, g in zip(keys, gk)], unscaled.alias("_u")).where(
-        F.col("_u").isNotNull()
+    unscaled = (F.col(value) * F.lit(10**scale)).cast("long")
+    values = df.select(*[F.col(k).alias(g) for k, g in zip(keys, gk)], unscaled.alias("_v")).where(
+        F.col("_v").isNotNull()
     )
+    # Digit plan from the global value range: one small aggregate (two scalars).
+    lo, hi = values.agg(F.min("_v"), F.max("_v")).first()
+    if lo is None:
+        return df.sparkSession.createDataFrame(
+            [], df.select(*keys, F.lit(None).cast(f"decimal({precision + 1},{scale + 1})").alias(alias)).schema
+        )
+    offset = -lo  # values shifted to [0, hi - lo]
+    bits = max(1, (hi - lo).bit_length())
+    passes = math.ceil(bits / DIGIT_BITS)
+    digit_bits = math.ceil(bits / passes)
+    mask = (1 << digit_bits) - 1
+    rows = values.select(*gk, (F.col("_v") + F.lit(offset)).alias("_u"))
     in_group = Window.partitionBy(*gk)
     by_digit = in_group.orderBy("_digit")
     running = by_digit.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -69,7 +79,7 @@ def exact_median(
     state: DataFrame | None = None
     carried: list[str] = []
     for p in range(passes):
-        shift = (passes - 1 - p) * DIGIT_BITS
+        shift = (passes - 1 - p) * digit_bits
         digit = F.shiftrightunsigned(F.col("_u"), shift).bitwiseAND(F.lit(mask)).alias("_digit")
         stats = [F.count(F.lit(1)).alias("_c"), F.min("_u").alias("_min")]
         if state is None:
@@ -82,7 +92,7 @@ def exact_median(
         else:
             st = state.select(*[F.col(g).alias(s) for g, s in zip(gk, sk)], *state.columns[len(gk):])
             cand = rows.join(st, _null_safe(gk, sk)).where(
-                F.shiftrightunsigned(F.col("_u"), shift + DIGIT_BITS) == F.col("_prefix")
+                F.shiftrightunsigned(F.col("_u"), shift + digit_bits) == F.col("_prefix")
             )
             hist = cand.groupBy(*gk, "_n", "_prefix", "_rank", *carried, digit).agg(*stats)
         nxt = f"_next{p}"
@@ -96,7 +106,7 @@ def exact_median(
         ).select(
             *gk,
             "_n",
-            (F.shiftleft(F.col("_prefix"), DIGIT_BITS) + F.col("_digit")).alias("_prefix"),
+            (F.shiftleft(F.col("_prefix"), digit_bits) + F.col("_digit")).alias("_prefix"),
             (F.col("_rank") - (F.col("_cum") - F.col("_c"))).alias("_rank"),
             F.col("_c").alias("_mult"),
             *carried,

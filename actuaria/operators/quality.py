@@ -10,6 +10,7 @@ offending rows, and pass when there are none.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -109,7 +110,7 @@ def _result_rows(agg: DataFrame, checks: list[RowCheck]) -> DataFrame:
     )
 
 
-def run_row_checks(tables: dict[str, DataFrame], checks: list[RowCheck]) -> DataFrame:
+def run_row_checks(tables: Mapping[str, DataFrame], checks: list[RowCheck]) -> DataFrame:
     """All row-local checks, one aggregation pass per table."""
     frames = []
     for table in dict.fromkeys(ch.table for ch in checks):
@@ -134,7 +135,7 @@ def unique_check(suite: str, table: str, df: DataFrame, column: str) -> DataFram
     return _result_rows(agg, [RowCheck(suite, table, column, "unique", F.lit(False))])
 
 
-def run_unique_checks(tables: dict[str, DataFrame], spec: list[tuple[str, str, str]]) -> DataFrame:
+def run_unique_checks(tables: Mapping[str, DataFrame], spec: list[tuple[str, str, str]]) -> DataFrame:
     frames = [unique_check(suite, t, tables[t], c) for suite, t, c in spec]
     return reduce(DataFrame.unionByName, frames)
 

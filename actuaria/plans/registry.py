@@ -10,7 +10,7 @@ shuffles).
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,19 +97,34 @@ class Layers:
             marts.portfolio_performance_mart(self.portfolio, self.enriched),
         )
 
-    def tables(self) -> dict[str, DataFrame]:
-        return {
-            "raw_policies": self.raw_policies,
-            "raw_claims": self.raw_claims,
-            "stg_policies": self.stg_policies,
-            "stg_claims": self.stg_claims,
-            "stg_contracts": self.stg_contracts,
-            "int_claims_enriched": self.enriched,
-            "int_portfolio": self.portfolio,
-            "mart_loss_ratio": self.mart_loss_ratio,
-            "mart_claims_frequency": self.mart_claims_frequency,
-            "mart_portfolio_performance": self.mart_portfolio_performance,
-        }
+    TABLE_ATTRIBUTES = {
+        "raw_policies": "raw_policies",
+        "raw_claims": "raw_claims",
+        "stg_policies": "stg_policies",
+        "stg_claims": "stg_claims",
+        "stg_contracts": "stg_contracts",
+        "int_claims_enriched": "enriched",
+        "int_portfolio": "portfolio",
+        "mart_loss_ratio": "mart_loss_ratio",
+        "mart_claims_frequency": "mart_claims_frequency",
+        "mart_portfolio_performance": "mart_portfolio_performance",
+    }
+
+    def tables(self) -> Mapping[str, DataFrame]:
+        """Table name -> layer, built only when a check reads it."""
+        layers = self
+
+        class _Tables(Mapping):
+            def __getitem__(self, name: str) -> DataFrame:
+                return getattr(layers, Layers.TABLE_ATTRIBUTES[name])
+
+            def __iter__(self):
+                return iter(Layers.TABLE_ATTRIBUTES)
+
+            def __len__(self) -> int:
+                return len(Layers.TABLE_ATTRIBUTES)
+
+        return _Tables()
 
 
 QUERIES: dict[str, Query] = {}
@@ -226,10 +241,14 @@ def _actuarial_summary(L: Layers) -> DataFrame:
 
 @query("qa_not_null")
 def _qa_not_null(L: Layers) -> DataFrame:
+    """Not-null tests of every layer, marts included: run on stored layers (each layer
+    built once, as in a pipeline run)."""
+    from actuaria.plans.pipeline import StoredLayers
+
     checks = quality.dbt_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
     ]
-    return quality.run_row_checks(L.tables(), checks)
+    return quality.run_row_checks(StoredLayers(L.spark, L.sf_dir).tables(), checks)
 
 
 @query("qa_unique")
