@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import LINES_OF_BUSINESS, traffic_light
-from actuaria.functions.formatting import millions_eur, percent
+from actuaria.functions.formatting import millions_eur, percent, thousands_eur
 from actuaria.functions.metrics import ratio
 
 # ---- fixed values: the "all lines" option label and default selection size -------
@@ -178,6 +178,18 @@ def alerts(mart: DataFrame) -> DataFrame:
     )
 
 
+def alerts_text(alerts_df: DataFrame) -> DataFrame:
+    """The alert table as displayed: loss ratio as a percentage, premium in euros."""
+    return alerts_df.select(
+        "line_of_business",
+        "region",
+        "accident_year",
+        percent("loss_ratio", 1).alias("loss_ratio"),
+        thousands_eur("earned_premium_eur").alias("earned_premium_eur"),
+        "claim_count",
+    )
+
+
 def actuarial_summary(raw_policies: DataFrame, raw_claims: DataFrame) -> DataFrame:
     """Per LOB on the raw layer: earned premium, incurred cost, S/P and frequency
     (0 when the denominator is 0) and the policy count, for the four lines."""

@@ -231,6 +231,11 @@ def _alerts(L: Layers) -> DataFrame:
     return dashboard.alerts(L.mart_loss_ratio)
 
 
+@query("alerts_text")
+def _alerts_text(L: Layers) -> DataFrame:
+    return dashboard.alerts_text(dashboard.alerts(L.mart_loss_ratio))
+
+
 @query("actuarial_summary")
 def _actuarial_summary(L: Layers) -> DataFrame:
     return dashboard.actuarial_summary(L.raw_policies, L.raw_claims)
@@ -366,6 +371,20 @@ def _accidents_enriched(L: Layers) -> DataFrame:
     return accidents.enrich_accidents(files["caract"], files["lieux"], files["usag"], files["vehic"])
 
 
+@query("accidents_preview")
+def _accidents_preview(L: Layers) -> DataFrame:
+    """The first five enriched accidents (by year and number): a preview is a limit."""
+    files = rawlayer.accident_files(L.spark, L.sf_dir)
+    enriched = accidents.enrich_accidents(files["caract"], files["lieux"], files["usag"], files["vehic"])
+    return enriched.orderBy("annee", "accident_id").limit(5)
+
+
+@query("file_assets")
+def _file_assets(L: Layers) -> DataFrame:
+    """The driver folder's Parquet files as named assets."""
+    return loaders.discover_assets(L.spark, L.sf_dir).select("asset", "bytes")
+
+
 @query("accidents_csv")
 def _accidents_csv(L: Layers) -> DataFrame:
     """The same accident files written as ``;``/ISO-8859-1 CSV and read back by kind

@@ -99,3 +99,15 @@ def write_csv(df: DataFrame, path: str, sep: str = ";", encoding: str = "ISO-885
         .option("encoding", encoding)
         .csv(path)
     )
+
+
+def discover_assets(spark: SparkSession, folder: str, pattern: str = r"([^/]+)\.parquet$") -> DataFrame:
+    """Data assets of a folder: one row ``(asset, path, bytes)`` per Parquet file, the
+    asset name taken from the file name by ``pattern``. Only file metadata is read
+    (the ``content`` column of the binary-file source is pruned)."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+    return files.select(
+        F.regexp_extract("path", pattern, 1).alias("asset"),
+        "path",
+        F.col("length").alias("bytes"),
+    )
