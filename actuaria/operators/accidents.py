@@ -14,6 +14,8 @@ injured) and ``gravite_max`` is the maximum of the severity *codes*.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -105,37 +107,64 @@ COLUMN_TYPES = {
 }
 
 
-def _ci_glob(word: str) -> str:
-    return "".join(f"[{ch.lower()}{ch.upper()}]" if ch.isalpha() else ch for ch in word)
-
+def accident_files_by_kind(spark, root: str) -> dict[str, dict[str, list[str]]]:
+    """``{kind: {folder: [csv paths]}}`` under ``root``, from a metadata-only listing.
 
-def read_accident_kind(spark, root: str, kind: str) -> DataFrame | None:
-    """All files of one kind under ``root/<year>/`` (``;``-separated, ISO-8859-1),
-    matched by a case-insensitive name part; ``annee`` from the year folder.
-
-    Everything is read as text by header name (no schema inference pass) and the known
-    columns are cast with ``try_cast``; a kind with no file returns None.
+    A file belongs to a kind when its name (or the name of the ``*.csv`` folder of
+    part files that holds it) contains the kind, ignoring case; its folder is the
+    directory above that name (the year).
     """
-    from pyspark.errors import AnalysisException
-
-    path = f"{root.rstrip('/')}/*/*{_ci_glob(kind)}*.csv"
-    try:
+    listing = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(root)
+        .select("path")
+    )
+    groups: dict[str, dict[str, list[str]]] = {k: {} for k in KINDS}
+    for (path,) in listing.collect():  # file names only, one row per file
+        parts = path.rstrip("/").split("/")
+        named = len(parts) - 1
+        if named >= 2 and parts[-2].lower().endswith(".csv"):
+            named -= 1  # a folder of part files written by Spark
+        name, folder = parts[named].lower(), parts[named - 1]
+        for kind in KINDS:
+            if kind in name:
+                groups[kind].setdefault(folder, []).append(path)
+                break
+    return groups
+
+
+def read_accident_kind(spark, paths_by_folder: dict[str, list[str]]) -> DataFrame | None:
+    """One kind of file over all folders (``;``-separated, ISO-8859-1).
+
+    Each folder is read with its own header (the column layout changed over the
+    years) and the folders are aligned by column name, missing columns as NULL.
+    Everything is read as text (no inference pass); known columns are cast with
+    ``try_cast``. No file: None.
+    """
+    frames = []
+    for folder, paths in sorted(paths_by_folder.items()):
         raw = (
             spark.read.option("header", True)
             .option("sep", ";")
             .option("encoding", "ISO-8859-1")
-            .csv(path)
+            .csv(paths)
+        )
+        frames.append(
+            raw.select(
+                *[
+                    F.expr(f"try_cast(`{c}` as {COLUMN_TYPES[c]})").alias(c)
+                    if c in COLUMN_TYPES
+                    else F.col(f"`{c}`")
+                    for c in raw.columns
+                ],
+                F.lit(folder).alias("_folder"),
+            )
         )
-    except AnalysisException:
+    if not frames:
         return None
-    typed = [
-        F.expr(f"try_cast(`{c}` as {COLUMN_TYPES[c]})").alias(c) if c in COLUMN_TYPES else F.col(f"`{c}`")
-        for c in raw.columns
-    ]
-    # the folder holding the matched file (or the matched folder of part files)
-    pattern = rf"(?i)/([^/]+)/[^/]*{kind}[^/]*\.csv(?:/[^/]*)?$"
-    folder = F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
-    return raw.select(*typed, folder.alias("_folder"))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_accident_dir(spark, root: str) -> DataFrame | None:
@@ -144,7 +173,8 @@ def read_accident_dir(spark, root: str) -> DataFrame | None:
     Files are matched to their header within the same folder; ``annee`` is the folder
     name when it is a year, else the header's ``an``.
     """
-    frames = {k: read_accident_kind(spark, root, k) for k in KINDS}
+    files = accident_files_by_kind(spark, root)
+    frames = {k: read_accident_kind(spark, files[k]) for k in KINDS}
     header = frames["caract"]
     if header is None:
         return None

@@ -57,3 +57,13 @@ def test_enrich_without_optional_files(spark):
     header = spark.createDataFrame([(1, 2021, 1, 1, "00:00", "75", 1, 1)], "Num_Acc long, an int, mois int, jour int, hrmn string, dep string, atm int, lum int")
     out = enrich_accidents(header)
     assert out.columns == ["accident_id", "annee", "mois", "jour", "heure", "departement", "conditions_meteo", "luminosite"]
+
+
+def test_accident_years_with_different_column_layouts(spark, tmp_path):
+    root = tmp_path / "layouts"
+    write(root / "2019" / "caracteristiques_2019.csv", "Num_Acc;an;mois;jour;hrmn;dep;atm;lum\n7;19;1;1;01:00;75;1;1\n")
+    write(root / "2020" / "caract-2020.csv", "lum;atm;dep;hrmn;jour;mois;an;Num_Acc;com\n5;9;13;02:00;2;2;20;8;Nice\n")
+    out = {r.accident_id: r for r in read_accident_dir(spark, str(root)).collect()}
+    assert out[7].annee == 2019 and out[7].luminosite == 1 and out[7].commune is None
+    assert out[8].annee == 2020 and out[8].luminosite == 5 and out[8].conditions_meteo == 9
+    assert out[8].departement == "13" and out[8].commune == "Nice"
