@@ -180,6 +180,8 @@ def portfolio_performance_mart(portfolio: DataFrame, enriched: DataFrame) -> Dat
         & (F.col("inception_year") == F.col("_c_year")),
         "left",
     )
+    joined = joined.withColumn("_grand_total", grand_total)  # evaluated once
+    grand_total = F.col("_grand_total")
     zero = F.lit(0).cast("decimal(18,2)")
     incurred = F.coalesce(F.col("_incurred"), zero)
     premium = F.col("total_premium_eur")
