@@ -147,3 +147,15 @@ def test_ceded_losses_excess_of_loss_and_quota_share(spark):
     auto = seg[("auto", 2023)]
     assert auto.gross_eur == D("1250000.00") and auto.ceded_eur == D("700000.00") and auto.net_eur == D("550000.00")
     assert auto.covered_claim_treaty_pairs == 3 and seg[("auto", 2022)].ceded_eur == D("0.00")
+
+
+def test_two_earned_premium_measures_are_not_unified(spark):
+    """The mart sums premium over all policies; the summary sums it once per claim,
+    over policies with claims only (SURVEY §1.4 item 7)."""
+    sp = staging.stg_policies(policies(spark, [pol("P1", premium="100.00"), pol("P2", premium="50.00")]))
+    sc = staging.stg_claims(claims(spark, [clm("C1", "P1"), clm("C2", "P1")]))
+    mart = marts.loss_ratio_mart(sp, sc).collect()
+    summary = intermediate.portfolio_summary(intermediate.claims_enriched(sc, sp)).collect()
+    assert [r.earned_premium_eur for r in mart] == [D("150.00")]
+    assert [r.earned_premium_eur for r in summary] == [D("200.00")]
+    assert summary[0].policy_count == 1 and mart[0].policy_count == 2
