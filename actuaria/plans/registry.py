@@ -130,9 +130,29 @@ class Layers:
 QUERIES: dict[str, Query] = {}
 
 
+_LAYER_CACHE: dict[tuple[int, str], tuple[SparkSession, Layers]] = {}
+
+
+def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
+    """The lazy layer graph of one session over one folder, built once and shared by
+    the queries (DataFrames are immutable plans: sharing them shares plan building,
+    not results; every action still reads the tables)."""
+    key = (id(spark), sf_dir)
+    hit = _LAYER_CACHE.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, Layers(spark, sf_dir))
+        _LAYER_CACHE[key] = hit
+    return hit[1]
+
+
+def clear_layer_cache() -> None:
+    """Forget the shared layer graphs (e.g. after the input folder changed)."""
+    _LAYER_CACHE.clear()
+
+
 def query(name: str):
     def register(fn: Callable[[Layers], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Layers(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(layers_for(spark, sf_dir))
         return fn
 
     return register
@@ -173,7 +193,10 @@ def _portfolio_summary(L: Layers) -> DataFrame:
 
 @query("claims_frequency")
 def _claims_frequency(L: Layers) -> DataFrame:
-    return L.mart_claims_frequency.orderBy(*marts.frequency_order())
+    # built afresh on every call: its input is materialised, and a repeated query must
+    # read the current tables, not a previous call's copy
+    mart = marts.claims_frequency_mart(L.enriched, L.stg_policies)
+    return mart.orderBy(*marts.frequency_order())
 
 
 @query("portfolio_performance")

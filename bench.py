@@ -4,7 +4,10 @@ Each query runs in full into Spark's ``noop`` sink (the whole plan executes, not
 is collected to the driver). A short warm-up runs first so that JVM start-up is not
 charged to the first query. Every query is then timed twice: ``cold_queries`` is the
 first run in this JVM (includes code generation for its plan), ``queries`` the second
-(steady state, as in a long-running service). ``pipeline`` is one batch run that
+(steady state, as in a long-running service: the JIT is warm and the lazy layer
+graph is already built; every run still executes its whole plan over the tables, and
+queries that materialise an input or build stored layers write them again).
+``pipeline`` is one batch run that
 builds every layer once, writes the marts and runs the quality gate. Prints one JSON
 line; ``value`` is the sum of the steady-state query times.
 """
