@@ -55,7 +55,6 @@ def main() -> None:
         shuffle_partitions=cpus * 2,
         extra={
             "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g"),
-            "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
         },
     )

@@ -18,8 +18,9 @@ def spark():
         "local[4]",
         app_name="actuaria-tests",
         shuffle_partitions=4,
+        # spark.checkpoint.dir comes from the session (spark-defaults) when configured;
+        # build_session only supplies a temporary folder where it is unset
         extra={
-            "spark.checkpoint.dir": os.path.join(scratch, "checkpoints"),
             "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
             "spark.driver.extraJavaOptions": f"-Dderby.system.home={scratch}",
         },
