@@ -106,3 +106,15 @@ def test_status_rules(spark):
 def test_year_spine(spark):
     got = spark.sql("select 2021 as a, 2024 as b").select(year_spine("a", "b")).collect()
     assert [r.year_value for r in got] == [2021, 2022, 2023, 2024]
+
+
+def test_alert_and_card_formatting(spark):
+    from actuaria.operators.dashboard import alerts_text
+
+    df = spark.createDataFrame(
+        [("auto", "R", 2020, 0.8667, Decimal("1234567.49"), 3)],
+        "line_of_business string, region string, accident_year int, loss_ratio double, "
+        "earned_premium_eur decimal(18,2), claim_count bigint",
+    )
+    row = alerts_text(df).first()
+    assert row.loss_ratio == "86.7%" and row.earned_premium_eur == "€1,234,567"

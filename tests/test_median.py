@@ -47,3 +47,20 @@ def test_exact_median_single_value_and_pairs(spark):
     got = {r.k: r.median for r in exact_median(df, ["k"], "v").collect()}
     assert got == {"a": Decimal("5.000"), "b": Decimal("1.500"), "c": Decimal("7.000")}
     assert np.isclose(float(got["b"]), 1.5)
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+cents = st.integers(min_value=-(10**13) + 1, max_value=10**13 - 1)
+groups = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from([1, 2]), st.one_of(st.none(), cents)),
+                  min_size=1, max_size=60)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=groups)
+def test_exact_median_property(spark, rows):
+    data = [(k1, k2, None if v is None else f"{Decimal(v) / 100:.2f}") for k1, k2, v in rows]
+    df = spark.createDataFrame(data, "k1 string, k2 int, v string").withColumn("v", F.col("v").cast("decimal(15,2)"))
+    got = {(r.k1, r.k2): r.median for r in exact_median(df, ["k1", "k2"], "v").collect()}
+    assert got == brute(data)

@@ -67,3 +67,11 @@ def test_accident_years_with_different_column_layouts(spark, tmp_path):
     assert out[7].annee == 2019 and out[7].luminosite == 1 and out[7].commune is None
     assert out[8].annee == 2020 and out[8].luminosite == 5 and out[8].conditions_meteo == 9
     assert out[8].departement == "13" and out[8].commune == "Nice"
+
+
+def test_discover_assets_names_files(spark, tmp_path):
+    for name in ("policies", "claims"):
+        pd.DataFrame({"x": [1]}).to_parquet(tmp_path / f"{name}.parquet", index=False)
+    (tmp_path / "notes.txt").write_text("ignored")
+    got = {r.asset: r.bytes for r in loaders.discover_assets(spark, str(tmp_path)).collect()}
+    assert set(got) == {"policies", "claims"} and all(b > 0 for b in got.values())
