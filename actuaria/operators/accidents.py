@@ -187,3 +187,19 @@ def read_accident_dir(spark, root: str) -> DataFrame | None:
         header, frames["lieux"], frames["usag"], frames["vehic"], keys=["_folder", "Num_Acc"]
     )
     return out.drop("_folder")
+
+
+def write_accidents(enriched: DataFrame, path: str) -> None:
+    """Store enriched accidents as Parquet partitioned by year (full replace of the
+    years present; a reader filtering on ``annee`` prunes the other folders).
+
+    ``rebalance`` groups rows by year so each task writes few folders, and adaptive
+    execution splits a very large year over several tasks instead of one.
+    """
+    (
+        enriched.hint("rebalance", "annee")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("annee")
+        .parquet(path)
+    )

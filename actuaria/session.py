@@ -51,6 +51,28 @@ def build_session(
     return spark
 
 
+def scale_settings(
+    largest_shuffle_bytes: int,
+    partition_bytes: int = 256 * 1024**2,
+    min_partitions: int = 200,
+) -> dict[str, str]:
+    """Settings that keep each shuffle partition near ``partition_bytes``.
+
+    ``largest_shuffle_bytes`` is the expected size of the biggest exchange (here the
+    claims ⋈ policies join). Example: 18 TB of shuffled rows -> ~72,000 partitions of
+    256 MB. Scan splits use the same size, and adaptive execution coalesces the small
+    shuffles of the aggregated marts and splits skewed partitions above ~4x the target.
+    """
+    partitions = max(min_partitions, -(-largest_shuffle_bytes // partition_bytes))
+    size = f"{partition_bytes // 1024**2}m"
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * partition_bytes // 1024**2}m",
+    }
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 

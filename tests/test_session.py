@@ -39,3 +39,25 @@ def test_stg_contracts_types_and_dates(spark):
     assert auto.premium_rate == D("0.045000") and auto.effective_date == dt.date(2023, 1, 1)
     assert auto.treaty_duration_days == 364
     assert quota.retention == D("0.70") and quota.treaty_limit is None and quota.reinstatements is None
+
+
+def test_scale_settings_size_partitions():
+    from actuaria.session import scale_settings
+
+    conf = scale_settings(18 * 1024**4)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 18 * 1024**4 // (256 * 1024**2)
+    assert conf["spark.sql.files.maxPartitionBytes"] == "256m"
+    assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_write_accidents_partitioned_by_year(spark, tmp_path):
+    from actuaria.operators.accidents import enrich_accidents, write_accidents
+
+    header = spark.createDataFrame(
+        [(1, 2021, 1, 1, "00:00", "75", 1, 1), (2, 2022, 1, 1, "00:00", "75", 1, 1)],
+        "Num_Acc long, an int, mois int, jour int, hrmn string, dep string, atm int, lum int",
+    )
+    path = str(tmp_path / "acc")
+    write_accidents(enrich_accidents(header), path)
+    assert sorted(p.name for p in (tmp_path / "acc").iterdir() if p.name.startswith("annee=")) == ["annee=2021", "annee=2022"]
+    assert spark.read.parquet(path).where("annee = 2022").count() == 1
