@@ -66,7 +66,7 @@ class StoredLayers(Layers):
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
 
-def run_pipeline(
+def run_batch(
     spark: SparkSession, sf_dir: str, root: str | None = None, audit: bool = True, fail_on_error: bool = False
 ) -> dict:
     """Build every layer and mart, run the quality gate, write its JSON report.

@@ -28,7 +28,7 @@ class Layers:
     """Lazily built layers of one run over one scale-factor folder.
 
     ``_keep`` is the materialisation hook: here every layer stays a lazy DataFrame;
-    :class:`actuaria.plans.pipeline.StoredLayers` writes each one once instead.
+    :class:`actuaria.plans.batch.StoredLayers` writes each one once instead.
     """
 
     materialized = False
@@ -271,7 +271,7 @@ def _actuarial_summary(L: Layers) -> DataFrame:
 def _qa_not_null(L: Layers) -> DataFrame:
     """Not-null tests of every layer, marts included: run on stored layers (each layer
     built once, as in a pipeline run)."""
-    from actuaria.plans.pipeline import StoredLayers
+    from actuaria.plans.batch import StoredLayers
 
     checks = quality.dbt_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
@@ -380,7 +380,7 @@ def all_quality_results(L: Layers) -> DataFrame:
 def _quality_report(L: Layers) -> DataFrame:
     """The quality gate as in a pipeline run: every layer is built and written once,
     then all suites run on the stored tables."""
-    from actuaria.plans.pipeline import StoredLayers
+    from actuaria.plans.batch import StoredLayers
 
     return quality.suite_summary(all_quality_results(StoredLayers(L.spark, L.sf_dir)))
 

@@ -1,7 +1,7 @@
 import json
 
 import __spark_entry__ as contract
-from actuaria.plans.pipeline import StoredLayers, presentation, run_pipeline
+from actuaria.plans.batch import StoredLayers, presentation, run_batch
 from tests.conftest import SF_SMALL
 
 
@@ -13,8 +13,8 @@ def test_entry_flagship_runs_with_stable_schema(spark):
     assert contract.entry(spark).schema == df.schema
 
 
-def test_pipeline_writes_layers_and_quality_report(spark):
-    out = run_pipeline(spark, SF_SMALL)
+def test_batch_run_writes_layers_and_quality_report(spark):
+    out = run_batch(spark, SF_SMALL)
     suites = {r["suite"]: r for r in out["quality"]}
     # the raw claims carry 'CLOSED'/'open' statuses on purpose: that suite fails
     assert suites["claims_quality_suite"]["success"] is False
