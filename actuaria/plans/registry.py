@@ -536,6 +536,14 @@ def _ceded_losses(L: Layers) -> DataFrame:
     return reinsurance.ceded_by_segment(L.stg_claims, L.stg_contracts)
 
 
+@query("frequency_vs_expected")
+def _frequency_vs_expected(L: Layers) -> DataFrame:
+    """Observed claim frequency against the actuarial base rate per segment."""
+    from actuaria.operators import experience
+
+    return experience.observed_vs_expected(L.mart_loss_ratio)
+
+
 @query("herfindahl_index")
 def _herfindahl_index(L: Layers) -> DataFrame:
     """Claims concentration across regions per (lob, year): the sum of squared

@@ -159,3 +159,18 @@ def test_two_earned_premium_measures_are_not_unified(spark):
     assert [r.earned_premium_eur for r in mart] == [D("150.00")]
     assert [r.earned_premium_eur for r in summary] == [D("200.00")]
     assert summary[0].policy_count == 1 and mart[0].policy_count == 2
+
+
+def test_observed_vs_expected_frequency(spark):
+    from actuaria.operators.experience import observed_vs_expected
+
+    mart = spark.createDataFrame(
+        [("auto", "Île-de-France", 2020, 100, 14), ("health", "AFRICA", 2020, 50, 9), ("home", "R", 2020, 0, 1)],
+        "line_of_business string, region string, accident_year int, policy_count bigint, claim_count bigint",
+    )
+    rows = {r.region: r for r in observed_vs_expected(mart).collect()}
+    idf = rows["Île-de-France"]
+    assert idf.region_factor == 1.25 and idf.expected_frequency == 0.0875 and idf.expected_claims == 8.75
+    assert idf.frequency_ratio == 1.6 and idf.observed_frequency == 0.14
+    assert rows["AFRICA"].region_factor == 1.0 and rows["AFRICA"].frequency_ratio == 1.0
+    assert rows["R"].observed_frequency is None and rows["R"].frequency_ratio is None
