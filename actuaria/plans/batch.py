@@ -32,7 +32,7 @@ AUDIT_COLUMN = {
 # Layers written by a run: staging and the enriched claims (large, each read by several
 # models) and the marts and summary (tables in the reference). The raw layer is
 # already stored upstream; small intermediate aggregates stay views.
-STORED = {
+STORED = frozenset({
     "stg_policies",
     "stg_claims",
     "int_claims_enriched",
@@ -40,7 +40,9 @@ STORED = {
     "mart_loss_ratio",
     "mart_claims_frequency",
     "mart_portfolio_performance",
-}
+})
+# For a quality run alone: only the layers several checks or models read.
+SHARED_FOR_CHECKS = frozenset({"stg_policies", "stg_claims", "int_claims_enriched", "mart_loss_ratio"})
 
 
 class StoredLayers(Layers):
@@ -48,16 +50,24 @@ class StoredLayers(Layers):
 
     materialized = True
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str | None = None, audit: bool = False):
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str,
+        root: str | None = None,
+        audit: bool = False,
+        stored: frozenset[str] | set[str] | None = None,
+    ):
         super().__init__(spark, sf_dir)
-        self.root = root or scratch_path(spark, f"pipeline-{uuid.uuid4().hex}")
+        self.root = root or scratch_path(spark, f"batch-{uuid.uuid4().hex}")
         self.audit = audit
+        self.stored = STORED if stored is None else frozenset(stored)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        if name not in STORED:
+        if name not in self.stored:
             return df
         if self.audit and name in AUDIT_COLUMN:
             df = df.withColumn(AUDIT_COLUMN[name], F.current_timestamp())

@@ -271,12 +271,13 @@ def _actuarial_summary(L: Layers) -> DataFrame:
 def _qa_not_null(L: Layers) -> DataFrame:
     """Not-null tests of every layer, marts included: run on stored layers (each layer
     built once, as in a pipeline run)."""
-    from actuaria.plans.batch import StoredLayers
+    from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
     checks = quality.dbt_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
     ]
-    return quality.run_row_checks(StoredLayers(L.spark, L.sf_dir).tables(), checks)
+    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
+    return quality.run_row_checks(stored.tables(), checks)
 
 
 @query("qa_unique")
@@ -378,11 +379,13 @@ def all_quality_results(L: Layers) -> DataFrame:
 
 @query("quality_report")
 def _quality_report(L: Layers) -> DataFrame:
-    """The quality gate as in a pipeline run: every layer is built and written once,
-    then all suites run on the stored tables."""
-    from actuaria.plans.batch import StoredLayers
+    """The quality gate as in a batch run: the layers that several checks read
+    (staging, enriched claims, loss-ratio mart) are written once, then all suites
+    run; marts checked once are computed from the stored layers."""
+    from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
-    return quality.suite_summary(all_quality_results(StoredLayers(L.spark, L.sf_dir)))
+    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
+    return quality.suite_summary(all_quality_results(stored))
 
 
 # ---- accidents ------------------------------------------------------------------------------
