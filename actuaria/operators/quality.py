@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from actuaria.functions.bands import LINES_OF_BUSINESS, LR_SANITY_BOUND, LR_SANITY_MIN_PREMIUM
 
-DBT = "dbt_schema_tests"
+SCHEMA_TESTS = "model_schema_tests"
 CLAIMS_SUITE = "claims_quality_suite"
 
 # ---- fixed values: declared column tests ----------------------------------------
@@ -143,16 +143,16 @@ def run_unique_checks(tables: Mapping[str, DataFrame], spec: list[tuple[str, str
 # ---- the declared suites -------------------------------------------------------------
 
 
-def dbt_not_null_checks() -> list[RowCheck]:
-    return [not_null(DBT, t, c) for t, cols in NOT_NULL.items() for c in cols]
+def schema_not_null_checks() -> list[RowCheck]:
+    return [not_null(SCHEMA_TESTS, t, c) for t, cols in NOT_NULL.items() for c in cols]
 
 
-def dbt_accepted_checks() -> list[RowCheck]:
-    return [in_set(DBT, t, c, v) for (t, c), v in ACCEPTED.items()]
+def schema_accepted_checks() -> list[RowCheck]:
+    return [in_set(SCHEMA_TESTS, t, c, v) for (t, c), v in ACCEPTED.items()]
 
 
-def dbt_unique_spec() -> list[tuple[str, str, str]]:
-    return [(DBT, t, c) for t, cols in UNIQUE.items() for c in cols]
+def schema_unique_spec() -> list[tuple[str, str, str]]:
+    return [(SCHEMA_TESTS, t, c) for t, cols in UNIQUE.items() for c in cols]
 
 
 def claims_suite_checks() -> list[RowCheck]:

@@ -273,7 +273,7 @@ def _qa_not_null(L: Layers) -> DataFrame:
     built once, as in a pipeline run)."""
     from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
-    checks = quality.dbt_not_null_checks() + [
+    checks = quality.schema_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
     ]
     stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
@@ -282,13 +282,13 @@ def _qa_not_null(L: Layers) -> DataFrame:
 
 @query("qa_unique")
 def _qa_unique(L: Layers) -> DataFrame:
-    spec = quality.dbt_unique_spec() + quality.claims_suite_unique_spec()
+    spec = quality.schema_unique_spec() + quality.claims_suite_unique_spec()
     return quality.run_unique_checks(L.tables(), spec)
 
 
 @query("qa_accepted_values")
 def _qa_accepted_values(L: Layers) -> DataFrame:
-    checks = quality.dbt_accepted_checks() + [
+    checks = quality.schema_accepted_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "accepted_values"
     ]
     return quality.run_row_checks(L.tables(), checks)
@@ -346,22 +346,22 @@ def _qa_null_rate(L: Layers) -> DataFrame:
 def all_quality_results(L: Layers) -> DataFrame:
     t = L.tables()
     row_checks = (
-        quality.dbt_not_null_checks()
-        + quality.dbt_accepted_checks()
+        quality.schema_not_null_checks()
+        + quality.schema_accepted_checks()
         + quality.claims_suite_checks()
     )
-    unique = quality.dbt_unique_spec() + quality.claims_suite_unique_spec()
+    unique = quality.schema_unique_spec() + quality.claims_suite_unique_spec()
     singular = {
-        "assert_no_negative_premiums": quality.no_negative_premium(L.mart_loss_ratio),
-        "assert_loss_ratio_within_bounds": quality.loss_ratio_within_bounds(L.mart_loss_ratio),
-        "assert_loss_ratio_positive": quality.loss_ratio_positive(L.enriched),
-        "assert_claim_count_consistency": quality.claim_count_consistency(
+        "no_negative_premium": quality.no_negative_premium(L.mart_loss_ratio),
+        "loss_ratio_within_bounds": quality.loss_ratio_within_bounds(L.mart_loss_ratio),
+        "loss_ratio_positive": quality.loss_ratio_positive(L.enriched),
+        "claim_count_consistency": quality.claim_count_consistency(
             L.mart_loss_ratio, L.stg_claims
         ),
     }
     singular_rows = [
         df.agg(F.count(F.lit(1)).alias("unexpected")).select(
-            F.lit(quality.DBT).alias("suite"),
+            F.lit(quality.SCHEMA_TESTS).alias("suite"),
             F.lit(name).alias("table_name"),
             F.lit("").alias("column_name"),
             F.lit("singular").alias("expectation"),

@@ -18,7 +18,7 @@ def test_batch_run_writes_layers_and_quality_report(spark):
     suites = {r["suite"]: r for r in out["quality"]}
     # the raw claims carry 'CLOSED'/'open' statuses on purpose: that suite fails
     assert suites["claims_quality_suite"]["success"] is False
-    assert suites["dbt_schema_tests"]["success"] is True
+    assert suites["model_schema_tests"]["success"] is True
     report = spark.read.text(out["root"] + "/data_quality_report").first()[0]
     assert json.loads(report)["success"] is False
     mart = spark.read.parquet(out["root"] + "/mart_loss_ratio")
