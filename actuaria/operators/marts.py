@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import high_loss_ratio_flag
-from actuaria.functions.metrics import mean, ratio, round_half_up, share_squared
+from actuaria.functions.metrics import mean, ratio, share_squared
 from actuaria.operators.median import exact_median
 from actuaria.session import materialize
 
@@ -210,10 +210,6 @@ def portfolio_performance_mart(portfolio: DataFrame, enriched: DataFrame) -> Dat
     )
 
 
-def with_refresh(df: DataFrame) -> DataFrame:
-    return df.withColumn("_refreshed_at", F.current_timestamp())
-
-
 __all__ = [
     "frequency_order",
     "loss_ratio_order",

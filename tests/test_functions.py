@@ -1,6 +1,5 @@
 from decimal import Decimal
 
-import pytest
 from pyspark.sql import functions as F
 
 from actuaria.functions import (

@@ -174,3 +174,13 @@ def test_observed_vs_expected_frequency(spark):
     assert idf.frequency_ratio == 1.6 and idf.observed_frequency == 0.14
     assert rows["AFRICA"].region_factor == 1.0 and rows["AFRICA"].frequency_ratio == 1.0
     assert rows["R"].observed_frequency is None and rows["R"].frequency_ratio is None
+
+
+def test_staged_column_lists(spark):
+    sp = staging.stg_policies(policies(spark, [pol("P1")]))
+    sc = staging.stg_claims(claims(spark, [clm("C1", "P1")]))
+    assert sp.columns == staging.POLICY_COLUMNS and sc.columns == staging.CLAIM_COLUMNS
+    assert staging.stg_contracts(raw_contracts(spark)).columns == staging.CONTRACT_COLUMNS
+    assert intermediate.claims_enriched(sc, sp).columns == intermediate.ENRICHED_COLUMNS
+    assert staging.stg_claims(raw_claims_audit := claims(spark, [clm("C2", "P1")]), audit=True).columns[-1] == "_loaded_at"
+    assert raw_claims_audit.count() == 1
