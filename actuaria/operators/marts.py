@@ -217,6 +217,4 @@ __all__ = [
     "claims_frequency_mart",
     "loss_ratio_mart",
     "portfolio_performance_mart",
-    "round_half_up",
-    "with_refresh",
 ]
