@@ -9,6 +9,8 @@ rebuilds (overwrite), as the reference's daily reload.
 
 from __future__ import annotations
 
+import json
+import sys
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,23 +83,36 @@ def run_batch(
 ) -> dict:
     """Build every layer and mart, run the quality gate, write its JSON report.
 
-    Returns ``{"root": run folder, "quality": [per-suite rows as dicts]}``; with
-    ``fail_on_error`` a failing suite raises (the exit-code-1 path of the gate).
+    Returns ``{"root": run folder, "quality": [per-suite rows as dicts], "error": None}``.
+    If building or checking raises, a failure report ``{"success": false, "error": ...}``
+    is written in place of the normal one (so the report always exists) and the result
+    carries the error. With ``fail_on_error`` a failing suite or an error raises (the
+    non-zero exit of the gate).
     """
     layers = StoredLayers(spark, sf_dir, root, audit=audit)
-    for name in (
-        "mart_loss_ratio",
-        "mart_claims_frequency",
-        "mart_portfolio_performance",
-        "portfolio_summary",
-    ):
-        getattr(layers, name)
-    summary = quality.suite_summary(all_quality_results(layers))
-    quality.write_report(summary, layers.path("data_quality_report"))
-    rows = [r.asDict() for r in summary.collect()]  # one row per suite
+    report_path = layers.path("data_quality_report")
+    try:
+        for name in (
+            "mart_loss_ratio",
+            "mart_claims_frequency",
+            "mart_portfolio_performance",
+            "portfolio_summary",
+        ):
+            getattr(layers, name)
+        summary = quality.suite_summary(all_quality_results(layers))
+        quality.write_report(summary, report_path)
+        rows = [r.asDict() for r in summary.collect()]  # one row per suite
+    except Exception as exc:  # the gate must still leave a report behind
+        failure = json.dumps({"success": False, "error": str(exc).splitlines()[0][:2000]})
+        spark.createDataFrame([(failure,)], "report string").coalesce(1).write.mode("overwrite").text(
+            report_path
+        )
+        if fail_on_error:
+            raise
+        return {"root": layers.root, "quality": None, "error": str(exc).splitlines()[0]}
     if fail_on_error and not all(r["success"] for r in rows):
         raise RuntimeError(f"data quality gate failed: {rows}")
-    return {"root": layers.root, "quality": rows}
+    return {"root": layers.root, "quality": rows, "error": None}
 
 
 def presentation(df: DataFrame, name: str) -> DataFrame:
@@ -108,3 +123,13 @@ def presentation(df: DataFrame, name: str) -> DataFrame:
         "mart_portfolio_performance": marts.performance_order,
     }[name]
     return df.orderBy(*order())
+
+
+if __name__ == "__main__":
+    # spark-submit actuaria/plans/batch.py <input folder> [<run folder>]
+    # (the session, its checkpoint folder and sizing come from spark-submit's conf)
+    from actuaria.session import build_session
+
+    session = build_session(app_name="actuaria-batch")
+    result = run_batch(session, sys.argv[1], sys.argv[2] if len(sys.argv) > 2 else None, fail_on_error=True)
+    print(json.dumps({"root": result["root"], "quality": result["quality"]}, default=str))

@@ -32,3 +32,10 @@ def test_stored_layers_match_lazy_layers(spark):
     lazy = contract.queries()["claims_frequency"](spark, SF_SMALL)
     key = lambda r: tuple("" if v is None else str(v) for v in r)
     assert sorted(stored.mart_claims_frequency.collect(), key=key) == sorted(lazy.collect(), key=key)
+
+
+def test_failed_batch_still_writes_a_failure_report(spark, tmp_path):
+    out = run_batch(spark, str(tmp_path / "no-such-folder"))
+    assert out["quality"] is None and out["error"]
+    doc = json.loads(spark.read.text(out["root"] + "/data_quality_report").first()[0])
+    assert doc["success"] is False and doc["error"]
