@@ -344,37 +344,31 @@ def _qa_null_rate(L: Layers) -> DataFrame:
 
 
 def all_quality_results(L: Layers) -> DataFrame:
+    """Every declared check, one row each: row-local and uniqueness checks share one
+    pass per table; the single-table singular tests are row predicates in that pass;
+    the cross-table claim-count reconciliation is its own small query."""
     t = L.tables()
     row_checks = (
         quality.schema_not_null_checks()
         + quality.schema_accepted_checks()
         + quality.claims_suite_checks()
+        + quality.singular_checks()
     )
     unique = quality.schema_unique_spec() + quality.claims_suite_unique_spec()
-    singular = {
-        "no_negative_premium": quality.no_negative_premium(L.mart_loss_ratio),
-        "loss_ratio_within_bounds": quality.loss_ratio_within_bounds(L.mart_loss_ratio),
-        "loss_ratio_positive": quality.loss_ratio_positive(L.enriched),
-        "claim_count_consistency": quality.claim_count_consistency(
-            L.mart_loss_ratio, L.stg_claims
-        ),
-    }
-    singular_rows = [
-        df.agg(F.count(F.lit(1)).alias("unexpected")).select(
+    reconciliation = (
+        quality.claim_count_consistency(L.mart_loss_ratio, L.stg_claims)
+        .agg(F.count(F.lit(1)).alias("unexpected"))
+        .select(
             F.lit(quality.SCHEMA_TESTS).alias("suite"),
-            F.lit(name).alias("table_name"),
-            F.lit("").alias("column_name"),
-            F.lit("singular").alias("expectation"),
+            F.lit("mart_loss_ratio,stg_claims").alias("table_name"),
+            F.lit("claim_count").alias("column_name"),
+            F.lit("singular:claim_count_consistency").alias("expectation"),
             F.lit(1).cast("bigint").alias("evaluated"),
             "unexpected",
             (F.col("unexpected") == 0).alias("success"),
         )
-        for name, df in singular.items()
-    ]
-    return reduce(
-        DataFrame.unionByName,
-        [quality.run_row_checks(t, row_checks), quality.run_unique_checks(t, unique), *singular_rows],
     )
+    return quality.run_checks(t, row_checks, unique).unionByName(reconciliation)
 
 
 @query("quality_report")

@@ -90,3 +90,25 @@ def test_orphans_null_rates_and_report(spark, tmp_path):
     assert doc["success"] is False
     assert doc["statistics"] == {"evaluated_expectations": 3, "successful_expectations": 2, "unsuccessful_expectations": 1}
     assert [v["expectation_suite_name"] for v in doc["validation_results"]] == ["s1", "s2"]
+
+
+def test_merged_pass_matches_separate_checks(spark):
+    """Row checks + uniqueness in one grouped pass give the same rows as separately."""
+    tables = {"raw_claims": raw(spark, [row("C1"), row("C1"), row(None), row("C3", lob="Boat"), row("C4", paid="-1.00")])}
+    checks = quality.claims_suite_checks()
+    spec = quality.claims_suite_unique_spec()
+    merged = sorted(quality.run_checks(tables, checks, spec).collect())
+    separate = sorted(quality.run_row_checks(tables, checks).unionByName(quality.run_unique_checks(tables, spec)).collect())
+    assert merged == separate
+
+
+def test_singular_checks_as_row_predicates(spark):
+    mart = spark.createDataFrame(
+        [("auto", "R", 2020, D("20000.00"), 6.0, 3), ("home", "R", 2020, D("-1.00"), None, 1)],
+        "line_of_business string, region string, accident_year int, earned_premium_eur decimal(18,2), loss_ratio double, claim_count bigint",
+    )
+    enriched = spark.createDataFrame([(D("10.00"), -0.5)], "annual_premium_eur decimal(12,2), loss_ratio double")
+    got = {r.expectation: r.unexpected for r in quality.run_checks(
+        {"mart_loss_ratio": mart, "int_claims_enriched": enriched}, quality.singular_checks()).collect()}
+    assert got == {"singular:no_negative_premium": 1, "singular:loss_ratio_within_bounds": 1,
+                   "singular:loss_ratio_positive": 1}
