@@ -13,6 +13,8 @@ import json
 import sys
 import uuid
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from actuaria.operators import marts, quality
 from actuaria.plans.registry import Layers, all_quality_results
 from actuaria.session import scratch_path
 from actuaria.sources.loaders import write_table
+from actuaria.sources.tables import RAW_CONTRACTS_SCHEMA
 
 AUDIT_COLUMN = {
     "stg_policies": "_loaded_at",
@@ -78,18 +81,84 @@ class StoredLayers(Layers):
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
 
+class FileLayers(Layers):
+    """Layers whose raw tables are Parquet files ``<raw_dir>/{policies,claims,contracts}.parquet``
+    (the loaders' input) instead of the driver tables.
+
+    Types are taken from the files, as the loaders do (dates may arrive as
+    timestamps, amounts as doubles); the staging casts normalise them. A missing
+    treaty file means no treaties.
+    """
+
+    DATE_COLUMNS = {
+        "policies": ("inception_date", "expiry_date"),
+        "claims": ("claim_date", "reporting_date"),
+    }
+    NANOS_PER_DAY = 86_400 * 10**9
+
+    def _raw(self, name: str) -> DataFrame | None:
+        """One raw file; None only when it does not exist.
+
+        Files written by pandas store timestamps in nanoseconds, which Spark reads
+        only as integers (``spark.sql.legacy.parquet.nanosAsLong``); the known date
+        columns are then turned into dates from the epoch-day count (no time zone).
+        """
+        from pyspark.errors import AnalysisException
+
+        path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            df = self.spark.read.parquet(path)
+        except AnalysisException as exc:
+            if "PARQUET_TYPE_ILLEGAL" not in str(exc) or "NANOS" not in str(exc):
+                if "PATH_NOT_FOUND" in str(exc):
+                    return None
+                raise
+            self.spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+            df = self.spark.read.parquet(path)
+        for c in self.DATE_COLUMNS.get(name, ()):
+            if c in df.columns and df.schema[c].dataType.typeName() == "long":
+                df = df.withColumn(c, F.date_from_unix_date(F.floor(F.col(c) / self.NANOS_PER_DAY).cast("int")))
+        return df
+
+    @cached_property
+    def raw_policies(self) -> DataFrame:
+        return self._keep("raw_policies", self._raw("policies"))
+
+    @cached_property
+    def raw_claims(self) -> DataFrame:
+        return self._keep("raw_claims", self._raw("claims"))
+
+    @cached_property
+    def raw_contracts(self) -> DataFrame:
+        found = self._raw("contracts")
+        return found if found is not None else self.spark.createDataFrame([], RAW_CONTRACTS_SCHEMA)
+
+
+class StoredFileLayers(StoredLayers, FileLayers):
+    """File-backed raw layer with stored staging, enriched claims and marts."""
+
+
 def run_batch(
-    spark: SparkSession, sf_dir: str, root: str | None = None, audit: bool = True, fail_on_error: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    root: str | None = None,
+    audit: bool = True,
+    fail_on_error: bool = False,
+    source: str = "tables",
 ) -> dict:
     """Build every layer and mart, run the quality gate, write its JSON report.
 
+    ``source`` is "tables" (the raw layer derived from the driver tables in ``sf_dir``)
+    or "files" (raw Parquet files in ``sf_dir``, see :class:`FileLayers`).
+
     Returns ``{"root": run folder, "quality": [per-suite rows as dicts], "error": None}``.
     If building or checking raises, a failure report ``{"success": false, "error": ...}``
     is written in place of the normal one (so the report always exists) and the result
     carries the error. With ``fail_on_error`` a failing suite or an error raises (the
     non-zero exit of the gate).
     """
-    layers = StoredLayers(spark, sf_dir, root, audit=audit)
+    layers_class = StoredFileLayers if source == "files" else StoredLayers
+    layers = layers_class(spark, sf_dir, root, audit=audit)
     report_path = layers.path("data_quality_report")
     try:
         for name in (
@@ -126,10 +195,12 @@ def presentation(df: DataFrame, name: str) -> DataFrame:
 
 
 if __name__ == "__main__":
-    # spark-submit actuaria/plans/batch.py <input folder> [<run folder>]
+    # spark-submit actuaria/plans/batch.py <tables|files> <input folder> [<run folder>]
     # (the session, its checkpoint folder and sizing come from spark-submit's conf)
     from actuaria.session import build_session
 
     session = build_session(app_name="actuaria-batch")
-    result = run_batch(session, sys.argv[1], sys.argv[2] if len(sys.argv) > 2 else None, fail_on_error=True)
+    source, folder = sys.argv[1], sys.argv[2]
+    run_root = sys.argv[3] if len(sys.argv) > 3 else None
+    result = run_batch(session, folder, run_root, fail_on_error=True, source=source)
     print(json.dumps({"root": result["root"], "quality": result["quality"]}, default=str))

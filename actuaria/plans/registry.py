@@ -458,6 +458,18 @@ def _load_csv(L: Layers) -> DataFrame:
     return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
 
 
+@query("loss_ratio_from_files")
+def _loss_ratio_from_files(L: Layers) -> DataFrame:
+    """The flagship mart from raw Parquet files (policies, claims, contracts), the
+    input a switching user has: the raw layer is written as those files first."""
+    from actuaria.plans.batch import FileLayers
+
+    folder = scratch_path(L.spark, f"raw-files-{uuid.uuid4().hex}")
+    for name, df in (("policies", L.raw_policies), ("claims", L.raw_claims), ("contracts", L.raw_contracts)):
+        loaders.write_table(df, f"{folder}/{name}.parquet")
+    return FileLayers(L.spark, folder).mart_loss_ratio.orderBy(*marts.loss_ratio_order())
+
+
 @query("marts_roundtrip")
 def _marts_roundtrip(L: Layers) -> DataFrame:
     """The loss-ratio mart materialised as a Parquet table and read back whole."""

@@ -1,3 +1,4 @@
+
 import json
 
 import __spark_entry__ as contract
@@ -39,3 +40,49 @@ def test_failed_batch_still_writes_a_failure_report(spark, tmp_path):
     assert out["quality"] is None and out["error"]
     doc = json.loads(spark.read.text(out["root"] + "/data_quality_report").first()[0])
     assert doc["success"] is False and doc["error"]
+
+
+def test_batch_from_raw_files_typed_like_generator_output(spark, tmp_path):
+    import pandas as pd
+
+    from actuaria.plans.batch import FileLayers
+
+    start = pd.Timestamp("2023-01-01")
+    pd.DataFrame({
+        "policy_id": ["POL0000001", "POL0000002", "POL0000003"],
+        "lob": ["Auto", "Home", "Auto"],
+        "region": ["Bretagne", "Bretagne", "Bretagne"],
+        "insured_age": [30, 45, 70],
+        "inception_date": [start, start, start],
+        "expiry_date": [start + pd.Timedelta(days=365)] * 3,
+        "annual_premium": [1000.0, 500.0, 0.0],
+        "status": ["Active", "Active", "Active"],
+        "channel": ["Direct", "Broker", "Online"],
+    }).to_parquet(tmp_path / "policies.parquet", index=False)
+    pd.DataFrame({
+        "claim_id": ["CLM00000001", "CLM00000002"],
+        "policy_id": ["POL0000001", "POL0000002"],
+        "lob": ["Auto", "Home"],
+        "region": ["Bretagne", "Bretagne"],
+        "claim_date": [start + pd.Timedelta(days=10)] * 2,
+        "reporting_date": [start + pd.Timedelta(days=50), start + pd.Timedelta(days=12)],
+        "ultimate_cost": [900.0, 100.0],
+        "reserve": [100.0, 0.0],
+        "paid_amount": [800.0, 100.0],
+        "status": ["Open", "Closed"],
+        "claim_type": ["Material", "Theft"],
+    }).to_parquet(tmp_path / "claims.parquet", index=False)
+    pd.DataFrame({
+        "contract_id": ["XL-AUTO-2023"], "lob": ["Auto"], "treaty_type": ["Excess of Loss"],
+        "retention": [100000.0], "limit": [500000.0], "reinstatements": [2.0], "premium_rate": [0.045],
+        "effective_date": ["2023-01-01"], "expiry_date": ["2023-12-31"],
+    }).to_parquet(tmp_path / "contracts.parquet", index=False)
+
+    layers = FileLayers(spark, str(tmp_path))
+    mart = {r.line_of_business: r for r in layers.mart_loss_ratio.collect()}
+    assert mart["auto"].loss_ratio == 0.9 and mart["auto"].policy_count == 1  # zero premium dropped
+    assert mart["home"].loss_ratio == 0.2 and mart["auto"].ibnr_claims_count == 1
+    perf = {r.line_of_business: r for r in layers.mart_portfolio_performance.collect()}
+    assert perf["auto"].reinsurance_type == "Excess of Loss" and perf["home"].reinsurance_type is None
+    out = run_batch(spark, str(tmp_path), source="files")
+    assert out["error"] is None and {r["suite"] for r in out["quality"]} == {"model_schema_tests", "claims_quality_suite"}
