@@ -54,6 +54,8 @@ def exact_median(
     The result is DECIMAL(precision + 1, scale + 1), exact: the mean of the two
     middle values needs one more decimal place.
     """
+    if precision > 18:
+        raise ValueError("exact_median needs DECIMAL precision <= 18 (unscaled values fit a long)")
     gk = [f"_g{i}" for i in range(len(keys))]
     sk = [f"_s{i}" for i in range(len(keys))]
     unscaled = (F.col(value) * F.lit(10**scale)).cast("long")

@@ -204,6 +204,15 @@ def singular_checks() -> list[RowCheck]:
     ]
 
 
+def column_set_check(table: str, df: DataFrame, expected: list[str], exact: bool = True) -> dict:
+    """Column-set containment of a table's schema (metadata only, no data read):
+    the expected columns that are missing and, with ``exact``, the unexpected ones."""
+    have = set(df.columns)
+    missing = sorted(set(expected) - have)
+    extra = sorted(have - set(expected)) if exact else []
+    return {"table_name": table, "missing": missing, "unexpected": extra, "success": not missing and not extra}
+
+
 # ---- the declared suites -------------------------------------------------------------
 
 

@@ -112,3 +112,23 @@ def test_singular_checks_as_row_predicates(spark):
         {"mart_loss_ratio": mart, "int_claims_enriched": enriched}, quality.singular_checks()).collect()}
     assert got == {"singular:no_negative_premium": 1, "singular:loss_ratio_within_bounds": 1,
                    "singular:loss_ratio_positive": 1}
+
+
+def test_column_sets_of_the_raw_layer(spark, sf_small):
+    from actuaria.plans.registry import Layers
+    from actuaria.sources.tables import RAW_CLAIMS_SCHEMA, RAW_POLICIES_SCHEMA
+
+    L = Layers(spark, sf_small)
+    assert quality.column_set_check("raw_policies", L.raw_policies, RAW_POLICIES_SCHEMA.names)["success"]
+    assert quality.column_set_check("raw_claims", L.raw_claims, RAW_CLAIMS_SCHEMA.names)["success"]
+    bad = quality.column_set_check("raw_claims", L.raw_claims.drop("reserve"), RAW_CLAIMS_SCHEMA.names)
+    assert bad["missing"] == ["reserve"] and not bad["success"]
+
+
+def test_median_rejects_too_wide_decimals(spark):
+    import pytest
+
+    from actuaria.operators.median import exact_median
+
+    with pytest.raises(ValueError):
+        exact_median(spark.range(1), ["id"], "id", precision=20)
