@@ -46,6 +46,8 @@ STORED = frozenset({
     "mart_claims_frequency",
     "mart_portfolio_performance",
 })
+# Staging tables written bucketed by the join key of the enrichment (claims ⋈ policies)
+BUCKETED = {"stg_policies": "policy_id", "stg_claims": "policy_id"}
 # For a quality run alone: only the layers several checks or models read.
 SHARED_FOR_CHECKS = frozenset({"stg_policies", "stg_claims", "int_claims_enriched", "mart_loss_ratio"})
 
@@ -62,11 +64,19 @@ class StoredLayers(Layers):
         root: str | None = None,
         audit: bool = False,
         stored: frozenset[str] | set[str] | None = None,
+        buckets: int | None = None,
+        bucketed: bool = True,
     ):
         super().__init__(spark, sf_dir)
-        self.root = root or scratch_path(spark, f"batch-{uuid.uuid4().hex}")
+        self.run_id = uuid.uuid4().hex[:12]
+        self.root = root or scratch_path(spark, f"batch-{self.run_id}")
         self.audit = audit
         self.stored = STORED if stored is None else frozenset(stored)
+        # bucket count for the policy-keyed staging tables (default: the session's
+        # shuffle partition count, so the buckets are sized like the join would be)
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.tables_created: list[str] = []
+        self.bucketed = bucketed
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -76,10 +86,39 @@ class StoredLayers(Layers):
             return df
         if self.audit and name in AUDIT_COLUMN:
             df = df.withColumn(AUDIT_COLUMN[name], F.current_timestamp())
-        write_table(df, self.path(name))
-        stored = self.spark.read.schema(df.schema).parquet(self.path(name))
+        if name in BUCKETED and self.bucketed:
+            stored = self._write_bucketed(name, df, BUCKETED[name])
+        else:
+            write_table(df, self.path(name))
+            stored = self.spark.read.schema(df.schema).parquet(self.path(name))
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
+    def _write_bucketed(self, name: str, df: DataFrame, key: str) -> DataFrame:
+        """Write ``df`` as a table bucketed and sorted by ``key`` at ``path(name)``.
+
+        The shuffle by ``key`` happens once, in this write; later joins and
+        aggregations on ``key`` between tables with the same bucket count read the
+        buckets in place (no exchange).
+        """
+        table = f"`{name}_{self.run_id}`"
+        (
+            df.repartition(self.buckets, key)
+            .write.mode("overwrite")
+            .bucketBy(self.buckets, key)
+            .sortBy(key)
+            .option("path", self.path(name))
+            .saveAsTable(table)
+        )
+        self.tables_created.append(table)
+        return self.spark.table(table)
+
+    def drop_catalog_entries(self) -> None:
+        """Forget this run's bucketed tables in the catalog; their files stay in the
+        run folder (external tables), so stored layers remain readable by path."""
+        for table in self.tables_created:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+        self.tables_created.clear()
+
 
 class FileLayers(Layers):
     """Layers whose raw tables are Parquet files ``<raw_dir>/{policies,claims,contracts}.parquet``
@@ -179,6 +218,7 @@ def run_batch(
         if fail_on_error:
             raise
         return {"root": layers.root, "quality": None, "error": str(exc).splitlines()[0]}
+    layers.drop_catalog_entries()
     if fail_on_error and not all(r["success"] for r in rows):
         raise RuntimeError(f"data quality gate failed: {rows}")
     return {"root": layers.root, "quality": rows, "error": None}

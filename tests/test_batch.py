@@ -86,3 +86,16 @@ def test_batch_from_raw_files_typed_like_generator_output(spark, tmp_path):
     assert perf["auto"].reinsurance_type == "Excess of Loss" and perf["home"].reinsurance_type is None
     out = run_batch(spark, str(tmp_path), source="files")
     assert out["error"] is None and {r["suite"] for r in out["quality"]} == {"model_schema_tests", "claims_quality_suite"}
+
+
+def test_bucketed_staging_removes_the_join_shuffle(spark):
+    from actuaria.operators import intermediate
+
+    layers = StoredLayers(spark, SF_SMALL, stored={"stg_policies", "stg_claims"})
+    joined = intermediate.claims_enriched(layers.stg_claims, layers.stg_policies)
+    assert len(joined.collect()) == layers.stg_claims.count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan or "BroadcastHashJoin" in plan
+    if "SortMergeJoin" in plan:
+        assert "Exchange" not in plan
+    layers.drop_catalog_entries()
