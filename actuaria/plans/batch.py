@@ -65,15 +65,19 @@ class StoredLayers(Layers):
         audit: bool = False,
         stored: frozenset[str] | set[str] | None = None,
         buckets: int | None = None,
-        bucketed: bool = True,
+        bucketed: bool = False,
     ):
         super().__init__(spark, sf_dir)
         self.run_id = uuid.uuid4().hex[:12]
         self.root = root or scratch_path(spark, f"batch-{self.run_id}")
         self.audit = audit
         self.stored = STORED if stored is None else frozenset(stored)
-        # bucket count for the policy-keyed staging tables (default: the session's
-        # shuffle partition count, so the buckets are sized like the join would be)
+        # Opt-in: staging tables bucketed by policy_id make the enrichment join
+        # shuffle-free, but a bucket holds all rows of a key, so one very frequent
+        # policy would be written and joined by a single task with no adaptive split.
+        # Only for data whose key frequencies are known to be bounded; by default the
+        # join shuffles and AQE splits skewed partitions.
+        # Bucket count: the session's shuffle partition count.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables_created: list[str] = []
         self.bucketed = bucketed

@@ -91,7 +91,7 @@ def test_batch_from_raw_files_typed_like_generator_output(spark, tmp_path):
 def test_bucketed_staging_removes_the_join_shuffle(spark):
     from actuaria.operators import intermediate
 
-    layers = StoredLayers(spark, SF_SMALL, stored={"stg_policies", "stg_claims"})
+    layers = StoredLayers(spark, SF_SMALL, stored={"stg_policies", "stg_claims"}, bucketed=True)
     joined = intermediate.claims_enriched(layers.stg_claims, layers.stg_policies)
     assert len(joined.collect()) == layers.stg_claims.count()
     plan = joined._jdf.queryExecution().executedPlan().toString()
