@@ -1,10 +1,11 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
 Every query reads the driver tables (or data Spark derives from them) in full. Audit
-clock columns are not emitted here (they are non-deterministic); the batch pipeline
-adds them when it writes the layers. Within one query the layers are built once as
-DataFrame objects, so a layer used twice is the same subplan (the planner reuses its
-shuffles).
+clock columns are not emitted here (they are non-deterministic); the batch run adds
+them when it writes the layers. The lazy layer graph of a session and folder is built
+once (``layers_for``) and shared by the queries: a layer used twice in one query is
+the same subplan (the planner reuses its shuffles), and a second query does not
+rebuild the DataFrames. Nothing is cached: every action reads the tables again.
 """
 
 from __future__ import annotations
