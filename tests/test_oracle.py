@@ -17,6 +17,16 @@ QUERIES = contract.queries()
 ORACLE = contract.oracle_sql()
 
 
+SPARK_TO_DUCKDB = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "boolean": "BOOLEAN",
+}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else repr(v)
@@ -59,6 +69,10 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
+    duck_types = dict(zip(cols, (str(t) for t in res.description and duck.sql(ORACLE[name]).types)))
+    for field in df.schema.fields:
+        spark_type = field.dataType.simpleString()
+        assert SPARK_TO_DUCKDB.get(spark_type, spark_type.upper()) == duck_types[field.name], field.name
     assert len(got) == len(want)
     assert _rows(df.columns, got) == _rows(cols, want)
 
