@@ -69,7 +69,7 @@ def test_query_matches_oracle(spark, duck, name):
     cols = [d[0] for d in res.description]
     want = res.fetchall()
     assert sorted(df.columns) == sorted(cols)
-    duck_types = dict(zip(cols, (str(t) for t in res.description and duck.sql(ORACLE[name]).types)))
+    duck_types = dict(zip(cols, map(str, duck.sql(ORACLE[name]).types)))
     for field in df.schema.fields:
         spark_type = field.dataType.simpleString()
         assert SPARK_TO_DUCKDB.get(spark_type, spark_type.upper()) == duck_types[field.name], field.name
