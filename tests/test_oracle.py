@@ -57,7 +57,7 @@ def duck():
 
 def test_every_query_has_an_oracle_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"load_csv", "file_assets"}
+    assert rows_only == {"file_assets"}
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -77,6 +77,6 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, got) == _rows(cols, want)
 
 
-@pytest.mark.parametrize("name", ["load_csv", "file_assets"])
+@pytest.mark.parametrize("name", ["file_assets"])
 def test_rows_only_queries_run(spark, name):
     assert QUERIES[name](spark, SF_SMALL).count() >= 1
