@@ -81,7 +81,11 @@ FREQUENCY_KEYS = ["line_of_business", "region", "age_segment", "accident_year",
 
 
 def claims_frequency_mart(
-    enriched: DataFrame, stg_policies: DataFrame, materialize_input: bool = True
+    enriched: DataFrame,
+    stg_policies: DataFrame,
+    materialize_input: bool = True,
+    median: str = "exact",
+    approx_accuracy: int = 10_000,
 ) -> DataFrame:
     """Frequency and severity per (lob, region, age segment, year, claim type).
 
@@ -92,11 +96,18 @@ def claims_frequency_mart(
     The claims are read four times (the aggregates and three median passes), so the
     narrow projection they need is written once to the checkpoint folder first,
     unless ``enriched`` is already a stored table (``materialize_input=False``).
+
+    ``median="approx"`` is the opt-in one-pass alternative: ``percentile_approx`` keeps
+    a bounded, mergeable sketch per group (relative rank error about
+    ``1 / approx_accuracy``), so it is skew-safe too; it returns an observed value,
+    not the interpolated mean of the two middle ones.
     """
+    if median not in ("exact", "approx"):
+        raise ValueError("median must be 'exact' or 'approx'")
     needed = [*FREQUENCY_KEYS, "claim_id", "ultimate_cost_eur", "reporting_lag_days",
               "is_ibnr_candidate", "severity_band"]
     enriched = enriched.select(*needed)
-    if materialize_input:
+    if materialize_input and median == "exact":
         enriched = materialize(enriched, "claims-frequency-input")
     cost = F.col("ultimate_cost_eur")
     band = F.col("severity_band")
@@ -114,7 +125,14 @@ def claims_frequency_mart(
         F.count(F.when(band == "Large", 1)).alias("large_claims"),
         F.count(F.when(band == "Severe", 1)).alias("severe_claims"),
     )
-    med = exact_median(enriched, FREQUENCY_KEYS, "ultimate_cost_eur", 15, 2, "_median")
+    if median == "exact":
+        med = exact_median(enriched, FREQUENCY_KEYS, "ultimate_cost_eur", 15, 2, "_median")
+    else:
+        med = enriched.groupBy(*FREQUENCY_KEYS).agg(
+            F.percentile_approx("ultimate_cost_eur", 0.5, approx_accuracy)
+            .cast("decimal(16,3)")
+            .alias("_median")
+        )
     med = med.select(*[F.col(k).alias(f"_m_{k}") for k in FREQUENCY_KEYS], "_median")
     policies = stg_policies.groupBy(
         F.col("line_of_business").alias("_p_lob"),

@@ -184,3 +184,16 @@ def test_staged_column_lists(spark):
     assert intermediate.claims_enriched(sc, sp).columns == intermediate.ENRICHED_COLUMNS
     assert staging.stg_claims(raw_claims_audit := claims(spark, [clm("C2", "P1")]), audit=True).columns[-1] == "_loaded_at"
     assert raw_claims_audit.count() == 1
+
+
+def test_claims_frequency_approximate_median_option(spark):
+    sp = staging.stg_policies(policies(spark, [pol("P1"), pol("P2")]))
+    sc = staging.stg_claims(claims(spark, [
+        clm("C1", "P1", cost="10.00", paid="0"), clm("C2", "P1", cost="20.00", paid="0"),
+        clm("C3", "P2", cost="30.00", paid="0"),
+    ]))
+    enriched = intermediate.claims_enriched(sc, sp)
+    exact = marts.claims_frequency_mart(enriched, sp, materialize_input=False).first()
+    approx = marts.claims_frequency_mart(enriched, sp, median="approx").first()
+    assert exact.median_severity_eur == D("20.000") and approx.median_severity_eur == D("20.000")
+    assert approx.claim_count == exact.claim_count == 3
