@@ -197,3 +197,12 @@ def test_claims_frequency_approximate_median_option(spark):
     approx = marts.claims_frequency_mart(enriched, sp, median="approx").first()
     assert exact.median_severity_eur == D("20.000") and approx.median_severity_eur == D("20.000")
     assert approx.claim_count == exact.claim_count == 3
+
+
+def test_portfolio_summary_approximate_distinct_option(spark):
+    sp = staging.stg_policies(policies(spark, [pol(f"P{i}") for i in range(50)]))
+    sc = staging.stg_claims(claims(spark, [clm(f"C{i}", f"P{i % 50}") for i in range(200)]))
+    enriched = intermediate.claims_enriched(sc, sp)
+    exact = intermediate.portfolio_summary(enriched).first()
+    approx = intermediate.portfolio_summary(enriched, approx_distinct_rsd=0.01).first()
+    assert exact.policy_count == 50 and abs(approx.policy_count - 50) <= 2
