@@ -2,17 +2,44 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import decontaminate, simhash_dedup
+from actuaria.llm import bpe_codec, decontaminate, simhash_dedup, toxicity
 from actuaria.llm.common import read_documents, read_input
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """A vocabulary file of the installed tokenizer package."""
+    return public_tokenizers.path(name)
+
+
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(read_documents(spark, sf_dir))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    done = bpe_codec.round_trip(docs, vocabulary_path())
+    return done.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256")
+    )
+
+
 def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(read_documents(spark, sf_dir))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    model = toxicity.fit(docs, read_input(spark, sf_dir, "labels"), ~toxicity.held_out())
+    scored = toxicity.with_score(docs.select("doc_id", "text"), model, "score")
+    return scored.select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_documents(spark, sf_dir), read_input(spark, sf_dir, "benchmark"))
     return found.select(
@@ -24,6 +51,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_bpe_codec": op4_bpe_codec,
     "op5_simhash_groups": op5_simhash_groups,
+    "op7_toxicity": op7_toxicity,
     "op10_decontamination": op10_decontamination,
 }
