@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import bpe_codec, decontaminate, simhash_dedup, toxicity
+from actuaria.llm import bpe_codec, decontaminate, line_templates, simhash_dedup, topk_search, toxicity
 from actuaria.llm.common import read_documents, read_input
 
 
@@ -15,6 +15,10 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_input(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_documents(spark, sf_dir))
 
@@ -30,6 +34,15 @@ def op5_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicate_groups(read_documents(spark, sf_dir))
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir).select("doc_id", "text")
+    docs = docs.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long"))
+    cleaned = line_templates.drop_recurring_lines(docs, column="n_dropped")
+    return cleaned.select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    )
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_documents(spark, sf_dir)
     model = toxicity.fit(docs, read_input(spark, sf_dir, "labels"), ~toxicity.held_out())
@@ -51,8 +64,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_topk_search": op1_topk_search,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_simhash_groups": op5_simhash_groups,
+    "op6_line_templates": op6_line_templates,
     "op7_toxicity": op7_toxicity,
     "op10_decontamination": op10_decontamination,
 }
