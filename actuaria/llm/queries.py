@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import bpe_codec, decontaminate, line_templates, simhash_dedup, topk_search, toxicity
+from actuaria.llm import bpe_codec, decontaminate, line_templates, repeated_passages, simhash_dedup, token_packing, topk_search, toxicity
 from actuaria.llm.common import read_documents, read_input
 
 
@@ -19,6 +19,15 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_input(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = bpe_codec.load_vocabulary(vocabulary_path())
+    rows = token_packing.pack_documents(read_documents(spark, sf_dir), vocabulary)
+    return rows.select(
+        "doc_ids", "pieces", "offsets", "cu_seqlens", "position_resets", "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(read_documents(spark, sf_dir))
 
@@ -53,6 +62,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeated_passages.remove_recurring(read_documents(spark, sf_dir))
+    return done.select(
+        "doc_id", "n_words", "n_removed",
+        F.when(F.col("kept").isNull(), F.col("whole_sha")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_documents(spark, sf_dir), read_input(spark, sf_dir, "benchmark"))
     return found.select(
@@ -65,9 +82,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk_search": op1_topk_search,
+    "op3_token_packing": op3_token_packing,
     "op4_bpe_codec": op4_bpe_codec,
     "op5_simhash_groups": op5_simhash_groups,
     "op6_line_templates": op6_line_templates,
     "op7_toxicity": op7_toxicity,
+    "op8_repeated_passages": op8_repeated_passages,
     "op10_decontamination": op10_decontamination,
 }
