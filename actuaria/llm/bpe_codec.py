@@ -227,7 +227,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.tokens, vocabulary.special))  # one file: a few MB
     keyed = docs.select("doc_id", whole_text().alias("text")).withColumn("k", content_key(F.col("text")))
     places = stored(shared_chunks(keyed.select("k", "text")), "places")
-    texts = keyed.select("doc_id", "k", packed(F.col("text")).alias("body")).where(F.col("k").isNotNull())
+    texts = keyed.select(F.col("doc_id").cast("string"), "k", packed(F.col("text")).alias("body")).where(F.col("k").isNotNull())
 
     def encode_owned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec, reader = Codec(Vocabulary(*shared.value)), zstandard.ZstdDecompressor()
@@ -242,9 +242,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield pd.DataFrame({"digest": digests, "ids": blobs})
 
     owned = places.where("own").groupBy("k").agg(F.collect_list(F.struct("start", "stop", "digest")).alias("wanted"))
-    # rows with equal text all carry its key: one of them is enough
+    # rows with equal text all carry its key: one of them is enough. The select keeps every
+    # column of texts, so that this join and the one below read one and the same shuffle.
     codes = (
-        texts.join(owned, "k").select("body", "wanted")
+        texts.join(owned, "k").select("doc_id", "k", "body", "wanted")
         .mapInPandas(encode_owned, "digest binary, ids binary").dropDuplicates(["digest"])
     )
     parts = (
@@ -273,7 +274,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     return (
         texts.join(parts, "k", "left")
-        .select(F.col("doc_id").cast("string"), "body", "parts")
+        .select("doc_id", "k", "body", "parts")
         .mapInPandas(assemble, "doc_id string, n_tokens long, ids binary")
         .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
