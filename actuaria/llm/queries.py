@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import bpe_codec, decontaminate, line_templates, repeated_passages, simhash_dedup, token_packing, topk_search, toxicity
+from actuaria.llm import bpe_codec, decontaminate, line_templates, pii_sanitise, repeated_passages, simhash_dedup, token_packing, topk_search, toxicity
 from actuaria.llm.common import read_documents, read_input
 
 
@@ -70,6 +70,10 @@ def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_sanitise.span_digests(pii_sanitise.private_spans(read_documents(spark, sf_dir)))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(read_documents(spark, sf_dir), read_input(spark, sf_dir, "benchmark"))
     return found.select(
@@ -88,5 +92,6 @@ QUERIES = {
     "op6_line_templates": op6_line_templates,
     "op7_toxicity": op7_toxicity,
     "op8_repeated_passages": op8_repeated_passages,
+    "op9_private_data": op9_private_data,
     "op10_decontamination": op10_decontamination,
 }
