@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import bpe_codec, decontaminate, line_templates, pii_sanitise, repeated_passages, simhash_dedup, token_packing, topk_search, toxicity
+from actuaria.llm import bpe_codec, decontaminate, line_templates, pii_sanitise, repeated_passages, secret_scan, simhash_dedup, token_packing, topk_search, toxicity
 from actuaria.llm.common import read_documents, read_input
 
 
@@ -19,6 +19,15 @@ def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_input(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    trigrams = secret_scan.dictionary_trigrams(docs)
+    findings = secret_scan.rule_labels(secret_scan.candidates(docs, "source"))
+    model = secret_scan.train(findings, trigrams)
+    kept = secret_scan.scan(docs, "source", model)
+    return kept.select("doc_id", "at", "path", F.sha2("value", 256).alias("value_sha256"), "score")
+
+
 def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe_codec.load_vocabulary(vocabulary_path())
     rows = token_packing.pack_documents(read_documents(spark, sf_dir), vocabulary)
@@ -85,6 +94,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op1_topk_search": op1_topk_search,
     "op3_token_packing": op3_token_packing,
     "op4_bpe_codec": op4_bpe_codec,
