@@ -1,3 +1,78 @@
 """DuckDB SQL for the registered queries that SQL can express on whole tables."""
 
 SQL: dict[str, str] = {}
+
+SQL["op1_topk_search"] = """
+WITH finite AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM finite a, finite b WHERE a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+SQL["op8_repeated_passages"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), spots AS (
+  SELECT r, w, unnest(range(1, len(w) - 33)) AS i FROM docs WHERE len(w) >= 35
+), windows AS (
+  SELECT r, i, array_to_string(w[i:i + 34], ' ') AS g FROM spots
+), recurring AS (
+  SELECT g FROM windows GROUP BY g HAVING count(*) > 1
+), covered AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM windows WHERE g IN (SELECT g FROM recurring)
+), gone AS (
+  SELECT r, list(p) AS ps FROM covered GROUP BY r
+), words AS (
+  SELECT r, p, w[p] AS word FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM docs)
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN covered USING (r, p) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
+
+SQL["op10_decontamination"] = r"""
+WITH items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), grams AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g
+  FROM (SELECT item, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM items WHERE len(w) > 0)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), sizes AS (
+  SELECT DISTINCT n FROM grams
+), windows AS (
+  SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, sizes WHERE len(w) >= n)
+), hits AS (
+  SELECT r, i, n, item FROM windows JOIN grams USING (n, g)
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r
+), named AS (
+  SELECT r, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256
+  FROM hits GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
+"""
