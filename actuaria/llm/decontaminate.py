@@ -156,12 +156,21 @@ def decontaminate(
         return marked.where(F.size(hits) == 0).select(*docs.columns)
     if remove != "spans":
         raise ValueError(f"remove must be 'documents' or 'spans', not {remove!r}")
-    raw = F.array_remove(F.split("text", OTHER_CHARS), "")
-    gaps = F.split("text", WORD_CHARS)  # one more than there are words
-    covered = _covered(hits)
-    pieces = F.transform(
-        F.arrays_zip(raw.alias("w"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("g")),
-        lambda p, i: F.when(F.array_contains(covered, i), F.lit("")).otherwise(F.concat(p["w"], p["g"])),
+    # One struct per row, made by a one-element explode: its arrays are computed once a row,
+    # where an expression inside a lambda would be computed anew for each word.
+    parts = fresh_name(marked, "_parts")
+    ready = F.struct(
+        F.array_remove(F.split("text", OTHER_CHARS), "").alias("words"),
+        F.split("text", WORD_CHARS).alias("gaps"),  # one more than there are words
+        _covered(hits).alias("covered"),
     )
-    cleaned = F.when(F.size(hits) == 0, F.col("text")).otherwise(F.concat(gaps[0], F.array_join(pieces, "")))
-    return marked.withColumn("text", cleaned).select(*docs.columns)
+    opened = marked.withColumn(parts, F.explode(F.array(ready)))
+    kept = F.array_except(
+        F.filter(F.sequence(F.lit(0), F.size(f"{parts}.words")), lambda i: i < F.size(f"{parts}.words")),
+        F.col(f"{parts}.covered"),
+    )
+    pieces = F.transform(kept, lambda i: F.concat(F.get(f"{parts}.words", i), F.get(f"{parts}.gaps", i + 1)))
+    cleaned = F.concat(F.get(f"{parts}.gaps", F.lit(0)), F.array_join(pieces, ""))
+    return opened.withColumn(
+        "text", F.when(F.size(hits) == 0, F.col("text")).otherwise(cleaned)
+    ).select(*docs.columns)

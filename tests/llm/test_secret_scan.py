@@ -1,0 +1,57 @@
+"""Candidates, features, learning from labelled findings, and odd inputs."""
+
+import random
+
+from pyspark.sql import functions as F
+
+from actuaria.llm import secret_scan as S
+from tests.llm.helpers import empty_docs, odd_docs, prose, with_extras
+
+
+def corpus(spark):
+    rnd, rows, truth = random.Random(3), [], {}
+    for i in range(160):
+        words = prose(300 + i, 40).split()
+        if i % 4 == 0:
+            value = "".join(rnd.choice("0123456789abcdef") for _ in range(32))
+            words[20:20] = ["secret", "=", f'"{value}"'] if i % 8 else [f"password={value}"]
+            truth[i] = value
+        elif i % 4 == 1:
+            words[20:20] = ["see", "almelfigrarisbenatocor"]
+        elif i % 4 == 2:
+            words[20:20] = ["order", "1234567812345678"]
+        rows.append((i, " ".join(words), f"repo/src{i % 3}/file.py"))
+    return spark.createDataFrame(rows, "doc_id long, text string, path string"), truth
+
+
+def test_finds_secrets_and_drops_false_positives(spark):
+    docs, truth = corpus(spark)
+    found = S.rule_labels(S.candidates(docs, "path"))
+    assert found.count() == 120 and found.where("label = 1").count() == 40
+    training = found.where("doc_id % 3 <> 0")
+    model = S.train(training, S.dictionary_trigrams(docs))
+    kept = {r["doc_id"]: r["value"] for r in S.scan(docs, "path", model).collect()}
+    assert kept == truth
+
+
+def test_candidate_context(spark):
+    docs = spark.createDataFrame([(1, 'my token = "0123456789abcdef0" end', None)], "doc_id long, text string, path string")
+    row = S.candidates(docs, "path").first()
+    assert (row["value"], row["path"], row["at"], row["after"]) == ("0123456789abcdef0", "", 3, "end")
+    assert row["lead"] == 'token = "' and row["tail"] == '"'
+    full = S.with_features(S.candidates(docs, "path"), ["abc"]).first()
+    assert full["quoted"] == full["assigned"] == full["credential_near"] == full["hexadecimal"] == 1.0
+    assert full["length"] == 17 and full["transitions"] == 2 and abs(full["dictionary"] - 1 / 15) < 1e-9
+
+
+def test_one_kind_of_finding_and_odd_inputs(spark):
+    docs, _ = corpus(spark)
+    found = S.rule_labels(S.candidates(docs, "path"))
+    model = S.train(found.where("label = 0"), ["abc"])
+    assert model.forest is None and S.scan(docs, "path", model).count() == 0
+    assert S.train(found.limit(0), []).only == 0.0
+    odd = odd_docs(spark).withColumn("path", F.lit(None).cast("string"))
+    trained = S.train(found, S.dictionary_trigrams(odd))
+    assert S.scan(with_extras(odd), "path", trained).count() >= 0
+    assert S.scan(empty_docs(spark).withColumn("path", F.lit("p")), "path", trained).count() == 0
+    assert S.dictionary_trigrams(empty_docs(spark)) == []
