@@ -222,8 +222,11 @@ def shared_chunks(keyed: DataFrame) -> DataFrame:
 
 
 # ---- operators ----------------------------------------------------------------------
-def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every row of ``docs``."""
+def encode_documents(docs: DataFrame, vocabulary: Vocabulary, decoded: bool = False) -> DataFrame:
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit) of every row of ``docs``.
+
+    ``decoded`` adds the column ``text``: the ids decoded again, in the same pass.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.tokens, vocabulary.special))  # one file: a few MB
     keyed = docs.select("doc_id", whole_text().alias("text")).withColumn("k", content_key(F.col("text")))
     places = stored(shared_chunks(keyed.select("k", "text")), "places")
@@ -262,20 +265,19 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                     codec.join(reader.decompress(body), [(p["start"], p["stop"], p["ids"]) for p in (() if ready is None else ready)])
                     for body, ready in zip(some["body"], some["parts"])
                 ]
-                yield pd.DataFrame(
-                    {
-                        "doc_id": some["doc_id"],
-                        "n_tokens": [len(x) for x in ids],
-                        "ids": [x.astype("<u4").tobytes() for x in ids],
-                    }
-                )
+                columns = {
+                    "doc_id": some["doc_id"],
+                    "n_tokens": [len(x) for x in ids],
+                    "ids": [x.astype("<u4").tobytes() for x in ids],
+                }
+                yield pd.DataFrame(columns | ({"text": [codec.decode(x) for x in ids]} if decoded else {}))
 
     # doc_id crosses to Python as text: pandas would turn integers beside nulls into floats
     kind = docs.schema["doc_id"].dataType
     return (
         texts.join(parts, "k", "left")
         .select("doc_id", "k", "body", "parts")
-        .mapInPandas(assemble, "doc_id string, n_tokens long, ids binary")
+        .mapInPandas(assemble, "doc_id string, n_tokens long, ids binary" + ", text string" * decoded)
         .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
 
@@ -297,5 +299,4 @@ def decode_documents(encoded: DataFrame, vocabulary: Vocabulary, column: str = "
 
 def round_trip(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     """doc_id, n_tokens, ids and the decoded text of every row."""
-    vocabulary = load_vocabulary(vocabulary_path)
-    return decode_documents(encode_documents(docs, vocabulary), vocabulary)
+    return encode_documents(docs, load_vocabulary(vocabulary_path), decoded=True)
