@@ -16,9 +16,11 @@ is removed, judged on the input.
 4. *Removal.* The ranges go back to the texts by content key.
 
 Texts are handled once per content: rows with one text are its *copies*, and a text with two copies
-recurs as a whole. A seed with over ``HOT`` places (a very common line or passage) is not gathered: its windows
-are counted as 128-bit digests in an aggregate combined on the map side and joined back, with
-the same result.
+recurs as a whole. Seeds and windows that repeat inside one text are one row with their places, so
+a text that says the same thing over and over stays small. A seed with over ``HOT`` places (a
+very common passage) is not gathered: its windows are counted as 128-bit digests in an aggregate
+combined on the map side, and the texts' own digests are joined with those that recur, one row
+for each text and window, with the same result. ``HOT`` snippets of a seed are some 8 MB.
 
 Defined results: null text has no words; texts shorter than a window lose nothing; repeated rows
 are copies of each other; equal texts give equal rows; null doc_id is kept; an empty table gives
@@ -42,8 +44,8 @@ from actuaria.llm.common import content_key, packed, stored, whole_text
 
 WINDOW = 35
 SEED = 12
-HOT = 1000
-CACHE = 300_000  # word hashes remembered by a task
+HOT = 20_000
+CACHE = 150_000  # word hashes remembered by a task
 
 
 # ---- seeds ----------------------------------------------------------------------------
@@ -167,6 +169,17 @@ def _seed_ranges(rows: list[tuple], window: int) -> Iterator[tuple]:
                 yield k, start + a, start + b
 
 
+def merged(starts: list[int], window: int) -> list[dict]:
+    """Word ranges covered by the windows at ``starts`` (rising), overlaps joined."""
+    out: list[dict] = []
+    for a in starts:
+        if out and a <= out[-1]["stop"]:
+            out[-1]["stop"] = a + window
+        else:
+            out.append({"start": a, "stop": a + window})
+    return out
+
+
 # ---- the operator -----------------------------------------------------------------------
 def _summaries(texts: DataFrame, window: int, seed: int) -> DataFrame:
     """One row per content: k, copies, n_words, whole_sha, and its seeds and their places."""
@@ -178,15 +191,17 @@ def _summaries(texts: DataFrame, window: int, seed: int) -> DataFrame:
             for k, text in zip(batch["k"], batch["text"]):
                 words = text.encode("utf-8").split()
                 sha = hashlib.sha256(b" ".join(words)).hexdigest()
-                seeds, places = np.empty(0, np.int64), np.empty(0, np.int32)
+                seeds, places = np.empty(0, np.int64), []
                 if len(words) >= window:
                     hashes = finder.hashes(words)
-                    places = finder.places(hashes).astype(np.int32)
-                    seeds = _signed(hashes[places])
+                    at = finder.places(hashes).astype(np.int32)
+                    order = np.argsort(_signed(hashes[at]), kind="stable")
+                    seeds, first = np.unique(_signed(hashes[at])[order], return_index=True)
+                    places = np.split(at[order], first[1:])
                 rows.append((k, len(words), sha, seeds, places))
             yield pd.DataFrame(rows, columns=["k", "n_words", "whole_sha", "seeds", "places"])
 
-    each = texts.mapInPandas(summarise, "k binary, n_words long, whole_sha string, seeds array<long>, places array<int>")
+    each = texts.mapInPandas(summarise, "k binary, n_words long, whole_sha string, seeds array<long>, places array<array<int>>")
     return each.groupBy("k").agg(
         F.count("*").alias("copies"), F.first("n_words").alias("n_words"), F.first("whole_sha").alias("whole_sha"),
         F.first("seeds").alias("seeds"), F.first("places").alias("places"),
@@ -199,12 +214,12 @@ def recurring_ranges(summaries: DataFrame, bodies: DataFrame, window: int, seed:
         "k", "copies", F.explode(F.arrays_zip("seeds", "places")).alias("s")
     ).select("k", "copies", F.col("s.seeds").alias("seed"), F.col("s.places").alias("at"))
     often = (
-        seeds.groupBy("seed").agg(F.sum("copies").alias("n"), F.count("*").alias("m"))
+        seeds.groupBy("seed").agg(F.sum(F.col("copies") * F.size("at")).alias("n"), F.sum(F.size("at")).alias("m"))
         .where(F.col("n") > 1).select("seed", (F.col("m") > hot).alias("hot"))
     )
     wanted = seeds.join(often, "seed").groupBy("k", "copies").agg(
-        F.collect_list(F.when(~F.col("hot"), F.col("at"))).alias("cold"),
-        F.collect_list(F.when(F.col("hot"), F.col("at"))).alias("hot"),
+        F.flatten(F.collect_list(F.when(~F.col("hot"), F.col("at")))).alias("cold"),
+        F.flatten(F.collect_list(F.when(F.col("hot"), F.col("at")))).alias("hot"),
     )
     met = bodies.join(wanted, "k")
 
@@ -257,21 +272,27 @@ def recurring_ranges(summaries: DataFrame, bodies: DataFrame, window: int, seed:
     def cut_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         finder, reader = SeedFinder(window, seed), zstandard.ZstdDecompressor()
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                rows = [
-                    (hashlib.sha256(b" ".join(words[i : i + window])).digest()[:16], k, i, copies)
-                    for k, copies, words, _, a, b in owned(batch.iloc[at : at + 256], "hot", finder, reader)
-                    for i in range(a, b + 1)
-                ]
-                yield pd.DataFrame(rows, columns=["w", "k", "start", "copies"])
+            for at in range(0, len(batch)):  # one text at a time
+                starts: dict[bytes, list[int]] = {}
+                for k, copies, words, _, a, b in owned(batch.iloc[at : at + 1], "hot", finder, reader):
+                    for i in range(a, b + 1):
+                        w = hashlib.sha256(b" ".join(words[i : i + window])).digest()[:16]
+                        starts.setdefault(w, []).append(i)
+                if starts:
+                    yield pd.DataFrame(
+                        [(w, k, copies * len(x), copies, merged(x, window)) for w, x in starts.items()],
+                        columns=["w", "k", "n", "copies", "ranges"],
+                    )
 
     windows = met.select("k", "copies", "body", "cold", "hot").mapInPandas(
-        cut_windows, "w binary, k binary, start int, copies long"
-    )
-    recurring = windows.groupBy("w").agg(F.sum("copies").alias("n")).where(F.col("n") > 1).select("w")
-    warm = windows.where(F.col("copies") == 1).join(recurring, "w").select(
-        "k", "start", (F.col("start") + window).alias("stop")
+        cut_windows, "w binary, k binary, n long, copies long, ranges array<struct<start:int,stop:int>>"
     )
+    recurring = windows.groupBy("w").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("w")
+    single = windows.where(F.col("copies") == 1)
+    # a window met twice in one text recurs by itself; only the others need the counts
+    known = single.where(F.col("n") > 1).select("k", "ranges")
+    found = single.where(F.col("n") == 1).join(recurring, "w").select("k", "ranges")
+    warm = known.unionByName(found).select("k", F.inline("ranges"))
     return cold.unionByName(warm)
 
 

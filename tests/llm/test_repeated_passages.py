@@ -41,6 +41,7 @@ def rows():
         out.append((100 + i, f"{prose(600 + i, rnd.randrange(30))} {' '.join(part)} {prose(800 + i, rnd.randrange(30))}"))
     out.append((300, " ".join([prose(42, 12)] * 8)))  # repeats within one text
     out.append((301, "same " * 50))
+    out += [(310 + i, prose(43 + i, 20) + " to and fro" * 40 + prose(44 + i, 20)) for i in range(4)]
     return out
 
 
