@@ -42,25 +42,26 @@ DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 def line_tokens(line: Column) -> Column:
     """Tokens of a line with those that hold a digit masked."""
-    return F.split(F.trim(F.regexp_replace(line, DIGIT_TOKEN, MASK)), r"\s+")
-
-
-def _leaf(tokens: Column, depth: int) -> Column:
-    return F.xxhash64(F.size(tokens), F.array_join(F.slice(tokens, 1, depth), " "))
+    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, DIGIT_TOKEN, MASK)).otherwise(line)
+    return F.split(F.trim(masked), r"\s+")
 
 
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """Distinct lines of every row: key, line, its position, leaf and masked tokens' hash."""
-    rows = docs.select(
-        content_key(whole_text()).alias("k"), "doc_id",
-        F.posexplode(F.split(whole_text(), "\n", -1)).alias("at", "line"),
-    )
-    return (
-        rows.withColumn("tokens", line_tokens(F.col("line")))
-        .where(F.size("tokens") >= MIN_TOKENS)
-        .withColumn("leaf", _leaf(F.col("tokens"), depth))
-        .withColumn("exact", F.xxhash64(F.array_join("tokens", " ")))
+    """The lines of every row by their position: leaf and hash of the masked tokens.
+
+    Nested transforms and the explode above them compute a line's tokens once; a filter or
+    projection over exploded lines would compute them again for each use.
+    """
+    described = F.transform(
+        F.transform(F.split(whole_text(), "\n", -1), line_tokens),
+        lambda t: F.struct(
+            F.size(t).alias("size"),
+            F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"),
+            F.xxhash64(t).alias("exact"),
+        ),
     )
+    rows = docs.select(content_key(whole_text()).alias("k"), "doc_id", F.posexplode(described).alias("at", "line"))
+    return rows.where(F.col("line.size") >= MIN_TOKENS).select("k", "doc_id", "at", "line.leaf", "line.exact")
 
 
 def recurring_lines(
@@ -68,9 +69,7 @@ def recurring_lines(
 ) -> DataFrame:
     """Positions to drop, per text: k (content key) and drop (array of line numbers)."""
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k")
-    thin = stored(
-        _lines(docs, depth).select("k", "doc_id", "at", "leaf", "exact"), "lines"
-    )
+    thin = stored(_lines(docs, depth), "lines")
     # leaves met in enough texts: distinct texts are counted from rows combined beforehand
     busy = (
         thin.select("leaf", "k").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
