@@ -9,8 +9,10 @@ from actuaria.functions.metrics import ColumnOrName, as_double, col_, round_half
 
 
 def padded_key(prefix: str, number: ColumnOrName, width: int) -> Column:
-    """``prefix`` followed by ``number`` left-padded with zeros to ``width`` characters."""
-    return F.concat(F.lit(prefix), F.lpad(col_(number).cast("string"), width, "0"))
+    """``prefix`` followed by ``number`` left-padded with zeros to ``width`` characters;
+    a longer number is kept whole."""
+    digits = col_(number).cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def _fixed(x: ColumnOrName, digits: int) -> Column:

@@ -3,7 +3,9 @@ per-segment claims summary."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import high_loss_ratio_flag, severity_band
@@ -117,26 +119,23 @@ def portfolio(stg_policies: DataFrame, stg_contracts: DataFrame) -> DataFrame:
     )
 
 
-def portfolio_summary(enriched: DataFrame, approx_distinct_rsd: float | None = None) -> DataFrame:
+def portfolio_summary(
+    enriched: DataFrame, stg_claims: DataFrame, approx_distinct_rsd: float | None = None
+) -> DataFrame:
     """Claims KPIs per (lob, region, accident year), with the Herfindahl contribution
     of the region within its (lob, year).
 
     ``earned_premium_eur`` here sums the policy premium once per claim, over policies
     that had claims: it is not the mart's earned premium.
 
-    ``policy_count`` is an exact distinct count (Spark spreads the rows by (segment,
-    policy) first, so a hot segment is split). ``approx_distinct_rsd`` opts into a
-    HyperLogLog++ count with that relative standard deviation (one pass, fixed-size
-    state per segment).
+    ``policy_count`` is an exact distinct count. It needs no policy column, so it is taken
+    from the staged claims by themselves (the rows are spread by (segment, policy) first, so a
+    hot segment is split) and the claims-policies join stands once in the plan.
+    ``approx_distinct_rsd`` opts into a HyperLogLog++ count with that relative standard
+    deviation (one pass, fixed-size state per segment).
     """
     keys = ["line_of_business", "region", "accident_year"]
-    distinct_policies = (
-        F.count_distinct("policy_id")
-        if approx_distinct_rsd is None
-        else F.approx_count_distinct("policy_id", approx_distinct_rsd)
-    )
     seg = enriched.groupBy(*keys).agg(
-        distinct_policies.alias("policy_count"),
         F.count("claim_id").alias("claim_count"),
         F.count(F.when(F.col("claim_status") == "Open", 1)).alias("open_claim_count"),
         F.count(F.when(F.col("is_ibnr_candidate"), 1)).alias("ibnr_candidate_count"),
@@ -148,16 +147,26 @@ def portfolio_summary(enriched: DataFrame, approx_distinct_rsd: float | None = N
         F.sum("burning_cost_eur").alias("_bc_sum"),
         F.count("burning_cost_eur").alias("_bc_n"),
     )
-    lob_totals = seg.groupBy(
-        F.col("line_of_business").alias("_t_lob"), F.col("accident_year").alias("_t_year")
-    ).agg(F.sum("claim_count").alias("lob_total_claims"))
+    own = stg_claims.select(
+        F.col("line_of_business").alias("_p_lob"), F.col("region").alias("_p_region"),
+        F.year("claim_date").alias("_p_year"), "policy_id",
+    )
+    own_keys = ["_p_lob", "_p_region", "_p_year"]
+    if approx_distinct_rsd is None:
+        policies = own.distinct().groupBy(*own_keys).agg(F.count("policy_id").alias("policy_count"))
+    else:
+        policies = own.groupBy(*own_keys).agg(
+            F.approx_count_distinct("policy_id", approx_distinct_rsd).alias("policy_count")
+        )
+    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own_keys)])
+    of_line = Window.partitionBy("line_of_business", "accident_year")
+    known = F.col("line_of_business").isNotNull() & F.col("accident_year").isNotNull()
+    # both sides are aggregates of a few thousand segments
+    joined = seg.join(policies, same, "left").withColumn(
+        "lob_total_claims", F.when(known, F.sum("claim_count").over(of_line))
+    )
     earned, incurred = F.col("earned_premium_eur"), F.col("incurred_losses_eur")
     claims = F.col("claim_count")
-    joined = seg.join(
-        lob_totals,
-        (seg.line_of_business == lob_totals._t_lob) & (seg.accident_year == lob_totals._t_year),
-        "left",
-    )
     return joined.select(
         *keys,
         F.col("policy_count").cast("bigint").alias("policy_count"),

@@ -6,10 +6,9 @@
   the share kept, so the ceded part is ``(1 - retention) * loss``.
 
 A claim is covered by the treaties of its LOB whose period contains the claim date.
-The treaty table is a small dimension (a handful of rows per LOB and year); it is
-broadcast after a bounded row count confirms that, because a shuffle join keyed by
-LOB (four values) would put a whole line of business into one task. Beyond the
-bound the planner's own strategy is used (AQE splits skewed partitions).
+The join key is (LOB, month), each treaty standing once in every month of its period: a
+line of business is spread over its months, and the planner broadcasts the treaties
+where it measures them to be small. A hot month is left to the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -17,30 +16,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_TREATIES = 100_000
-
-
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT, not a full count).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def _treaties(stg_contracts: DataFrame) -> DataFrame:
-    return sized_broadcast(
-        stg_contracts.select(
-            F.col("line_of_business").alias("_t_lob"),
-            F.col("contract_id"),
-            F.col("treaty_type").alias("_t_type"),
-            F.col("retention").alias("_t_retention"),
-            F.col("treaty_limit").alias("_t_limit"),
-            F.col("effective_date").alias("_t_from"),
-            F.col("expiry_date").alias("_t_to"),
-        ),
-        MAX_BROADCAST_TREATIES,
+    """One row per treaty and month of its period."""
+    months = F.sequence(
+        F.trunc("effective_date", "month"), F.trunc("expiry_date", "month"), F.expr("interval 1 month")
+    )
+    return stg_contracts.where(F.col("effective_date") <= F.col("expiry_date")).select(
+        F.col("line_of_business").alias("_t_lob"),
+        F.explode(months).alias("_t_month"),
+        F.col("contract_id"),
+        F.col("treaty_type").alias("_t_type"),
+        F.col("retention").alias("_t_retention"),
+        F.col("treaty_limit").alias("_t_limit"),
+        F.col("effective_date").alias("_t_from"),
+        F.col("expiry_date").alias("_t_to"),
     )
 
 
@@ -52,6 +42,7 @@ def ceded_losses(claims: DataFrame, stg_contracts: DataFrame) -> DataFrame:
     joined = c.join(
         treaties,
         (c.line_of_business == treaties._t_lob)
+        & (F.trunc(c.claim_date, "month") == treaties._t_month)
         & (c.claim_date >= treaties._t_from)
         & (c.claim_date <= treaties._t_to),
         "left",

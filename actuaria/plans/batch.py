@@ -15,12 +15,14 @@ import uuid
 
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.operators import marts, quality
 from actuaria.plans.registry import Layers, all_quality_results
 from actuaria.session import scratch_path
+from actuaria.sources import loaders
 from actuaria.sources.loaders import write_table
 from actuaria.sources.tables import RAW_CONTRACTS_SCHEMA
 
@@ -133,35 +135,17 @@ class FileLayers(Layers):
     treaty file means no treaties.
     """
 
-    DATE_COLUMNS = {
-        "policies": ("inception_date", "expiry_date"),
-        "claims": ("claim_date", "reporting_date"),
-    }
-    NANOS_PER_DAY = 86_400 * 10**9
-
-    def _raw(self, name: str) -> DataFrame | None:
-        """One raw file; None only when it does not exist.
-
-        Files written by pandas store timestamps in nanoseconds, which Spark reads
-        only as integers (``spark.sql.legacy.parquet.nanosAsLong``); the known date
-        columns are then turned into dates from the epoch-day count (no time zone).
-        """
-        from pyspark.errors import AnalysisException
-
+    def _raw(self, name: str, required: bool = True) -> DataFrame | None:
+        """One raw file; None only when an optional one does not exist."""
         path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
         try:
-            df = self.spark.read.parquet(path)
+            return loaders.read_raw_parquet(self.spark, path)
         except AnalysisException as exc:
-            if "PARQUET_TYPE_ILLEGAL" not in str(exc) or "NANOS" not in str(exc):
-                if "PATH_NOT_FOUND" in str(exc):
-                    return None
+            if not loaders.missing_path(exc):
                 raise
-            self.spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-            df = self.spark.read.parquet(path)
-        for c in self.DATE_COLUMNS.get(name, ()):
-            if c in df.columns and df.schema[c].dataType.typeName() == "long":
-                df = df.withColumn(c, F.date_from_unix_date(F.floor(F.col(c) / self.NANOS_PER_DAY).cast("int")))
-        return df
+            if required:
+                raise FileNotFoundError(f"raw file {path} does not exist") from exc
+            return None
 
     @cached_property
     def raw_policies(self) -> DataFrame:
@@ -173,7 +157,7 @@ class FileLayers(Layers):
 
     @cached_property
     def raw_contracts(self) -> DataFrame:
-        found = self._raw("contracts")
+        found = self._raw("contracts", required=False)
         return found if found is not None else self.spark.createDataFrame([], RAW_CONTRACTS_SCHEMA)
 
 

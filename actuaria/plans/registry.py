@@ -2,10 +2,8 @@
 
 Every query reads the driver tables (or data Spark derives from them) in full. Audit
 clock columns are not emitted here (they are non-deterministic); the batch run adds
-them when it writes the layers. The lazy layer graph of a session and folder is built
-once (``layers_for``) and shared by the queries: a layer used twice in one query is
-the same subplan (the planner reuses its shuffles), and a second query does not
-rebuild the DataFrames. Nothing is cached: every action reads the tables again.
+them when it writes the layers. Each call builds its own lazy layer graph, so that it
+sees the files of that moment; a layer used twice in one query is the same subplan.
 """
 
 from __future__ import annotations
@@ -76,7 +74,7 @@ class Layers:
 
     @cached_property
     def portfolio_summary(self) -> DataFrame:
-        return self._keep("int_portfolio_summary", intermediate.portfolio_summary(self.enriched))
+        return self._keep("int_portfolio_summary", intermediate.portfolio_summary(self.enriched, self.stg_claims))
 
     @cached_property
     def mart_loss_ratio(self) -> DataFrame:
@@ -131,29 +129,9 @@ class Layers:
 QUERIES: dict[str, Query] = {}
 
 
-_LAYER_CACHE: dict[tuple[int, str], tuple[SparkSession, Layers]] = {}
-
-
-def layers_for(spark: SparkSession, sf_dir: str) -> Layers:
-    """The lazy layer graph of one session over one folder, built once and shared by
-    the queries (DataFrames are immutable plans: sharing them shares plan building,
-    not results; every action still reads the tables)."""
-    key = (id(spark), sf_dir)
-    hit = _LAYER_CACHE.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, Layers(spark, sf_dir))
-        _LAYER_CACHE[key] = hit
-    return hit[1]
-
-
-def clear_layer_cache() -> None:
-    """Forget the shared layer graphs (e.g. after the input folder changed)."""
-    _LAYER_CACHE.clear()
-
-
 def query(name: str):
     def register(fn: Callable[[Layers], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(layers_for(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Layers(spark, sf_dir))
         return fn
 
     return register
@@ -312,6 +290,26 @@ def _qa_invariants(L: Layers) -> DataFrame:
     return quality.run_row_checks(L.tables(), quality.invariant_checks())
 
 
+@query("qa_staged_cost")
+def _qa_staged_cost(L: Layers) -> DataFrame:
+    return quality.run_row_checks(L.tables(), quality.staged_cost_checks())
+
+
+@query("qa_failing_claims")
+def _qa_failing_claims(L: Layers) -> DataFrame:
+    """The raw claims that fail a check of their suite, one row per claim and check."""
+    tables = L.tables()
+    found = [
+        quality.failing_rows(tables, c).select(
+            F.lit(c.column).alias("column_name"), F.lit(c.expectation).alias("expectation"),
+            "claim_id", "policy_id", "claim_date", "reporting_date", "paid_amount",
+        )
+        for c in quality.claims_suite_checks()
+        if c.expectation in ("not_null", "between", "a_greater_than_b")
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("qa_no_negative_premium")
 def _qa_no_negative_premium(L: Layers) -> DataFrame:
     return quality.no_negative_premium(L.mart_loss_ratio)
@@ -394,16 +392,11 @@ def _accidents_enriched(L: Layers) -> DataFrame:
 
 @query("accidents_preview")
 def _accidents_preview(L: Layers) -> DataFrame:
-    """The first five enriched accidents (by year and number): a preview is a limit."""
+    """The first five rows of the enriched accidents, in a total order: a preview is a limit."""
     files = rawlayer.accident_files(L.spark, L.sf_dir)
     enriched = accidents.enrich_accidents(files["caract"], files["lieux"], files["usag"], files["vehic"])
-    return enriched.orderBy("annee", "accident_id").limit(5)
-
-
-@query("file_assets")
-def _file_assets(L: Layers) -> DataFrame:
-    """The driver folder's Parquet files as named assets."""
-    return loaders.discover_assets(L.spark, L.sf_dir).select("asset", "bytes")
+    order = [F.asc_nulls_last(c) for c in ("annee", "accident_id", "type_voie", "etat_surface")]
+    return enriched.orderBy(*order).limit(5)
 
 
 @query("accidents_csv")
@@ -422,19 +415,15 @@ def _accidents_csv(L: Layers) -> DataFrame:
 
 @query("load_all_counts")
 def _load_all_counts(L: Layers) -> DataFrame:
-    """Row counts of the three raw datasets as ``(table_name, rows)``."""
-    parts = [
-        ("policies", L.raw_policies),
-        ("claims", L.raw_claims),
-        ("contracts", L.raw_contracts),
-    ]
-    return reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table_name"), "rows")
-            for n, df in parts
-        ],
-    )
+    """Row counts ``(table_name, rows)`` of the raw files that the loader put into a
+    database of its own; there is no treaty file here, and a missing file is skipped."""
+    folder = scratch_path(L.spark, f"raw-all-{uuid.uuid4().hex}")
+    for name, df in (("policies", L.raw_policies), ("claims", L.raw_claims)):
+        loaders.write_table(df, f"{folder}/{name}.parquet")
+    database = f"raw_{uuid.uuid4().hex[:8]}"
+    counts = loaders.load_all_raw(L.spark, folder, database=database)
+    L.spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return L.spark.createDataFrame(sorted(counts.items()), "table_name string, rows long")
 
 
 @query("load_parquet")
@@ -540,7 +529,7 @@ def _year_spine(L: Layers) -> DataFrame:
 @query("ceded_losses")
 def _ceded_losses(L: Layers) -> DataFrame:
     """Gross / ceded / net losses per (lob, year) under the treaties in force on the
-    claim date (the treaties cover 2023; claims outside their period cede nothing)."""
+    claim date (claims outside every treaty's period cede nothing)."""
     from actuaria.operators import reinsurance
 
     return reinsurance.ceded_by_segment(L.stg_claims, L.stg_contracts)

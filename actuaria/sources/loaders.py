@@ -30,6 +30,45 @@ def _load(spark: SparkSession, df: DataFrame, table: str, database: str) -> int:
     return int(obs.get["rows"])
 
 
+DATE_COLUMNS = ("inception_date", "expiry_date", "claim_date", "reporting_date")
+NANOS_PER_DAY = 86_400 * 10**9
+NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+
+
+def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """One raw Parquet file, written by Spark or by pandas.
+
+    pandas stores timestamps in nanoseconds, which Spark reads only as integers; the known
+    date columns are then turned into dates by whole days (no time zone). The schema is
+    read under a setting that is put back at once; the frame keeps the integer type.
+    """
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as exc:
+        if "PARQUET_TYPE_ILLEGAL" not in str(exc) or "NANOS" not in str(exc):
+            raise
+    before = spark.conf.get(NANOS_AS_LONG, None)
+    spark.conf.set(NANOS_AS_LONG, "true")
+    try:
+        schema = spark.read.parquet(path).schema
+    finally:
+        if before is None:
+            spark.conf.unset(NANOS_AS_LONG)
+        else:
+            spark.conf.set(NANOS_AS_LONG, before)
+    df = spark.read.schema(schema).parquet(path)
+    for c in DATE_COLUMNS:
+        if c in df.columns and df.schema[c].dataType.typeName() == "long":
+            # whole days, rounded down (also before 1970), in integers: no precision is lost
+            days = F.expr(f"cast((`{c}` - pmod(`{c}`, {NANOS_PER_DAY}L)) div {NANOS_PER_DAY}L as int)")
+            df = df.withColumn(c, F.date_from_unix_date(days))
+    return df
+
+
+def missing_path(exc: AnalysisException) -> bool:
+    return "PATH_NOT_FOUND" in str(exc)
+
+
 def load_parquet(
     spark: SparkSession,
     path: str,
@@ -39,8 +78,8 @@ def load_parquet(
 ) -> int:
     """Replace ``database.table`` with the Parquet file(s) at ``path``; return the row
     count. Loading twice replaces, it never duplicates."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return _load(spark, reader.parquet(path), table, database)
+    df = spark.read.schema(schema).parquet(path) if schema is not None else read_raw_parquet(spark, path)
+    return _load(spark, df, table, database)
 
 
 def load_csv(
@@ -64,14 +103,16 @@ def load_all_raw(
     spark: SparkSession, raw_dir: str, names=RAW_DATASETS, database: str = RAW_DATABASE
 ) -> dict[str, int]:
     """Load every expected ``<name>.parquet`` under ``raw_dir``; a missing file is
-    skipped. Returns ``{table: rows}``."""
+    skipped, any other fault is raised. Returns ``{table: rows}``."""
     ensure_database(spark, database)
     counts: dict[str, int] = {}
     for name in names:
         path = os.path.join(raw_dir, f"{name}.parquet")
         try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
+            df = read_raw_parquet(spark, path)
+        except AnalysisException as exc:
+            if not missing_path(exc):
+                raise
             continue
         counts[name] = _load(spark, df, name, database)
     return counts

@@ -4,7 +4,7 @@ The mapping is deterministic (no randomness) and contains dirty rows on purpose
 that every staging filter removes something:
 
 * ``raw_policies``  one row per order (orders ⋈ customer ⋈ nation ⋈ region)
-* ``raw_claims``    lineitem rows with ``l_partkey % 10 = 3`` joined to their order
+* ``raw_claims``    every lineitem row, joined to its order
 * ``raw_contracts`` three reinsurance treaties (a constant dimension)
 * ``accident_files`` header / lieux / usagers / vehicules road-accident frames
 
@@ -26,9 +26,9 @@ from actuaria.sources.tables import RAW_CONTRACTS_SCHEMA, read_table
 
 # ---- fixed values: the three reinsurance treaties -------------------------------
 CONTRACT_ROWS = [
-    ("XL-AUTO-2023", "Auto", "Excess of Loss", 100000.0, 500000.0, 2.0, 0.045, "2023-01-01", "2023-12-31"),
-    ("XL-HOME-2023", "Home", "Excess of Loss", 250000.0, 2000000.0, 1.0, 0.032, "2023-01-01", "2023-12-31"),
-    ("QUOTA-LIAB-2023", "Liability", "Quota Share", 0.70, None, None, 0.30, "2023-01-01", "2023-12-31"),
+    ("XL-AUTO-2023", "Auto", "Excess of Loss", 100000.0, 500000.0, 2.0, 0.045, "1995-01-01", "1998-12-31"),
+    ("XL-HOME-2023", "Home", "Excess of Loss", 250000.0, 2000000.0, 1.0, 0.032, "1995-01-01", "1999-12-31"),
+    ("QUOTA-LIAB-2023", "Liability", "Quota Share", 0.70, None, None, 0.30, "1996-01-01", "2000-12-31"),
 ]
 # ---- fixed values: mapping parameters (FIXTURES.md §2) --------------------------
 POLICY_STATUS_CUTOFF = "2000-12-31"
@@ -38,6 +38,13 @@ CHANNEL_BY_PRIORITY = {
     "3-MEDIUM": "Broker",
     "4-NOT SPECIFIED": "Online",
 }
+REGION_NAMES = {
+    "AFRICA": "Île-de-France",
+    "AMERICA": "Occitanie",
+    "ASIA": "Bretagne",
+    "EUROPE": "Grand Est",
+    "MIDDLE EAST": "Hauts-de-France",
+}
 CLAIM_TYPE_BY_LINE = {
     1: "Material",
     2: "Material",
@@ -54,6 +61,14 @@ def _dec(value: str, precision: int, scale: int) -> Column:
     return F.lit(Decimal(value)).cast(f"decimal({precision},{scale})")
 
 
+def region_name(region: Column) -> Column:
+    """The insurance region a driver region stands for (others keep their name)."""
+    out = region
+    for source, name in REGION_NAMES.items():
+        out = F.when(region == source, name).otherwise(out)
+    return out
+
+
 def lob_of(orderkey: Column) -> Column:
     """``orderkey % 20``: 0-8 Auto, 9-14 Home, 15-17 Liability, 18-19 Health."""
     m = orderkey % 20
@@ -71,7 +86,7 @@ def order_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name"
+        "n_nationkey", region_name(F.col("r_name")).alias("r_name")
     )
     return (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -129,8 +144,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
     )
     ob = order_base(spark, sf_dir).select("o_orderkey", "order_date", "r_name")
-    li = lineitem.where(F.col("l_partkey") % 10 == 3)
-    joined = li.join(ob, li.l_orderkey == ob.o_orderkey)
+    joined = lineitem.join(ob, lineitem.l_orderkey == ob.o_orderkey)
 
     price = F.col("l_extendedprice").cast("decimal(15,2)")
     qty = F.col("l_quantity")
@@ -165,6 +179,17 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("l_extendedprice") * F.lit(100)).cast("bigint").cast("string"),
     ]
     claim_id = F.concat(*[x for p in parts for x in (F.lit("-"), p)][1:])
+    # dirty rows, so that each check on claims meets failures
+    order_part, part_supp = F.col("l_orderkey") + F.col("l_partkey"), F.col("l_partkey") + F.col("l_suppkey")
+    claim_id = (
+        F.when(order_part % 1499 == 7, F.lit(None).cast("string"))
+        .when(order_part % 1013 == 9, "CLM-SHARED")
+        .otherwise(claim_id)
+    )
+    lag = F.when(order_part % 983 == 5, F.lit(-2)).otherwise(lag)
+    paid = F.when(part_supp % 1009 == 11, _dec("-1.00", 15, 2)).otherwise(
+        (price * factor * paid_share).cast("decimal(15,2)")
+    )
     return joined.select(
         claim_id.alias("claim_id"),
         padded_key("POL", F.col("o_orderkey"), 9).alias("policy_id"),
@@ -174,7 +199,7 @@ def raw_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_add(claim_date, lag).alias("reporting_date"),
         (price * factor).cast("decimal(15,2)").alias("ultimate_cost"),
         (price * factor * reserve_share).cast("decimal(15,2)").alias("reserve"),
-        (price * factor * paid_share).cast("decimal(15,2)").alias("paid_amount"),
+        paid.alias("paid_amount"),
         F.when(flag == "R", "CLOSED").otherwise("open").alias("status"),
         claim_type.alias("claim_type"),
     )
@@ -191,9 +216,7 @@ def accident_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     ``com`` (commune) is deliberately absent: the enrichment must cope with it.
     """
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber"
-    )
+    lineitem = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey")
     key, cust, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate").cast("date")
     header = orders.select(
         key.alias("Num_Acc"),
@@ -209,15 +232,15 @@ def accident_files(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         (key % 9 + 1).cast("int").alias("atm"),
         (key % 5 + 1).cast("int").alias("lum"),
     )
-    lieux = orders.where(key % 50 != 3).select(
-        key.alias("Num_Acc"),
-        (cust % 9 + 1).cast("int").alias("catr"),
-        (cust % 8 + 1).cast("int").alias("surf"),
+    # one place per line item: accidents on several roads repeat, orders without line
+    # items have no place
+    lieux = lineitem.select(
+        F.col("l_orderkey").alias("Num_Acc"),
+        (F.col("l_partkey") % 9 + 1).cast("int").alias("catr"),
+        (F.col("l_partkey") % 8 + 1).cast("int").alias("surf"),
     )
     usagers = lineitem.select(
         F.col("l_orderkey").alias("Num_Acc"), (F.col("l_suppkey") % 4 + 1).cast("int").alias("grav")
     )
-    vehicules = lineitem.where(F.col("l_linenumber") <= 3).select(
-        F.col("l_orderkey").alias("Num_Acc")
-    )
+    vehicules = lineitem.select(F.col("l_orderkey").alias("Num_Acc"))
     return {"caract": header, "lieux": lieux, "usag": usagers, "vehic": vehicules}

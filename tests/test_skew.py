@@ -85,5 +85,25 @@ def test_hot_accident_in_lieux_is_split(spark):
         )
         out = enrich_accidents(header, lieux)
         assert len(out.collect()) == 5000 + 199 + 100  # hot rows, matched, unmatched kept
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "isSkewJoin=true" in plan or "skew=true" in plan
+        assert split(out)
+        usagers = spark.createDataFrame([(i % 300, 1 + i % 4) for i in range(900)], "Num_Acc long, grav int")
+        vehicules = spark.createDataFrame([(i % 250,) for i in range(500)], "Num_Acc long")
+        whole = enrich_accidents(header, lieux, usagers, vehicules)  # the registered shape
+        assert len(whole.collect()) == 5000 + 199 + 100 and split(whole)
+
+
+def split(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return "isFinalPlan=true" in plan and ("isSkewJoin=true" in plan or "skew=true" in plan)
+
+
+def test_hot_policy_is_split_in_the_queries_that_join_claims(spark):
+    with conf(spark, SKEW_CONF):
+        sp, sc = frames(spark)
+        orphans = quality.orphan_claims(sc, sp.where("policy_id <> 'P1'"))
+        assert len(orphans.collect()) == 3 and split(orphans)
+        summary = intermediate.portfolio_summary(intermediate.claims_enriched(sc, sp), sc)
+        rows = summary.collect()
+        assert rows[0].claim_count == 4600 and rows[0].policy_count == 201 and split(summary)
+        plan = summary._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert plan.count("policy_id") and plan.count("skew=true") == 1  # one claims-policies join

@@ -1,6 +1,7 @@
 """Loaders (replace, not append), CSV reading and the road-accident files."""
 
 import pandas as pd
+import pytest
 
 from actuaria.operators.accidents import enrich_accidents, read_accident_dir
 from actuaria.sources import loaders
@@ -75,3 +76,47 @@ def test_discover_assets_names_files(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("ignored")
     got = {r.asset: r.bytes for r in loaders.discover_assets(spark, str(tmp_path)).collect()}
     assert set(got) == {"policies", "claims"} and all(b > 0 for b in got.values())
+
+
+def test_long_keys_are_kept_whole(spark):
+    from actuaria.functions.formatting import padded_key
+
+    rows = spark.createDataFrame([(7,), (1234567890,), (1234567891,), (None,)], "n long")
+    got = [r[0] for r in rows.select(padded_key("POL", "n", 9)).collect()]
+    assert got == ["POL000000007", "POL1234567890", "POL1234567891", None]
+
+
+def test_pandas_files_load_with_every_table(spark, tmp_path):
+    import datetime as dt
+
+    import pandas as pd
+
+    from actuaria.sources import loaders
+
+    last = pd.Timestamp("2023-12-31 23:59:59.999999999")
+    frame = pd.DataFrame({"policy_id": ["P1", "P2"], "inception_date": [last, pd.Timestamp("1969-12-31 12:00")]})
+    frame.to_parquet(tmp_path / "policies.parquet")
+    pd.DataFrame({"claim_id": ["C1"]}).to_parquet(tmp_path / "claims.parquet")
+    before = spark.conf.get(loaders.NANOS_AS_LONG, None)
+    assert loaders.load_all_raw(spark, str(tmp_path), database="raw_pandas") == {"policies": 2, "claims": 1}
+    assert loaders.load_parquet(spark, str(tmp_path / "policies.parquet"), "p", database="raw_pandas") == 2
+    days = sorted(r[0] for r in spark.table("raw_pandas.p").select("inception_date").collect())
+    assert days == [dt.date(1969, 12, 31), dt.date(2023, 12, 31)]
+    assert spark.conf.get(loaders.NANOS_AS_LONG, None) == before
+    (tmp_path / "claims.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        loaders.load_all_raw(spark, str(tmp_path), database="raw_pandas")
+
+
+def test_appended_input_is_seen_by_the_next_call(spark, tmp_path):
+    import shutil
+
+    from actuaria.plans.registry import QUERIES
+    from tests.conftest import SF_SMALL
+
+    for name in ("orders", "customer", "nation", "region", "lineitem"):
+        (tmp_path / f"{name}.parquet").mkdir()
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", tmp_path / f"{name}.parquet" / "a.parquet")
+    first = QUERIES["stg_policies"](spark, str(tmp_path)).count()
+    shutil.copy(f"{SF_SMALL}/orders.parquet", tmp_path / "orders.parquet" / "b.parquet")
+    assert QUERIES["stg_policies"](spark, str(tmp_path)).count() == 2 * first
