@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,73 +108,88 @@ COLUMN_TYPES = {
 }
 
 
-def accident_files_by_kind(spark, root: str) -> dict[str, dict[str, list[str]]]:
-    """``{kind: {folder: [csv paths]}}`` under ``root``, from a metadata-only listing.
+def _existing(spark, folders: list[str]) -> list[str]:
+    """The folders that exist, found without listing anything else."""
+    found = []
+    for folder in folders:
+        try:
+            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+            found.append(folder)
+        except AnalysisException as exc:
+            if "PATH_NOT_FOUND" not in str(exc):
+                raise
+    return found
+
+
+def accident_files_by_kind(spark, root: str, years: list[int] | None = None) -> dict[str, dict[str, list[str]]]:
+    """``{kind: {folder: [csv files or folders of part files]}}`` under ``root``.
 
     A file belongs to a kind when its name (or the name of the ``*.csv`` folder of
     part files that holds it) contains the kind, ignoring case; its folder is the
-    directory above that name (the year).
+    directory above that name (the year). With ``years`` only those year folders are
+    listed. Part files are reduced to their folder on the executors, so the driver gets
+    a row per year and kind, not per file.
     """
-    listing = (
+    roots = [root] if years is None else _existing(spark, [f"{root.rstrip('/')}/{y}" for y in years])
+    groups: dict[str, dict[str, list[str]]] = {k: {} for k in KINDS}
+    if not roots:
+        return groups
+    path = F.col("path")
+    parent = F.regexp_replace(path, "/[^/]+$", "")
+    named = F.when(F.lower(parent).endswith(".csv"), parent).otherwise(path)
+    name = F.lower(F.substring_index(named, "/", -1))
+    kind = F.coalesce(*[F.when(name.contains(k), k) for k in KINDS])
+    folder = F.substring_index(F.regexp_replace(named, "/[^/]+$", ""), "/", -1)
+    units = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .load(root)
-        .select("path")
+        .load(roots)
+        .select(kind.alias("kind"), folder.alias("folder"), named.alias("unit"))
+        .where("kind is not null")
+        .distinct()
     )
-    groups: dict[str, dict[str, list[str]]] = {k: {} for k in KINDS}
-    for (path,) in listing.collect():  # file names only, one row per file
-        parts = path.rstrip("/").split("/")
-        named = len(parts) - 1
-        if named >= 2 and parts[-2].lower().endswith(".csv"):
-            named -= 1  # a folder of part files written by Spark
-        name, folder = parts[named].lower(), parts[named - 1]
-        for kind in KINDS:
-            if kind in name:
-                groups[kind].setdefault(folder, []).append(path)
-                break
+    for row in units.orderBy("unit").collect():
+        groups[row["kind"]].setdefault(row["folder"], []).append(row["unit"])
     return groups
 
 
 def read_accident_kind(spark, paths_by_folder: dict[str, list[str]]) -> DataFrame | None:
     """One kind of file over all folders (``;``-separated, ISO-8859-1).
 
-    Each folder is read with its own header (the column layout changed over the
-    years) and the folders are aligned by column name, missing columns as NULL.
-    Everything is read as text (no inference pass); known columns are cast with
-    ``try_cast``. No file: None.
+    The column layout changed over the years: folders with the same header are read as
+    one scan, and the layouts are aligned by column name, missing columns as NULL (the plan
+    grows with the layouts, not with the folders). Everything is read as text (no inference
+    pass); known columns are cast with ``try_cast``. No file: None.
     """
+    reader = spark.read.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+    layouts: dict[tuple, list[str]] = {}
+    for _, paths in sorted(paths_by_folder.items()):
+        layouts.setdefault(tuple(reader.csv(paths).columns), []).extend(paths)
+    source = F.col("_metadata.file_path")
+    parent = F.regexp_replace(source, "/[^/]+$", "")
+    named = F.when(F.lower(parent).endswith(".csv"), parent).otherwise(source)
+    folder = F.substring_index(F.regexp_replace(named, "/[^/]+$", ""), "/", -1)
     frames = []
-    for folder, paths in sorted(paths_by_folder.items()):
-        raw = (
-            spark.read.option("header", True)
-            .option("sep", ";")
-            .option("encoding", "ISO-8859-1")
-            .csv(paths)
-        )
-        frames.append(
-            raw.select(
-                *[
-                    F.expr(f"try_cast(`{c}` as {COLUMN_TYPES[c]})").alias(c)
-                    if c in COLUMN_TYPES
-                    else F.col(f"`{c}`")
-                    for c in raw.columns
-                ],
-                F.lit(folder).alias("_folder"),
-            )
-        )
+    for columns, paths in layouts.items():
+        known = [
+            F.expr(f"try_cast(`{c}` as {COLUMN_TYPES[c]})").alias(c) if c in COLUMN_TYPES else F.col(f"`{c}`")
+            for c in columns
+        ]
+        frames.append(reader.csv(paths).select(*known, folder.alias("_folder")))
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_accident_dir(spark, root: str) -> DataFrame | None:
-    """Enriched accidents for every year folder under ``root`` (None if no header).
+def read_accident_dir(spark, root: str, years: list[int] | None = None) -> DataFrame | None:
+    """Enriched accidents for the year folders under ``root`` (None if no header).
 
     Files are matched to their header within the same folder; ``annee`` is the folder
-    name when it is a year, else the header's ``an``.
+    name when it is a year, else the header's ``an``. ``years`` reads those folders only;
+    a year without a folder contributes no rows.
     """
-    files = accident_files_by_kind(spark, root)
+    files = accident_files_by_kind(spark, root, years)
     frames = {k: read_accident_kind(spark, files[k]) for k in KINDS}
     header = frames["caract"]
     if header is None:

@@ -401,13 +401,18 @@ def _accidents_preview(L: Layers) -> DataFrame:
 
 @query("accidents_csv")
 def _accidents_csv(L: Layers) -> DataFrame:
-    """The same accident files written as ``;``/ISO-8859-1 CSV and read back by kind
-    (files in a folder that is not a year: the year is the header's ``an``)."""
+    """The same accident files written whole as ``;``/ISO-8859-1 CSV in year folders; the
+    years asked for (one of them without a folder) are read back by kind."""
     root = scratch_path(L.spark, f"accidents-{uuid.uuid4().hex}")
     names = {"caract": "caracteristiques", "lieux": "lieux", "usag": "usagers", "vehic": "vehicules"}
-    for kind, df in rawlayer.accident_files(L.spark, L.sf_dir).items():
-        loaders.write_csv(df, f"{root}/all/{names[kind]}.csv")
-    return accidents.read_accident_dir(L.spark, root)
+    files = rawlayer.accident_files(L.spark, L.sf_dir)
+    years = files["caract"].select("Num_Acc", F.col("an").alias("_year"))
+    known = sorted(r[0] for r in years.select("_year").distinct().collect())  # a handful of years
+    for kind, df in files.items():
+        for year in known:
+            of_year = df.join(years.where(F.col("_year") == year).select("Num_Acc"), "Num_Acc", "left_semi")
+            loaders.write_csv(of_year, f"{root}/{year}/{names[kind]}.csv")
+    return accidents.read_accident_dir(L.spark, root, years=[1996, 1998, 2099])
 
 
 # ---- loaders and materialisation --------------------------------------------------------------

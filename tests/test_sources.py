@@ -120,3 +120,20 @@ def test_appended_input_is_seen_by_the_next_call(spark, tmp_path):
     first = QUERIES["stg_policies"](spark, str(tmp_path)).count()
     shutil.copy(f"{SF_SMALL}/orders.parquet", tmp_path / "orders.parquet" / "b.parquet")
     assert QUERIES["stg_policies"](spark, str(tmp_path)).count() == 2 * first
+
+
+def test_years_choose_the_folders_and_layouts_share_a_scan(spark, tmp_path):
+    from actuaria.operators.accidents import accident_files_by_kind, read_accident_kind
+
+    for year, extra in ((2019, ""), (2020, ""), (2021, ";com")):
+        (tmp_path / str(year)).mkdir()
+        row = f"{year}1;{year};1;2" + (";75" if extra else "")
+        (tmp_path / str(year) / f"Caracteristiques-{year}.csv").write_text(f"Num_Acc;an;mois;jour{extra}\n{row}\n")
+    every = read_accident_dir(spark, str(tmp_path))
+    assert sorted(r.annee for r in every.collect()) == [2019, 2020, 2021]
+    chosen = read_accident_dir(spark, str(tmp_path), years=[2019, 2021, 1990])
+    assert sorted((r.accident_id, r.annee) for r in chosen.collect()) == [(20191, 2019), (20211, 2021)]
+    assert read_accident_dir(spark, str(tmp_path), years=[1990]) is None
+    files = accident_files_by_kind(spark, str(tmp_path))["caract"]
+    plan = read_accident_kind(spark, files)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2  # two layouts, three folders
