@@ -96,7 +96,9 @@ def _hits_in_scan(words: str, windows: list) -> Column:
 
 def _with_hits(docs: DataFrame, benchmark: DataFrame, n: int, words: str, hits: str, max_windows: int) -> DataFrame:
     """``docs`` with its words and the array of window occurrences."""
-    marked = docs.withColumn(words, normal_words(whole_text()))
+    # A one-element explode keeps the words a column of their own: a filter on the hits would
+    # otherwise be pushed below and split the text anew for every window it looks at.
+    marked = docs.withColumn(words, F.explode(F.array(normal_words(whole_text()))))
     windows = benchmark_windows(benchmark, n)
     few = windows.select("gram", "len").limit(max_windows + 1).collect()
     if len(few) <= max_windows:
