@@ -146,42 +146,17 @@ def run_unique_checks(tables: Mapping[str, DataFrame], spec: list[tuple[str, str
 
 
 def run_checks(
-    tables: Mapping[str, DataFrame],
-    checks: list[RowCheck],
-    unique_spec: list[tuple[str, str, str]] = (),
+    tables: Mapping[str, DataFrame], checks: list[RowCheck], unique_spec: list[tuple[str, str, str]] = ()
 ) -> DataFrame:
-    """Row checks and uniqueness checks with one pass per table.
+    """Row checks and uniqueness checks.
 
-    A table with a uniqueness check is grouped by that key once: the row-check
-    counters are summed per key (map-side partial aggregation), then totalled, and
-    the keys seen more than once give the uniqueness result from the same pass.
+    The row checks of a table are counters of one scan: each task sends one row. A
+    uniqueness check shuffles its key and a partial count, nothing else; carrying the
+    counters through that shuffle would make it many times as wide, since a nearly unique
+    key leaves nothing to combine on the map side.
     """
-    unique_by_table: dict[str, list[tuple[str, str]]] = {}
-    for suite, table, column in unique_spec:
-        unique_by_table.setdefault(table, []).append((suite, column))
-    frames = []
-    for table in dict.fromkeys([ch.table for ch in checks] + list(unique_by_table)):
-        mine = [ch for ch in checks if ch.table == table]
-        uniques = unique_by_table.get(table, [])
-        df = tables[table]
-        if not uniques:
-            frames.append(run_row_checks(tables, mine))
-            continue
-        (suite, key), rest = uniques[0], uniques[1:]
-        per_key = df.groupBy(key).agg(
-            F.count(F.lit(1)).alias("_n"),
-            *[F.count_if(F.coalesce(ch.unexpected, F.lit(False))).alias(f"_k{i}") for i, ch in enumerate(mine)],
-        )
-        agg = per_key.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_rows"),
-            *[F.coalesce(F.sum(f"_k{i}"), F.lit(0)).cast("bigint").alias(f"_u{i}") for i in range(len(mine))],
-            F.coalesce(F.sum(F.when(F.col(key).isNotNull() & (F.col("_n") > 1), F.col("_n"))), F.lit(0))
-            .cast("bigint")
-            .alias(f"_u{len(mine)}"),
-        )
-        frames.append(_result_rows(agg, [*mine, RowCheck(suite, table, key, "unique", F.lit(False))]))
-        frames += [unique_check(s2, table, df, c2) for s2, c2 in rest]
-    return reduce(DataFrame.unionByName, frames)
+    counted = run_row_checks(tables, checks)
+    return counted.unionByName(run_unique_checks(tables, unique_spec)) if unique_spec else counted
 
 
 def singular_checks() -> list[RowCheck]:
