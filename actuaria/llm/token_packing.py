@@ -7,8 +7,8 @@ shortest, each goes to the open row with the least room that still holds it, fou
 search tree over room sizes in logarithmic time. Nothing is shuffled: a packed row holds
 documents of one input partition, and memory is bounded by the window.
 
-A packed row has its ids as a fixed-width little-endian array (unused places hold the pad id), the
-cumulative segment lengths (0 first) that mark the segments, the places where
+A packed row has its ids as a fixed-width little-endian array (``id_bytes`` each: two where the
+vocabulary allows; unused places hold the end-of-text id), the cumulative segment lengths (0 first) that mark the segments, the places where
 positions restart, and for each segment its document, piece number and first token.
 :func:`unpack_documents` gives the documents' ids back, whole.
 
@@ -34,7 +34,7 @@ ROW = 2048
 WINDOW = 8192  # pieces packed together: at most ROW * WINDOW ids are held
 
 SCHEMA = (
-    "ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
+    "ids binary, id_bytes int, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
     "doc_ids array<string>, pieces array<int>, offsets array<long>"
 )
 
@@ -94,11 +94,11 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 def _packed_row(segments: list[tuple], row: int, pad: int) -> tuple:
     """One output row of (doc_id, piece, offset, ids) segments."""
-    ids = np.full(row, pad, dtype="<u4")
+    ids = np.full(row, pad, dtype=segments[0][3].dtype)
     ends = np.cumsum([0] + [len(s[3]) for s in segments])
     ids[: ends[-1]] = np.concatenate([s[3] for s in segments])
     return (
-        ids.tobytes(), int(ends[-1]), ends.tolist(), ends[:-1].tolist(),
+        ids.tobytes(), ids.itemsize, int(ends[-1]), ends.tolist(), ends[:-1].tolist(),
         [s[0] for s in segments], [s[1] for s in segments], [s[2] for s in segments],
     )
 
@@ -125,7 +125,7 @@ def pack_documents(
 
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = np.append(codec.encode(text).astype("<u4"), np.uint32(end_id))
+                ids = np.append(codec.encode(text), np.array([end_id], dtype=codec.id_type))
                 full = [(doc_id, i, i * row, ids[i * row : (i + 1) * row]) for i in range(len(ids) // row)]
                 for at in range(0, len(full), 512):
                     yield pd.DataFrame([_packed_row([s], row, end_id) for s in full[at : at + 512]], columns=names)
@@ -152,11 +152,14 @@ def unpack_documents(rows: DataFrame) -> DataFrame:
     Segments of documents that share one doc_id cannot be told apart and are joined in
     the order of their first token.
     """
-    each = rows.select("ids", "cu_seqlens", F.posexplode(F.arrays_zip("doc_ids", "pieces", "offsets")).alias("i", "s"))
+    each = rows.select("ids", "id_bytes", "cu_seqlens", F.posexplode(F.arrays_zip("doc_ids", "pieces", "offsets")).alias("i", "s"))
     segments = each.select(
         F.col("s.doc_ids").alias("doc_id"), F.col("s.offsets").alias("at"),
-        F.expr("substring(ids, 4 * cu_seqlens[i] + 1, 4 * (cu_seqlens[i + 1] - cu_seqlens[i]))").alias("part"),
+        F.expr("substring(ids, id_bytes * cu_seqlens[i] + 1, id_bytes * (cu_seqlens[i + 1] - cu_seqlens[i]))").alias("part"),
+        "id_bytes",
     )
-    joined = segments.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("p"))
+    joined = segments.groupBy("doc_id", "id_bytes").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("p"))
     whole = F.aggregate("p", F.expr("cast('' as binary)"), lambda s, x: F.concat(s, x["part"]))
-    return joined.select("doc_id", whole.alias("w")).select("doc_id", F.expr("substring(w, 1, length(w) - 4)").alias("ids"))
+    return joined.select("doc_id", "id_bytes", whole.alias("w")).select(
+        "doc_id", F.expr("substring(w, 1, length(w) - id_bytes)").alias("ids")
+    )
