@@ -75,6 +75,9 @@ def recurring_lines(
         thin.select("leaf", "k").distinct().groupBy("leaf").agg(F.count("*").alias("n"))
         .where(F.col("n") >= min_documents).select("leaf")
     )
+    # stored before the join: right above its aggregate it would share that aggregate's
+    # shuffle, and a leaf with very many lines could not be split
+    busy = stored(busy, "leaves")
     lines = stored(thin.join(busy, "leaf").select("k", "doc_id", "at", "leaf", "exact"), "busy")
 
     # the tokens of one occurrence of each different masked line of those leaves
@@ -107,6 +110,7 @@ def recurring_lines(
         holders.groupBy("template").agg(F.count("*").alias("n"), F.min("o").alias("first"))
         .where(F.col("n") >= min_documents).select("template", F.col("first.k").alias("first"))
     )
+    counted = stored(counted, "recurring")
     dropped = named.join(counted, "template").where(F.col("k") != F.col("first"))
     return dropped.groupBy("k").agg(F.array_sort(F.collect_set("at")).alias("drop"))
 
