@@ -27,6 +27,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,14 +102,13 @@ class Codec:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text by itself; a special token's string is that token."""
-        if not any(s in text for s in self.special):
-            return np.asarray(self.bpe.encode_to_numpy(text, disallowed_special=()), dtype=self.id_type)
-        parts = [
-            np.array([self.special[p]], dtype=self.id_type) if p in self.special
-            else np.asarray(self.bpe.encode_to_numpy(p, disallowed_special=()), dtype=self.id_type)
-            for p in self.cut.split(text) if p
-        ]
-        return np.concatenate(parts)
+        if any(s in text for s in self.special):
+            ids = []
+            for part in self.cut.split(text):
+                ids += [self.special[part]] if part in self.special else self.bpe.encode_ordinary(part)
+        else:
+            ids = self.bpe.encode_ordinary(text)
+        return np.frombuffer(array("H" if self.id_type == "<u2" else "I", ids), dtype=self.id_type)
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join([self.tokens[i] for i in ids.tolist()]).decode("utf-8", "replace")
