@@ -50,6 +50,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def hash_sample(df: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """At most ``rows`` rows, those with the smallest hash of ``keys`` (ties by the keys).
+
+    A hash threshold from the row count leaves about the rows wanted before they are sorted,
+    so what meets in the last task is bounded by ``rows``, not by the number of partitions.
+    """
+    spread = 1 << 32
+    place = F.pmod(F.xxhash64(*keys), F.lit(spread))
+    total = df.count()
+    if total > 2 * rows:
+        df = df.where(place < int(spread * 1.5 * rows / total))
+    return df.orderBy(place, *keys).limit(rows)
+
+
 def pack_texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """Series of texts -> Series of zstd-compressed UTF-8, to halve a text shuffle."""
     squeeze = zstandard.ZstdCompressor(level=3)

@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import stored, whole_text
+from actuaria.llm.common import hash_sample, stored, whole_text
 
 MIN_LENGTH = 16
 KEY_RUN = r"[A-Za-z0-9+/_-]{16,}"
@@ -84,8 +84,18 @@ def candidates(docs: DataFrame, path: str) -> DataFrame:
 def dictionary_trigrams(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
     """Letter trigrams of the corpus's most frequent words (by documents that hold them)."""
     letters = F.array_distinct(F.split(F.lower(whole_text()), r"[^\p{L}]+"))
-    counts = docs.select(F.explode(letters).alias("w")).where(F.length("w") >= 3).groupBy("w").count()
-    top = counts.orderBy(F.desc("count"), "w").limit(words)
+    counts = stored(
+        docs.select(F.explode(letters).alias("w")).where(F.length("w") >= 3).groupBy("w").count(), "words"
+    )
+    # Words by steps of their count's logarithm (a few hundred steps): only the steps that hold
+    # the most frequent words are sorted, not a share of every partition.
+    step = F.floor(F.log2("count") * 8).cast("int")
+    enough, lowest = 0, 0
+    for row in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).orderBy(F.desc("s")).collect():
+        enough, lowest = enough + row["n"], row["s"]
+        if enough >= words:
+            break
+    top = counts.where(step >= lowest).orderBy(F.desc("count"), "w").limit(words)
     grams = F.transform(F.sequence(F.lit(1), F.length("w") - 2), lambda i: F.substring(F.col("w"), i, F.lit(3)))
     rows = top.select(F.explode(grams).alias("g")).distinct().collect()  # bounded by the dictionary
     return sorted(r["g"] for r in rows)
@@ -138,11 +148,8 @@ def _assembled(found: DataFrame) -> DataFrame:
 
 def train(findings: DataFrame, trigrams: list[str], max_findings: int = MAX_FINDINGS) -> Model:
     """Fit the forest on labelled findings (candidates with a 0/1 ``label``)."""
-    key = F.xxhash64("value", "lead", "after", "path")
-    sample = [
-        findings.where(F.col("label") == label).withColumn("h", key).orderBy("h", "value", "lead", "after").limit(max_findings)
-        for label in (0.0, 1.0)
-    ]
+    keys = ["value", "lead", "after", "path"]
+    sample = [hash_sample(findings.where(F.col("label") == label), keys, max_findings) for label in (0.0, 1.0)]
     rows = stored(with_features(sample[0].unionByName(sample[1]), trigrams).select("label", *FEATURES), "findings")
     kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(kinds) < 2:

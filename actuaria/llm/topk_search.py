@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import stored
+from actuaria.llm.common import hash_sample, stored
 
 BLOCK = 64
 SHARD = 16_384  # vectors
@@ -58,7 +58,7 @@ def _matrix(vectors, width: int) -> np.ndarray:
 
 def _pivots(vectors: DataFrame) -> np.ndarray:
     """Cluster directions from a bounded sample (they set the block order, not the result)."""
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOT_SAMPLE).collect()
+    sample = hash_sample(vectors, ["vec_id", "q"], PIVOT_SAMPLE).collect()
     if not sample:
         return np.zeros((1, 0))
     x = _matrix([r["q"] for r in sample], max(len(r["q"]) for r in sample)).astype(float)

@@ -36,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import fresh_name, stored, whole_text
+from actuaria.llm.common import fresh_name, hash_sample, stored, whole_text
 
 MAX_TRAINING_ROWS = 50_000
 MAX_TERMS = 20_000
@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, max_rows: int = MA
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & training)
         .groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
     )
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+    sample = hash_sample(known, ["doc_id"], max_rows)
     texts = docs.select("doc_id", whole_text().alias("text")).join(F.broadcast(sample), "doc_id")
     kinds = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     clean, bad = kinds.get(0, 0), kinds.get(1, 0)

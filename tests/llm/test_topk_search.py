@@ -45,7 +45,7 @@ def test_matches_brute_force_with_ties_nulls_and_repeats(spark, monkeypatch):
     rnd = random.Random(4)
     rows = [(i, [rnd.choice([-1.0, -0.3, 0.0, 0.26, 0.9]) for _ in range(5)]) for i in range(150)]
     rows += [rows[20], rows[20], (7, rows[8][1])]  # repeated rows, and one id with two vectors
-    rows += [(None, [1.0] * 5), (201, None), (202, [1.0, None, 1, 1, 1]), (203, [float("nan")] * 5)]
+    rows += [(None, [1.0] * 5), (201, None), (202, [1.0, None, 1.0, 1.0, 1.0]), (203, [float("nan")] * 5)]
     rows += [(204, [float("inf")] + [0.0] * 4), (205, []), (206, [1.0, 1.0])]
     assert run(spark, rows, 10, 6) == brute(rows, 10, 6)
 
