@@ -98,7 +98,7 @@ def main() -> None:
         "broadcast, fact tables are joined with shuffles, as for large inputs. Counts of",
         "physical operators per query (the initial adaptive plan; a scalar subquery's own",
         "plan is counted too, and a layer read twice in one query is counted twice: at run",
-        "time adaptive execution reuses its shuffle). No Python evaluation node, Cartesian",
+        "time its shuffle is reused only where both readers need the same columns). No Python evaluation node, Cartesian",
         "product or nested-loop join appears.",
         "",
     ]
