@@ -17,8 +17,10 @@ Lines are counted by hashes, combined before the shuffle, so a line that stands
 all documents costs one row a task. Only leaves met in enough texts are compared token by
 token. Decisions depend on the text alone and go back to the documents by content key.
 
-Defined results: null text has no lines and stays null; lines of fewer than
-``MIN_TOKENS`` tokens (empty ones included) are always kept; repeated lines of one text are one
+A line of at most ``DEPTH`` tokens walks as many levels as it has tokens: it is matched exactly
+on its masked tokens.
+
+Defined results: null text has no lines and stays null; blank lines are always kept; repeated lines of one text are one
 occurrence, and are kept or dropped together; ties between tokens go to the smaller token;
 rows without doc_id come last in the order of texts, ties there to the smaller content key; an
 empty table gives an empty result; extra columns pass through untouched.
@@ -33,7 +35,7 @@ from actuaria.llm.common import content_key, fresh_name, stored, whole_text
 
 DEPTH = 3  # leading tokens that choose the branch
 SIMILARITY = 0.5
-MIN_TOKENS = 4
+MIN_TOKENS = 1  # every line that is not blank
 MIN_DOCUMENTS = 3
 MASK = "<*>"
 # a token with a digit; possessive, so that one pass over a long token is enough
@@ -55,7 +57,8 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     described = F.transform(
         F.transform(F.split(whole_text(), "\n", -1), line_tokens),
         lambda t: F.struct(
-            F.size(t).alias("size"),
+            # white space can only leave the first and the last token empty
+            F.when((F.size(t) > 2) | (F.get(t, F.lit(0)) != "") | (F.element_at(t, -1) != ""), F.size(t)).otherwise(0).alias("size"),
             F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"),
             F.xxhash64(t).alias("exact"),
         ),

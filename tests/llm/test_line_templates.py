@@ -82,3 +82,11 @@ def test_odd_texts_and_empty_table(spark):
     got = {str(r["doc_id"]): r["text"] for r in L.drop_recurring_lines(odd_docs(spark)).collect()}
     assert got["1"] is None and got["2"] == "" and got["3"] == "   \n\t "
     assert L.drop_recurring_lines(empty_docs(spark)).count() == 0
+
+
+def test_short_lines_recur(spark):
+    texts = [f"{prose(40 + i, 9)}\nAll rights reserved.\n\n \t\nHome\nPage {i}" for i in range(4)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "Home\nonly here"])), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
+    assert got[0] == texts[0] and got[4] == "only here"
+    assert all(got[i] == f"{prose(40 + i, 9)}\n\n \t" for i in (1, 2, 3))
