@@ -4,8 +4,15 @@ Every line walks a tree of fixed depth: tokens that hold a digit become a wildca
 level branches on the number of tokens, the next ``DEPTH`` levels on the leading tokens. The
 lines that reach one leaf are compared position by position: the most frequent token of each
 position is the leaf's *consensus*. A line that agrees with it in at least ``SIMILARITY`` of
-the positions after the leading tokens belongs to the leaf's template, whose other positions are variable fields; any
-other line is a template of its own masked tokens.
+the positions after the leading tokens belongs to the leaf's template, whose other positions are variable fields.
+
+A leaf can hold further templates, and where it is full of prose its consensus matches none.
+So the other lines are compared on parts of themselves: the positions after the leading tokens
+are dealt into ``BLOCKS`` blocks, and the line without any two of them is a *key* if it still has
+``SIMILARITY`` of the positions. Keys are counted over all texts; a line joins the template of the key
+held by the most texts, ``min_documents`` at least. Any two variable fields lie in two blocks, so
+they never part the lines of a template. A line without such a key is a template of its own
+masked tokens.
 
 A template is *recurring* when it occurs in at least ``min_documents`` documents of different
 text (copies of one text are one document here: whole-document copies are another
@@ -28,6 +35,8 @@ empty table gives an empty result; extra columns pass through untouched.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,6 +44,7 @@ from actuaria.llm.common import content_key, fresh_name, stored, whole_text
 
 DEPTH = 3  # leading tokens that choose the branch
 SIMILARITY = 0.5
+BLOCKS = 6
 MIN_TOKENS = 1  # every line that is not blank
 MIN_DOCUMENTS = 3
 MASK = "<*>"
@@ -67,6 +77,31 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
     return rows.where(F.col("line.size") >= MIN_TOKENS).select("k", "doc_id", "at", "line.leaf", "line.exact")
 
 
+def _keys(depth: int, similarity: float) -> Column:
+    """Hashes of a line's tokens without any two blocks; those left with too few positions are out."""
+    rest = F.size("tokens") - depth
+
+    def block(b: int) -> Column:
+        return F.filter("tokens", lambda t, i: (i >= depth) & ((i - depth) % BLOCKS == b))
+
+    blocks = [block(b) for b in range(BLOCKS)]
+    line = F.struct(
+        F.array(*(F.size(b) for b in blocks)).alias("sizes"), F.array(*(F.xxhash64(b) for b in blocks)).alias("hashes")
+    )
+
+    def keys_of(x: Column) -> Column:
+        out = []
+        for a, b in combinations(range(BLOCKS), 2):
+            left = rest - F.get(x["sizes"], F.lit(a)) - F.get(x["sizes"], F.lit(b))
+            kept = [F.get(x["hashes"], F.lit(i)) for i in range(BLOCKS) if i not in (a, b)]
+            enough = (left > 0) & (left >= similarity * rest)
+            out.append(F.when(enough, F.xxhash64("leaf", F.lit(a), F.lit(b), *kept)))
+        return F.array_compact(F.array(*out))
+
+    # one transform, so that the blocks are hashed once
+    return F.get(F.transform(F.array(line), keys_of), F.lit(0))
+
+
 def recurring_lines(
     docs: DataFrame, min_documents: int = MIN_DOCUMENTS, depth: int = DEPTH, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -104,8 +139,26 @@ def recurring_lines(
     # the leading tokens agree already: the rest must do so by itself
     same = F.slice(F.zip_with("tokens", F.col("c.token"), lambda a, b: (a == b).cast("int")), depth + 1, 1 << 30)
     agreed = F.aggregate(same, F.lit(0), lambda s, x: s + x)
-    template = F.when(agreed >= similarity * F.greatest(F.size("tokens") - depth, F.lit(1)), F.col("leaf")).otherwise(F.xxhash64("leaf", "exact"))
-    templates = tokens.join(consensus, "leaf").select("leaf", "exact", template.alias("template"))
+    agrees = agreed >= similarity * F.greatest(F.size("tokens") - depth, F.lit(1))
+    judged = stored(
+        tokens.join(consensus, "leaf").select("leaf", "exact", agrees.alias("agrees"), F.when(~agrees, _keys(depth, similarity)).alias("keys")),
+        "judged",
+    )
+
+    # the other lines: the key that most texts hold; counted from distinct pairs of key and text
+    apart = judged.where(F.size("keys") > 0).select("leaf", "exact", "keys")
+    holds = lines.select("leaf", "exact", "k").distinct().join(apart, ["leaf", "exact"])
+    often = stored(
+        holds.select("k", F.explode("keys").alias("key")).distinct().groupBy("key").agg(F.count("*").alias("n"))
+        .where(F.col("n") >= min_documents),
+        "keys",
+    )
+    chosen = (
+        apart.select("leaf", "exact", F.explode("keys").alias("key")).join(often, "key")
+        .groupBy("leaf", "exact").agg(F.max_by("key", F.struct("n", "key")).alias("key"))
+    )
+    template = F.when(F.col("agrees"), F.col("leaf")).otherwise(F.coalesce("key", F.xxhash64("leaf", "exact")))
+    templates = judged.join(chosen, ["leaf", "exact"], "left").select("leaf", "exact", template.alias("template"))
 
     named = stored(lines.join(templates, ["leaf", "exact"]).select("k", "doc_id", "at", "template"), "named")
     holders = named.groupBy("template", "k").agg(F.min(order).alias("o"))

@@ -90,3 +90,19 @@ def test_short_lines_recur(spark):
     got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
     assert got[0] == texts[0] and got[4] == "only here"
     assert all(got[i] == f"{prose(40 + i, 9)}\n\n \t" for i in (1, 2, 3))
+
+
+def test_second_template_of_a_leaf_is_found(spark):
+    # most lines with these leading words are prose; two families with two word fields each among them
+    lines = [f"see also the {prose(500 + i, 7)}" for i in range(60)]
+    names = prose(77, 400).split()
+    one = [f"see also the page that {names[i]}x has written on {names[-i - 1]}y" for i in range(6)]
+    two = [f"see also the last {names[i]}z of our {names[-i - 1]}w about cats" for i in range(6)]
+    one = [x for x in one if len(x.split()) == 10]
+    assert len(one) == 6 and all(len(x.split()) == 10 for x in two + lines)
+    texts = [f"{x}\n{prose(2000 + i, 5)}" for i, x in enumerate(lines)]
+    texts += [f"{a}\n{b}\n{prose(3000 + i, 5)}" for i, (a, b) in enumerate(zip(one, two))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
+    assert got[60] == texts[60]
+    assert all(got[60 + i] == prose(3000 + i, 5) for i in range(1, 6))
