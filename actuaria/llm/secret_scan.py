@@ -1,8 +1,10 @@
 """Secret scan with a random forest against false positives, in DataFrame functions only.
 
-*Candidates* are runs of 16 or more key characters inside a white-space token. Each comes
-with what a reviewer would look at: the two tokens before it, what stands before it in its
-own token, the token after it, and the path it was found under.
+*Candidates* are all runs of 16 or more key characters inside a white-space token, and the
+values of any length, any signs in them, that are assigned to a credential word in the same
+token or the ones before. Each comes with what a reviewer would look at: what stands before it (the two
+tokens before and its own token's start; for a further run of a token the run before it and what
+lies between; for an assigned value the name), the token after it, and the path it was found under.
 
 *Features*: candidate length; transitions between character classes; shares of digits and capitals and
 of different characters; the share of its letter trigrams known from the corpus's own dictionary;
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from actuaria.llm.common import hash_sample, stored, whole_text
@@ -45,8 +47,14 @@ CLASSES = (LETTERS + LETTERS.upper() + "0123456789", "a" * 26 + "A" * 26 + "0" *
 # ---- fixed values: issuer formats and words that announce a credential -------------------
 ISSUER = r"^((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,})$"
 CREDENTIAL_WORDS = r"(?i)(pass(word|wd|phrase)?|secret|token|api[_-]?key|access[_-]?key|credential|auth)"
-ASSIGNED = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\s*[=:]\s*[\"']?$"
+ASSIGNED = r"(?i)(password|passwd|secret|token|api_?key|access_?key)[\"']?\s*[=:]\s*[\"']?$"
 # -------------------------------------------------------------------------------------------
+# a name that holds a credential word; the assignment sign; (name and sign) (value) (closing quote).
+# Possessive and bounded, so that long tokens are read once. A name assigned to is no value itself.
+NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|credential|auth)[A-Za-z0-9_-]{0,64}+\\*+[\"']?+"
+SIGN = r"\s*+[=:][=>]?+"
+VALUE = r"(?:(?<=\")[^\"]*[^\"\\]|(?<=')[^']*[^'\\]|(?<![\"'])[^\"',;&]+)"
+GIVEN = rf"({NAME}{SIGN}\s*+\\*+[\"']?+)(?!{NAME}{SIGN})({VALUE})(?=([\"']?))"
 FEATURES = [
     "length", "transitions", "digits", "capitals", "variety", "hexadecimal", "dictionary",
     "path_depth", "path_test", "path_code", "credential_near", "assigned", "quoted",
@@ -57,28 +65,49 @@ def candidates(docs: DataFrame, path: str) -> DataFrame:
     """One row per candidate: doc_id, path, at (token number), value, lead, before, after."""
     tokens = docs.select(
         "doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
-        F.split(whole_text(), r"\s+").alias("t"),
-    )
-    long = F.filter(
-        F.sequence(F.lit(0), F.size("t") - 1),
-        lambda i: (F.length(F.get("t", i)) >= MIN_LENGTH) & F.get("t", i).rlike(KEY_RUN),
+        F.split(whole_text(), r"\s+").alias("t"), whole_text().rlike(f"{NAME}{SIGN}").alias("named"),
     )
+    token = lambda i: F.get("t", i)
+    before = lambda i: F.concat_ws(" ", F.get("t", i - 2), F.get("t", i - 1))
+    has_run = lambda i: (F.length(token(i)) >= MIN_LENGTH) & token(i).rlike(KEY_RUN)
+    # texts without any such assignment, nearly all, are spared the patterns on each token
+    given = lambda i: F.col("named") & (token(i).rlike(GIVEN) | F.concat(before(i), F.lit(" "), token(i)).rlike(GIVEN))
+    long = F.filter(F.sequence(F.lit(0), F.size("t") - 1), lambda i: has_run(i) | given(i))
     found = F.transform(
         long,
         lambda i: F.struct(
-            i.alias("at"), F.get("t", i).alias("token"),
-            F.concat_ws(" ", F.get("t", i - 2), F.get("t", i - 1)).alias("before"),
+            i.alias("at"), token(i).alias("token"), before(i).alias("before"),
             F.coalesce(F.get("t", i + 1), F.lit("")).alias("after"),
         ),
     )
     rows = tokens.select("doc_id", "path", F.explode(found).alias("c"))
-    value = F.regexp_extract("c.token", f"({KEY_RUN})", 1)
-    lead = F.regexp_extract("c.token", f"^(.*?){KEY_RUN}", 1)
-    return rows.select(
-        "doc_id", "path", "c.at", value.alias("value"),
-        F.concat("c.before", F.lit(" "), lead).alias("lead"), "c.after",
-        F.regexp_extract("c.token", f"{KEY_RUN}(.*)$", 1).alias("tail"),
+    parts = rows.select(
+        "doc_id", "path", "c", F.regexp_extract_all("c.token", F.lit(KEY_RUN), F.lit(0)).alias("runs"),
+        F.split("c.token", KEY_RUN, -1).alias("gaps"),
+        *(F.regexp_extract_all("c.token", F.lit(GIVEN), F.lit(g)).alias(f"own{g}") for g in (1, 2, 3)),
+        # a name, with or without its sign, that ends the tokens before; the value opens this one
+        F.regexp_extract(F.concat("c.before", F.lit(" ")), f"({NAME}(?:{SIGN})?+\\s*+)$", 1).alias("dangling"),
+    )
+    joined = F.concat("dangling", "c.token")
+    cross = [F.when(F.col("dangling") != "", F.regexp_extract(joined, f"^{GIVEN}", g)).otherwise("") for g in (1, 2, 3)]
+
+    def row(lead: Column, value: Column, tail: Column) -> Column:
+        return F.struct(value.alias("value"), lead.alias("lead"), tail.alias("tail"))
+
+    runs = F.transform(
+        "runs",
+        lambda r, j: row(
+            F.when(j == 0, F.concat("c.before", F.lit(" "), F.get("gaps", j))).otherwise(F.concat(F.get("runs", j - 1), F.get("gaps", j))),
+            r, F.get("gaps", j + 1),
+        ),
+    )
+    own = F.transform("own2", lambda v, j: row(F.get("own1", j), v, F.get("own3", j)))
+    assigned = F.filter(
+        F.array_append(own, row(*cross)),
+        lambda x: (x["value"] != "") & ~F.array_contains("runs", x["value"]),
     )
+    every = parts.select("doc_id", "path", "c", F.explode(F.concat(runs, F.array_distinct(assigned))).alias("x"))
+    return every.select("doc_id", "path", "c.at", "x.value", "x.lead", "c.after", "x.tail")
 
 
 def dictionary_trigrams(docs: DataFrame, words: int = DICTIONARY) -> list[str]:
@@ -106,7 +135,8 @@ def with_features(found: DataFrame, trigrams: list[str]) -> DataFrame:
     value, size = F.col("value"), F.length("value")
     shape = F.translate(value, *CLASSES)
     share = lambda pattern: F.length(F.regexp_replace(value, pattern, "")) / size
-    each = F.transform(F.sequence(F.lit(1), size - 2), lambda i: F.substring(F.lower(value), i, F.lit(3)))
+    trigrams_at = F.when(size > 2, F.sequence(F.lit(1), size - 2)).otherwise(F.array().cast("array<int>"))
+    each = F.transform(trigrams_at, lambda i: F.substring(F.lower(value), i, F.lit(3)))
     known = F.size(F.filter(each, lambda g: g.isin(trigrams or [""])))
     columns = {
         "length": size,
@@ -115,7 +145,7 @@ def with_features(found: DataFrame, trigrams: list[str]) -> DataFrame:
         "capitals": share("[^A-Z]"),
         "variety": F.size(F.array_distinct(F.split(value, ""))) / size,
         "hexadecimal": value.rlike("^[0-9a-f]+$"),
-        "dictionary": known / (size - 2),
+        "dictionary": known / F.greatest(size - 2, F.lit(1)),
         "path_depth": F.size(F.split("path", "/")),
         "path_test": F.lower("path").rlike("test|example|sample|fixture|mock"),
         "path_code": F.pmod(F.xxhash64(F.substring_index("path", "/", -1)), F.lit(16)),
