@@ -15,7 +15,8 @@ a 0/1 ``label``. :func:`train` takes any such frame. Where no reviewed findings
 :func:`rule_labels` labels candidates by issuer formats and explicit assignments.
 
 The dictionary is counted over all texts (the most frequent ``DICTIONARY`` words); the forest
-is fitted on at most ``MAX_FINDINGS`` findings of each label, chosen by hash. Candidates are scored
+is fitted on at most ``MAX_FINDINGS`` different findings of each label, chosen by hash and weighted
+by one and the logarithm of their copies. Candidates are scored
 where they are found. Only word counts and the bounded training sample are shuffled, and
 both are combined on the map side, so a word or secret in a third of all documents costs a row a task.
 
@@ -178,13 +179,18 @@ def _assembled(found: DataFrame) -> DataFrame:
 
 def train(findings: DataFrame, trigrams: list[str], max_findings: int = MAX_FINDINGS) -> Model:
     """Fit the forest on labelled findings (candidates with a 0/1 ``label``)."""
-    keys = ["value", "lead", "after", "path"]
-    sample = [hash_sample(findings.where(F.col("label") == label), keys, max_findings) for label in (0.0, 1.0)]
-    rows = stored(with_features(sample[0].unionByName(sample[1]), trigrams).select("label", *FEATURES), "findings")
-    kinds = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    keys = ["value", "lead", "after", "tail", "path"]
+    # a threshold on the hash keeps or drops all copies alike: it must deal with different findings
+    different = stored(
+        findings.where(F.col("label").isin(0.0, 1.0)).groupBy("label", *keys).agg(F.count("*").alias("copies")), "different"
+    )
+    sample = [hash_sample(different.where(F.col("label") == label), keys, max_findings) for label in (0.0, 1.0)]
+    damped = (1 + F.log2("copies")).alias("w")
+    rows = stored(with_features(sample[0].unionByName(sample[1]), trigrams).select("label", damped, *FEATURES), "findings")
+    kinds = {r["label"]: r["w"] for r in rows.groupBy("label").agg(F.sum("w").alias("w")).collect()}
     if len(kinds) < 2:
         return Model(trigrams, None, next(iter(kinds), 0.0))
-    weight = F.when(F.col("label") == 1.0, kinds[0.0] / kinds[1.0]).otherwise(1.0)
+    weight = F.col("w") * F.when(F.col("label") == 1.0, kinds[0.0] / kinds[1.0]).otherwise(1.0)
     forest = RandomForestClassifier(
         labelCol="label", featuresCol="features", weightCol="w", numTrees=TREES, maxDepth=DEPTH, seed=SEED
     ).fit(_assembled(rows.withColumn("w", weight)))
