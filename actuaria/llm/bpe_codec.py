@@ -45,6 +45,12 @@ PLACE = re.compile(rb"[!-~] ")  # a certain pre-token border lies between the tw
 # ---- fixed value: the pattern that byte-level BPE splits text by before merging --------
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+# White space as the pattern reads it; the encoder's look-ahead keeps a state for each character
+# of a run and gives up near a million of them.
+SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONG_SPACE = 100_000  # characters
+LONG_RUN = f"(?<![{SPACE}])[{SPACE}]{{%d,}}+"
+
 
 # ---- vocabulary ---------------------------------------------------------------------
 @dataclass(frozen=True)
@@ -93,7 +99,8 @@ def load_vocabulary(path: str) -> Vocabulary:
 class Codec:
     """Encoder and decoder of one vocabulary, built once in each task."""
 
-    def __init__(self, vocabulary: Vocabulary):
+    def __init__(self, vocabulary: Vocabulary, long_space: int = LONG_SPACE):
+        self.long_space, self.long_run = long_space, re.compile(LONG_RUN % long_space)
         self.tokens, self.special, self.id_type = vocabulary.tokens, vocabulary.special, vocabulary.id_type
         ranks = {t: i for i, t in enumerate(self.tokens) if t and i not in self.special.values()}
         self.bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -105,11 +112,26 @@ class Codec:
         if any(s in text for s in self.special):
             ids = []
             for part in self.cut.split(text):
-                ids += [self.special[part]] if part in self.special else self.bpe.encode_ordinary(part)
+                ids += [self.special[part]] if part in self.special else self.ordinary(part)
         else:
-            ids = self.bpe.encode_ordinary(text)
+            ids = self.ordinary(text)
         return np.frombuffer(array("H" if self.id_type == "<u2" else "I", ids), dtype=self.id_type)
 
+    def ordinary(self, text: str) -> list[int]:
+        """Ids of a text without special tokens, very long white-space runs apart.
+
+        Such a run is one pre-token by itself, less its last character before a non-space.
+        """
+        if len(text) < self.long_space:
+            return self.bpe.encode_ordinary(text)
+        ids, at = [], 0
+        for run in self.long_run.finditer(text):
+            stop = run.end() if run.end() == len(text) else run.end() - 1
+            ids += self.bpe.encode_ordinary(text[at : run.start()])
+            ids += self.bpe._encode_single_piece(text[run.start() : stop].encode("utf-8"))
+            at = stop
+        return ids + self.bpe.encode_ordinary(text[at:])
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join([self.tokens[i] for i in ids.tolist()]).decode("utf-8", "replace")
 
@@ -117,8 +139,9 @@ class Codec:
         """Ids of the whole text from ready chunk ids, their joins encoded anew."""
         out, at = [], 0
         for start, stop, blob in sorted(parts):
-            first, last = border_after(text, start), border_before(text, stop)
-            if first is None or last is None or first < at or first >= last:
+            first = border_after(text, start, stop)
+            last = None if first is None else border_before(text, stop)
+            if last is None or first < at or first >= last:
                 continue
             ids = np.frombuffer(blob, dtype=self.id_type)
             starts = np.concatenate(([0], np.cumsum(self.lengths[ids]))) + start
@@ -134,11 +157,11 @@ class Codec:
         return np.concatenate(out) if out else np.empty(0, dtype=self.id_type)
 
 
-def border_after(text: bytes, at: int) -> int | None:
-    """First certain pre-token border at or after ``at``."""
+def border_after(text: bytes, at: int, stop: int) -> int | None:
+    """First certain pre-token border from ``at`` to ``stop``."""
     if at == 0:
         return 0
-    found = PLACE.search(text, at - 1)
+    found = PLACE.search(text, at - 1, stop + 1)
     return found.start() + 1 if found else None
 
 

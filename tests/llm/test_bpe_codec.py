@@ -77,3 +77,18 @@ def test_cuts_follow_content():
     assert len({c + 15 for c in plain} & set(moved)) > 0.9 * len(plain)
     sizes = np.diff([0, *plain])
     assert sizes.max() <= B.MAX_CHUNK and (sizes[:-1] >= B.MIN_CHUNK).all()
+
+
+def test_millions_of_spaces(spark, known):
+    rows = [(i, a + run * n + b) for i, (a, run, n, b) in enumerate([
+        ("x", " ", 3_000_000, "y z"), ("", "\n", 1_500_000, "word"), ("a ", "\t \n", 500_000, ""), ("b", "\u3000", 1_200_000, "'s<|endoftext|> c"),
+    ])]
+    assert got(B.round_trip(spark.createDataFrame(rows, SCHEMA), PATH)) == expect(rows, known)
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(alphabet=st.sampled_from("ab'  \n\t9!é\u3000\x1c\x85<|>endoftx"), max_size=60))
+def test_long_runs_by_themselves(known, text):
+    short = getattr(test_long_runs_by_themselves, "codec", None) or B.Codec(B.load_vocabulary(PATH), 2)
+    test_long_runs_by_themselves.codec = short
+    assert short.encode(text).tolist() == known.encode(text, add_special_tokens=False).ids
