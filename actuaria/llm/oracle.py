@@ -76,3 +76,94 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
+
+_SIDES = "string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos)", "string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos)"
+
+# one tree: nodes (g, pos, n, h) of all levels of a group, and each node's siblings
+_TREE = """
+  {name}_nodes AS (
+    SELECT g, 0 AS level, pos, n, h FROM {leaves}
+    UNION ALL
+    SELECT g, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(h, '' ORDER BY pos))
+    FROM {name}_nodes WHERE n > 1 GROUP BY g, level, pos // 16, n
+  ), {name}_sides AS (
+    SELECT a.g, a.level, a.pos, coalesce({left}, '') AS l, coalesce({right}, '') AS r
+    FROM {name}_nodes a JOIN {name}_nodes b ON a.g = b.g AND a.level = b.level AND a.pos // 16 = b.pos // 16
+    WHERE a.n > 1 GROUP BY a.g, a.level, a.pos
+  ), {name}_tops AS (SELECT g, h FROM {name}_nodes WHERE n = 1)"""
+
+# the fold of a row's value through one tree: (row, level, value, proof so far)
+_FOLD = """
+  {name} AS (
+    SELECT row, g, pos, 0 AS level, value, proof FROM {start}
+    UNION ALL
+    SELECT f.row, f.g, f.pos // 16, f.level + 1, sha256(s.l || f.value || s.r), f.proof || s.l || s.r
+    FROM {name} f JOIN {tree}_sides s ON f.g = s.g AND f.level = s.level AND f.pos = s.pos
+  ), {name}_end AS (SELECT row, g, arg_max(value, level) AS value, arg_max(proof, level) AS proof FROM {name} GROUP BY row, g)"""
+
+
+def _field(column: str) -> str:
+    text = f"CAST({column} AS VARCHAR)"
+    return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+_LEAF = "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || "
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# CRC-32 of a decimal text: each byte, then eight steps (-1)
+_CRC32 = """xor(list_reduce([4294967295] || flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+    lambda x: [ord(x), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"""
+
+SQL["op12_merkle_manifest"] = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || source, '') AS g, {_LEAF}{_field("text")}) AS h,
+    CASE WHEN {_CRC32} % 5 = 0 THEN {_LEAF}{_field(_LOWERED)}) END AS tampered FROM documents
+  ), leaves AS (
+    SELECT row_number() OVER () AS row, doc_id, g, h, tampered,
+      row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM docs
+  ), {_TREE.format(name="low", leaves="leaves", left=_SIDES[0], right=_SIDES[1])},
+  subroots AS (
+    SELECT '' AS g, g AS of, h, row_number() OVER (ORDER BY encode(g)) - 1 AS pos, count(*) OVER () AS n FROM low_tops
+  ), {_TREE.format(name="top", leaves="subroots", left=_SIDES[0], right=_SIDES[1])},
+  first AS (SELECT row, g, pos, coalesce(tampered, h) AS value, '' AS proof FROM leaves),
+  {_FOLD.format(name="climb", start="first", tree="low")},
+  second AS (SELECT e.row, '' AS g, s.pos, e.value, e.proof FROM climb_end e JOIN subroots s ON e.g = s.of),
+  {_FOLD.format(name="last", start="second", tree="top")}
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(e.proof) AS proof_sha256,
+  e.value AS folded_root, e.value = t.h AS verified
+FROM leaves l JOIN low_tops s ON l.g = s.g JOIN top_tops t ON true JOIN last_end e ON e.row = l.row
+"""
+
+
+def _clusters_sql(k: int = 40, rounds: int = 5) -> str:
+    """Rounds of assignment (``a``) and new centroids (``c``) over the kept vectors, unrolled."""
+    parts = ["""kept AS (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""", f"""c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS cluster, q FROM kept
+  WHERE vec_id IS NOT NULL ORDER BY cluster LIMIT {k}
+)"""]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT v.row, v.vec_id, v.q, min({{'d': list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2]))),
+                     'c': c.cluster}}) AS best FROM kept v, c{i} c GROUP BY v.row, v.vec_id, v.q
+)""")
+        if i < rounds:
+            parts.append(f"""m{i} AS (
+  SELECT best.c AS cluster, p, sum(q[p]) AS s, count(*) AS n
+  FROM (SELECT best, q, unnest(range(1, 65)) AS p FROM a{i}) GROUP BY best.c, p
+), c{i + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m.q, c.q) AS q FROM c{i} c LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY p) AS q FROM m{i} GROUP BY cluster
+  ) m USING (cluster)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+  CAST(sum(best.d) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia, CAST(sum(best.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON a.best.c = c.cluster
+"""
+
+
+SQL["op11_centroid_clusters"] = _clusters_sql()

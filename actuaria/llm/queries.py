@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.llm import bpe_codec, decontaminate, line_templates, pii_sanitise, repeated_passages, secret_scan, simhash_dedup, token_packing, topk_search, toxicity
+from actuaria.llm import (
+    bpe_codec, centroid_search, decontaminate, line_templates, merkle_manifest, pii_sanitise, repeated_passages,
+    secret_scan, simhash_dedup, token_packing, token_transducer, topk_search, toxicity,
+)
 from actuaria.llm.common import read_documents, read_input
 
 
@@ -93,6 +96,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_search.clusters(read_input(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_documents(spark, sf_dir)
+    lowered = F.translate("text", decontaminate.UPPER, decontaminate.LOWER)
+    other = [lowered if name == "text" else F.col(name) for name in merkle_manifest.FIELDS]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle_manifest.leaf_digest(other))
+    found = merkle_manifest.manifest(docs, also={"tampered": tampered})
+    back = merkle_manifest.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle_manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        back.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_transducer.count_tokens(read_documents(spark, sf_dir), vocabulary_path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op1_topk_search": op1_topk_search,
@@ -104,4 +129,7 @@ QUERIES = {
     "op8_repeated_passages": op8_repeated_passages,
     "op9_private_data": op9_private_data,
     "op10_decontamination": op10_decontamination,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_counts": op13_token_counts,
 }

@@ -27,12 +27,21 @@ COLUMNS = {
         "doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string",
         "contaminated": "boolean",
     },
+    "op11_centroid_clusters": {
+        "vec_id": "bigint", "cluster": "int", "distance": "bigint", "cluster_inertia": "bigint", "inertia": "bigint",
+        "centroid_sha256": "string",
+    },
+    "op12_merkle_manifest": {
+        "doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string",
+        "folded_root": "string", "verified": "boolean",
+    },
+    "op13_token_counts": {"doc_id": "bigint", "n_bytes": "bigint", "n_tokens": "bigint", "over_limit": "boolean"},
 }
 
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES][0] == "toxicity" and len(corpus_pipeline.STAGES) == 5
 
 
