@@ -1,18 +1,25 @@
 """Load files into catalog tables (full replace) and write/read layer tables.
 
 Row counts come from an ``Observation`` attached to the write, so a load reads its
-input once (no second ``count()`` scan).
+input once (no second ``count()`` scan). A load never touches the rows that a table has: it
+writes a new generation of it and then points the catalog there in one statement, so a
+load that dies leaves the old table whole.
 """
 
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from actuaria.sources import dialect
+from actuaria.sources.generations import Generations
+
 RAW_DATABASE = "raw"
 RAW_DATASETS = ("policies", "claims", "contracts")
 
@@ -22,12 +29,31 @@ def ensure_database(spark: SparkSession, database: str) -> None:
 
 
 def _load(spark: SparkSession, df: DataFrame, table: str, database: str) -> int:
+    """Replace ``database.table`` by ``df``; return its rows.
+
+    The name is a view of the table's current generation: replacing the view is one change
+    of the catalog. Queries that had resolved the view before go on reading the generation
+    before it, which is kept until the next load.
+    """
     ensure_database(spark, database)
-    obs = Observation(f"load_{database}_{table}")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").saveAsTable(
-        f"`{database}`.`{table}`"
-    )
-    return int(obs.get["rows"])
+    home = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}.generations"
+    generations = Generations(spark, home)
+    rows = generations.replace({"rows": df}, keep=1)["rows"]
+    name = f"`{database}`.`{table}`"
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {name}")  # a table of the time before generations
+    path = f"{generations.folder(generations.current())}/rows"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    return rows
+
+
+def drop(spark: SparkSession, table: str, database: str = RAW_DATABASE, files: bool = True) -> None:
+    """Take a loaded table out of the catalog, with its files unless frames still read them."""
+    spark.sql(f"DROP VIEW IF EXISTS `{database}`.`{table}`")
+    if files:
+        home = f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{table}.generations"
+        path = spark._jvm.org.apache.hadoop.fs.Path(home)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 DATE_COLUMNS = ("inception_date", "expiry_date", "claim_date", "reporting_date")
@@ -90,31 +116,67 @@ def load_csv(
     schema: StructType | None = None,
     sep: str = ",",
     encoding: str = "UTF-8",
+    rejects: str | None = None,
 ) -> int:
-    """Replace ``database.table`` with a headed CSV file. Types are inferred unless a
-    schema is given (inference costs one extra pass over the file: give a schema for
-    large inputs)."""
+    """Replace ``database.table`` with a CSV file; return the row count.
+
+    With a ``schema`` the file is headed, with the separator and encoding given. Without
+    one its dialect, names and types are found on a bounded sample (:mod:`dialect`) and the
+    file is read once: a record that does not fit them fails the load, which leaves the old table
+    whole, unless ``rejects`` names a column to keep such records in.
+    """
+    if schema is None:
+        return _load(spark, dialect.read_csv(spark, path, rejects=rejects), table, database)
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return _load(spark, reader.csv(path), table, database)
+    return _load(spark, reader.schema(schema).csv(path), table, database)
+
+
+class LoadError(RuntimeError):
+    """Some tables could not be loaded: ``failed`` has their faults, ``loaded`` the rows of the others."""
+
+    def __init__(self, failed: dict[str, Exception], loaded: dict[str, int]):
+        self.failed, self.loaded = failed, loaded
+        super().__init__("; ".join(f"{name}: {str(exc)[:2000]}" for name, exc in failed.items()))
+
+
+LOADS_AT_ONCE = 4
 
 
 def load_all_raw(
-    spark: SparkSession, raw_dir: str, names=RAW_DATASETS, database: str = RAW_DATABASE
+    spark: SparkSession, raw_dir: str, names=RAW_DATASETS, database: str = RAW_DATABASE, at_once: int = LOADS_AT_ONCE
 ) -> dict[str, int]:
-    """Load every expected ``<name>.parquet`` under ``raw_dir``; a missing file is
-    skipped, any other fault is raised. Returns ``{table: rows}``."""
+    """Load every expected ``<name>.parquet`` under ``raw_dir``. Returns ``{table: rows}``.
+
+    A missing file is skipped. The loads run beside each other, ``at_once`` at a time, each
+    in a scheduler pool of its own name (fair shares under ``spark.scheduler.mode=FAIR``), so
+    the last tasks of one table do not keep the cluster idle. A table that fails does not stop the
+    others: :class:`LoadError` is raised when all have ended.
+    """
     ensure_database(spark, database)
-    counts: dict[str, int] = {}
-    for name in names:
-        path = os.path.join(raw_dir, f"{name}.parquet")
+    frames: dict[str, DataFrame] = {}
+    failed: dict[str, Exception] = {}
+    for name in names:  # schemas one after the other: reading one may change a session setting for a moment
         try:
-            df = read_raw_parquet(spark, path)
-        except AnalysisException as exc:
-            if not missing_path(exc):
-                raise
-            continue
-        counts[name] = _load(spark, df, name, database)
+            frames[name] = read_raw_parquet(spark, os.path.join(raw_dir, f"{name}.parquet"))
+        except Exception as exc:
+            if not (isinstance(exc, AnalysisException) and missing_path(exc)):
+                failed[name] = exc
+
+    def load(name: str) -> int:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"load-{name}")
+        return _load(spark, frames[name], name, database)
+
+    counts: dict[str, int] = {}
+    threaded = inheritable_thread_target(load)
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = {name: pool.submit(threaded, name) for name in frames}
+        for name, future in running.items():
+            try:
+                counts[name] = future.result()
+            except Exception as exc:
+                failed[name] = exc
+    if failed:
+        raise LoadError(failed, counts)
     return counts
 
 
