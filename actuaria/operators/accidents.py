@@ -205,6 +205,53 @@ def read_accident_dir(spark, root: str, years: list[int] | None = None) -> DataF
     return out.drop("_folder")
 
 
+# ---- partitioned source ------------------------------------------------------------------
+
+
+def write_accident_source(files: dict[str, DataFrame], root: str) -> None:
+    """The four files as ``;``/ISO-8859-1 CSV under ``root/<kind>/annee=<year>/``.
+
+    Only headers know their year; the other files get it by a join on ``Num_Acc`` (rows without a
+    header go to the default partition). One job per kind whatever the number of years;
+    ``rebalance`` spreads a very large year over several writer tasks.
+    """
+    years = files["caract"].select("Num_Acc", F.col("an").alias("annee")).distinct()
+    for kind, df in files.items():
+        of_year = df.withColumnRenamed("an", "annee") if kind == "caract" else df.join(years, "Num_Acc", "left")
+        (
+            of_year.hint("rebalance", "annee").write.mode("overwrite").partitionBy("annee")
+            .option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+            .csv(f"{root.rstrip('/')}/{kind}")
+        )
+
+
+def read_accident_source(
+    spark, root: str, years: list[int] | None = None, kinds: tuple[str, ...] = KINDS
+) -> dict[str, DataFrame]:
+    """The files under ``root/<kind>/annee=<year>/`` with ``annee`` as a partition column.
+
+    ``years`` prunes the folders of every kind before a file is opened; later filters on
+    ``annee`` do the same. Known columns are cast with ``try_cast``; no inference pass.
+    """
+    reader = spark.read.option("header", True).option("sep", ";").option("encoding", "ISO-8859-1")
+    frames = {}
+    for kind in kinds:
+        df = reader.csv(f"{root.rstrip('/')}/{kind}")
+        known = [
+            F.expr(f"try_cast(`{c}` as {COLUMN_TYPES[c]})").alias(c) if c in COLUMN_TYPES else F.col(f"`{c}`")
+            for c in df.columns
+            if c != "annee"
+        ]
+        df = df.select(F.col("annee").cast("int").alias("annee"), *known)
+        frames[kind] = df if years is None else df.where(F.col("annee").isin(list(years)))
+    return frames
+
+
+def enrich_source(files: dict[str, DataFrame]) -> DataFrame:
+    """Enriched accidents of the files of :func:`read_accident_source`."""
+    return enrich_accidents(files["caract"], files["lieux"], files["usag"], files["vehic"], keys=["annee", "Num_Acc"])
+
+
 def write_accidents(enriched: DataFrame, path: str) -> None:
     """Store enriched accidents as Parquet partitioned by year (full replace of the
     years present; a reader filtering on ``annee`` prunes the other folders).

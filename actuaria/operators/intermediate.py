@@ -17,6 +17,7 @@ from actuaria.functions.metrics import (
     round_half_up,
     share_squared,
 )
+from actuaria.operators import segments
 
 ENRICHED_COLUMNS = (
     "claim_id policy_id line_of_business region claim_date reporting_date "
@@ -73,26 +74,17 @@ def claims_enriched(stg_claims: DataFrame, stg_policies: DataFrame) -> DataFrame
 
 
 def portfolio(stg_policies: DataFrame, stg_contracts: DataFrame) -> DataFrame:
-    """Policies per (lob, region, inception year, channel, age segment) + the LOB treaty.
+    """Policies per (lob, region, inception year, channel, age segment) + the LOB treaty."""
+    return portfolio_of(segments.policies_state(stg_policies), stg_contracts)
+
+
+def portfolio_of(state: DataFrame, stg_contracts: DataFrame) -> DataFrame:
+    """The portfolio from the policies' segment state.
 
     The treaty join has no date predicate (LOB equality only); Health has no treaty,
     so its treaty columns are NULL. The treaty table is a small dimension the planner
     broadcasts from its size.
     """
-    keys = ["line_of_business", "region", "inception_year", "channel", "age_segment"]
-    premium = F.col("annual_premium_eur")
-    segments = stg_policies.groupBy(*keys).agg(
-        F.count("policy_id").alias("policy_count"),
-        F.sum(premium).cast("decimal(18,2)").alias("total_premium_eur"),
-        F.sum(premium).alias("_premium_sum"),
-        F.count(premium).alias("_premium_n"),
-        F.min(premium).alias("min_premium_eur"),
-        F.max(premium).alias("max_premium_eur"),
-        F.sum("insured_age").alias("_age_sum"),
-        F.count("insured_age").alias("_age_n"),
-        F.count(F.when(F.col("policy_status") == "Active", 1)).alias("active_policies"),
-        F.count(F.when(F.col("policy_status") == "Expired", 1)).alias("expired_policies"),
-    )
     treaties = stg_contracts.select(
         F.col("line_of_business").alias("_treaty_lob"),
         "treaty_type",
@@ -100,16 +92,14 @@ def portfolio(stg_policies: DataFrame, stg_contracts: DataFrame) -> DataFrame:
         F.col("treaty_limit").alias("reinsurance_limit"),
         F.col("premium_rate").alias("reinsurance_rate"),
     )
-    return segments.join(
-        treaties, segments.line_of_business == treaties._treaty_lob, "left"
-    ).select(
-        *keys,
+    return state.join(treaties, state.line_of_business == treaties._treaty_lob, "left").select(
+        *segments.POLICY_KEYS,
         "policy_count",
-        "total_premium_eur",
-        mean("_premium_sum", "_premium_n").alias("avg_premium_eur"),
-        "min_premium_eur",
-        "max_premium_eur",
-        mean("_age_sum", "_age_n").alias("avg_insured_age"),
+        F.col("premium_sum").cast("decimal(18,2)").alias("total_premium_eur"),
+        mean("premium_sum", "premium_n").alias("avg_premium_eur"),
+        F.col("premium_min").alias("min_premium_eur"),
+        F.col("premium_max").alias("max_premium_eur"),
+        mean("age_sum", "age_n").alias("avg_insured_age"),
         "active_policies",
         "expired_policies",
         "treaty_type",
@@ -119,8 +109,14 @@ def portfolio(stg_policies: DataFrame, stg_contracts: DataFrame) -> DataFrame:
     )
 
 
+SUMMARY_KEYS = ["line_of_business", "region", "accident_year"]
+
+
 def portfolio_summary(
-    enriched: DataFrame, stg_claims: DataFrame, approx_distinct_rsd: float | None = None
+    enriched: DataFrame,
+    stg_claims: DataFrame,
+    approx_distinct_rsd: float | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Claims KPIs per (lob, region, accident year), with the Herfindahl contribution
     of the region within its (lob, year).
@@ -128,42 +124,48 @@ def portfolio_summary(
     ``earned_premium_eur`` here sums the policy premium once per claim, over policies
     that had claims: it is not the mart's earned premium.
 
-    ``policy_count`` is an exact distinct count. It needs no policy column, so it is taken
-    from the staged claims by themselves (the rows are spread by (segment, policy) first, so a
-    hot segment is split) and the claims-policies join stands once in the plan.
+    ``policy_count`` is an exact distinct count. The measures are aggregated per (segment, policy)
+    first and the segments above that, so claims and policies are joined once and the
+    distinct policies are the rows of the first aggregate; it follows the join on the policy
+    without a shuffle of its own. Only claims-side columns decide the segment and the policy, so
+    orphans and repeated policies count as in the staged claims.
+    ``state`` (the stored segment state of ``enriched``) gives the measures instead;
+    only the distinct policies then read the staged claims, without a join.
     ``approx_distinct_rsd`` opts into a HyperLogLog++ count with that relative standard
     deviation (one pass, fixed-size state per segment).
     """
-    keys = ["line_of_business", "region", "accident_year"]
-    seg = enriched.groupBy(*keys).agg(
-        F.count("claim_id").alias("claim_count"),
-        F.count(F.when(F.col("claim_status") == "Open", 1)).alias("open_claim_count"),
-        F.count(F.when(F.col("is_ibnr_candidate"), 1)).alias("ibnr_candidate_count"),
-        F.sum("annual_premium_eur").cast("decimal(18,2)").alias("earned_premium_eur"),
-        F.sum("ultimate_cost_eur").cast("decimal(18,2)").alias("incurred_losses_eur"),
-        F.sum("paid_amount_eur").cast("decimal(18,2)").alias("paid_losses_eur"),
-        F.sum("reserve_eur").cast("decimal(18,2)").alias("total_reserve_eur"),
-        F.sum("outstanding_reserve_eur").cast("decimal(18,2)").alias("outstanding_reserve_eur"),
-        F.sum("burning_cost_eur").alias("_bc_sum"),
-        F.count("burning_cost_eur").alias("_bc_n"),
-    )
-    own = stg_claims.select(
-        F.col("line_of_business").alias("_p_lob"), F.col("region").alias("_p_region"),
-        F.year("claim_date").alias("_p_year"), "policy_id",
-    )
+    keys = SUMMARY_KEYS
     own_keys = ["_p_lob", "_p_region", "_p_year"]
-    if approx_distinct_rsd is None:
-        policies = own.distinct().groupBy(*own_keys).agg(F.count("policy_id").alias("policy_count"))
+    if state is None and approx_distinct_rsd is None:
+        measures = segments.measures_of(enriched, [*keys, "policy_id"])
+        seg = segments.rolled_up(measures, keys, F.count("policy_id").alias("policy_count"))
     else:
-        policies = own.groupBy(*own_keys).agg(
-            F.approx_count_distinct("policy_id", approx_distinct_rsd).alias("policy_count")
+        seg = segments.rolled_up(segments.claims_state(enriched) if state is None else state, keys)
+        own = stg_claims.select(
+            F.col("line_of_business").alias("_p_lob"), F.col("region").alias("_p_region"),
+            F.year("claim_date").alias("_p_year"), "policy_id",
         )
-    same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own_keys)])
+        if approx_distinct_rsd is None:
+            policies = own.distinct().groupBy(*own_keys).agg(F.count("policy_id").alias("policy_count"))
+        else:
+            policies = own.groupBy(*own_keys).agg(
+                F.approx_count_distinct("policy_id", approx_distinct_rsd).alias("policy_count")
+            )
+        same = reduce(lambda p, q: p & q, [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, own_keys)])
+        seg = seg.join(policies, same, "left")  # both sides are aggregates of a few thousand segments
+
+    money = {
+        "earned_premium_eur": "claim_premium_sum", "incurred_losses_eur": "cost_sum", "paid_losses_eur": "paid_sum",
+        "total_reserve_eur": "reserve_sum", "outstanding_reserve_eur": "outstanding_sum",
+    }
     of_line = Window.partitionBy("line_of_business", "accident_year")
     known = F.col("line_of_business").isNotNull() & F.col("accident_year").isNotNull()
-    # both sides are aggregates of a few thousand segments
-    joined = seg.join(policies, same, "left").withColumn(
-        "lob_total_claims", F.when(known, F.sum("claim_count").over(of_line))
+    joined = seg.select(
+        "*",
+        F.col("open_count").alias("open_claim_count"),
+        F.col("ibnr_count").alias("ibnr_candidate_count"),
+        *(F.col(c).cast("decimal(18,2)").alias(name) for name, c in money.items()),
+        F.when(known, F.sum("claim_count").over(of_line)).alias("lob_total_claims"),
     )
     earned, incurred = F.col("earned_premium_eur"), F.col("incurred_losses_eur")
     claims = F.col("claim_count")
@@ -173,13 +175,9 @@ def portfolio_summary(
         "claim_count",
         "open_claim_count",
         "ibnr_candidate_count",
-        "earned_premium_eur",
-        "incurred_losses_eur",
-        "paid_losses_eur",
-        "total_reserve_eur",
-        "outstanding_reserve_eur",
-        mean("_bc_sum", "_bc_n").alias("avg_burning_cost_eur"),
-        F.col("_bc_sum").cast("decimal(18,2)").alias("total_burning_cost_eur"),
+        *money,
+        mean("burning_cost_sum", "burning_cost_n").alias("avg_burning_cost_eur"),
+        F.col("burning_cost_sum").cast("decimal(18,2)").alias("total_burning_cost_eur"),
         ratio(incurred, earned, 4).alias("portfolio_loss_ratio"),
         ratio("paid_losses_eur", earned, 4).alias("paid_loss_ratio"),
         ratio(claims, "policy_count", 4).alias("claims_frequency"),

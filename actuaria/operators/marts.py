@@ -7,11 +7,12 @@ thousand segment rows, not on claims or policies. Aggregations are partial (map-
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import high_loss_ratio_flag
 from actuaria.functions.metrics import mean, ratio, share_squared
+from actuaria.operators import segments
 from actuaria.operators.median import exact_median
 from actuaria.session import materialize
 
@@ -54,6 +55,28 @@ def loss_ratio_mart(stg_policies: DataFrame, stg_claims: DataFrame) -> DataFrame
         _money("reserve_eur").alias("total_reserve_eur"),
         F.count(F.when(F.col("is_ibnr_candidate"), 1)).alias("ibnr_claims_count"),
     )
+    return _loss_ratio(earned, incurred)
+
+
+def loss_ratio_of(policies: DataFrame, claims: DataFrame) -> DataFrame:
+    """The same mart from the segment states. ``claims`` must be the state of enriched claims
+    with one row per staged claim (no policy id held by two policies)."""
+    policies = policies.withColumnRenamed("inception_year", "accident_year")
+    earned = segments.rolled_up(policies, SEGMENT).select(
+        *SEGMENT, "policy_count", F.col("premium_sum").cast("decimal(18,2)").alias("earned_premium_eur")
+    )
+    incurred = segments.rolled_up(claims, SEGMENT).select(
+        *SEGMENT,
+        "claim_count",
+        F.col("cost_sum").cast("decimal(18,2)").alias("incurred_losses_eur"),
+        F.col("paid_sum").cast("decimal(18,2)").alias("paid_losses_eur"),
+        F.col("reserve_sum").cast("decimal(18,2)").alias("total_reserve_eur"),
+        F.col("ibnr_count").alias("ibnr_claims_count"),
+    )
+    return _loss_ratio(earned, incurred)
+
+
+def _loss_ratio(earned: DataFrame, incurred: DataFrame) -> DataFrame:
     zero_money = F.lit(0).cast("decimal(18,2)")
     combined = earned.join(incurred, on=SEGMENT, how="full_outer").select(
         *SEGMENT,
@@ -77,7 +100,11 @@ def loss_ratio_mart(stg_policies: DataFrame, stg_claims: DataFrame) -> DataFrame
     )
 
 
-FREQUENCY_KEYS = ["line_of_business", "region", "age_segment", "accident_year", "claim_type"]
+FREQUENCY_KEYS = segments.CLAIM_KEYS
+FREQUENCY_MEASURES = [
+    "claim_count", "cost_sum", "cost_n", "cost_max", "lag_sum", "lag_n", "ibnr_count", "small_claims",
+    "medium_claims", "large_claims", "severe_claims",
+]
 
 
 def claims_frequency_mart(
@@ -86,6 +113,9 @@ def claims_frequency_mart(
     materialize_input: bool = True,
     median: str = "exact",
     approx_accuracy: int = 10_000,
+    cost_bounds: tuple | None = None,
+    claims: DataFrame | None = None,
+    policies: DataFrame | None = None,
 ) -> DataFrame:
     """Frequency and severity per (lob, region, age segment, year, claim type).
 
@@ -93,9 +123,13 @@ def claims_frequency_mart(
     it repeats across claim types. The median is exact and skew-safe
     (:func:`exact_median`), DECIMAL(16,3) — cast to DECIMAL(18,3).
 
-    The claims are read four times (the aggregates and three median passes), so the
+    The claims are read three times (the aggregates and two median passes), so the
     narrow projection they need is written once to the checkpoint folder first,
-    unless ``enriched`` is already a stored table (``materialize_input=False``).
+    unless ``enriched`` is already a stored table (``materialize_input=False``). The range of
+    the costs, which the median needs, is observed by that write, or given (``cost_bounds``).
+
+    ``claims`` and ``policies`` are the stored segment states where there are any: the
+    enriched claims are then read for the median alone.
 
     ``median="approx"`` is the opt-in one-pass alternative: ``percentile_approx`` keeps
     a bounded, mergeable sketch per group (relative rank error about
@@ -108,25 +142,13 @@ def claims_frequency_mart(
               "is_ibnr_candidate", "severity_band"]
     enriched = enriched.select(*needed)
     if materialize_input and median == "exact":
-        enriched = materialize(enriched, "claims-frequency-input")
-    cost = F.col("ultimate_cost_eur")
-    band = F.col("severity_band")
-    agg = enriched.groupBy(*FREQUENCY_KEYS).agg(
-        F.count("claim_id").alias("claim_count"),
-        _money(cost).alias("total_incurred_eur"),
-        F.sum(cost).alias("_cost_sum"),
-        F.count(cost).alias("_cost_n"),
-        F.max(cost).alias("max_severity_eur"),
-        F.sum("reporting_lag_days").alias("_lag_sum"),
-        F.count("reporting_lag_days").alias("_lag_n"),
-        F.count(F.when(F.col("is_ibnr_candidate"), 1)).alias("ibnr_count"),
-        F.count(F.when(band == "Small", 1)).alias("small_claims"),
-        F.count(F.when(band == "Medium", 1)).alias("medium_claims"),
-        F.count(F.when(band == "Large", 1)).alias("large_claims"),
-        F.count(F.when(band == "Severe", 1)).alias("severe_claims"),
-    )
+        seen = Observation()
+        cost_range = F.min("ultimate_cost_eur").alias("least"), F.max("ultimate_cost_eur").alias("most")
+        enriched = materialize(enriched.observe(seen, *cost_range), "claims-frequency-input")
+        cost_bounds = seen.get["least"], seen.get["most"]
+    agg = segments.measures_of(enriched, FREQUENCY_KEYS, FREQUENCY_MEASURES) if claims is None else claims
     if median == "exact":
-        med = exact_median(enriched, FREQUENCY_KEYS, "ultimate_cost_eur", 15, 2, "_median")
+        med = exact_median(enriched, FREQUENCY_KEYS, "ultimate_cost_eur", 15, 2, "_median", cost_bounds)
     else:
         med = enriched.groupBy(*FREQUENCY_KEYS).agg(
             F.percentile_approx("ultimate_cost_eur", 0.5, approx_accuracy)
@@ -134,12 +156,13 @@ def claims_frequency_mart(
             .alias("_median")
         )
     med = med.select(*[F.col(k).alias(f"_m_{k}") for k in FREQUENCY_KEYS], "_median")
-    policies = stg_policies.groupBy(
-        F.col("line_of_business").alias("_p_lob"),
-        F.col("region").alias("_p_region"),
-        F.col("age_segment").alias("_p_age"),
-        F.col("inception_year").alias("_p_year"),
-    ).agg(F.count("policy_id").alias("policy_count"))
+    of_age = ["line_of_business", "region", "age_segment", "inception_year"]
+    if policies is None:
+        counted = stg_policies.groupBy(*of_age).agg(F.count("policy_id").alias("policy_count"))
+    else:
+        counted = segments.rolled_up(policies.select(*of_age, "policy_count"), of_age)
+    names = dict(zip(of_age, ("_p_lob", "_p_region", "_p_age", "_p_year")))
+    policies = counted.withColumnsRenamed(names)
 
     with_median = agg.join(
         med,
@@ -157,11 +180,11 @@ def claims_frequency_mart(
     return joined.select(
         *FREQUENCY_KEYS,
         "claim_count",
-        "total_incurred_eur",
-        mean("_cost_sum", "_cost_n").alias("avg_severity_eur"),
+        F.col("cost_sum").cast("decimal(18,2)").alias("total_incurred_eur"),
+        mean("cost_sum", "cost_n").alias("avg_severity_eur"),
         F.col("_median").cast("decimal(18,3)").alias("median_severity_eur"),
-        "max_severity_eur",
-        mean("_lag_sum", "_lag_n").alias("avg_reporting_lag"),
+        F.col("cost_max").alias("max_severity_eur"),
+        mean("lag_sum", "lag_n").alias("avg_reporting_lag"),
         "ibnr_count",
         "small_claims",
         "medium_claims",
@@ -172,23 +195,28 @@ def claims_frequency_mart(
     )
 
 
-def portfolio_performance_mart(portfolio: DataFrame, enriched: DataFrame) -> DataFrame:
+def portfolio_performance_mart(
+    portfolio: DataFrame, enriched: DataFrame, claims: DataFrame | None = None
+) -> DataFrame:
     """Segments with their (lob, region, year) claims and premium concentration.
 
     Claims are aggregated at (lob, region, year) and joined to segments that also
     split by channel and age band, so each claims total REPEATS on every sub-segment:
     ``claim_count``, ``incurred_eur`` and ``loss_ratio`` must not be summed across
     rows. The grand total premium is a scalar subquery (one value, computed once).
+    ``claims`` is the stored segment state of the claims where there is one.
     """
-    claims = enriched.groupBy(
+    sums = {"claim_count": "_claim_count", "cost_sum": "_incurred", "paid_sum": "_paid", "reserve_sum": "_reserve"}
+    if claims is None:
+        rolled = segments.measures_of(enriched, SEGMENT, list(sums))
+    else:
+        rolled = segments.rolled_up(claims.select(*segments.CLAIM_KEYS, *sums), SEGMENT)
+    claims = rolled.select(
         F.col("line_of_business").alias("_c_lob"),
         F.col("region").alias("_c_region"),
         F.col("accident_year").alias("_c_year"),
-    ).agg(
-        F.count("claim_id").alias("_claim_count"),
-        _money("ultimate_cost_eur").alias("_incurred"),
-        _money("paid_amount_eur").alias("_paid"),
-        _money("reserve_eur").alias("_reserve"),
+        F.col("claim_count").alias("_claim_count"),
+        *(F.col(c).cast("decimal(18,2)").alias(name) for c, name in sums.items() if c != "claim_count"),
     )
     grand_total = portfolio.select(F.sum("total_premium_eur")).scalar()
     joined = portfolio.join(

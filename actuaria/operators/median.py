@@ -47,12 +47,16 @@ def exact_median(
     precision: int = 15,
     scale: int = 2,
     alias: str = "median",
+    bounds: tuple[Decimal | None, Decimal | None] | None = None,
 ) -> DataFrame:
     """``keys + [alias]``: the exact continuous median of DECIMAL(precision, scale)
     ``value`` per group (NULL values ignored; a group of only NULLs has no row).
 
     The result is DECIMAL(precision + 1, scale + 1), exact: the mean of the two
     middle values needs one more decimal place.
+
+    ``bounds`` are the least and the greatest value where they are known already (such as
+    from the write of ``df``); else one more read finds them.
     """
     if precision > 18:
         raise ValueError("exact_median needs DECIMAL precision <= 18 (unscaled values fit a long)")
@@ -63,7 +67,10 @@ def exact_median(
         F.col("_v").isNotNull()
     )
     # Digit plan from the global value range: one small aggregate (two scalars).
-    lo, hi = values.agg(F.min("_v"), F.max("_v")).first()
+    if bounds is None:
+        lo, hi = values.agg(F.min("_v"), F.max("_v")).first()
+    else:
+        lo, hi = (None if b is None else int(b.scaleb(scale)) for b in bounds)
     if lo is None:
         return df.sparkSession.createDataFrame(
             [], df.select(*keys, F.lit(None).cast(f"decimal({precision + 1},{scale + 1})").alias(alias)).schema

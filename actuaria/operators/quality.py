@@ -2,8 +2,8 @@
 
 Every column check yields one row
 ``(suite, table_name, column_name, expectation, evaluated, unexpected, success)``.
-All row-local checks on one table run in ONE aggregation pass (``count_if`` per
-check); a uniqueness check is one grouped count on its key (partial counts per map
+All row-local checks on one table are counters (``count_if`` per check) observed by the
+write of that table, or ONE aggregation pass over it; a uniqueness check is one grouped count on its key (partial counts per map
 task, so a very frequent key costs one row per task). Singular tests return the
 offending rows, and pass when there are none.
 """
@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import LINES_OF_BUSINESS, LR_SANITY_BOUND, LR_SANITY_MIN_PREMIUM
@@ -48,7 +48,7 @@ CLAIM_STATUSES = ("Open", "Closed")
 # ---------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class RowCheck:
     """A check decided row by row: ``unexpected`` is true for a failing row."""
 
@@ -58,6 +58,10 @@ class RowCheck:
     expectation: str
     unexpected: Column
 
+    @property
+    def key(self) -> tuple[str, str, str, str]:
+        return self.suite, self.table, self.column, self.expectation
+
 
 def not_null(suite: str, table: str, column: str) -> RowCheck:
     return RowCheck(suite, table, column, "not_null", F.col(column).isNull())
@@ -87,6 +91,10 @@ def pair_greater(suite: str, table: str, a: str, b: str, or_equal: bool = True)
 
 
 RESULT_COLUMNS = ["suite", "table_name", "column_name", "expectation", "evaluated", "unexpected", "success"]
+RESULT_SCHEMA = (
+    "suite string, table_name string, column_name string, expectation string, evaluated long, unexpected long, "
+    "success boolean"
+)
 
 
 def _result_rows(agg: DataFrame, checks: list[RowCheck]) -> DataFrame:
@@ -110,16 +118,59 @@ def _result_rows(agg: DataFrame, checks: list[RowCheck]) -> DataFrame:
     )
 
 
-def run_row_checks(tables: Mapping[str, DataFrame], checks: list[RowCheck]) -> DataFrame:
-    """All row-local checks, one aggregation pass per table."""
+def counters(checks: list[RowCheck]) -> list[Column]:
+    """Aggregates that decide the row checks of one table: its rows, and the failing ones of each check."""
+    return [
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.count_if(F.coalesce(ch.unexpected, F.lit(False))).alias(f"_u{i}") for i, ch in enumerate(checks)],
+    ]
+
+
+@dataclass
+class Counted:
+    """Counters of one table's row checks, collected by the write that read its rows anyway."""
+
+    checks: list[RowCheck]
+    seen: Observation
+
+    @classmethod
+    def on(cls, df: DataFrame, checks: list[RowCheck], *more: Column) -> tuple[DataFrame, Counted]:
+        """``df`` with the counters (and ``more`` aggregates) observed by its next action."""
+        counted = cls(checks, Observation())
+        return df.observe(counted.seen, *counters(checks), *more), counted
+
+    def rows(self) -> int:
+        return int(self.seen.get["_rows"])
+
+    def decides(self, check: RowCheck) -> bool:
+        return any(ch.key == check.key for ch in self.checks)
+
+    def results(self, spark: SparkSession, checks: list[RowCheck]) -> DataFrame:
+        """Result rows of ``checks``, from the numbers alone."""
+        found = {ch.key: int(self.seen.get[f"_u{i}"]) for i, ch in enumerate(self.checks)}
+        rows = [
+            (ch.suite, ch.table, ch.column, ch.expectation, self.rows(), found[ch.key], found[ch.key] == 0)
+            for ch in checks
+        ]
+        return spark.createDataFrame(rows, RESULT_SCHEMA)
+
+
+def run_row_checks(
+    tables: Mapping[str, DataFrame], checks: list[RowCheck], counted: Mapping[str, Counted] | None = None
+) -> DataFrame:
+    """All row-local checks. A table whose write carried the counters (``counted``, filled as
+    the layers are built) is not read; of any other the counters are one aggregation pass."""
+    counted = {} if counted is None else counted
     frames = []
     for table in dict.fromkeys(ch.table for ch in checks):
+        df = tables[table]  # builds a stored layer, and with it its counters
         mine = [ch for ch in checks if ch.table == table]
-        agg = tables[table].agg(
-            F.count(F.lit(1)).alias("_rows"),
-            *[F.count_if(F.coalesce(ch.unexpected, F.lit(False))).alias(f"_u{i}") for i, ch in enumerate(mine)],
-        )
-        frames.append(_result_rows(agg, mine))
+        known = [ch for ch in mine if table in counted and counted[table].decides(ch)]
+        if known:
+            frames.append(counted[table].results(df.sparkSession, known))
+        rest = [ch for ch in mine if ch not in known]
+        if rest:
+            frames.append(_result_rows(df.agg(*counters(rest)), rest))
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -146,17 +197,23 @@ def run_unique_checks(tables: Mapping[str, DataFrame], spec: list[tuple[str, str
 
 
 def run_checks(
-    tables: Mapping[str, DataFrame], checks: list[RowCheck], unique_spec: list[tuple[str, str, str]] = ()
+    tables: Mapping[str, DataFrame], checks: list[RowCheck], unique_spec: list[tuple[str, str, str]] = (),
+    counted: Mapping[str, Counted] | None = None,
 ) -> DataFrame:
     """Row checks and uniqueness checks.
 
-    The row checks of a table are counters of one scan: each task sends one row. A
-    uniqueness check shuffles its key and a partial count, nothing else; carrying the
-    counters through that shuffle would make it many times as wide, since a nearly unique
+    The row checks of a table are counters of the write that made it, or of one scan: each
+    task sends one row. A uniqueness check shuffles its key and a partial count, nothing else;
+    carrying the counters through that shuffle would make it many times as wide, since a nearly unique
     key leaves nothing to combine on the map side.
     """
-    counted = run_row_checks(tables, checks)
-    return counted.unionByName(run_unique_checks(tables, unique_spec)) if unique_spec else counted
+    done = run_row_checks(tables, checks, counted)
+    return done.unionByName(run_unique_checks(tables, unique_spec)) if unique_spec else done
+
+
+def gate_checks() -> list[RowCheck]:
+    """Every declared check that is decided row by row."""
+    return schema_not_null_checks() + schema_accepted_checks() + claims_suite_checks() + singular_checks()
 
 
 def singular_checks() -> list[RowCheck]:

@@ -4,7 +4,8 @@ Each layer is written once, as Parquet, under a run folder inside the shared
 checkpoint folder (``spark.checkpoint.dir``) and read back by its consumers: the
 lineage is cut at every layer, a layer read by three models is computed once, and a
 lost executor costs a stage retry, not a rebuild of the whole chain. Marts are full
-rebuilds (overwrite), as the reference's daily reload.
+rebuilds, as a daily reload; :func:`rebuild` makes each one a generation that readers see only
+when it is whole.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.operators import marts, quality
+from actuaria.operators import marts, quality, segments, staging
 from actuaria.plans.registry import Layers, all_quality_results
 from actuaria.session import scratch_path
 from actuaria.sources import loaders
+from actuaria.sources.generations import LEASE_SECONDS, Generations
 from actuaria.sources.loaders import write_table
 from actuaria.sources.tables import RAW_CONTRACTS_SCHEMA
 
@@ -36,26 +38,36 @@ AUDIT_COLUMN = {
 }
 
 
+# Mergeable segment states: every mart of a run rolls up from them.
+STATES = frozenset({"seg_policies", "seg_claims"})
 # Layers written by a run: staging and the enriched claims (large, each read by several
-# models) and the marts and summary (tables in the reference). The raw layer is
-# already stored upstream; small intermediate aggregates stay views.
-STORED = frozenset({
+# models), the segment states, the portfolio segments (read twice by their mart) and the marts and summary
+# (tables in the reference). The raw layer is already stored upstream.
+STORED = STATES | frozenset({
     "stg_policies",
     "stg_claims",
     "int_claims_enriched",
+    "int_portfolio",
     "int_portfolio_summary",
     "mart_loss_ratio",
     "mart_claims_frequency",
     "mart_portfolio_performance",
 })
+COST = "ultimate_cost_eur"
 # Staging tables written bucketed by the join key of the enrichment (claims ⋈ policies)
 BUCKETED = {"stg_policies": "policy_id", "stg_claims": "policy_id"}
-# For a quality run alone: only the layers several checks or models read.
-SHARED_FOR_CHECKS = frozenset({"stg_policies", "stg_claims", "int_claims_enriched", "mart_loss_ratio"})
+# For a quality run alone: every layer that is checked, so that its write carries the checks.
+SHARED_FOR_CHECKS = STORED - {"int_portfolio_summary"}
 
 
 class StoredLayers(Layers):
-    """Layers that are written on first use and read back from the run folder."""
+    """Layers that are written on first use and read back from the run folder.
+
+    The write of a layer carries the counters of its row checks (``counted``), so the quality
+    gate reads no layer again for them. The counters stand in the stage that writes, whose tasks
+    count once however often they are tried; only the raw claims are counted on their way into
+    the staged claims, in that same stage (staging is row by row, without a shuffle).
+    """
 
     materialized = True
 
@@ -83,6 +95,7 @@ class StoredLayers(Layers):
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables_created: list[str] = []
         self.bucketed = bucketed
+        self.counted: dict[str, quality.Counted] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -95,10 +108,53 @@ class StoredLayers(Layers):
         if name in BUCKETED and self.bucketed:
             stored = self._write_bucketed(name, df, BUCKETED[name])
         else:
-            write_table(df, self.path(name))
+            counted, self.counted[name] = self._with_counters(name, df)
+            write_table(counted, self.path(name))
             stored = self.spark.read.schema(df.schema).parquet(self.path(name))
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
+    def _with_counters(self, name: str, df: DataFrame) -> tuple[DataFrame, quality.Counted]:
+        more = [F.min(COST).alias("_least"), F.max(COST).alias("_most")] if name == "int_claims_enriched" else []
+        return quality.Counted.on(df, [ch for ch in quality.gate_checks() if ch.table == name], *more)
+
+    @cached_property
+    def stg_claims(self) -> DataFrame:
+        if "stg_claims" not in self.stored or self.bucketed:  # a bucketed write shuffles the staged rows
+            return Layers.stg_claims.func(self)
+        raw, counted = self._with_counters("raw_claims", self.raw_claims)
+        stored = self._keep("stg_claims", staging.stg_claims(raw))
+        self.counted["raw_claims"] = counted
+        return stored
+
+    @cached_property
+    def seg_policies(self) -> DataFrame | None:
+        if "seg_policies" not in self.stored:
+            return None
+        return self._keep("seg_policies", segments.policies_state(self.stg_policies))
+
+    @cached_property
+    def seg_claims(self) -> DataFrame | None:
+        if "seg_claims" not in self.stored:
+            return None
+        return self._keep("seg_claims", segments.claims_state(self.enriched))
+
+    def _loss_ratio(self) -> DataFrame:
+        """From the states, unless a policy id held by several policies repeats claims in the
+        enriched layer (the writes of both layers counted their rows)."""
+        if self.seg_claims is not None and self.seg_policies is not None:
+            written = self.rows_written()
+            if written.get("int_claims_enriched", -1) == written.get("stg_claims", -2):
+                return marts.loss_ratio_of(self.seg_policies, self.seg_claims)
+        return super()._loss_ratio()
+
+    @property
+    def cost_bounds(self) -> tuple | None:
+        """Least and greatest cost of the enriched claims, from their write."""
+        if "int_claims_enriched" not in self.counted:
+            return None
+        seen = self.counted["int_claims_enriched"].seen.get
+        return seen["_least"], seen["_most"]
+
     def _write_bucketed(self, name: str, df: DataFrame, key: str) -> DataFrame:
         """Write ``df`` as a table bucketed and sorted by ``key`` at ``path(name)``.
 
@@ -107,9 +163,9 @@ class StoredLayers(Layers):
         buckets in place (no exchange).
         """
         table = f"`{name}_{self.run_id}`"
+        counted, self.counted[name] = self._with_counters(name, df.repartition(self.buckets, key))
         (
-            df.repartition(self.buckets, key)
-            .write.mode("overwrite")
+            counted.write.mode("overwrite")
             .bucketBy(self.buckets, key)
             .sortBy(key)
             .option("path", self.path(name))
@@ -118,6 +174,10 @@ class StoredLayers(Layers):
         self.tables_created.append(table)
         return self.spark.table(table)
 
+    def rows_written(self) -> dict[str, int]:
+        """Rows of every layer written so far, as its write counted them."""
+        return {name: c.rows() for name, c in self.counted.items() if name in self.stored}
+
     def drop_catalog_entries(self) -> None:
         """Forget this run's bucketed tables in the catalog; their files stay in the
         run folder (external tables), so stored layers remain readable by path."""
@@ -205,11 +265,35 @@ def run_batch(
         )
         if fail_on_error:
             raise
-        return {"root": layers.root, "quality": None, "error": str(exc).splitlines()[0]}
+        return {"root": layers.root, "quality": None, "error": str(exc).splitlines()[0], "rows": {}}
     layers.drop_catalog_entries()
     if fail_on_error and not all(r["success"] for r in rows):
         raise RuntimeError(f"data quality gate failed: {rows}")
-    return {"root": layers.root, "quality": rows, "error": None}
+    return {"root": layers.root, "quality": rows, "error": None, "rows": layers.rows_written()}
+
+
+def rebuild(
+    spark: SparkSession, sf_dir: str, home: str, source: str = "tables", require_quality: bool = False,
+    lease_seconds: int = LEASE_SECONDS,
+) -> dict:
+    """A batch run as a new generation of ``home``, current only when all of it is written.
+
+    Readers (:meth:`Generations.reading`) see the generation before until then, and go on reading
+    it afterwards; it is removed when no reader is left. A run that raises, or with
+    ``require_quality`` one whose suites fail, never becomes current: its folder (with the report) stays until
+    the next rebuild clears it away. Returns the result of the run and its ``generation``
+    (None where it was not published).
+    """
+    generations = Generations(spark, home, lease_seconds)
+    new = generations.begin()
+    result = run_batch(spark, sf_dir, generations.folder(new), source=source)
+    passed = result["error"] is None and (not require_quality or all(r["success"] for r in result["quality"]))
+    if passed:
+        generations.publish(new, result["rows"])
+        generations.retire()
+    else:
+        generations.give_up(new)
+    return {**result, "generation": new if passed else None}
 
 
 def presentation(df: DataFrame, name: str) -> DataFrame:

@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.functions import bands, formatting, metrics
-from actuaria.operators import accidents, dashboard, intermediate, marts, quality, staging
+from actuaria.operators import accidents, dashboard, intermediate, marts, quality, segments, staging
 from actuaria.session import scratch_path
 from actuaria.sources import loaders, rawlayer
+from actuaria.sources.generations import Generations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,33 +69,44 @@ class Layers:
             "int_claims_enriched", intermediate.claims_enriched(self.stg_claims, self.stg_policies)
         )
 
+    # Stored segment states, from which the marts roll up; a lazy run aggregates directly.
+    seg_policies: DataFrame | None = None
+    seg_claims: DataFrame | None = None
+
     @cached_property
     def portfolio(self) -> DataFrame:
-        return self._keep("int_portfolio", intermediate.portfolio(self.stg_policies, self.stg_contracts))
+        if self.seg_policies is not None:
+            built = intermediate.portfolio_of(self.seg_policies, self.stg_contracts)
+        else:
+            built = intermediate.portfolio(self.stg_policies, self.stg_contracts)
+        return self._keep("int_portfolio", built)
 
     @cached_property
     def portfolio_summary(self) -> DataFrame:
-        return self._keep("int_portfolio_summary", intermediate.portfolio_summary(self.enriched, self.stg_claims))
+        built = intermediate.portfolio_summary(self.enriched, self.stg_claims, state=self.seg_claims)
+        return self._keep("int_portfolio_summary", built)
 
     @cached_property
     def mart_loss_ratio(self) -> DataFrame:
-        return self._keep("mart_loss_ratio", marts.loss_ratio_mart(self.stg_policies, self.stg_claims))
+        return self._keep("mart_loss_ratio", self._loss_ratio())
+
+    def _loss_ratio(self) -> DataFrame:
+        return marts.loss_ratio_mart(self.stg_policies, self.stg_claims)
 
     @cached_property
     def mart_claims_frequency(self) -> DataFrame:
-        return self._keep(
-            "mart_claims_frequency",
-            marts.claims_frequency_mart(
-                self.enriched, self.stg_policies, materialize_input=not self.materialized
-            ),
+        built = marts.claims_frequency_mart(
+            self.enriched, self.stg_policies, materialize_input=not self.materialized,
+            cost_bounds=self.cost_bounds, claims=self.seg_claims, policies=self.seg_policies,
         )
+        return self._keep("mart_claims_frequency", built)
 
     @cached_property
     def mart_portfolio_performance(self) -> DataFrame:
-        return self._keep(
-            "mart_portfolio_performance",
-            marts.portfolio_performance_mart(self.portfolio, self.enriched),
-        )
+        built = marts.portfolio_performance_mart(self.portfolio, self.enriched, self.seg_claims)
+        return self._keep("mart_portfolio_performance", built)
+
+    cost_bounds: tuple | None = None
 
     TABLE_ATTRIBUTES = {
         "raw_policies": "raw_policies",
@@ -103,6 +115,8 @@ class Layers:
         "stg_claims": "stg_claims",
         "stg_contracts": "stg_contracts",
         "int_claims_enriched": "enriched",
+        "seg_policies": "seg_policies",
+        "seg_claims": "seg_claims",
         "int_portfolio": "portfolio",
         "mart_loss_ratio": "mart_loss_ratio",
         "mart_claims_frequency": "mart_claims_frequency",
@@ -183,6 +197,32 @@ def _portfolio_performance(L: Layers) -> DataFrame:
     return L.mart_portfolio_performance.orderBy(*marts.performance_order())
 
 
+def _wide_sums(state: DataFrame) -> DataFrame:
+    """One decimal width for every sum, whatever its terms had."""
+    return state.withColumns({c: F.col(c).cast("decimal(38,2)") for c, t in state.dtypes if c.endswith("_sum") and "decimal" in t})
+
+
+@query("segment_claims")
+def _segment_claims(L: Layers) -> DataFrame:
+    """The mergeable segment state of the enriched claims."""
+    return _wide_sums(segments.claims_state(L.enriched))
+
+
+@query("segment_policies")
+def _segment_policies(L: Layers) -> DataFrame:
+    """The mergeable segment state of the staged policies."""
+    return _wide_sums(segments.policies_state(L.stg_policies))
+
+
+@query("loss_ratio_from_segments")
+def _loss_ratio_from_segments(L: Layers) -> DataFrame:
+    """The loss-ratio mart rolled up from the two stored segment states."""
+    from actuaria.plans.batch import STATES, StoredLayers
+
+    stored = StoredLayers(L.spark, L.sf_dir, stored=STATES | {"stg_policies", "stg_claims", "int_claims_enriched"})
+    return stored.mart_loss_ratio.orderBy(*marts.loss_ratio_order())
+
+
 # ---- dashboard ----------------------------------------------------------------------------
 
 
@@ -248,15 +288,15 @@ def _actuarial_summary(L: Layers) -> DataFrame:
 
 @query("qa_not_null")
 def _qa_not_null(L: Layers) -> DataFrame:
-    """Not-null tests of every layer, marts included: run on stored layers (each layer
-    built once, as in a pipeline run)."""
+    """Not-null tests of every layer, marts included: counted by the writes of the layers
+    (each built once, as in a pipeline run)."""
     from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
     checks = quality.schema_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
     ]
     stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
-    return quality.run_row_checks(stored.tables(), checks)
+    return quality.run_row_checks(stored.tables(), checks, stored.counted)
 
 
 @query("qa_unique")
@@ -343,16 +383,11 @@ def _qa_null_rate(L: Layers) -> DataFrame:
 
 
 def all_quality_results(L: Layers) -> DataFrame:
-    """Every declared check, one row each: row-local and uniqueness checks share one
-    pass per table; the single-table singular tests are row predicates in that pass;
-    the cross-table claim-count reconciliation is its own small query."""
+    """Every declared check, one row each: row-local checks come from the writes of stored
+    layers, else from one pass per table; the single-table singular tests are row predicates
+    among them; the cross-table claim-count reconciliation is its own small query."""
     t = L.tables()
-    row_checks = (
-        quality.schema_not_null_checks()
-        + quality.schema_accepted_checks()
-        + quality.claims_suite_checks()
-        + quality.singular_checks()
-    )
+    row_checks = quality.gate_checks()
     unique = quality.schema_unique_spec() + quality.claims_suite_unique_spec()
     reconciliation = (
         quality.claim_count_consistency(L.mart_loss_ratio, L.stg_claims)
@@ -367,14 +402,14 @@ def all_quality_results(L: Layers) -> DataFrame:
             (F.col("unexpected") == 0).alias("success"),
         )
     )
-    return quality.run_checks(t, row_checks, unique).unionByName(reconciliation)
+    counted = getattr(L, "counted", None)
+    return quality.run_checks(t, row_checks, unique, counted).unionByName(reconciliation)
 
 
 @query("quality_report")
 def _quality_report(L: Layers) -> DataFrame:
-    """The quality gate as in a batch run: the layers that several checks read
-    (staging, enriched claims, loss-ratio mart) are written once, then all suites
-    run; marts checked once are computed from the stored layers."""
+    """The quality gate as in a batch run: every layer is written once, its row checks
+    counted by that write; only uniqueness and the reconciliation read a layer again."""
     from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
     stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
@@ -399,20 +434,27 @@ def _accidents_preview(L: Layers) -> DataFrame:
     return enriched.orderBy(*order).limit(5)
 
 
+def _landed_accidents(L: Layers) -> str:
+    """The accident files of the tables, written whole as CSV folders by kind and year."""
+    root = scratch_path(L.spark, f"accidents-{uuid.uuid4().hex}")
+    accidents.write_accident_source(rawlayer.accident_files(L.spark, L.sf_dir), root)
+    return root
+
+
 @query("accidents_csv")
 def _accidents_csv(L: Layers) -> DataFrame:
-    """The same accident files written whole as ``;``/ISO-8859-1 CSV in year folders; the
-    years asked for (one of them without a folder) are read back by kind."""
-    root = scratch_path(L.spark, f"accidents-{uuid.uuid4().hex}")
-    names = {"caract": "caracteristiques", "lieux": "lieux", "usag": "usagers", "vehic": "vehicules"}
-    files = rawlayer.accident_files(L.spark, L.sf_dir)
-    years = files["caract"].select("Num_Acc", F.col("an").alias("_year"))
-    known = sorted(r[0] for r in years.select("_year").distinct().collect())  # a handful of years
-    for kind, df in files.items():
-        for year in known:
-            of_year = df.join(years.where(F.col("_year") == year).select("Num_Acc"), "Num_Acc", "left_semi")
-            loaders.write_csv(of_year, f"{root}/{year}/{names[kind]}.csv")
-    return accidents.read_accident_dir(L.spark, root, years=[1996, 1998, 2099])
+    """The same accident files landed as ``;``/ISO-8859-1 CSV by kind and year, every year read back."""
+    return accidents.enrich_source(accidents.read_accident_source(L.spark, _landed_accidents(L)))
+
+
+@query("accidents_latest_years")
+def _accidents_latest_years(L: Layers) -> DataFrame:
+    """The two latest years of the landed files: the folders of the other years are not read."""
+    root = _landed_accidents(L)
+    header = accidents.read_accident_source(L.spark, root, kinds=("caract",))["caract"]
+    latest = header.where(F.col("annee").isNotNull()).select("annee").distinct().orderBy(F.desc("annee")).limit(2)
+    years = [r["annee"] for r in latest.collect()]
+    return accidents.enrich_source(accidents.read_accident_source(L.spark, root, years))
 
 
 # ---- loaders and materialisation --------------------------------------------------------------
@@ -431,6 +473,13 @@ def _load_all_counts(L: Layers) -> DataFrame:
     return L.spark.createDataFrame(sorted(counts.items()), "table_name string, rows long")
 
 
+def _loaded(L: Layers, table: str) -> DataFrame:
+    """A loaded table by its name, which is then taken out of the catalog again (the rows stay)."""
+    df = L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
+    loaders.drop(L.spark, table, files=False)
+    return df
+
+
 @query("load_parquet")
 def _load_parquet(L: Layers) -> DataFrame:
     """Raw policies written as Parquet, loaded (twice: replace, not append) into the
@@ -440,17 +489,34 @@ def _load_parquet(L: Layers) -> DataFrame:
     table = f"policies_{uuid.uuid4().hex[:8]}"
     loaders.load_parquet(L.spark, path, table)
     loaders.load_parquet(L.spark, path, table)
-    return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
+    return _loaded(L, table)
 
 
 @query("load_csv")
 def _load_csv(L: Layers) -> DataFrame:
-    """Raw claims written as headed CSV, loaded with inferred types into ``raw``."""
+    """Raw claims written as headed CSV, loaded with the types found on its sample into ``raw``."""
     path = scratch_path(L.spark, f"raw-claims-csv-{uuid.uuid4().hex}")
     loaders.write_csv(L.raw_claims, path, sep=",", encoding="UTF-8")
     table = f"claims_csv_{uuid.uuid4().hex[:8]}"
     loaders.load_csv(L.spark, path, table)
-    return L.spark.table(f"`{loaders.RAW_DATABASE}`.`{table}`")
+    return _loaded(L, table)
+
+
+@query("load_csv_dialect")
+def _load_csv_dialect(L: Layers) -> DataFrame:
+    """Raw claims as a tab-separated ISO-8859-1 file with every value quoted, decimal commas and
+    day-first dates, loaded without being told any of it; rejected records stay in a column."""
+    path = scratch_path(L.spark, f"raw-claims-tsv-{uuid.uuid4().hex}")
+    text = {"decimal": lambda c: F.translate(F.col(c).cast("string"), ".", ","), "date": lambda c: F.date_format(c, "dd/MM/yyyy")}
+    columns = [
+        next((to(f.name) for kind, to in text.items() if f.dataType.typeName() == kind), F.col(f.name)).alias(f.name)
+        for f in L.raw_claims.schema
+    ]
+    written = L.raw_claims.select(*columns).write.option("quoteAll", True).option("header", True)
+    written.option("sep", "\t").option("encoding", "ISO-8859-1").csv(path)
+    table = f"claims_tsv_{uuid.uuid4().hex[:8]}"
+    loaders.load_csv(L.spark, path, table, rejects="_rejected")
+    return _loaded(L, table)
 
 
 @query("loss_ratio_from_files")
@@ -473,6 +539,23 @@ def _marts_roundtrip(L: Layers) -> DataFrame:
     return loaders.read_table(L.spark, path)
 
 
+@query("marts_current")
+def _marts_current(L: Layers) -> DataFrame:
+    """The loss-ratio mart rebuilt twice as generations of one home, read through the
+    marker of the current one; the first generation is retired by the second."""
+    home = Generations(L.spark, scratch_path(L.spark, f"marts-{uuid.uuid4().hex}"))
+    home.replace({"mart_loss_ratio": L.mart_loss_ratio})
+    home.replace({"mart_loss_ratio": L.mart_loss_ratio})
+    with home.reading() as now:
+        return now.table("mart_loss_ratio")
+
+
+@query("asset_listing")
+def _asset_listing(L: Layers) -> DataFrame:
+    """The data assets of the given folder, from file metadata alone."""
+    return loaders.discover_assets(L.spark, L.sf_dir).select("asset").distinct()
+
+
 @query("stream_staged_claims")
 def _stream_staged_claims(L: Layers) -> DataFrame:
     """Raw claims landed as Parquet files, staged by the incremental (streaming) path

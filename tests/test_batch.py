@@ -100,3 +100,30 @@ def test_bucketed_staging_removes_the_join_shuffle(spark):
     if "SortMergeJoin" in plan:
         assert "Exchange" not in plan
     layers.drop_catalog_entries()
+
+
+def test_row_checks_come_from_the_writes(spark):
+    """The gate's row checks read no layer: counted by the writes, equal to a scan of them."""
+    from actuaria.operators import quality
+    from actuaria.plans.registry import Layers
+
+    layers = StoredLayers(spark, SF_SMALL)
+    checks = quality.gate_checks()
+    observed = quality.run_row_checks(layers.tables(), checks, layers.counted)
+    assert set(layers.counted) >= {c.table for c in checks} - {"stg_contracts"}
+    plan = observed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation " not in plan and "parquet" not in plan
+    scanned = quality.run_row_checks(Layers(spark, SF_SMALL).tables(), checks)
+    assert sorted(observed.collect()) == sorted(scanned.collect())
+    assert layers.rows_written()["mart_loss_ratio"] == 158
+
+
+def test_the_counters_stand_in_the_plan_of_the_write(spark):
+    layers = StoredLayers(spark, SF_SMALL)
+    df, counted = layers._with_counters("raw_claims", layers.raw_claims)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CollectMetrics" in plan.split("\n")[0] + plan.split("\n")[1] + plan.split("\n")[2]
+    df.write.format("noop").mode("overwrite").save()
+    assert counted.rows() == layers.raw_claims.count()
+    least, most = layers.enriched.selectExpr("min(ultimate_cost_eur)", "max(ultimate_cost_eur)").first()
+    assert layers.cost_bounds == (least, most)

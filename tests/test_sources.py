@@ -2,6 +2,7 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from actuaria.operators.accidents import enrich_accidents, read_accident_dir
 from actuaria.sources import loaders
@@ -137,3 +138,28 @@ def test_years_choose_the_folders_and_layouts_share_a_scan(spark, tmp_path):
     files = accident_files_by_kind(spark, str(tmp_path))["caract"]
     plan = read_accident_kind(spark, files)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 2  # two layouts, three folders
+
+
+def test_partitioned_source_prunes_years(spark, tmp_path):
+    from actuaria.operators import accidents
+
+    header = spark.createDataFrame(
+        [(y * 100 + i, y, 1, i) for y in (2018, 2019, 2020, 2021) for i in range(1, 4)], "Num_Acc long, an int, mois int, jour int"
+    )
+    keys = [r.Num_Acc for r in header.collect()]
+    lieux = spark.createDataFrame([(k, 1, 2) for k in keys] + [(keys[0], 3, 4), (5, 9, 9)], "Num_Acc long, catr int, surf int")
+    users = spark.createDataFrame([(k, 2) for k in keys[1:]], "Num_Acc long, grav int")
+    files = {"caract": header, "lieux": lieux, "usag": users, "vehic": users.select("Num_Acc")}
+    root = str(tmp_path / "landed")
+    accidents.write_accident_source(files, root)
+    whole = accidents.enrich_source(accidents.read_accident_source(spark, root))
+    assert sorted((r.annee, r.accident_id, r.type_voie) for r in whole.collect()) == sorted(
+        [(k // 100, k, 1) for k in keys] + [(2018, keys[0], 3)]
+    )
+    chosen = accidents.enrich_source(accidents.read_accident_source(spark, root, years=[2019, 2021]))
+    assert {r.annee for r in chosen.collect()} == {2019, 2021}
+    for kind, df in accidents.read_accident_source(spark, root, years=[2019, 2021]).items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [" in plan and "2019" in plan.split("PartitionFilters: [")[1].split("]")[0], kind
+        opened = {r[0].split("annee=")[1][:4] for r in df.select(F.input_file_name()).distinct().collect()}
+        assert opened <= {"2019", "2021"}
