@@ -13,7 +13,9 @@ state: after a space that follows a word the state is the same whatever stood be
 *Compilation.* A transition (state, character) -> state is annotated with the tokens that it
 emits: the count of the new prefix less that of the old one (it may be negative). States
 reached by no text need no table, so transitions are compiled when first met and kept for all later texts
-of a worker; beyond ``MAX_STATES`` the table starts again, which costs time only.
+of a worker; beyond ``MAX_STATES`` the table starts again, which costs time only. Where no piece holds a
+space after another character, a word leads from the state before it back to that state: words met
+before are transitions of their own, over all their characters at once.
 
 *Chunks.* Texts over ``CHUNK`` characters are cut into chunks that are counted by different
 tasks. The map of a chunk gives, per state at its entry, the state at its exit and the tokens emitted between. The
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import gc
 import json
+import re
 import sys
 from collections.abc import Iterator
 from types import ModuleType
@@ -46,7 +49,9 @@ from actuaria.llm.common import content_key, stored, whole_text
 CHUNK = 1 << 16  # characters
 LOOK = 256
 RADIX = 64
-MAX_STATES = 200_000
+MAX_STATES = 250_000  # some 300 MB
+MAX_WORDS, WORD_LENGTH = 200_000, 24
+WORD = re.compile("▁+[^▁]*|[^▁]+")
 START = ("", ((0, "", 0),))
 
 
@@ -68,6 +73,9 @@ class Transducer:
         self.agreed: dict[tuple[str, str], bool] = {}
         self.max_states = max_states
         self.states: dict[tuple, dict] = {}
+        self.by_word = not any(b == "▁" != a for a, b in self.pairs)
+        self.words: dict[str, int] = {}  # met lately
+        self.earlier: dict[str, int] = {}  # met before those
 
     def normal(self, text: str) -> str:
         return self.library.normalize(text)
@@ -139,7 +147,25 @@ class Transducer:
         return state[None], count
 
     def count(self, text: str) -> int:
-        return self.run(START, self.normal(text))[1]
+        text = self.normal(text)
+        if not self.by_word:
+            return self.run(START, text)[1]
+        total = 0
+        for word in WORD.findall(text):
+            n = self.words.get(word)
+            total += self.word(word) if n is None else n
+        return total
+
+    def word(self, word: str) -> int:
+        """Tokens of a word with the spaces before it; kept unless it is long."""
+        n = self.earlier.get(word)
+        if n is None:
+            n = self.run(START, word)[1]
+        if len(word) <= WORD_LENGTH:
+            if len(self.words) >= MAX_WORDS:
+                self.earlier, self.words = self.words, {}
+            self.words[word] = n
+        return n
 
 
 def _name(key: tuple) -> str:
