@@ -10,9 +10,11 @@ tested only where the first test passed. The second set holds the windows' words
 member is a verified hit, not a hash match. Only hits leave the scan: the shuffle grows
 with the contamination, not with the corpus.
 
-The sets are sent to the tasks only up to ``MAX_WINDOWS`` distinct windows; a larger
-benchmark is joined window by window instead (a shuffle that adaptive execution can split),
-with the same results.
+The sets stand in the plan itself up to ``MAX_WINDOWS`` distinct windows. Beyond, the windows of the
+documents (of the lengths that the benchmark has) meet a broadcast hash set inside the
+scan, ``BROADCAST_WINDOWS`` benchmark windows at a time: 64-bit hashes, some 24 bytes each, in as many
+blocks as the benchmark needs. What passes is verified by its words in a join of those few rows and
+goes back to the documents by content key. The results are the same.
 
 Defined results: null text or a text without words has no words and no hit; null or
 word-less items have no window; an item repeated under one item_id counts once; an item
@@ -23,13 +25,16 @@ Columns other than doc_id and text pass through untouched.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import fresh_name, whole_text
+from actuaria.llm.common import content_key, fresh_name, stored, whole_text
 
 N = 10
 MAX_WINDOWS = 50_000
+BROADCAST_WINDOWS = 2_000_000
 WORD_CHARS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 OTHER_CHARS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,29 +99,54 @@ def _hits_in_scan(words: str, windows: list) -> Column:
     return F.concat(F.expr(NO_HITS), *(_hits_of_length(words, n, g) for n, g in sorted(by_length.items())))
 
 
-def _with_hits(docs: DataFrame, benchmark: DataFrame, n: int, words: str, hits: str, max_windows: int) -> DataFrame:
+def _few(windows: DataFrame, max_windows: int) -> list | None:
+    """The windows (gram, len), unless there are more than ``max_windows``."""
+    few = windows.select("gram", "len").limit(max_windows + 1).collect()
+    return few if len(few) <= max_windows else None
+
+
+def _hits_by_broadcast(texts: DataFrame, windows: DataFrame, at_once: int) -> DataFrame:
+    """(k, f) of the texts (k, text) with a window: f is their array of (pos, len, gram)."""
+    windows = stored(windows.select("gram", "len"), "windows")
+    sizes = windows.groupBy("len").agg(F.count("*").alias("n")).collect()  # a row for each length, at most n
+    lengths, total = sorted(r["len"] for r in sizes), sum(r["n"] for r in sizes)
+    # a one-element explode keeps the words a column of their own
+    split = texts.select("k", F.explode(F.array(normal_words(F.col("text")))).alias("w"))
+    none = F.expr("cast(array() as array<int>)")
+    starts = [F.when(F.size("w") >= n, F.sequence(F.lit(0), F.size("w") - n)).otherwise(none) for n in lengths]
+    every = F.concat(F.expr(NO_HITS), *(_hits_at("w", s, n) for s, n in zip(starts, lengths)))
+    rows = split.select("k", F.explode(every).alias("h")).select("k", "h.*", F.xxhash64("h.gram").alias("x"))
+    blocks = max(1, -(-total // at_once))
+    hashes = windows.select(F.xxhash64("gram").alias("x")).distinct()
+    passed = [
+        rows.join(F.broadcast(hashes.where(F.pmod("x", F.lit(blocks)) == b)), "x", "left_semi")  # about at_once longs
+        for b in range(blocks)
+    ]
+    # copies of one text give equal rows, combined before the shuffle
+    seen = reduce(DataFrame.unionByName, passed).dropDuplicates(["k", "pos", "len"])
+    verified = seen.join(windows, ["gram", "len"], "left_semi")
+    return verified.groupBy("k").agg(F.collect_list(F.struct("pos", "len", "gram")).alias("f"))
+
+
+def _with_hits(
+    docs: DataFrame, benchmark: DataFrame, n: int, words: str, hits: str, max_windows: int, at_once: int
+) -> DataFrame:
     """``docs`` with its words and the array of window occurrences."""
     # A one-element explode keeps the words a column of their own: a filter on the hits would
     # otherwise be pushed below and split the text anew for every window it looks at.
-    marked = docs.withColumn(words, F.explode(F.array(normal_words(whole_text()))))
     windows = benchmark_windows(benchmark, n)
-    few = windows.select("gram", "len").limit(max_windows + 1).collect()
-    if len(few) <= max_windows:
+    few = _few(windows, max_windows)
+    if few is not None:
+        marked = docs.withColumn(words, F.explode(F.array(normal_words(whole_text()))))
         return marked.withColumn(hits, _hits_in_scan(words, few))
-    # every window of every document, joined by its words
-    row = fresh_name(marked, "_row")
-    marked = marked.withColumn(row, F.monotonically_increasing_id())
-    found = None
-    for length in range(1, n + 1):
-        starts = F.sequence(F.lit(0), F.size(words) - length)
-        grams = marked.where(F.size(words) >= length).select(
-            F.col(row).alias("r"), F.explode(_hits_at(words, starts, length)).alias("h")
-        )
-        part = grams.join(windows.where(F.col("len") == length).select("gram"), F.col("h.gram") == F.col("gram")).select("r", "h")
-        found = part if found is None else found.unionByName(part)
-    found = found.groupBy("r").agg(F.collect_list("h").alias("f"))
-    joined = marked.join(found, marked[row] == found["r"], "left")
-    return joined.withColumn(hits, F.coalesce("f", F.expr(NO_HITS))).drop("r", "f", row)
+    texts = docs.select(whole_text().alias("text")).select(content_key(F.col("text")).alias("k"), "text")
+    key = fresh_name(docs, "_text_key")
+    found = _hits_by_broadcast(texts, windows, at_once).select(F.col("k").alias(key), F.col("f").alias(hits))
+    joined = docs.withColumn(key, content_key(whole_text())).join(found, key, "left")
+    return (
+        joined.withColumn(hits, F.coalesce(F.col(hits), F.expr(NO_HITS)))
+        .withColumn(words, normal_words(whole_text())).drop(key)
+    )
 
 
 def _covered(hits: str) -> Column:
@@ -125,9 +155,11 @@ def _covered(hits: str) -> Column:
     return F.array_distinct(F.flatten(spans))
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def contamination(
+    docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows: int = MAX_WINDOWS, at_once: int = BROADCAST_WINDOWS
+) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, items (sorted array of item_id strings)."""
-    marked = _with_hits(docs.select("doc_id", "text"), benchmark, n, "w", "hits", max_windows)
+    marked = _with_hits(docs.select("doc_id", "text"), benchmark, n, "w", "hits", max_windows, at_once)
     thin = marked.select(
         F.monotonically_increasing_id().alias("row"), "doc_id",
         F.size("w").cast("long").alias("n_words"),
@@ -145,7 +177,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = N, max_windows
 
 
 def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, n: int = N, remove: str = "documents", max_windows: int = MAX_WINDOWS
+    docs: DataFrame, benchmark: DataFrame, n: int = N, remove: str = "documents", max_windows: int = MAX_WINDOWS,
+    at_once: int = BROADCAST_WINDOWS,
 ) -> DataFrame:
     """``docs`` without the benchmark's windows, all columns kept.
 
@@ -153,7 +186,7 @@ def decontaminate(
     the hit words, each with the separator after it (text null where it was null).
     """
     words, hits = fresh_name(docs, "_words"), fresh_name(docs, "_hits")
-    marked = _with_hits(docs, benchmark, n, words, hits, max_windows)
+    marked = _with_hits(docs, benchmark, n, words, hits, max_windows, at_once)
     if remove == "documents":
         return marked.where(F.size(hits) == 0).select(*docs.columns)
     if remove != "spans":

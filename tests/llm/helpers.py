@@ -30,7 +30,8 @@ def with_extras(docs):
     """The same documents with columns whose names an operator might use itself."""
     from pyspark.sql import functions as F
 
-    names = ["k", "w", "row", "n", "_words", "_hits", "_text_key", "_drop", "_row_key", "_toxicity", "score", "fp"]
+    names = ["k", "w", "row", "n", "_words", "_hits", "_text_key", "_drop", "_row_key", "_toxicity", "score", "fp",
+             "r", "f", "h", "gram", "pos", "len", "x", "at", "leaf", "exact", "drop", "entity", "term", "spans", "w_"]
     return docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(names)))
 
 

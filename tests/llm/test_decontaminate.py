@@ -45,11 +45,11 @@ DOCS = [
 ]
 
 
-@pytest.mark.parametrize("most", [D.MAX_WINDOWS, 0])
-def test_hits_match_a_direct_scan(spark, most):
+@pytest.mark.parametrize("most, at_once", [(D.MAX_WINDOWS, 1), (0, D.BROADCAST_WINDOWS), (0, 7)])
+def test_hits_match_a_direct_scan(spark, most, at_once):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = D.contamination(docs, items, max_windows=most).collect()
+    got = D.contamination(docs, items, max_windows=most, at_once=at_once).collect()
     assert sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in got) == brute(DOCS, ITEMS)
 
 
@@ -74,3 +74,13 @@ def test_empty_tables(spark):
     assert D.contamination(empty_docs(spark), none).count() == 0
     assert all(r["n_hit"] == 0 for r in D.contamination(docs, none).collect())
     assert D.decontaminate(docs, none).count() == len(DOCS)
+
+
+def test_a_large_benchmark_leaves_the_corpus_in_the_scan(spark):
+    """Only the documents' hits are shuffled: their windows meet a broadcast set before any exchange."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    texts = docs.selectExpr("cast(cast(doc_id as string) as binary) as k", "coalesce(text, '') as text")
+    plan = D._hits_by_broadcast(texts, D.benchmark_windows(items), 1000)._jdf.queryExecution().executedPlan().toString()
+    above = plan.index("Exchange hashpartitioning")  # the first exchange above the scan of the documents
+    assert "BroadcastHashJoin" in plan[above:] and "LeftSemi" in plan[above:]
