@@ -20,9 +20,10 @@ operator's work). Recurring lines are dropped, except in the first text that
 holds the template, so that no content vanishes from the corpus; the first text is that of
 the smallest doc_id.
 
-Lines are counted by hashes, combined before the shuffle, so a line that stands in a third of
+Lines are counted by 128-bit digests, combined before the shuffle, so a line that stands in a third of
 all documents costs one row a task. Only leaves met in enough texts are compared token by
-token. Decisions depend on the text alone and go back to the documents by content key.
+token. Decisions depend on the text alone and go back to the documents by content key. The work on a
+text grows with its length, however many lines it has: a text is split once, never once a line.
 
 A line of at most ``DEPTH`` tokens walks as many levels as it has tokens: it is matched exactly
 on its masked tokens.
@@ -52,6 +53,11 @@ MASK = "<*>"
 DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 
+def _digest(text: Column) -> Column:
+    """128 bits that stand for a text."""
+    return F.unhex(F.md5(text))
+
+
 def line_tokens(line: Column) -> Column:
     """Tokens of a line with those that hold a digit masked."""
     masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, DIGIT_TOKEN, MASK)).otherwise(line)
@@ -59,7 +65,7 @@ def line_tokens(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, depth: int) -> DataFrame:
-    """The lines of every row by their position: leaf and hash of the masked tokens.
+    """The lines of every row by their position: digests of the leaf and of the masked tokens.
 
     Nested transforms and the explode above them compute a line's tokens once; a filter or
     projection over exploded lines would compute them again for each use.
@@ -69,8 +75,9 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
         lambda t: F.struct(
             # white space can only leave the first and the last token empty
             F.when((F.size(t) > 2) | (F.get(t, F.lit(0)) != "") | (F.element_at(t, -1) != ""), F.size(t)).otherwise(0).alias("size"),
-            F.xxhash64(F.size(t), F.slice(t, 1, depth)).alias("leaf"),
-            F.xxhash64(t).alias("exact"),
+            # tokens hold no white space: joined by a space they stay apart
+            _digest(F.concat(F.size(t).cast("string"), F.lit(" "), F.array_join(F.slice(t, 1, depth), " "))).alias("leaf"),
+            _digest(F.array_join(t, " ")).alias("exact"),
         ),
     )
     rows = docs.select(content_key(whole_text()).alias("k"), "doc_id", F.posexplode(described).alias("at", "line"))
@@ -78,7 +85,7 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
 
 
 def _keys(depth: int, similarity: float) -> Column:
-    """Hashes of a line's tokens without any two blocks; those left with too few positions are out."""
+    """Digests of a line's tokens without any two blocks; those left with too few positions are out."""
     rest = F.size("tokens") - depth
 
     def block(b: int) -> Column:
@@ -86,19 +93,20 @@ def _keys(depth: int, similarity: float) -> Column:
 
     blocks = [block(b) for b in range(BLOCKS)]
     line = F.struct(
-        F.array(*(F.size(b) for b in blocks)).alias("sizes"), F.array(*(F.xxhash64(b) for b in blocks)).alias("hashes")
+        F.array(*(F.size(b) for b in blocks)).alias("sizes"), F.array(*(F.md5(F.array_join(b, " ")) for b in blocks)).alias("digests"),
+        F.hex("leaf").alias("leaf"),
     )
 
     def keys_of(x: Column) -> Column:
         out = []
         for a, b in combinations(range(BLOCKS), 2):
             left = rest - F.get(x["sizes"], F.lit(a)) - F.get(x["sizes"], F.lit(b))
-            kept = [F.get(x["hashes"], F.lit(i)) for i in range(BLOCKS) if i not in (a, b)]
+            kept = [F.get(x["digests"], F.lit(i)) for i in range(BLOCKS) if i not in (a, b)]
             enough = (left > 0) & (left >= similarity * rest)
-            out.append(F.when(enough, F.xxhash64("leaf", F.lit(a), F.lit(b), *kept)))
+            out.append(F.when(enough, _digest(F.concat(x["leaf"], F.lit(f" {a} {b} "), *kept))))
         return F.array_compact(F.array(*out))
 
-    # one transform, so that the blocks are hashed once
+    # one transform, so that the blocks are digested once
     return F.get(F.transform(F.array(line), keys_of), F.lit(0))
 
 
@@ -124,9 +132,15 @@ def recurring_lines(
         .groupBy(F.col("w.k").alias("k")).agg(F.collect_list(F.struct("leaf", "exact", "n", "w.at")).alias("w"))
     )
     texts = docs.select(content_key(whole_text()).alias("k"), whole_text().alias("text"))
-    picked = texts.join(wanted, "k").select(F.split("text", "\n", -1).alias("all"), F.explode("w").alias("w"))
+    # A one-element explode splits a text once and keeps the lines a column of their own, where the
+    # transform below would split anew for each line; exploding lines beside it would copy it for each.
+    opened = texts.join(wanted, "k").select("w", F.explode(F.array(F.split("text", "\n", -1))).alias("all"))
+    chosen = F.transform(
+        "w", lambda x: F.struct(x["leaf"].alias("leaf"), x["exact"].alias("exact"), x["n"].alias("n"), F.get("all", x["at"]).alias("line"))
+    )
+    picked = opened.select(F.explode(chosen).alias("w"))
     tokens = stored(
-        picked.select("w.leaf", "w.exact", "w.n", line_tokens(F.get("all", F.col("w.at"))).alias("tokens"))
+        picked.select("w.leaf", "w.exact", "w.n", line_tokens(F.col("w.line")).alias("tokens"))
         .dropDuplicates(["leaf", "exact"]),
         "tokens",
     )
@@ -157,8 +171,10 @@ def recurring_lines(
         apart.select("leaf", "exact", F.explode("keys").alias("key")).join(often, "key")
         .groupBy("leaf", "exact").agg(F.max_by("key", F.struct("n", "key")).alias("key"))
     )
-    template = F.when(F.col("agrees"), F.col("leaf")).otherwise(F.coalesce("key", F.xxhash64("leaf", "exact")))
+    template = F.when(F.col("agrees"), F.col("leaf")).otherwise(F.coalesce("key", "exact"))
     templates = judged.join(chosen, ["leaf", "exact"], "left").select("leaf", "exact", template.alias("template"))
+    # stored before the join, like the leaves: a line met very often can then be split
+    templates = stored(templates, "templates")
 
     named = stored(lines.join(templates, ["leaf", "exact"]).select("k", "doc_id", "at", "template"), "named")
     holders = named.groupBy("template", "k").agg(F.min(order).alias("o"))
@@ -180,8 +196,13 @@ def drop_recurring_lines(docs: DataFrame, column: str | None = None, **options)
     found = recurring_lines(docs.select("doc_id", "text"), **options)
     found = found.select(F.col("k").alias(key), F.col("drop").alias(drop))
     joined = docs.withColumn(key, content_key(whole_text())).join(found, key, "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(drop, i))
-    out = joined.withColumn(
-        "text", F.when(F.col(drop).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    lines = fresh_name(joined, "_lines")
+    # split once, as above, and only where lines go; positions are taken out as sets
+    split = F.when(F.col(drop).isNotNull(), F.split("text", "\n", -1))
+    opened = joined.withColumn(lines, F.explode(F.array(split)))
+    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))
+    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
+    out = opened.withColumn(
+        "text", F.when(F.col(drop).isNull(), F.col("text")).otherwise(text)
     ).withColumn(count, F.coalesce(F.size(drop), F.lit(0)).cast("long"))
     return out.select(*docs.columns, *([column] if column else []))

@@ -1,7 +1,10 @@
 """Template decisions against a plain Python walk of the same tree."""
 
+import hashlib
 import re
+import time
 from collections import Counter, defaultdict
+from itertools import combinations
 
 from actuaria.llm import line_templates as L
 from tests.llm.helpers import empty_docs, odd_docs, odd_rows, prose, with_extras
@@ -14,12 +17,34 @@ def tokens(line):
     return re.split(r"\s+", masked.strip(" "))
 
 
-def brute(rows, least=L.MIN_DOCUMENTS, depth=L.DEPTH, similarity=L.SIMILARITY):
+def line_keys(t, depth, similarity):
+    """The line without any two of its blocks, where enough of it is left."""
+    rest, out = len(t) - depth, []
+    blocks = [t[depth + b :: L.BLOCKS] for b in range(L.BLOCKS)]
+    for a, b in combinations(range(L.BLOCKS), 2):
+        left = rest - len(blocks[a]) - len(blocks[b])
+        if left > 0 and left >= similarity * rest:
+            out.append((a, b, *(blocks[i] for i in range(L.BLOCKS) if i not in (a, b))))
+    return out
+
+
+def digest(text):
+    return hashlib.md5(text.encode()).digest()
+
+
+def key_digest(leaf, key):
+    a, b, *blocks = key
+    name = digest(f"{leaf[0]} " + " ".join(leaf[1:])).hex().upper()
+    return digest(name + f" {a} {b} " + "".join(digest(" ".join(x)).hex() for x in blocks))
+
+
+def brute(rows, least=L.MIN_DOCUMENTS, depth=L.DEPTH, similarity=L.SIMILARITY, reached=None):
+    """All templates: a leaf's consensus, then the key held by the most texts, then the line itself."""
     lines = []
     for i, text in rows:
         for at, line in enumerate((text or "").split("\n")):
             t = tokens(line)
-            if len(t) >= L.MIN_TOKENS:
+            if any(t):
                 lines.append((text or "", i, at, (len(t), *t[:depth]), tuple(t)))
     texts_of = defaultdict(set)
     for text, _, _, leaf, _ in lines:
@@ -30,10 +55,28 @@ def brute(rows, least=L.MIN_DOCUMENTS, depth=L.DEPTH, similarity=L.SIMILARITY):
         for p, w in enumerate(t):
             votes[leaf, p][w] += 1
     top = {k: max(c, key=lambda w: (c[w], w.encode())) for k, c in votes.items()}
+
+    def agrees(leaf, t):
+        same = sum(top[leaf, p] == t[p] for p in range(depth, len(t)))
+        return same >= similarity * max(len(t) - depth, 1)
+
+    holding = defaultdict(set)
+    for text, _, _, leaf, t in busy:
+        if not agrees(leaf, t):
+            for key in line_keys(t, depth, similarity):
+                holding[leaf, key].add(text)
     named = []
     for text, i, at, leaf, t in busy:
-        same = sum(top[leaf, p] == t[p] for p in range(depth, len(t)))
-        named.append((text, i, at, leaf if same >= similarity * max(len(t) - depth, 1) else (leaf, t)))
+        own = [(leaf, k) for k in line_keys(t, depth, similarity) if len(holding[leaf, k]) >= least]
+        if agrees(leaf, t):
+            name, way = leaf, "consensus"
+        elif own:  # ties go to the greater digest
+            name, way = max(own, key=lambda k: (len(holding[k]), key_digest(*k))), "key"
+        else:
+            name, way = (leaf, t), "line"
+        named.append((text, i, at, name))
+        if reached is not None:
+            reached[way] += 1
     holders, firsts = defaultdict(set), {}
     for text, i, _, name in named:
         holders[name].add(text)
@@ -51,6 +94,17 @@ def brute(rows, least=L.MIN_DOCUMENTS, depth=L.DEPTH, similarity=L.SIMILARITY):
     return sorted(out)
 
 
+def families():
+    """A leaf full of prose, with two families of two word fields each among it."""
+    lines = [f"see also the {prose(500 + i, 7)}" for i in range(60)]
+    names = prose(77, 400).split()
+    one = [f"see also the page that {names[i]}x has written on {names[-i - 1]}y" for i in range(6)]
+    two = [f"see also the last {names[i]}z of our {names[-i - 1]}w about cats" for i in range(6)]
+    texts = [f"{x}\n{prose(2000 + i, 5)}" for i, x in enumerate(lines)]
+    texts += [f"{a}\n{b}\n{prose(3000 + i, 5)}" for i, (a, b) in enumerate(zip(one, two))]
+    return list(enumerate(texts))
+
+
 def rows():
     out = odd_rows()
     for i in range(30):
@@ -70,6 +124,31 @@ def test_decisions_match_a_plain_walk(spark):
     assert got == brute(rows())
 
 
+def test_every_kind_of_template_matches_a_plain_walk(spark):
+    every = [(1000 + i, t) for i, t in families()] + rows()
+    reached = Counter()
+    want = brute(every, reached=reached)
+    assert all(reached[way] >= 6 for way in ("consensus", "key", "line"))
+    docs = spark.createDataFrame(every, "doc_id long, text string")
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in L.drop_recurring_lines(docs).collect()) == want
+
+
+def test_texts_of_very_many_lines(spark):
+    """Time grows with the lines, not with their square: 8 times the lines, far from 64 times the time."""
+
+    def run(n):
+        texts = [f"{prose(i, 9)}\n" + "\n".join(f"line of text {x}x{w} here" for x, w in enumerate(prose(9, n).split())) for i in range(4)]
+        same = [f"{prose(20 + i, 9)}\n" + "\n".join(["the same line again and again"] * n) for i in range(4)]
+        docs = spark.createDataFrame(list(enumerate(texts + same)), "doc_id long, text string")
+        begun = time.time()
+        got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
+        assert all(got[i] == (texts + same)[i].split("\n")[0] for i in (1, 2, 3, 5, 6, 7)) and got[0] == texts[0]
+        return time.time() - begun
+
+    short = run(4_000)
+    assert run(32_000) < 20 + 8 * short
+
+
 def test_boilerplate_goes_but_for_its_first_text(spark):
     docs = spark.createDataFrame(rows(), "doc_id long, text string")
     texts = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs, column="gone").collect()}
@@ -93,15 +172,8 @@ def test_short_lines_recur(spark):
 
 
 def test_second_template_of_a_leaf_is_found(spark):
-    # most lines with these leading words are prose; two families with two word fields each among them
-    lines = [f"see also the {prose(500 + i, 7)}" for i in range(60)]
-    names = prose(77, 400).split()
-    one = [f"see also the page that {names[i]}x has written on {names[-i - 1]}y" for i in range(6)]
-    two = [f"see also the last {names[i]}z of our {names[-i - 1]}w about cats" for i in range(6)]
-    one = [x for x in one if len(x.split()) == 10]
-    assert len(one) == 6 and all(len(x.split()) == 10 for x in two + lines)
-    texts = [f"{x}\n{prose(2000 + i, 5)}" for i, x in enumerate(lines)]
-    texts += [f"{a}\n{b}\n{prose(3000 + i, 5)}" for i, (a, b) in enumerate(zip(one, two))]
+    texts = [t for _, t in families()]
+    assert all(len(line.split()) == 10 for t in texts for line in t.split("\n")[:-1])
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
     assert got[60] == texts[60]
