@@ -6,18 +6,22 @@ with their checks. Each distinct matched value is a protected *entity*.
 *Disclosure.* Corpus co-occurrence estimates how strongly a word reveals an entity: with
 document probabilities, the pointwise mutual information
 ``log2(p(term, entity) / (p(term) p(entity)))`` is the information the term gives about the
-entity, out of the entity's own ``-log2 p(entity)``. A word met near an entity in at least
-``MIN_TEXTS`` different texts whose share of that information reaches ``GENERALISE`` is generalised
-(its place says only that a word stood there); from ``REMOVE`` on it is removed.
-
-One scan of the texts finds spans and the words near them; a second one counts the words of the
-whole corpus, added up within each batch before the shuffle. Everything shuffled is thin:
-counts, pairs and positions, never texts. A word or entity that stands in a third of all
-documents is a sum combined on the map side, and joins by it may be split.
+entity, out of the entity's own ``-log2 p(entity)``. A word that stands in the documents of an entity, in at least
+``MIN_TEXTS`` different texts, and whose share of that information reaches ``GENERALISE`` is generalised
+(its place says only that a word stood there); from ``REMOVE`` on it is removed. Every occurrence
+is, in every document: a document that leaves the entity out is where the word discloses most.
+
+*Scans.* The first one finds the entities, and the different words of documents with an
+entity. Entities and words of fewer than ``MIN_TEXTS`` texts can reach no pair and are left out before pairs are
+made, as are words too frequent for the share with any entity; copies of a text count as rows of
+one. The second scan counts the words of the whole corpus, added up within each batch before the shuffle. The
+third finds the base spans again and marks the revealing words, whose table is broadcast at most
+``TERMS_AT_ONCE`` at a time (more words take more scans), so nothing of a text is ever shuffled. The
+work on a text grows with its length, whatever stands in it.
 
 Defined results: null text is the empty text and has no span; equal texts give equal rows; an empty
-table gives an empty result; words inside base spans are never terms; a word near several
-entities gets the stronger treatment; null doc_id is kept; other columns are not read by the
+table gives an empty result; words inside base spans are never terms; a word that reveals
+several entities gets the stronger treatment; null doc_id is kept; other columns are not read by the
 search and pass through :func:`sanitise` untouched.
 """
 
@@ -25,9 +29,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -45,8 +49,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 KINDS = ("email", "ip", "card", "phone")
 # ------------------------------------------------------------------------------------------
 ADDED = ("generalised", "removed")
-CONTEXT_WORDS = 8
 MIN_TEXTS = 3
+TERMS_AT_ONCE = 200_000
 GENERALISE, REMOVE = 0.7, 0.9
 TERM = re.compile(r"[^\W\d_]{3,}")
 
@@ -93,47 +97,31 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[1], s[0]))
 
 
-def nearby_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, word, start, end) for the words near each span, on its own line."""
-    out = []
-    starts = [s[1] for s in spans]
-    for kind, a, b in spans:
-        entity = hashlib.sha256(f"{KINDS[kind]}:{text[a:b].lower()}".encode()).hexdigest()[:32]
-        lo, hi = text.rfind("\n", 0, a) + 1, text.find("\n", b)
-        hi = len(text) if hi < 0 else hi
-        before = list(TERM.finditer(text, max(lo, a - 600), a))[-CONTEXT_WORDS:]
-        after = []
-        for m in TERM.finditer(text, b, hi):
-            after.append(m)
-            if len(after) == CONTEXT_WORDS:
-                break
-        for m in [*before, *after]:
-            i = bisect_right(starts, m.start())
-            covered = any(x <= m.start() < y or m.start() <= x < m.end() for _, x, y in spans[max(0, i - 8) : i + 1])
-            if not covered:
-                out.append((entity, m.group().lower(), m.start(), m.end()))
-    return out
-
-
-def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def free_terms(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(word, start, end) of every word outside the spans, in one walk over both."""
+    i, end = 0, 0  # end: how far the spans that begin before the word reach
+    for m in TERM.finditer(text):
+        while i < len(spans) and spans[i][1] < m.end():
+            end = max(end, spans[i][2])
+            i += 1
+        if m.start() >= end:
+            yield m.group().lower(), m.start(), m.end()
+
+
+def _entity(kind: int, value: str) -> str:
+    return hashlib.sha256(f"{KINDS[kind]}:{value.lower()}".encode()).hexdigest()[:32]
+
+
+def _entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of the texts with an entity: k, their different entities and free words."""
     for batch in batches:
         rows = []
-        for doc_id, k, text in zip(batch["doc_id"], batch["k"], batch["text"]):
+        for k, text in zip(batch["k"], batch["text"]):
             spans = base_spans(text)
-            near = nearby_terms(text, spans) if spans else []
-            rows.append(
-                (
-                    doc_id, k, [s[0] for s in spans], [s[1] for s in spans], [s[2] for s in spans],
-                    [n[0] for n in near], [n[1] for n in near], [n[2] for n in near], [n[3] for n in near],
-                )
-            )
-        yield pd.DataFrame(rows, columns=["doc_id", "k", "kind", "start", "end", "entity", "term", "t_start", "t_end"])
-
-
-SCAN_SCHEMA = (
-    "doc_id string, k binary, kind array<int>, start array<int>, end array<int>, "
-    "entity array<string>, term array<string>, t_start array<int>, t_end array<int>"
-)
+            if spans:
+                entities = sorted({_entity(kind, text[a:b]) for kind, a, b in spans})
+                rows.append((k, entities, sorted({w for w, _, _ in free_terms(text, spans)})))
+        yield pd.DataFrame(rows, columns=["k", "entities", "terms"])
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,21 +132,38 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
 
 
-def revealing_terms(scanned: DataFrame, texts: DataFrame) -> DataFrame:
-    """(entity, term, share) of the terms that reveal an entity beyond ``GENERALISE``."""
-    near = scanned.select("row", "k", F.explode(F.arrays_zip("entity", "term")).alias("n"))
-    near = near.select("row", "k", "n.entity", "n.term").distinct()
-    pairs = near.groupBy("entity", "term", "k").agg(F.count("*").alias("rows")).groupBy("entity", "term").agg(
-        F.sum("rows").alias("both"), F.count("*").alias("texts")
-    ).where(F.col("texts") >= MIN_TEXTS)
-    entities = near.select("row", "entity").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = texts.select("text").mapInPandas(_word_counts, "term string, n long")
-    wanted = pairs.select("term").distinct()
-    terms = words.groupBy("term").agg(F.sum("n").alias("n_term")).join(wanted, "term", "left_semi")
-    total = scanned.agg(F.count("*").alias("total"))
-    joined = pairs.join(entities, "entity").join(terms, "term").join(F.broadcast(total))  # one row
-    information = F.log2(F.col("total") / F.col("n_entity"))
-    pmi = F.log2(F.col("both") * F.col("total") / (F.col("n_term") * F.col("n_entity")))
+def revealing_terms(docs: DataFrame) -> DataFrame:
+    """(entity, term, share) of the terms that reveal an entity beyond ``GENERALISE``.
+
+    ``docs`` has ``k`` (content key) and ``text``, one row for each document.
+    """
+    scanned = docs.mapInPandas(_entities, "k binary, entities array<string>, terms array<string>")
+    scanned = stored(scanned, "entities")
+    rows = stored(scanned.groupBy("k").agg(F.count("*").alias("rows")), "rows")  # copies are rows of one text
+
+    def supported(column: str, name: str) -> DataFrame:
+        """(k, name) of the different texts, for values in enough of them."""
+        each = scanned.select("k", F.explode(column).alias(name)).distinct()
+        often = each.groupBy(name).agg(F.count("*").alias("texts")).where(F.col("texts") >= MIN_TEXTS).select(name)
+        return each.join(stored(often, name), name)
+
+    of_entity = stored(supported("entities", "entity"), "of-entity")
+    entities = stored(of_entity.join(rows, "k").groupBy("entity").agg(F.sum("rows").alias("n_entity")), "entity-rows")
+    total, most = docs.count(), entities.agg(F.max("n_entity")).first()[0] or 0
+
+    # share >= GENERALISE needs n_term <= both * (total / n_entity) ** (1 - GENERALISE), and both <= n_entity
+    highest = int(most**GENERALISE * total ** (1 - GENERALISE)) + 1
+    of_term = supported("terms", "term").join(of_entity.select("k").distinct(), "k", "left_semi")
+    wanted = stored(of_term.select("term").distinct(), "terms")
+    words = docs.select("text").mapInPandas(_word_counts, "term string, n long")
+    counts = words.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= highest)
+    counts = stored(counts.join(wanted, "term", "left_semi"), "term-rows")
+
+    pairs = of_entity.join(of_term.join(counts.select("term"), "term"), "k").join(rows, "k")
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("rows").alias("both"), F.count("*").alias("texts"))
+    joined = pairs.where(F.col("texts") >= MIN_TEXTS).join(entities, "entity").join(counts, "term")
+    information = F.log2(F.lit(total) / F.col("n_entity"))
+    pmi = F.log2(F.col("both") * F.lit(total) / (F.col("n_term") * F.col("n_entity")))
     share = F.when(information > 0, pmi / information)
     return joined.select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE)
 
@@ -169,38 +174,56 @@ def _span_text(spans: Column) -> Column:
     return F.array_join(parts, ",")
 
 
-def private_spans(docs: DataFrame) -> DataFrame:
+def _spans_with(marked: dict[str, int]):
+    """Rows of doc_id, k, base and added spans; ``marked`` has the rank of each revealing word."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for doc_id, k, text in zip(batch["doc_id"], batch["k"], batch["text"]):
+                spans = base_spans(text)
+                added = [(a, marked[w], b) for w, a, b in free_terms(text, spans) if w in marked] if marked else []
+                rows.append((doc_id, k, [(a, kind, b) for kind, a, b in spans], added))
+            yield pd.DataFrame(rows, columns=["doc_id", "k", "base", "added"])
+
+    return scan
+
+
+PLACES = "array<struct<start:int,rank:int,end:int>>"
+
+
+def private_spans(docs: DataFrame, terms_at_once: int = TERMS_AT_ONCE) -> DataFrame:
     """doc_id, k (content key), base and added spans of every row of ``docs``.
 
     ``base`` and ``added`` are arrays of (start, rank, kind, end), ends exclusive, in code points.
     """
     keyed = docs.select("doc_id", whole_text().alias("text")).withColumn("k", content_key(F.col("text")))
-    scanned = stored(
-        keyed.select(F.col("doc_id").cast("string"), "k", "text").mapInPandas(_scan, SCAN_SCHEMA), "scanned"
-    ).withColumn("row", F.monotonically_increasing_id())
-    scanned = stored(scanned, "rows")
-    revealing = revealing_terms(scanned, keyed)
-    places = scanned.select("row", F.explode(F.arrays_zip("entity", "term", "t_start", "t_end")).alias("n"))
-    hits = (
-        places.select("row", "n.entity", "n.term", F.col("n.t_start").alias("start"), F.col("n.t_end").alias("end"))
-        .join(revealing, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-    )
+    strongest = revealing_terms(keyed.select("k", "text")).groupBy("term").agg(F.max("share").alias("share"))
     strong = (F.col("share") >= REMOVE).cast("int")
-    label = F.when(strong == 1, ADDED[1]).otherwise(ADDED[0])
-    added = hits.groupBy("row").agg(
-        F.collect_list(
-            F.struct("start", (strong + len(KINDS)).alias("rank"), label.alias("kind"), "end")
-        ).alias("added")
-    )
-    names = F.array(*(F.lit(x) for x in KINDS))
-    base = F.transform(
-        F.arrays_zip("start", "kind", "end"),
-        lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("rank"), F.get(names, s["kind"]).alias("kind"), s["end"].alias("end")),
-    )
-    none = F.expr("cast(array() as array<struct<start:int,rank:int,kind:string,end:int>>)")
-    return scanned.select("row", "doc_id", "k", base.alias("base")).join(added, "row", "left").select(
-        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "k", "base",
-        F.coalesce("added", none).alias("added"),
+    found = stored(strongest.select("term", (strong + len(KINDS)).alias("rank")), "revealing")
+    scans = max(1, -(-found.count() // terms_at_once))
+    block = F.pmod(F.xxhash64("term"), F.lit(scans))
+    rows = keyed.select(F.col("doc_id").cast("string"), "k", "text")
+    parts = []
+    for i in range(scans):
+        marked = {r["term"]: r["rank"] for r in found.where(block == i).collect()}  # about terms_at_once words
+        parts.append(rows.mapInPandas(_spans_with(marked), f"doc_id string, k binary, base {PLACES}, added {PLACES}"))
+    whole = parts[0]
+    if scans > 1:  # the marks of the other scans, by text
+        others = reduce(DataFrame.unionByName, parts[1:]).where(F.size("added") > 0).dropDuplicates(["k", "added"])
+        more = others.groupBy("k").agg(F.flatten(F.collect_list("added")).alias("more"))
+        none = F.expr(f"cast(array() as {PLACES})")
+        whole = whole.join(more, "k", "left").withColumn("added", F.concat("added", F.coalesce("more", none)))
+    names = F.array(*(F.lit(x) for x in (*KINDS, *ADDED)))
+
+    def named(column: str) -> Column:
+        return F.transform(
+            column,
+            lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), F.get(names, s["rank"]).alias("kind"), s["end"].alias("end")),
+        ).alias(column)
+
+    return whole.select(
+        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), "k", named("base"), named("added")
     )
 
 
@@ -231,7 +254,7 @@ def mask(text: str, spans: list[tuple[int, int, str]]) -> str:
 def sanitise(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` masked, all columns and rows kept."""
     key, spans = fresh_name(docs, "_text_key"), fresh_name(docs, "_spans")
-    found = private_spans(docs).where(F.size("base") > 0).dropDuplicates(["k"])
+    found = private_spans(docs).where((F.size("base") > 0) | (F.size("added") > 0)).dropDuplicates(["k"])
     found = found.select(F.col("k").alias(key), F.concat("base", "added").alias(spans))
 
     def masked(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:

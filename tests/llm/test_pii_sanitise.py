@@ -2,7 +2,10 @@
 
 import math
 import re
+import time
 
+import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -49,35 +52,72 @@ def corpus():
     rows = []
     for i in range(40):
         text = prose(60 + i, 30)
-        if i < 6:
-            text = f"{prose(i, 10)} codename zephyrus mail boss@corp.example about na\n{text}"
+        if i < 6:  # a signature line above, a word 50 words off, and the mail itself
+            text = f"signed Zephyrus\nboss@corp.example about na\n{prose(i, 50)} quillon {text}"
         rows.append((i, text + (" common na" if i % 2 else "")))
+    rows += [(50, f"{prose(70, 20)} zephyrus and quillon alone"), (51, "boss@corp.example 10.0.0.1 4111111111111111")]
+    rows += [(60 + i, f"10.9.8.7 rare{'abc'[i]}word seen") for i in range(2)]  # two texts are too few
     return [*rows, (0, rows[0][1]), (None, rows[1][1]), (99, None)]
 
 
-def test_revealing_terms_become_spans(spark):
-    docs = spark.createDataFrame(corpus(), "doc_id long, text string")
-    found = P.span_digests(P.private_spans(docs)).collect()
-    by_id = {r["doc_id"]: r for r in found if r["doc_id"] is not None}
-    assert len(found) == len(corpus()) and by_id[2]["n_email"] == 1 and by_id[99]["spans"] == ""
-    text = corpus()[2][1]
-    spans = dict.fromkeys(by_id[2]["spans"].split(","))
-    for word in ("codename", "zephyrus", "mail", "about"):
-        at = text.index(word)
-        assert f"removed:{at}:{at + len(word)}" in spans
-    at = text.index("boss@")
-    assert f"email:{at}:{at + 17}" in spans
-    words = [set(P.TERM.findall((t or "").lower())) for _, t in corpus()]
-    near = {w for w in P.TERM.findall(text.split("boss")[0].lower())[-8:]}
-    n = len(words)
-    holders = sum("boss@" in (t or "") for _, t in corpus())
-    for w in near:
-        both = sum(w in {x[1] for x in P.nearby_terms(t or "", P.base_spans(t or ""))} for _, t in corpus())
-        share = math.log2(both * n / (sum(w in s for s in words) * holders)) / math.log2(n / holders)
-        spot = max(m.start() for m in re.finditer(rf"\b{w}\b", text.split("boss")[0]))
-        marked = any(f"{k}:{spot}:{spot + len(w)}" in spans for k in P.ADDED)
-        if both >= 6:
-            assert marked == (share >= P.GENERALISE), w
+def direct(rows):
+    """Words marked in every document, by counting everything directly."""
+    texts = [t or "" for _, t in rows]
+    free, held = [], []
+    for t in texts:
+        spans = plain(t)
+        covered = {i for _, a, b in spans for i in range(a, b)}
+        free.append([(m.group().lower(), m.start(), m.end()) for m in P.TERM.finditer(t) if not covered & set(range(*m.span()))])
+        held.append({(k, t[a:b].lower()) for k, a, b in spans})
+    words = [{w for w in P.TERM.findall(t.lower())} for t in texts]
+    n, share = len(texts), {}
+    for entity in set().union(*held):
+        holders = [i for i in range(n) if entity in held[i]]
+        information = math.log2(n / len(holders))
+        for w in {w for i in holders for w, _, _ in free[i]}:
+            both = [i for i in holders if w in {x for x, _, _ in free[i]}]
+            if len({texts[i] for i in both}) >= P.MIN_TEXTS and information > 0:
+                pmi = math.log2(len(both) * n / (sum(w in s for s in words) * len(holders)))
+                share[w] = max(share.get(w, 0), pmi / information)
+    kind = {w: P.ADDED[x >= P.REMOVE] for w, x in share.items() if x >= P.GENERALISE}
+    out = []
+    for (i, _), t, f in zip(rows, texts, free):
+        spans = [(a, k, P.KINDS[k], b) for k, a, b in plain(t)]
+        spans += [(a, len(P.KINDS) + P.ADDED.index(kind[w]), kind[w], b) for w, a, b in f if w in kind]
+        out.append((str(i), ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(spans))))
+    return sorted(out), kind
+
+
+@pytest.mark.parametrize("at_once", [P.TERMS_AT_ONCE, 2])
+def test_spans_equal_direct_counting(spark, at_once):
+    docs = with_extras(spark.createDataFrame(corpus(), "doc_id long, text string"))
+    want, kind = direct(corpus())
+    assert {"zephyrus", "quillon", "signed"} <= set(kind) and "common" not in kind and "rareaword" not in kind
+    found = P.span_digests(P.private_spans(docs, terms_at_once=at_once))
+    assert sorted((str(r["doc_id"]), r["spans"]) for r in found.collect()) == want
+    assert "removed:" in dict(want)["50"]  # a document without the entity
+
+
+def test_one_long_line_is_linear():
+    """A line of very many entities and words: 16 times the length, far from 256 times the time."""
+
+    def seconds(n):
+        text = " ".join(f"10.{i % 250}.{i // 250 % 250}.7 word{'abcdefghij'[i % 10]}x" for i in range(n))
+        begun = time.time()
+        batch = pd.DataFrame({"doc_id": ["1"], "k": [b""], "text": [text]})
+        next(P._entities(iter([batch])))
+        added = next(P._spans_with({"wordax": 4})(iter([batch])))["added"][0]
+        assert len(added) == n // 10
+        return time.time() - begun
+
+    short = max(seconds(4_000), 0.02)
+    assert seconds(64_000) < 60 * short  # over 1 MB
+
+
+def test_words_in_long_spans_are_no_terms():
+    inside = "+1 (234) 567-8901." * 40  # many spans inside one long local part
+    text = f"{inside}abcdef.ghijk@example.org word"
+    assert [w for w, _, _ in P.free_terms(text, P.base_spans(text))] == ["word"]
 
 
 def test_masked_texts_and_odd_rows(spark):
