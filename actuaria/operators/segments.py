@@ -4,13 +4,20 @@ A state is an aggregate at the finest grain that any mart asks for, in measures
 merged: sums, counts, least and greatest values (a mean is its sum and its count). Sums keep
 their full precision; a mart casts what it shows. Rolling a state up gives the same rows as the
 aggregate over all policies or claims, from a few thousand rows.
+
+Distinct counts do not add up. Their state is the set itself, as bitmaps over dense policy
+numbers (:func:`policy_bitmaps`): merged by OR, counted exactly at any coarser grain.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from actuaria.session import materialize
+
 POLICY_KEYS = ["line_of_business", "region", "inception_year", "channel", "age_segment"]
 CLAIM_KEYS = ["line_of_business", "region", "age_segment", "accident_year", "claim_type"]
 
@@ -81,3 +88,45 @@ def rolled_up(state: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     measures = [c for c in state.columns if c in known]
     merged = (merge.get(c.rsplit("_", 1)[-1], F.sum)(c).alias(c) for c in measures)
     return state.groupBy(*keys).agg(*merged, *more)
+
+
+SEEN_KEYS = ["line_of_business", "region", "accident_year"]
+
+
+def policy_bitmaps(stg_claims: DataFrame) -> DataFrame:
+    """The policies with claims per :data:`SEEN_KEYS`: bitmaps of 32,768 policy numbers each.
+
+    Policies are numbered densely in the order of their first segment, so the policies of a
+    segment lie close together and few bitmaps are sparse. The numbers come from a range sort,
+    each task numbering its own range; the ranges' sizes (one number for each task) give the
+    offsets. A policy's claims are reduced to its few segments before any sort, and a segment is spread
+    over the tasks by bitmap, so neither a hot policy nor a hot segment meets in one task.
+    Claims without a policy id are in no bitmap.
+    """
+    segment = F.struct("line_of_business", "region", F.year("claim_date").alias("accident_year"))
+    seen = stg_claims.where(F.col("policy_id").isNotNull()).groupBy("policy_id").agg(F.collect_set(segment).alias("segments"))
+    order = [F.array_min("segments").alias("first"), "policy_id"]
+    ranged = seen.select("segments", *order).repartitionByRange("first", "policy_id").sortWithinPartitions("first", "policy_id")
+    # the row's id: the number of its range in the upper bits, its place there in the lower 33
+    placed = materialize(ranged.select("segments", F.monotonically_increasing_id().alias("id")), "policies-seen")
+    part = F.shiftright("id", 33).alias("part")
+    sizes = placed.groupBy(part).agg(F.min("id").alias("least"), F.count("*").alias("n")).orderBy("part").collect()
+    before = [0, *accumulate(r["n"] for r in sizes)]
+    shifts = [(r["part"], at + 1 - r["least"]) for r, at in zip(sizes, before)]
+    shift = stg_claims.sparkSession.createDataFrame(shifts, "part long, shift long")
+    numbered = placed.select("segments", "id", part).join(F.broadcast(shift), "part").select(  # a row for each range
+        F.explode("segments").alias("s"), (F.col("id") + F.col("shift")).alias("number")
+    )
+    bits = numbered.select(
+        "s.*", F.bitmap_bucket_number("number").alias("bucket"), F.bitmap_bit_position("number").alias("position")
+    )
+    # built after the shuffle: a partial bitmap of every task would be far larger than its numbers
+    return bits.repartition(*SEEN_KEYS, "bucket").groupBy(*SEEN_KEYS, "bucket").agg(
+        F.bitmap_construct_agg("position").alias("policies")
+    )
+
+
+def distinct_policies(bitmaps: DataFrame, keys: list[str]) -> DataFrame:
+    """Exact ``policy_count`` at a grain coarser than (or equal to) that of the bitmaps."""
+    merged = bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("policies").alias("policies"))
+    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("policies")).cast("bigint").alias("policy_count"))

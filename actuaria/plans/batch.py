@@ -20,7 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actuaria.operators import marts, quality, segments, staging
+from actuaria.operators import intermediate, marts, quality, segments, staging
 from actuaria.plans.registry import Layers, all_quality_results
 from actuaria.session import scratch_path
 from actuaria.sources import loaders
@@ -54,6 +54,14 @@ STORED = STATES | frozenset({
     "mart_portfolio_performance",
 })
 COST = "ultimate_cost_eur"
+# Marts stored by year (their readers filter on it) and sorted by line and region within
+CLUSTERED = {
+    "mart_loss_ratio": "accident_year",
+    "mart_claims_frequency": "accident_year",
+    "mart_portfolio_performance": "inception_year",
+    "int_portfolio_summary": "accident_year",
+}
+BROADCAST_POLICIES = 1_000_000  # policies of very frequent ids that a join may broadcast
 # Staging tables written bucketed by the join key of the enrichment (claims ⋈ policies)
 BUCKETED = {"stg_policies": "policy_id", "stg_claims": "policy_id"}
 # For a quality run alone: every layer that is checked, so that its write carries the checks.
@@ -87,15 +95,14 @@ class StoredLayers(Layers):
         self.audit = audit
         self.stored = STORED if stored is None else frozenset(stored)
         # Opt-in: staging tables bucketed by policy_id make the enrichment join
-        # shuffle-free, but a bucket holds all rows of a key, so one very frequent
-        # policy would be written and joined by a single task with no adaptive split.
-        # Only for data whose key frequencies are known to be bounded; by default the
-        # join shuffles and AQE splits skewed partitions.
+        # shuffle-free. It costs one more write of both, which pays for runs that join them
+        # several times. Very frequent policies are kept out of the buckets (see _write_bucketed).
         # Bucket count: the session's shuffle partition count.
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.tables_created: list[str] = []
         self.bucketed = bucketed
         self.counted: dict[str, quality.Counted] = {}
+        self.layout: dict[str, tuple[DataFrame, DataFrame | None]] = {}  # (bucketed rows, rows kept apart)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -105,21 +112,26 @@ class StoredLayers(Layers):
             return df
         if self.audit and name in AUDIT_COLUMN:
             df = df.withColumn(AUDIT_COLUMN[name], F.current_timestamp())
+        stored = self._write(name, df)
         if name in BUCKETED and self.bucketed:
-            stored = self._write_bucketed(name, df, BUCKETED[name])
-        else:
-            counted, self.counted[name] = self._with_counters(name, df)
-            write_table(counted, self.path(name))
-            stored = self.spark.read.schema(df.schema).parquet(self.path(name))
+            stored = self._write_bucketed(name, stored, BUCKETED[name])
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
+    def _write(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` at ``path(name)`` with the counters of its checks; read it back."""
+        year = CLUSTERED.get(name)
+        placed = df if year is None else loaders.clustered(df, year, ["line_of_business", "region"])
+        counted, self.counted[name] = self._with_counters(name, placed)
+        write_table(counted, self.path(name), [year] if year else None)
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
+
     def _with_counters(self, name: str, df: DataFrame) -> tuple[DataFrame, quality.Counted]:
         more = [F.min(COST).alias("_least"), F.max(COST).alias("_most")] if name == "int_claims_enriched" else []
         return quality.Counted.on(df, [ch for ch in quality.gate_checks() if ch.table == name], *more)
 
     @cached_property
     def stg_claims(self) -> DataFrame:
-        if "stg_claims" not in self.stored or self.bucketed:  # a bucketed write shuffles the staged rows
+        if "stg_claims" not in self.stored:
             return Layers.stg_claims.func(self)
         raw, counted = self._with_counters("raw_claims", self.raw_claims)
         stored = self._keep("stg_claims", staging.stg_claims(raw))
@@ -155,24 +167,69 @@ class StoredLayers(Layers):
         seen = self.counted["int_claims_enriched"].seen.get
         return seen["_least"], seen["_most"]
 
-    def _write_bucketed(self, name: str, df: DataFrame, key: str) -> DataFrame:
-        """Write ``df`` as a table bucketed and sorted by ``key`` at ``path(name)``.
+    def _write_bucketed(self, name: str, staged: DataFrame, key: str) -> DataFrame:
+        """A copy of the stored layer ``staged``, bucketed and sorted by ``key``.
 
         The shuffle by ``key`` happens once, in this write; later joins and
         aggregations on ``key`` between tables with the same bucket count read the
         buckets in place (no exchange).
+
+        A bucket holds all rows of its keys. So the rows of very frequent policies, those with
+        more claims than half a bucket should hold (at most twice as many as there are buckets),
+        are written apart, unbucketed, and joined with the few policies of these ids by
+        broadcast. Staging leaves no row without a key.
         """
+        apart = None
+        hot = self.hot_policies(staged if name == "stg_claims" else None)
+        if hot is not None:
+            left = staged.join(F.broadcast(hot), key, "left_anti")
+            apart = self._write(f"{name}_apart", staged.join(F.broadcast(hot), key, "left_semi"))
+        else:
+            left = staged
         table = f"`{name}_{self.run_id}`"
-        counted, self.counted[name] = self._with_counters(name, df.repartition(self.buckets, key))
         (
-            counted.write.mode("overwrite")
+            left.repartition(self.buckets, key).write.mode("overwrite")
             .bucketBy(self.buckets, key)
             .sortBy(key)
-            .option("path", self.path(name))
+            .option("path", self.path(f"{name}_bucketed"))
             .saveAsTable(table)
         )
         self.tables_created.append(table)
-        return self.spark.table(table)
+        bucketed = self.spark.table(table)
+        self.layout[name] = bucketed, apart
+        return bucketed if apart is None else staged
+
+    def hot_policies(self, claims: DataFrame | None = None) -> DataFrame | None:
+        """Ids with too many staged claims for a bucket; None where there are none.
+
+        Counted exactly, combined on the map side. ``claims`` are the staged claims where they
+        are just being written; else they are built first.
+        """
+        if claims is not None:
+            key = BUCKETED["stg_claims"]
+            limit = self.counted["stg_claims"].rows() / (2 * self.buckets)
+            counts = claims.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+            self.hot = self._write("hot_policies", counts.where(F.col("n") > limit).select(key))
+        else:
+            _ = self.stg_claims
+        return self.hot if self.counted["hot_policies"].rows() else None
+
+    def joined_by_bucket(self) -> DataFrame:
+        """The enriched claims of the bucketed layout, without a shuffle."""
+        _ = self.stg_claims, self.stg_policies
+        (claims, hot_claims), (policies, hot_policies) = self.layout["stg_claims"], self.layout["stg_policies"]
+        joined = intermediate.claims_enriched(claims, policies)
+        if hot_claims is None:
+            return joined
+        if self.counted["stg_policies_apart"].rows() <= BROADCAST_POLICIES:
+            hot_policies = F.broadcast(hot_policies)
+        return joined.unionByName(intermediate.claims_enriched(hot_claims, hot_policies))
+
+    @cached_property
+    def enriched(self) -> DataFrame:
+        if not (self.bucketed and self.stored >= set(BUCKETED)):
+            return Layers.enriched.func(self)
+        return self._keep("int_claims_enriched", self.joined_by_bucket())
 
     def rows_written(self) -> dict[str, int]:
         """Rows of every layer written so far, as its write counted them."""

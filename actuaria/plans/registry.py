@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from actuaria.functions import bands, formatting, metrics
 from actuaria.operators import accidents, dashboard, intermediate, marts, quality, segments, staging
-from actuaria.session import scratch_path
+from actuaria.session import materialize, scratch_path
 from actuaria.sources import loaders, rawlayer
 from actuaria.sources.generations import Generations
 
@@ -214,6 +214,23 @@ def _segment_policies(L: Layers) -> DataFrame:
     return _wide_sums(segments.policies_state(L.stg_policies))
 
 
+@query("distinct_policies_rollup")
+def _distinct_policies_rollup(L: Layers) -> DataFrame:
+    """Policies with claims per (lob, region, year), (lob, year), lob and in all, rolled up from
+    one stored state (``level``: how many of the three keys a row has)."""
+    stored = materialize(segments.policy_bitmaps(L.stg_claims), "policy-bitmaps")
+    kinds = {f.name: f.dataType for f in stored.schema}
+    levels = []
+    for keys in (segments.SEEN_KEYS, ["line_of_business", "accident_year"], ["line_of_business"], []):
+        counted = segments.distinct_policies(stored, keys)
+        levels.append(counted.select(
+            F.lit(len(keys)).alias("level"),
+            *(F.col(c) if c in keys else F.lit(None).cast(kinds[c]).alias(c) for c in segments.SEEN_KEYS),
+            "policy_count",
+        ))
+    return reduce(DataFrame.unionByName, levels)
+
+
 @query("loss_ratio_from_segments")
 def _loss_ratio_from_segments(L: Layers) -> DataFrame:
     """The loss-ratio mart rolled up from the two stored segment states."""

@@ -188,6 +188,13 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
+def clustered(df: DataFrame, partition: str, within: list[str]) -> DataFrame:
+    """Rows placed for a write partitioned by ``partition``: few files a value, sorted by
+    ``within`` so that the row groups of a file cover narrow ranges. ``rebalance`` lets adaptive
+    execution spread a very large value over several files."""
+    return df.hint("rebalance", partition).sortWithinPartitions(partition, *within)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a whole layer table back."""
     return spark.read.parquet(path)

@@ -127,3 +127,61 @@ def test_the_counters_stand_in_the_plan_of_the_write(spark):
     assert counted.rows() == layers.raw_claims.count()
     least, most = layers.enriched.selectExpr("min(ultimate_cost_eur)", "max(ultimate_cost_eur)").first()
     assert layers.cost_bounds == (least, most)
+
+
+def test_marts_are_stored_by_year_and_filters_skip_files(spark):
+    from actuaria.operators import dashboard
+
+    mart = StoredLayers(spark, SF_SMALL).mart_loss_ratio
+
+    def files_read(df):
+        df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        return leaves.apply(0).metrics().apply("numFiles").value()
+
+    every = files_read(mart)
+    one = dashboard.apply_filter(mart, dashboard.DashboardFilter(years=(1996,)))
+    assert every >= 7 and files_read(one) < every / 2
+    lazy = contract.queries()["loss_ratio"](spark, SF_SMALL)
+    assert mart.dtypes == lazy.dtypes and sorted(mart.collect(), key=str) == sorted(lazy.collect(), key=str)
+
+
+def test_states_give_the_marts_also_where_a_policy_repeats(spark, tmp_path):
+    """A policy id held by two policies repeats claims in the enriched layer, not in the mart."""
+    from actuaria.plans.batch import FileLayers, StoredFileLayers
+    from tests.test_skew import raw_frames
+
+    for copies in (1, 2):
+        policies, claims = raw_frames(spark, hot_claims=40, cold_policies=12)
+        folder = str(tmp_path / str(copies))
+        for i in range(copies):
+            policies.where("policy_id <> 'P3'" if i else "true").write.mode("append").parquet(f"{folder}/policies.parquet")
+        claims.write.parquet(f"{folder}/claims.parquet")
+        stored, lazy = StoredFileLayers(spark, folder), FileLayers(spark, folder)
+        for name in ("mart_loss_ratio", "mart_claims_frequency", "mart_portfolio_performance", "portfolio_summary"):
+            assert sorted(getattr(stored, name).collect()) == sorted(getattr(lazy, name).collect()), (name, copies)
+        plan = stored._loss_ratio()._jdf.queryExecution().optimizedPlan().toString()
+        assert ("claim_id" in plan) == (copies == 2)  # the states suffice, or the staged claims are counted
+
+
+def test_hot_policy_stays_out_of_the_buckets(spark, tmp_path):
+    from actuaria.plans.batch import FileLayers, StoredFileLayers
+    from tests.test_skew import conf, raw_frames
+
+    policies, claims = raw_frames(spark, hot_claims=4000, cold_policies=900)
+    policies.write.parquet(str(tmp_path / "policies.parquet"))
+    claims.write.parquet(str(tmp_path / "claims.parquet"))
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}):
+        layers = StoredFileLayers(spark, str(tmp_path), buckets=8, bucketed=True)
+        joined = layers.joined_by_bucket()
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+        lazy = FileLayers(spark, str(tmp_path)).enriched
+        assert sorted(map(str, rows)) == sorted(map(str, lazy.collect())) and len(rows) == 4000 + 2700
+        assert [r[0] for r in layers.hot.collect()] == ["P0"]
+        bucketed = spark.read.parquet(layers.path("stg_claims_bucketed"))
+        largest = bucketed.groupBy("_metadata.file_name").count().agg({"count": "max"}).first()[0]
+        assert bucketed.count() == 2700 and largest < 3 * 2700 / 8
+        assert layers.stg_claims.count() == 6700 and layers.mart_loss_ratio.count() > 0
+        layers.drop_catalog_entries()

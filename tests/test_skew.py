@@ -38,15 +38,19 @@ def conf(spark, values):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
-def frames(spark, hot_claims=4000, cold_policies=200):
+def raw_frames(spark, hot_claims=4000, cold_policies=200):
     pols = [(f"P{i}", "Auto", "R", 30, DAY, DAY + dt.timedelta(days=365), D("100.00"), "ACTIVE", "Direct")
             for i in range(cold_policies + 1)]
     clms = [(f"H{i}", "P0", "Auto", "R", DAY, DAY, D(f"{i % 997}.00"), D("0"), D("0"), "open", "Theft")
             for i in range(hot_claims)]
     clms += [(f"C{p}-{j}", f"P{p}", "Auto", "R", DAY, DAY, D("10.00"), D("0"), D("0"), "open", "Theft")
              for p in range(1, cold_policies + 1) for j in range(3)]
-    return (staging.stg_policies(spark.createDataFrame(pols, RAW_POLICIES_SCHEMA)),
-            staging.stg_claims(spark.createDataFrame(clms, RAW_CLAIMS_SCHEMA)))
+    return spark.createDataFrame(pols, RAW_POLICIES_SCHEMA), spark.createDataFrame(clms, RAW_CLAIMS_SCHEMA)
+
+
+def frames(spark, hot_claims=4000, cold_policies=200):
+    policies, claims = raw_frames(spark, hot_claims, cold_policies)
+    return staging.stg_policies(policies), staging.stg_claims(claims)
 
 
 def test_hot_policy_is_split_by_the_skew_join(spark):
