@@ -8,8 +8,10 @@ first run in this JVM (includes code generation for its plan), ``queries`` the s
 graph is already built; every run still executes its whole plan over the tables, and
 queries that materialise an input or build stored layers write them again).
 ``batch_run`` is one batch run that
-builds every layer once, writes the marts and runs the quality gate. Prints one JSON
-line; ``value`` is the sum of the steady-state query times.
+builds every layer once, writes the marts and runs the quality gate. ``calibration`` is
+the time of two fixed pieces of work, before and after the queries: a loop of one Python process
+and a Spark sum that keeps every core busy. Runs on different (or shared) hosts compare by them.
+Prints one JSON line; ``value`` is the sum of the steady-state query times.
 """
 
 from __future__ import annotations
@@ -44,6 +46,15 @@ def run(spark, name: str, sf_dir: str) -> float:
     return round(time.perf_counter() - t0, 3)
 
 
+def calibrate(spark) -> dict[str, float]:
+    """Seconds of work that does not depend on this library."""
+    t0 = time.perf_counter()
+    sum(i * i % 7 for i in range(5_000_000))
+    t1 = time.perf_counter()
+    spark.range(0, 400_000_000, 1, 64).selectExpr("sum(id * id % 7) as s").collect()
+    return {"python": round(t1 - t0, 3), "spark": round(time.perf_counter() - t1, 3)}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -59,6 +70,8 @@ def main() -> None:
         },
     )
     run(spark, "stg_policies", sf_dir)  # warm-up
+    calibrate(spark)
+    before = calibrate(spark)
     cold = {name: run(spark, name, sf_dir) for name in names}
     warm = {name: run(spark, name, sf_dir) for name in names}
     t0 = time.perf_counter()
@@ -75,6 +88,7 @@ def main() -> None:
                 "cold_queries": cold,
                 "cold_total": round(sum(cold.values()), 3),
                 "batch_run": batch_run,
+                "calibration": {"before": before, "after": calibrate(spark)},
                 "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
                 "cpus": cpus,
             }
