@@ -53,9 +53,9 @@ MASK = "<*>"
 DIGIT_TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 
-def _digest(text: Column) -> Column:
-    """128 bits that stand for a text."""
-    return F.unhex(F.md5(text))
+def _digest(*values: Column) -> Column:
+    """128 bits that stand for the values: two hashes of different seeds."""
+    return F.struct(F.xxhash64(*values).alias("a"), F.xxhash64(F.lit(1), *values).alias("b"))
 
 
 def line_tokens(line: Column) -> Column:
@@ -75,9 +75,8 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
         lambda t: F.struct(
             # white space can only leave the first and the last token empty
             F.when((F.size(t) > 2) | (F.get(t, F.lit(0)) != "") | (F.element_at(t, -1) != ""), F.size(t)).otherwise(0).alias("size"),
-            # tokens hold no white space: joined by a space they stay apart
-            _digest(F.concat(F.size(t).cast("string"), F.lit(" "), F.array_join(F.slice(t, 1, depth), " "))).alias("leaf"),
-            _digest(F.array_join(t, " ")).alias("exact"),
+            _digest(F.size(t), F.slice(t, 1, depth)).alias("leaf"),
+            _digest(t).alias("exact"),
         ),
     )
     rows = docs.select(content_key(whole_text()).alias("k"), "doc_id", F.posexplode(described).alias("at", "line"))
@@ -93,8 +92,8 @@ def _keys(depth: int, similarity: float) -> Column:
 
     blocks = [block(b) for b in range(BLOCKS)]
     line = F.struct(
-        F.array(*(F.size(b) for b in blocks)).alias("sizes"), F.array(*(F.md5(F.array_join(b, " ")) for b in blocks)).alias("digests"),
-        F.hex("leaf").alias("leaf"),
+        F.array(*(F.size(b) for b in blocks)).alias("sizes"), F.array(*(_digest(b) for b in blocks)).alias("digests"),
+        F.col("leaf").alias("leaf"),
     )
 
     def keys_of(x: Column) -> Column:
@@ -103,7 +102,8 @@ def _keys(depth: int, similarity: float) -> Column:
             left = rest - F.get(x["sizes"], F.lit(a)) - F.get(x["sizes"], F.lit(b))
             kept = [F.get(x["digests"], F.lit(i)) for i in range(BLOCKS) if i not in (a, b)]
             enough = (left > 0) & (left >= similarity * rest)
-            out.append(F.when(enough, _digest(F.concat(x["leaf"], F.lit(f" {a} {b} "), *kept))))
+            half = {h: F.xxhash64(x["leaf"][h], F.lit(a), F.lit(b), *(d[h] for d in kept)) for h in ("a", "b")}
+            out.append(F.when(enough, F.struct(*(v.alias(h) for h, v in half.items()))))
         return F.array_compact(F.array(*out))
 
     # one transform, so that the blocks are digested once

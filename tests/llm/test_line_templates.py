@@ -1,11 +1,13 @@
 """Template decisions against a plain Python walk of the same tree."""
 
-import hashlib
 import re
+import struct
 import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import xxhash
+
 from actuaria.llm import line_templates as L
 from tests.llm.helpers import empty_docs, odd_docs, odd_rows, prose, with_extras
 
@@ -28,14 +30,28 @@ def line_keys(t, depth, similarity):
     return out
 
 
-def digest(text):
-    return hashlib.md5(text.encode()).digest()
+def chain(values, seed=42):
+    """Spark's xxhash64 of strings, ints (4 bytes), longs (8 bytes, as ("long", x)) and arrays."""
+    for v in values:
+        if isinstance(v, list):
+            seed = chain(v, seed)
+        else:
+            raw = v.encode() if isinstance(v, str) else struct.pack("<i", v) if isinstance(v, int) else struct.pack("<q", v[1])
+            seed = xxhash.xxh64_intdigest(raw, seed)
+    return seed
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
 
 
 def key_digest(leaf, key):
     a, b, *blocks = key
-    name = digest(f"{leaf[0]} " + " ".join(leaf[1:])).hex().upper()
-    return digest(name + f" {a} {b} " + "".join(digest(" ".join(x)).hex() for x in blocks))
+    out = []
+    for start in ([], [1]):
+        name = signed(chain([*start, leaf[0], list(leaf[1:])]))
+        out.append(signed(chain([("long", name), a, b, *(("long", signed(chain([*start, list(x)]))) for x in blocks)])))
+    return tuple(out)
 
 
 def brute(rows, least=L.MIN_DOCUMENTS, depth=L.DEPTH, similarity=L.SIMILARITY, reached=None):
