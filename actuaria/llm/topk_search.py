@@ -9,11 +9,15 @@
    scores them through their forward index until the bound of the next block is below its
    k-th best score (a block whose bound equals it is still visited: a tie may
    go to a smaller vec_id).
-4. *Merge.* Each shard gives at most k rows a query; the best k of those are the answer.
+4. *Floors.* A query's k-th best score so far is a floor for all shards: blocks whose bound is below
+   it are not scored and vectors below it are not given out. The first floor comes from
+   a bounded sample of vectors; then the shards are searched in rounds, twice as many each time,
+   and every round's best k, kept with those before, raise the floors of the next. So a query gives about
+   k rows a round, however many shards there are.
 
 Queries are dealt in groups, and every (shard, query group) pair is one task's work of
-bounded size: a block nested loop over a stated query set. Nothing is broadcast, and the
-order of the blocks only affects the time, never the rows.
+bounded size: a block nested loop over a stated query set. Only the sample is sent to all tasks, and the
+order of blocks and shards only affects the time, never the rows.
 
 Defined results: vectors null, or holding null or non-finite components, and rows without
 vec_id take no part; shorter vectors count as zero-padded; rows equal in vec_id and vector
@@ -38,6 +42,7 @@ SHARD = 16_384  # vectors
 QUERY_GROUP = 512
 PIVOTS = 64  # directions whose best match orders the vectors before they are cut into blocks
 PIVOT_SAMPLE = 4096
+FIRST_ROUND = 8  # shards
 
 
 def integer_vectors(table: DataFrame, scale: int = 64) -> DataFrame:
@@ -56,12 +61,19 @@ def _matrix(vectors, width: int) -> np.ndarray:
     return out
 
 
-def _pivots(vectors: DataFrame) -> np.ndarray:
-    """Cluster directions from a bounded sample (they set the block order, not the result)."""
+def _sample(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and integer components of a bounded sample of the vectors."""
     sample = hash_sample(vectors, ["vec_id", "q"], PIVOT_SAMPLE).collect()
-    if not sample:
+    rows = sorted({(r["vec_id"], tuple(r["q"])) for r in sample})  # equal rows are one candidate
+    ids = np.array([i for i, _ in rows], dtype=np.int64)
+    return ids, _matrix([q for _, q in rows], max((len(q) for _, q in rows), default=0))
+
+
+def _pivots(sample: np.ndarray) -> np.ndarray:
+    """Cluster directions from the sample (they set the block order, not the result)."""
+    if not len(sample):
         return np.zeros((1, 0))
-    x = _matrix([r["q"] for r in sample], max(len(r["q"]) for r in sample)).astype(float)
+    x = sample.astype(float)
     x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
     centres = x[:PIVOTS].copy()
     for _ in range(8):
@@ -73,11 +85,10 @@ def _pivots(vectors: DataFrame) -> np.ndarray:
     return centres
 
 
-def block_index(vectors: DataFrame) -> DataFrame:
+def block_index(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
     """Rows (shard, ids, width, matrix, top, low): blocks of vectors near each other."""
     n = vectors.count()
     shards = max(1, -(-n // SHARD))
-    centres = _pivots(vectors)
 
     def cluster(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for values in batches:
@@ -118,10 +129,11 @@ def block_index(vectors: DataFrame) -> DataFrame:
     return made.withColumn("shard", F.spark_partition_id())
 
 
-def search_shard(query_ids, queries: np.ndarray, blocks: list[tuple], k: int) -> list[tuple]:
+def search_shard(query_ids, queries: np.ndarray, blocks: list[tuple], k: int, floors: np.ndarray | None = None) -> list[tuple]:
     """Best k (query_id, vec_id, score) of each query over a shard's blocks, pruned exactly.
 
-    ``blocks`` holds (ids, matrix, top, low). All queries advance together: in each round a
+    ``blocks`` holds (ids, matrix, top, low). ``floors`` are scores that k candidates of each query
+    are known to reach elsewhere: what scores less is not given (a tie may go to a smaller vec_id, so it is). All queries advance together: in each round a
     query scores its next blocks by falling bound, twice as many each time, and stops as
     soon as the next bound is below its k-th best score.
     """
@@ -140,8 +152,9 @@ def search_shard(query_ids, queries: np.ndarray, blocks: list[tuple], k: int) ->
     ranked = np.take_along_axis(bounds, order, axis=1)
     none = np.iinfo(np.int64).min
     best = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in query_ids]  # scores, ids
-    floor = np.full(len(query_ids), float("-inf"))
-    active, at, step = np.arange(len(query_ids)), 0, 1
+    given = np.full(len(query_ids), float("-inf")) if floors is None else floors.astype(float)
+    floor = given.copy()
+    active, at, step = np.flatnonzero(ranked[:, 0] >= floor) if len(blocks) else np.arange(0), 0, 1
     while len(active) and at < len(blocks):
         stop = min(at + step, len(blocks))
         by_block: dict[int, list[int]] = {}
@@ -163,12 +176,13 @@ def search_shard(query_ids, queries: np.ndarray, blocks: list[tuple], k: int) ->
             pick = np.lexsort((ids, -score))[:k]
             best[q] = (score[pick], ids[pick])
             if len(pick) == k:
-                floor[q] = best[q][0][-1]
+                floor[q] = max(floor[q], best[q][0][-1])
         at, step = stop, step * 2
         if at < len(blocks):
             active = active[ranked[active, at] >= floor[active]]
     return [
-        (int(query_ids[q]), int(i), int(s)) for q in range(len(query_ids)) for s, i in zip(*best[q]) if s != none
+        (int(query_ids[q]), int(i), int(s))
+        for q in range(len(query_ids)) for s, i in zip(*best[q]) if s != none and s >= given[q]
     ]
 
 
@@ -182,16 +196,13 @@ def top_k(table: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame
     ``is_query`` is a Column over vec_id; every row but the query's own is a candidate.
     """
     vectors = integer_vectors(table, scale)
-    index = stored(block_index(vectors), "blocks")
+    sample_ids, sample = _sample(vectors)
+    index = stored(block_index(vectors, _pivots(sample)), "blocks")
     asked = vectors.where(is_query).groupBy("vec_id").agg(F.min("q").alias("q"))
+    asked = stored(asked.mapInPandas(_first_floors(sample_ids, sample, k), "vec_id long, q array<long>, floor double"), "queries")
     groups = max(1, -(-asked.count() // QUERY_GROUP))
-    last = index.agg(F.max("shard")).first()[0]
+    shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
     group = F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("group")
-    # every query group meets every shard; one such pair is the unit of work
-    left = index.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = asked.select("vec_id", "q", group).withColumn(
-        "shard", F.explode(F.sequence(F.lit(0), F.lit(last or 0)))
-    )
 
     def search(blocks: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
@@ -205,11 +216,64 @@ def top_k(table: DataFrame, is_query, k: int = 20, scale: int = 64) -> DataFrame
             for b in blocks.itertuples()
         ]
         m = _matrix(list(queries["q"]), max(map(len, queries["q"])))
-        return pd.DataFrame(search_shard(queries["vec_id"].to_numpy(), m, ready, k), columns=names).astype("int64")
-
-    found = (
-        left.groupBy("shard", "group").cogroup(right.groupBy("shard", "group"))
-        .applyInPandas(search, "query_id long, vec_id long, score long")
-    )
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        found = search_shard(queries["vec_id"].to_numpy(), m, ready, k, queries["floor"].to_numpy())
+        return pd.DataFrame(found, columns=names).astype("int64")
+
+    def searched(queries: DataFrame, first: int, last: int) -> DataFrame:
+        # every query group meets every shard of the round; one such pair is the unit of work
+        chosen = index.withColumn("turn", _turn(shards)).where(F.col("turn").between(first, last))
+        left = chosen.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+        right = queries.select("vec_id", "q", "floor", group).withColumn(
+            "turn", F.explode(F.sequence(F.lit(first), F.lit(last)))
+        )
+        return (
+            left.groupBy("turn", "group").cogroup(right.groupBy("turn", "group"))
+            .applyInPandas(search, "query_id long, vec_id long, score long")
+        )
+
+    order = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    best, queries, first, size = None, asked, 0, FIRST_ROUND
+    while first < shards:
+        last = min(first + size, shards) - 1
+        found = searched(queries, first, last)
+        found = found if best is None else best.unionByName(found)
+        best = found.withColumn("rank", order).where(F.col("rank") <= k)
+        first, size = last + 1, 2 * size
+        if first < shards:
+            best = stored(best.drop("rank"), "best")
+            # a query with k candidates has their least score as its floor
+            reached = best.groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
+            reached = reached.where(F.col("n") == k).select(F.col("query_id").alias("vec_id"), "least")
+            raised = F.greatest("floor", F.coalesce("least", F.col("floor")))
+            queries = stored(asked.join(reached, "vec_id", "left").select("vec_id", "q", raised.alias("floor")), "queries")
+    return best.select("query_id", "rank", "vec_id", "score")
+
+
+def _turn(shards: int):
+    """A shard's turn: neighbours, which hold vectors near each other, come in different rounds."""
+    step = max(1, int(shards * 0.618))
+    while np.gcd(step, shards) != 1:
+        step += 1
+    return F.pmod(F.col("shard").cast("long") * F.lit(step), F.lit(shards)).cast("int")
+
+
+def _first_floors(ids: np.ndarray, sample: np.ndarray, k: int):
+    """Adds each query's k-th best score over the sample (minus infinity where it has fewer)."""
+
+    def floors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for at in range(0, len(batch), 256):
+                some = batch.iloc[at : at + 256]
+                width = max([sample.shape[1], *map(len, some["q"])])
+                q, rows = _matrix(list(some["q"]), width), _widen(sample, width)
+                limit = float(np.abs(q).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(width, 1)
+                if limit >= 2.0**53 or len(ids) <= k:  # no exact doubles, or too few: no floor
+                    found += [float("-inf")] * len(some)
+                    continue
+                scores = q.astype(float) @ rows.T.astype(float)
+                scores[some["vec_id"].to_numpy()[:, None] == ids[None, :]] = -np.inf
+                found += np.partition(scores, len(ids) - k, axis=1)[:, len(ids) - k].tolist()
+            yield batch.assign(floor=found)
+
+    return floors

@@ -38,9 +38,12 @@ def run(spark, rows, divisor, k):
     return sorted(tuple(r) for r in found.select("query_id", "rank", "vec_id", "score").collect())
 
 
-def test_matches_brute_force_with_ties_nulls_and_repeats(spark, monkeypatch):
+@pytest.mark.parametrize("first, sample", [(8, 4096), (1, 30), (2, 4)])
+def test_matches_brute_force_with_ties_nulls_and_repeats(spark, monkeypatch, first, sample):
+    monkeypatch.setattr(topk_search, "FIRST_ROUND", first)
+    monkeypatch.setattr(topk_search, "PIVOT_SAMPLE", sample)
     monkeypatch.setattr(topk_search, "BLOCK", 8)
-    monkeypatch.setattr(topk_search, "SHARD", 60)
+    monkeypatch.setattr(topk_search, "SHARD", 30)
     monkeypatch.setattr(topk_search, "QUERY_GROUP", 7)
     rnd = random.Random(4)
     rows = [(i, [rnd.choice([-1.0, -0.3, 0.0, 0.26, 0.9]) for _ in range(5)]) for i in range(150)]
@@ -76,3 +79,17 @@ def test_scores_beyond_64_bits_are_refused():
     big = np.array([[1 << 40]])
     with pytest.raises(ArithmeticError):
         topk_search.search_shard(np.array([0]), big, [(np.array([1]), big, big[0], big[0])], 1)
+
+
+def test_floors_of_other_shards_hold_rows_back():
+    rng = np.random.default_rng(1)
+    m = rng.integers(-9, 9, (400, 8))
+    blocks = [(np.arange(a, a + 20), m[a : a + 20], m[a : a + 20].max(0), m[a : a + 20].min(0)) for a in range(0, 400, 20)]
+    q = rng.integers(-9, 9, (3, 8))
+    ids = np.array([-1, -2, -3])
+    scores = m @ q.T
+    floors = np.sort(scores, axis=0)[-4].astype(float)  # four reach it, ties more
+    found = topk_search.search_shard(ids, q, blocks, 6, floors)
+    for i in range(3):
+        every = sorted((-int(s), j) for j, s in enumerate(scores[:, i]) if s >= floors[i])[:6]
+        assert [(-s, j) for who, j, s in found if who == ids[i]] == every
