@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from actuaria.llm import (
     secret_scan, simhash_dedup, token_packing, token_transducer, topk_search, toxicity,
 )
 from actuaria.llm.common import read_documents, read_input
+from actuaria.session import scratch_path
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
@@ -33,8 +36,9 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe_codec.load_vocabulary(vocabulary_path())
-    rows = token_packing.pack_documents(read_documents(spark, sf_dir), vocabulary)
-    return rows.select(
+    packed = token_packing.pack_documents(read_documents(spark, sf_dir), vocabulary)
+    rows = token_packing.write_packed(packed, scratch_path(spark, f"llm-packed-{uuid.uuid4().hex}"))
+    return rows.select(  # of the rows as they were written
         "doc_ids", "pieces", "offsets", "cu_seqlens", "position_resets", "n_tokens",
         F.sha2("ids", 256).alias("ids_sha256"),
     )

@@ -9,13 +9,14 @@ documents of one input partition, and memory is bounded by the window.
 
 A packed row has its ids as a fixed-width little-endian array (``id_bytes`` each: two where the
 vocabulary allows; unused places hold the end-of-text id), the cumulative segment lengths (0 first) that mark the segments, the places where
-positions restart, and for each segment its document, piece number and first token.
-:func:`unpack_documents` gives the documents' ids back, whole.
-
-Defined results: null and empty texts give one segment with the end-of-text id alone; equal rows are
-packed as separate segments; null doc_id is kept; an empty table gives an empty result; other
-columns are not read. Which documents share a row depends on the input's partitions; the set of segments
-does not.
+positions restart, and for each segment its document, piece number and first token. ``row_keys`` tell the
+documents' rows apart, whatever their doc_ids. :func:`write_packed` stores the rows as the training job
+reads them, and :func:`unpack_documents` gives the ids of every document's row back, whole.
+
+Defined results: null and empty texts give one segment with the end-of-text id alone; equal rows and rows that
+share a doc_id, or have none, are packed and unpacked as rows of their own; an empty table gives an empty result; other
+columns are not read. Which documents share a row, and the row keys, depend on the input's partitions; the set
+of segments does not.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ WINDOW = 8192  # pieces packed together: at most ROW * WINDOW ids are held
 
 SCHEMA = (
     "ids binary, id_bytes int, n_tokens int, cu_seqlens array<int>, position_resets array<int>, "
-    "doc_ids array<string>, pieces array<int>, offsets array<long>"
+    "doc_ids array<string>, pieces array<int>, offsets array<long>, row_keys array<long>"
 )
 
 
@@ -93,13 +94,13 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 def _packed_row(segments: list[tuple], row: int, pad: int) -> tuple:
-    """One output row of (doc_id, piece, offset, ids) segments."""
+    """One output row of (doc_id, piece, offset, ids, row key) segments."""
     ids = np.full(row, pad, dtype=segments[0][3].dtype)
     ends = np.cumsum([0] + [len(s[3]) for s in segments])
     ids[: ends[-1]] = np.concatenate([s[3] for s in segments])
     return (
         ids.tobytes(), ids.itemsize, int(ends[-1]), ends.tolist(), ends[:-1].tolist(),
-        [s[0] for s in segments], [s[1] for s in segments], [s[2] for s in segments],
+        *([s[i] for s in segments] for i in (0, 1, 2, 4)),
     )
 
 
@@ -124,41 +125,41 @@ def pack_documents(
                 )
 
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
+            for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
                 ids = np.append(codec.encode(text), np.array([end_id], dtype=codec.id_type))
-                full = [(doc_id, i, i * row, ids[i * row : (i + 1) * row]) for i in range(len(ids) // row)]
+                full = [(doc_id, i, i * row, ids[i * row : (i + 1) * row], key) for i in range(len(ids) // row)]
                 for at in range(0, len(full), 512):
                     yield pd.DataFrame([_packed_row([s], row, end_id) for s in full[at : at + 512]], columns=names)
                 rest = len(full) * row
                 if rest < len(ids):
-                    waiting.append((doc_id, len(full), rest, ids[rest:]))
+                    waiting.append((doc_id, len(full), rest, ids[rest:], key))
                 if len(waiting) == window:
                     yield from rows_of(waiting)
                     waiting = []
         if waiting:
             yield from rows_of(waiting)
 
-    return docs.select(F.col("doc_id").cast("string"), whole_text().alias("text")).mapInPandas(pack, SCHEMA)
+    key = F.monotonically_increasing_id().alias("key")
+    return docs.select(F.col("doc_id").cast("string"), key, whole_text().alias("text")).mapInPandas(pack, SCHEMA)
 
 
-def write_packed(rows: DataFrame, path: str) -> None:
-    """Write packed rows as Parquet: fixed-width id matrix, segment lengths, resets."""
+def write_packed(rows: DataFrame, path: str) -> DataFrame:
+    """Write packed rows as Parquet (fixed-width id matrix, segment lengths, resets) and read them back."""
     rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def unpack_documents(rows: DataFrame) -> DataFrame:
-    """doc_id and ids (without the end-of-text id) of every packed document.
-
-    Segments of documents that share one doc_id cannot be told apart and are joined in
-    the order of their first token.
-    """
-    each = rows.select("ids", "id_bytes", "cu_seqlens", F.posexplode(F.arrays_zip("doc_ids", "pieces", "offsets")).alias("i", "s"))
+    """doc_id and ids (without the end-of-text id) of every packed document's row."""
+    each = rows.select(
+        "ids", "id_bytes", "cu_seqlens", F.posexplode(F.arrays_zip("row_keys", "doc_ids", "offsets")).alias("i", "s")
+    )
     segments = each.select(
-        F.col("s.doc_ids").alias("doc_id"), F.col("s.offsets").alias("at"),
+        F.col("s.row_keys").alias("key"), F.col("s.doc_ids").alias("doc_id"), F.col("s.offsets").alias("at"),
         F.expr("substring(ids, id_bytes * cu_seqlens[i] + 1, id_bytes * (cu_seqlens[i + 1] - cu_seqlens[i]))").alias("part"),
         "id_bytes",
     )
-    joined = segments.groupBy("doc_id", "id_bytes").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("p"))
+    joined = segments.groupBy("key", "doc_id", "id_bytes").agg(F.sort_array(F.collect_list(F.struct("at", "part"))).alias("p"))
     whole = F.aggregate("p", F.expr("cast('' as binary)"), lambda s, x: F.concat(s, x["part"]))
     return joined.select("doc_id", "id_bytes", whole.alias("w")).select(
         "doc_id", F.expr("substring(w, 1, length(w) - id_bytes)").alias("ids")
