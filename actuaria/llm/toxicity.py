@@ -127,14 +127,17 @@ def score(text: str, matcher: Matcher, model: Model) -> float:
 
 
 # ---- fitting --------------------------------------------------------------------------
-def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> tuple[float, float, float]:
-    """Ridge-damped logistic regression by Newton steps; never falling in a feature."""
+def _fit_curve(x: np.ndarray, toxic: np.ndarray, rows: np.ndarray) -> tuple[float, float, float]:
+    """Ridge-damped logistic regression by Newton steps; never falling in a feature.
+
+    ``rows`` is the number of texts that each line of ``x`` stands for.
+    """
     design = np.column_stack([np.ones(len(x)), x])
     beta, damp = np.zeros(3), np.diag([1e-3, 0.05, 0.05])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        grad = design.T @ (toxic - p) - damp @ beta
-        step = np.linalg.solve((design.T * (p * (1 - p))) @ design + damp, grad)
+        grad = design.T @ (rows * (toxic - p)) - damp @ beta
+        step = np.linalg.solve((design.T * (rows * p * (1 - p))) @ design + damp, grad)
         beta = np.clip(beta + np.clip(step, -5, 5), [-30, 0, 0], 30)
         if np.abs(step).max() < 1e-6:
             break
@@ -199,10 +202,21 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, max_rows: int = MA
         .orderBy(F.desc("n"), "phrase").limit(MAX_TERMS).collect()
     )
     model = Model(weights, frozenset(r["phrase"] for r in exceptions))
-    rows = seen.limit(max_rows).collect()  # at most the bounded sample, matches only
-    x = np.array([features([tuple(m.split("|")) for m in r["found"]], r["words"], model) for r in rows])
-    curve = _fit_curve(x, np.array([r["toxic"] for r in rows], dtype=float))
-    return Model(model.weights, model.exceptions, curve)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [
+                (toxic, *features([tuple(m.split("|")) for m in found], words, model))
+                for toxic, words, found in zip(batch["toxic"], batch["words"], batch["found"])
+            ]
+            yield pd.DataFrame(rows, columns=["toxic", "x", "y"])
+
+    # three numbers a text leave the executors, equal ones as one row
+    points = seen.mapInPandas(measure, "toxic int, x double, y double").groupBy("toxic", "x", "y").agg(F.count("*").alias("n"))
+    rows = hash_sample(stored(points, "points"), ["toxic", "x", "y"], max_rows).collect()
+    columns = (np.array([r[c] for r in rows], dtype=float) for c in ("x", "y", "toxic", "n"))
+    x, y, toxic, n = columns
+    return Model(model.weights, model.exceptions, _fit_curve(np.column_stack([x, y]), toxic, n))
 
 
 def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:

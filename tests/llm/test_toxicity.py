@@ -1,6 +1,8 @@
 """Folding, matching, learning and held-out accuracy."""
 
+import math
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -47,6 +49,43 @@ def test_learns_words_and_exceptions(spark):
     assert kept.columns == with_extras(docs).columns and abs(kept.count() - 180) <= 3
 
 
+def plain_score(text, model):
+    """The score by a plain walk over the words of the folded text, word by word."""
+    folded = T.fold(text)
+    words = [(m.group(), *m.span()) for m in re.finditer(r"[^\W\d_]+", folded)]
+    counted = []
+    for word, a, b in words:
+        before = re.findall(r"[^\W\d_]+", folded[max(0, a - 40) : a])
+        after = re.findall(r"[^\W\d_]+", folded[b : b + 40])
+        phrases = {f"{before[-1]} {word}" if before else "", f"{word} {after[0]}" if after else ""}
+        if word in model.weights and not phrases & model.exceptions:
+            counted.append(word)
+    density = 100 * sum(model.weights[w] for w in counted) / max(folded.count(" ") + 1, 1)
+    a, b, c = model.curve
+    return 1 / (1 + math.exp(-(a + b * math.log1p(density) + c * math.log1p(len(set(counted))))))
+
+
+def test_scores_equal_a_plain_walk(spark):
+    docs, labels = corpus(spark)
+    fitted = T.fit(docs, labels, ~T.held_out())
+    model = T.Model(fitted.weights | {"grublet": 4.0}, frozenset({"famous grublet", "grublet museum"}), fitted.curve)
+    rnd = random.Random(4)
+    disguised = [(1000 + i, " ".join(rnd.choice([w, w.replace("i", "1"), w.upper()]) for w in t.split())) for i, (_, t) in
+                 enumerate(map(tuple, docs.limit(80).collect()))]
+    every = docs.unionByName(spark.createDataFrame(disguised, docs.schema)).unionByName(odd_docs(spark))
+    for r in T.with_score(every, model, "score").collect():
+        assert math.isclose(r["score"], plain_score(r["text"] or "", model), rel_tol=1e-9), r["doc_id"]
+
+
+def test_the_driver_gets_numbers_only(spark):
+    """Texts of any length with very many matches, repeated doc_ids: equal points are one row."""
+    docs, labels = corpus(spark)
+    long = docs.where("doc_id = 0").selectExpr("doc_id", "repeat(text || ' ', 2000) as text")
+    several = docs.unionByName(long).unionByName(docs).unionByName(docs)
+    once, thrice = T.fit(docs, labels, ~T.held_out()), T.fit(several, labels, ~T.held_out(), max_rows=100_000)
+    assert set(once.weights) == set(thrice.weights) and once.curve[1] > 0 and thrice.curve[1] > 0
+
+
 def test_exception_phrases_do_not_count():
     model = T.Model({"grublet": 5.0}, frozenset({"famous grublet"}), (-3.0, 2.0, 1.0))
     matcher = T.Matcher(model.weights)
