@@ -112,9 +112,16 @@ def _entity(kind: int, value: str) -> str:
     return hashlib.sha256(f"{KINDS[kind]}:{value.lower()}".encode()).hexdigest()[:32]
 
 
+def _small(batches: Iterator[pd.DataFrame], rows: int = 512) -> Iterator[pd.DataFrame]:
+    """The batches in parts, so that what a part gives stays small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.iloc[at : at + rows]
+
+
 def _entities(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of the texts with an entity: k, their different entities and free words."""
-    for batch in batches:
+    for batch in _small(batches):
         rows = []
         for k, text in zip(batch["k"], batch["text"]):
             spans = base_spans(text)
@@ -178,7 +185,7 @@ def _spans_with(marked: dict[str, int]):
     """Rows of doc_id, k, base and added spans; ``marked`` has the rank of each revealing word."""
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _small(batches):
             rows = []
             for doc_id, k, text in zip(batch["doc_id"], batch["k"], batch["text"]):
                 spans = base_spans(text)
