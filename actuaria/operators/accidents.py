@@ -3,10 +3,11 @@
 (vehicules).
 
 Spark form: all years are read at once (the year comes from the folder), and the
-pipeline is keyed by (annee, Num_Acc) instead of a loop per year and a union. The
-users and vehicles are aggregated before joining, each in one grouped pass, so the
-header is joined to at most one row per accident from each; all joins share the same
-key, so the aggregated sides are already partitioned for the header's join.
+pipeline is keyed by (annee, Num_Acc) instead of a loop per year and a union. The four
+files go through as one tagged union, each read once: equal rows of an accident are combined to
+one row with their number (on the map side first, so an accident with very many road or user rows is a few
+rows a task), then one grouped pass merges an accident's headers, roads, worst injury and
+counts. Two exchanges serve all four files; what an accident repeats is written out by several tasks.
 
 As in the source data model: ``nb_victimes`` counts every road user (not only the
 injured) and ``gravite_max`` is the maximum of the severity *codes*.
@@ -17,7 +18,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values: output names of the accident columns ---------------------------
@@ -37,19 +38,6 @@ RENAME = {
 # ------------------------------------------------------------------------------------
 
 
-def _left_join_skew_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """``left LEFT JOIN right`` when ``right`` may repeat one key very often.
-
-    Adaptive execution splits a skewed partition only on the row-preserving side of
-    an outer join; here the many rows are on the other side. The same result is the
-    inner join (skewed partitions split on either side) plus the left rows without
-    any match (an anti join against the distinct right keys, deduplicated map-side).
-    """
-    matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def _usable(df: DataFrame | None) -> bool:
     return df is not None and "Num_Acc" in df.columns
 
@@ -74,19 +62,64 @@ def enrich_accidents(
     parts = [d for d in (lieux, usagers, vehicules) if _usable(d)]
     if keys is None:
         keys = ["annee", "Num_Acc"] if all("annee" in d.columns for d in parts) else ["Num_Acc"]
+    if not parts:
+        return header.withColumnsRenamed(RENAME)
+
+    rest = [c for c in header.columns if c not in keys]
+    rows = [header.select(*keys, F.lit("header").alias("_kind"), F.struct(*rest, F.lit(0).alias("_")).alias("_header"))]
+
+    def tagged(df: DataFrame, kind: str, *values: Column) -> DataFrame:
+        # an accident of any other type of key, or without one, never matches a header
+        of_header = [F.col(k).cast(header.schema[k].dataType).alias(k) for k in keys]
+        whole = reduce(lambda p, q: p & q, [F.col(k).isNotNull() for k in keys])
+        return df.select(*of_header, F.lit(kind).alias("_kind"), *values).where(whole)
 
-    out = header
     if _usable(lieux):
-        out = _left_join_skew_safe(header, lieux.select(*keys, "catr", "surf"), keys)
+        rows.append(tagged(lieux, "road", F.struct("catr", "surf").alias("_road")))
     if _usable(usagers):
-        users = usagers.groupBy(*keys).agg(
-            F.max("grav").alias("grav"), F.count(F.lit(1)).alias("nb_victimes")
-        )
-        out = out.join(users, keys, "left")
+        rows.append(tagged(usagers, "user", F.col("grav")))
     if _usable(vehicules):
-        vehicles = vehicules.groupBy(*keys).agg(F.count(F.lit(1)).alias("nb_vehicules"))
-        out = out.join(vehicles, keys, "left")
-    return out.withColumnsRenamed(RENAME)
+        rows.append(tagged(vehicules, "vehicle"))
+    every = reduce(lambda p, q: p.unionByName(q, allowMissingColumns=True), rows)
+
+    def count_of(kind: str) -> Column:
+        return F.sum(F.when(F.col("_kind") == kind, F.col("_n")))  # null where there is none
+
+    # equal rows of an accident are one row with their number from here on
+    payload = [c for c in ("_header", "_road") if c in every.columns]
+    worst = [F.max("grav").alias("grav")] if _usable(usagers) else []
+    combined = every.groupBy(*keys, "_kind", *payload).agg(F.count("*").alias("_n"), *worst)
+    roads = F.collect_list(F.when(F.col("_kind") == "road", F.struct("_road", "_n"))) if _usable(lieux) else F.array()
+    merged = combined.groupBy(*keys).agg(
+        F.collect_list(F.when(F.col("_kind") == "header", F.struct("_header", "_n"))).alias("_headers"),
+        roads.alias("_roads"),
+        *worst,
+        *([count_of("user").alias("nb_victimes")] if _usable(usagers) else []),
+        *([count_of("vehicle").alias("nb_vehicules")] if _usable(vehicules) else []),
+    )
+    others = [c for c in ("grav", "nb_victimes", "nb_vehicules") if c in merged.columns]
+    opened = merged.select(*keys, F.explode("_headers").alias("_h"), "_roads", *others)
+    if _usable(lieux):
+        opened = opened.select(*keys, "_h", F.explode_outer("_roads").alias("_r"), *others)
+        times, of_road = F.col("_h._n") * F.coalesce("_r._n", F.lit(1)), ["_r._road.catr", "_r._road.surf"]
+    else:
+        times, of_road = F.col("_h._n"), []
+    out = opened.select(*keys, *(f"_h._header.{c}" for c in rest), *of_road, *others, times.alias("_times"))
+    return _repeated(out, "_times").withColumnsRenamed(RENAME)
+
+
+REPEATS_A_TASK, SPLIT = 100_000, 32
+
+
+def _repeated(df: DataFrame, times: str) -> DataFrame:
+    """Every row as often as its column ``times`` says; a row repeated very often is written by
+    several tasks."""
+    few = df.where(F.col(times) <= REPEATS_A_TASK).withColumn("_i", F.explode(F.sequence(F.lit(1), times)))
+    parts = F.sequence(F.lit(0), F.expr(f"({times} - 1) div {REPEATS_A_TASK}"))
+    dealt = df.where(F.col(times) > REPEATS_A_TASK).withColumn("_part", F.explode(parts)).repartition(SPLIT, "_part")
+    left = F.least(F.lit(REPEATS_A_TASK), F.col(times) - F.col("_part") * REPEATS_A_TASK)
+    many = dealt.withColumn("_i", F.explode(F.sequence(F.lit(1), left))).drop("_part")
+    return few.unionByName(many).drop("_i", times)
 
 
 # ---- CSV files -------------------------------------------------------------------------

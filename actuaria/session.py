@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-import uuid
 import tempfile
+import time
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -110,6 +111,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def clear_scratch(spark: SparkSession, older_than_seconds: float) -> list[str]:
+    """Remove written intermediate tables that were last changed longer ago; return their names.
+
+    They are the inputs of lazy frames, so the age should exceed that of any job that may still read
+    one. A job that runs for good (a service, a notebook) calls this from time to time.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    gone = []
+    for status in fs.listStatus(folder):
+        if time.time() - status.getModificationTime() / 1000 > older_than_seconds:
+            fs.delete(status.getPath(), True)
+            gone.append(status.getPath().getName())
+    return sorted(gone)
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -167,7 +167,7 @@ def load_all_raw(
         return _load(spark, frames[name], name, database)
 
     counts: dict[str, int] = {}
-    threaded = inheritable_thread_target(load)
+    threaded = inheritable_thread_target(spark)(load)
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         running = {name: pool.submit(threaded, name) for name in frames}
         for name, future in running.items():

@@ -53,3 +53,16 @@ def test_write_accidents_partitioned_by_year(spark, tmp_path):
     write_accidents(enrich_accidents(header), path)
     assert sorted(p.name for p in (tmp_path / "acc").iterdir() if p.name.startswith("annee=")) == ["annee=2021", "annee=2022"]
     assert spark.read.parquet(path).where("annee = 2022").count() == 1
+
+
+def test_old_scratch_tables_are_cleared(spark):
+    import os
+
+    from actuaria.session import clear_scratch, materialize
+
+    old, new = materialize(spark.range(3), "clear-old"), materialize(spark.range(4), "clear-new")
+    folder = os.path.dirname(old.inputFiles()[0].removeprefix("file://"))
+    os.utime(folder, (0, 0))
+    gone = clear_scratch(spark, 3600)
+    assert [g for g in gone if g.startswith("clear-")] == [os.path.basename(folder)]
+    assert not os.path.exists(folder) and new.count() == 4

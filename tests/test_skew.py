@@ -9,6 +9,8 @@ import contextlib
 import datetime as dt
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from actuaria.operators import intermediate, marts, quality, staging
 from actuaria.sources.tables import RAW_CLAIMS_SCHEMA, RAW_POLICIES_SCHEMA
 
@@ -75,25 +77,37 @@ def test_hot_group_results_are_whole(spark):
         assert orphans == 0
 
 
-def test_hot_accident_in_lieux_is_split(spark):
-    from actuaria.operators.accidents import enrich_accidents
-
+def test_hot_accident_is_combined_and_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    from actuaria.operators import accidents
+
+    monkeypatch.setattr(accidents, "REPEATS_A_TASK", 50)
+    header = spark.createDataFrame(
+        [(i if i else None, 2021, 1, 1, "00:00", "75", 1, 1) for i in range(300)] + [(7, 2021, 1, 1, "00:00", "75", 1, 1)],
+        "Num_Acc long, an int, mois int, jour int, hrmn string, dep string, atm int, lum int",
+    )
+    lieux = spark.createDataFrame(
+        [(1, i % 9, None if i % 8 == 7 else i % 2) for i in range(5000)] + [(i, 1, 1) for i in range(2, 200)] + [(None, 1, 1)] * 9,
+        "Num_Acc long, catr int, surf int",
+    )
+    usagers = spark.createDataFrame([(i % 300, 1 + i % 4) for i in range(900)] + [(999, 4)], "Num_Acc long, grav int")
+    vehicules = spark.createDataFrame([(i % 250,) for i in range(500)], "Num_Acc long")
+    files = []
+    for name, df in (("h", header), ("l", lieux), ("u", usagers), ("v", vehicules)):
+        df.write.parquet(str(tmp_path / name))
+        files.append(spark.read.parquet(str(tmp_path / name)))
     with conf(spark, SKEW_CONF):
-        header = spark.createDataFrame(
-            [(i, 2021, 1, 1, "00:00", "75", 1, 1) for i in range(300)],
-            "Num_Acc long, an int, mois int, jour int, hrmn string, dep string, atm int, lum int",
-        )
-        lieux = spark.createDataFrame(
-            [(0, i % 9, i % 8) for i in range(5000)] + [(i, 1, 1) for i in range(1, 200)],
-            "Num_Acc long, catr int, surf int",
-        )
-        out = enrich_accidents(header, lieux)
-        assert len(out.collect()) == 5000 + 199 + 100  # hot rows, matched, unmatched kept
-        assert split(out)
-        usagers = spark.createDataFrame([(i % 300, 1 + i % 4) for i in range(900)], "Num_Acc long, grav int")
-        vehicules = spark.createDataFrame([(i % 250,) for i in range(500)], "Num_Acc long")
-        whole = enrich_accidents(header, lieux, usagers, vehicules)  # the registered shape
-        assert len(whole.collect()) == 5000 + 199 + 100 and split(whole)
+        whole = accidents.enrich_accidents(*files)
+        rows = whole.collect()
+        plan = whole._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        for name in ("/h]", "/l]", "/u]", "/v]"):
+            assert plan.count(name) == 1, name  # each file is read once
+        exchanges = [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "Reused" not in x]
+        assert len(exchanges) == 3  # two for the files; the one of repeated rows is nearly empty
+    users = usagers.groupBy("Num_Acc").agg(F.max("grav").alias("grav"), F.count("*").alias("nb_victimes"))
+    vehicles = vehicules.groupBy("Num_Acc").agg(F.count("*").alias("nb_vehicules"))
+    plain = header.withColumnRenamed("an", "annee").join(lieux, "Num_Acc", "left").join(users, "Num_Acc", "left").join(vehicles, "Num_Acc", "left")
+    want = plain.withColumnsRenamed(accidents.RENAME).select(*whole.columns).collect()
+    assert len(rows) == 5000 + 199 + 101 and sorted(map(str, rows)) == sorted(map(str, want))
 
 
 def split(df):
