@@ -22,12 +22,6 @@ print(*sorted(e.queries()))
     return done.stdout.split(), done.stderr
 
 
-def test_a_missing_library_takes_only_the_optional_part():
-    names, said = entry_without("ahocorasick")
-    assert "loss_ratio" in names and not any(n.startswith("op") for n in names) and "pipeline" not in names
-    assert said.count("is left out") >= 1 and "ahocorasick" in said
-
-
 def test_without_the_optional_parts():
     names, said = entry_without("actuaria.llm", "corpus_pipeline")
     assert "loss_ratio" in names and "pipeline" not in names and len(names) >= 50
