@@ -149,7 +149,8 @@ def manifest(
         F.col(order).alias("o"), leaf_digest([F.col(f) for f in fields]).alias("digest"),
         *(also[name].alias(plain) for name, plain in names.items()),
     )
-    levels = _levels(_ordered(rows, ["o", "digest"]), fan)
+    # stored first: dealing by range looks at the rows twice, and the texts should be read once
+    levels = _levels(_ordered(stored(rows, "leaves"), ["o", "digest"]), fan)
     subroots = stored(_finished(levels), "subroots").withColumnRenamed("digest", "subroot")
     upper = _levels(_ordered(subroots.select(F.lit("").alias("g"), F.col("g").alias("of"), F.col("subroot").alias("digest")), ["of"]), fan)
     last = _finished(upper).first()
