@@ -32,6 +32,8 @@ from actuaria.llm.bpe_codec import Codec, Vocabulary
 from actuaria.llm.common import whole_text
 
 ROW = 2048
+GROUP_BYTES = 16 << 20
+FRAME = 128  # packed rows handed over at a time
 WINDOW = 8192  # pieces packed together: at most ROW * WINDOW ids are held
 
 SCHEMA = (
@@ -118,9 +120,9 @@ def pack_documents(
 
         def rows_of(pieces: list[tuple]) -> Iterator[pd.DataFrame]:
             plan = best_fit_decreasing([len(p[3]) for p in pieces], row)
-            for at in range(0, len(plan), 512):
+            for at in range(0, len(plan), FRAME):
                 yield pd.DataFrame(
-                    [_packed_row([pieces[i] for i in members], row, end_id) for members in plan[at : at + 512]],
+                    [_packed_row([pieces[i] for i in members], row, end_id) for members in plan[at : at + FRAME]],
                     columns=names,
                 )
 
@@ -128,8 +130,8 @@ def pack_documents(
             for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
                 ids = np.append(codec.encode(text), np.array([end_id], dtype=codec.id_type))
                 full = [(doc_id, i, i * row, ids[i * row : (i + 1) * row], key) for i in range(len(ids) // row)]
-                for at in range(0, len(full), 512):
-                    yield pd.DataFrame([_packed_row([s], row, end_id) for s in full[at : at + 512]], columns=names)
+                for at in range(0, len(full), FRAME):
+                    yield pd.DataFrame([_packed_row([s], row, end_id) for s in full[at : at + FRAME]], columns=names)
                 rest = len(full) * row
                 if rest < len(ids):
                     waiting.append((doc_id, len(full), rest, ids[rest:], key))
@@ -144,8 +146,13 @@ def pack_documents(
 
 
 def write_packed(rows: DataFrame, path: str) -> DataFrame:
-    """Write packed rows as Parquet (fixed-width id matrix, segment lengths, resets) and read them back."""
-    rows.write.mode("overwrite").parquet(path)
+    """Write packed rows as Parquet (fixed-width id matrix, segment lengths, resets) and read them back.
+
+    Row groups are small: a writer holds one in memory beside the Python worker, and a training
+    job fetches rows group by group. Ids have no repeats worth a dictionary.
+    """
+    writer = rows.write.mode("overwrite").option("parquet.block.size", GROUP_BYTES).option("parquet.enable.dictionary", False)
+    writer.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
