@@ -33,7 +33,7 @@ from actuaria.llm.common import whole_text
 
 ROW = 2048
 GROUP_BYTES = 16 << 20
-FRAME = 128  # packed rows handed over at a time
+FRAME = 256  # packed rows handed over at a time
 WINDOW = 8192  # pieces packed together: at most ROW * WINDOW ids are held
 
 SCHEMA = (
@@ -117,29 +117,33 @@ def pack_documents(
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codec = Codec(Vocabulary(*shared.value))
         waiting: list[tuple] = []
+        ready: list[tuple] = []
 
-        def rows_of(pieces: list[tuple]) -> Iterator[pd.DataFrame]:
-            plan = best_fit_decreasing([len(p[3]) for p in pieces], row)
-            for at in range(0, len(plan), FRAME):
-                yield pd.DataFrame(
-                    [_packed_row([pieces[i] for i in members], row, end_id) for members in plan[at : at + FRAME]],
-                    columns=names,
-                )
+        def pack_waiting() -> Iterator[pd.DataFrame]:
+            for members in best_fit_decreasing([len(p[3]) for p in waiting], row):
+                ready.append(_packed_row([waiting[i] for i in members], row, end_id))
+                yield from frames()
+            waiting.clear()
+
+        def frames(least: int = FRAME) -> Iterator[pd.DataFrame]:
+            """The rows made so far, once there are enough for a frame of their own."""
+            if len(ready) >= least:
+                yield pd.DataFrame(ready, columns=names)
+                ready.clear()
 
         for batch in batches:
             for doc_id, key, text in zip(batch["doc_id"], batch["key"], batch["text"]):
                 ids = np.append(codec.encode(text), np.array([end_id], dtype=codec.id_type))
-                full = [(doc_id, i, i * row, ids[i * row : (i + 1) * row], key) for i in range(len(ids) // row)]
-                for at in range(0, len(full), FRAME):
-                    yield pd.DataFrame([_packed_row([s], row, end_id) for s in full[at : at + FRAME]], columns=names)
-                rest = len(full) * row
+                rest = len(ids) // row * row
+                for at in range(0, rest, row):
+                    ready.append(_packed_row([(doc_id, at // row, at, ids[at : at + row], key)], row, end_id))
+                    yield from frames()
                 if rest < len(ids):
-                    waiting.append((doc_id, len(full), rest, ids[rest:], key))
+                    waiting.append((doc_id, rest // row, rest, ids[rest:], key))
                 if len(waiting) == window:
-                    yield from rows_of(waiting)
-                    waiting = []
-        if waiting:
-            yield from rows_of(waiting)
+                    yield from pack_waiting()
+        yield from pack_waiting()
+        yield from frames(1)
 
     key = F.monotonically_increasing_id().alias("key")
     return docs.select(F.col("doc_id").cast("string"), key, whole_text().alias("text")).mapInPandas(pack, SCHEMA)
