@@ -14,8 +14,10 @@ import json
 import sys
 import uuid
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -104,6 +106,30 @@ class StoredLayers(Layers):
         self.counted: dict[str, quality.Counted] = {}
         self.layout: dict[str, tuple[DataFrame, DataFrame | None]] = {}  # (bucketed rows, rows kept apart)
 
+    # Layers in the order of their needs: those of one line need only lines above.
+    STEPS = (
+        ("stg_policies", "stg_claims"),
+        ("enriched", "seg_policies"),
+        ("seg_claims", "portfolio"),
+        ("mart_loss_ratio", "mart_claims_frequency", "mart_portfolio_performance", "portfolio_summary"),
+    )
+
+    def build(self, at_once: int = 4) -> StoredLayers:
+        """Write every stored layer, those that do not need each other at the same time.
+
+        The long tail of one write then leaves no executor idle. The bucketed layout is built
+        one after the other, as its policies follow its claims.
+        """
+        tables = {attribute: name for name, attribute in Layers.TABLE_ATTRIBUTES.items()}
+        tables["portfolio_summary"] = "int_portfolio_summary"
+        write = inheritable_thread_target(self.spark)(lambda name: getattr(self, name))
+        for step in self.STEPS:
+            names = [name for name in step if tables[name] in self.stored]
+            with ThreadPoolExecutor(max_workers=1 if self.bucketed else at_once) as pool:
+                for future in [pool.submit(write, name) for name in names]:
+                    future.result()
+        return self
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -305,13 +331,7 @@ def run_batch(
     layers = layers_class(spark, sf_dir, root, audit=audit)
     report_path = layers.path("data_quality_report")
     try:
-        for name in (
-            "mart_loss_ratio",
-            "mart_claims_frequency",
-            "mart_portfolio_performance",
-            "portfolio_summary",
-        ):
-            getattr(layers, name)
+        layers.build()
         summary = quality.suite_summary(all_quality_results(layers))
         quality.write_report(summary, report_path)
         rows = [r.asDict() for r in summary.collect()]  # one row per suite

@@ -312,7 +312,7 @@ def _qa_not_null(L: Layers) -> DataFrame:
     checks = quality.schema_not_null_checks() + [
         c for c in quality.claims_suite_checks() if c.expectation == "not_null"
     ]
-    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
+    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS).build()
     return quality.run_row_checks(stored.tables(), checks, stored.counted)
 
 
@@ -429,7 +429,7 @@ def _quality_report(L: Layers) -> DataFrame:
     counted by that write; only uniqueness and the reconciliation read a layer again."""
     from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
-    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS)
+    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS).build()
     return quality.suite_summary(all_quality_results(stored))
 
 
