@@ -9,6 +9,7 @@ load that dies leaves the old table whole.
 from __future__ import annotations
 
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -59,15 +60,23 @@ def drop(spark: SparkSession, table: str, database: str = RAW_DATABASE, files: b
 DATE_COLUMNS = ("inception_date", "expiry_date", "claim_date", "reporting_date")
 NANOS_PER_DAY = 86_400 * 10**9
 NANOS_AS_LONG = "spark.sql.legacy.parquet.nanosAsLong"
+_SCHEMA_READ = threading.Lock()  # layers and loads are built in several threads
 
 
 def read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     """One raw Parquet file, written by Spark or by pandas.
 
+    Schemas are read one at a time, as a session setting changes for a moment.
+
     pandas stores timestamps in nanoseconds, which Spark reads only as integers; the known
     date columns are then turned into dates by whole days (no time zone). The schema is
     read under a setting that is put back at once; the frame keeps the integer type.
     """
+    with _SCHEMA_READ:
+        return _read_raw_parquet(spark, path)
+
+
+def _read_raw_parquet(spark: SparkSession, path: str) -> DataFrame:
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:

@@ -163,3 +163,18 @@ def test_partitioned_source_prunes_years(spark, tmp_path):
         assert "PartitionFilters: [" in plan and "2019" in plan.split("PartitionFilters: [")[1].split("]")[0], kind
         opened = {r[0].split("annee=")[1][:4] for r in df.select(F.input_file_name()).distinct().collect()}
         assert opened <= {"2019", "2021"}
+
+
+def test_pandas_files_read_by_several_threads(spark, tmp_path):
+    """Reading such a schema changes a session setting for a moment: no other thread may see it."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    before = spark.conf.get(loaders.NANOS_AS_LONG, None)
+    frame = pd.DataFrame({"inception_date": [pd.Timestamp("2023-05-01 12:00:00.000000001")]})
+    paths = [str(tmp_path / f"{i}.parquet") for i in range(6)]
+    for path in paths:
+        frame.to_parquet(path)
+    with ThreadPoolExecutor(6) as pool:
+        read = list(pool.map(lambda p: loaders.read_raw_parquet(spark, p), paths * 3))
+    assert {df.schema["inception_date"].dataType.typeName() for df in read} == {"date"}
+    assert spark.conf.get(loaders.NANOS_AS_LONG, None) == before
