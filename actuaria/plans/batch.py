@@ -152,8 +152,11 @@ class StoredLayers(Layers):
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
     def _with_counters(self, name: str, df: DataFrame) -> tuple[DataFrame, quality.Counted]:
-        more = [F.min(COST).alias("_least"), F.max(COST).alias("_most")] if name == "int_claims_enriched" else []
-        return quality.Counted.on(df, [ch for ch in quality.gate_checks() if ch.table == name], *more)
+        more = {
+            "int_claims_enriched": [F.min(COST).alias("_least"), F.max(COST).alias("_most")],
+            "seg_claims": [F.sum("claim_count").alias("_claims")],
+        }
+        return quality.Counted.on(df, [ch for ch in quality.gate_checks() if ch.table == name], *more.get(name, []))
 
     @cached_property
     def stg_claims(self) -> DataFrame:
@@ -178,10 +181,11 @@ class StoredLayers(Layers):
 
     def _loss_ratio(self) -> DataFrame:
         """From the states, unless a policy id held by several policies repeats claims in the
-        enriched layer (the writes of both layers counted their rows)."""
+        enriched layer: the write of the claims' state added up the enriched claims (every staged
+        claim has an id), that of the staged claims counted those."""
         if self.seg_claims is not None and self.seg_policies is not None:
-            written = self.rows_written()
-            if written.get("int_claims_enriched", -1) == written.get("stg_claims", -2):
+            enriched = self.counted["seg_claims"].seen.get["_claims"] or 0
+            if self.rows_written().get("stg_claims") == enriched:
                 return marts.loss_ratio_of(self.seg_policies, self.seg_claims)
         return super()._loss_ratio()
 

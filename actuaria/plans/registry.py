@@ -233,10 +233,13 @@ def _distinct_policies_rollup(L: Layers) -> DataFrame:
 
 @query("loss_ratio_from_segments")
 def _loss_ratio_from_segments(L: Layers) -> DataFrame:
-    """The loss-ratio mart rolled up from the two stored segment states."""
+    """The loss-ratio mart rolled up from the two stored segment states.
+
+    The enriched claims have one reader here, the claims' state: they go into it as they are
+    joined, without a table between, so that the join carries only what the state measures."""
     from actuaria.plans.batch import STATES, StoredLayers
 
-    stored = StoredLayers(L.spark, L.sf_dir, stored=STATES | {"stg_policies", "stg_claims", "int_claims_enriched"})
+    stored = StoredLayers(L.spark, L.sf_dir, stored=STATES | {"stg_policies", "stg_claims"}).build()
     return stored.mart_loss_ratio.orderBy(*marts.loss_ratio_order())
 
 

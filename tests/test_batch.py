@@ -1,5 +1,6 @@
 
 import json
+import os
 
 import __spark_entry__ as contract
 from actuaria.plans.batch import StoredLayers, presentation, run_batch
@@ -164,6 +165,30 @@ def test_states_give_the_marts_also_where_a_policy_repeats(spark, tmp_path):
         assert ("claim_id" in plan) == (copies == 2)  # the states suffice, or the staged claims are counted
 
 
+def test_the_mart_of_the_states_needs_no_stored_enriched_claims(spark, tmp_path):
+    """The enriched claims go straight into their state; a repeated policy is still noticed."""
+    from actuaria.plans.batch import STATES, FileLayers, StoredFileLayers
+    from tests.test_skew import raw_frames
+
+    for copies in (1, 2):
+        policies, claims = raw_frames(spark, hot_claims=30, cold_policies=10)
+        folder = str(tmp_path / str(copies))
+        for i in range(copies):
+            policies.where("policy_id <> 'P3'" if i else "true").write.mode("append").parquet(f"{folder}/policies.parquet")
+        claims.write.parquet(f"{folder}/claims.parquet")
+        stored = StoredFileLayers(spark, folder, stored=STATES | {"stg_policies", "stg_claims"}).build()
+        plan = stored._loss_ratio()._jdf.queryExecution().optimizedPlan().toString()
+        assert ("claim_id" in plan) == (copies == 2) and "int_claims_enriched" not in stored.counted
+        lazy = FileLayers(spark, folder).mart_loss_ratio
+        assert sorted(stored.mart_loss_ratio.collect()) == sorted(lazy.collect()), copies
+    made = contract.queries()["loss_ratio_from_segments"](spark, SF_SMALL)
+    leaves = made._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = " ".join(leaves.apply(i).relation().location().rootPaths().mkString() for i in range(leaves.size()))
+    assert "/seg_claims" in files and "/seg_policies" in files
+    run = files.split("file:", 1)[1].split("/seg_")[0]
+    assert "stg_claims" in os.listdir(run) and "int_claims_enriched" not in os.listdir(run)
+
+
 def test_hot_policy_stays_out_of_the_buckets(spark, tmp_path):
     from actuaria.plans.batch import FileLayers, StoredFileLayers
     from tests.test_skew import conf, raw_frames
