@@ -18,9 +18,11 @@ selection instead, with plain DataFrame operations:
 Passes: ``ceil(bits / 17)`` where ``bits`` covers the global value range (one small
 min/max aggregate fixes the digit plan; money up to ~1.7e8 in cents needs 2 passes).
 The first pass needs no join; later ones join the small per-group state (one row per
-group) back to the rows — broadcast by the planner from its measured size, else a
-skew-split shuffle join. Give it a materialised input (``session.materialize``):
-each pass re-reads it.
+group) back to the rows. The state is written first, so that the planner knows its size
+before it plans the join: it broadcasts a small one and the rows are not shuffled, else
+it takes a skew-split shuffle join. (Of a lazy state it learns the size only when the
+shuffle of all rows has been started.) Give it a materialised input
+(``session.materialize``): each pass re-reads it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from actuaria.session import materialize
+
 DIGIT_BITS = 17
 
 
@@ -99,6 +103,7 @@ def exact_median(
                 F.lit(0).cast("long").alias("_prefix"),
             ).withColumn("_rank", F.floor((F.col("_n") - 1) / 2))
         else:
+            state = materialize(state, "median-state")
             st = state.select(*[F.col(g).alias(s) for g, s in zip(gk, sk)], *state.columns[len(gk):])
             cand = rows.join(st, _null_safe(gk, sk)).where(
                 F.shiftrightunsigned(F.col("_u"), shift + digit_bits) == F.col("_prefix")

@@ -49,6 +49,17 @@ def test_exact_median_single_value_and_pairs(spark):
     assert np.isclose(float(got["b"]), 1.5)
 
 
+def test_rows_are_not_shuffled_for_the_join_with_a_small_state(spark):
+    """The state is a written table of known size when the second pass is planned."""
+    df = spark.range(0, 30_001, 1, 3).selectExpr("id % 3 as k", "cast((id * 7919 % 30011) * 11.11 as decimal(15,2)) as v")
+    median = exact_median(df, ["k"], "v")
+    got = {r.k: r.median for r in median.collect()}
+    plan = median._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    rows = [(str(r.k), None, str(r.v)) for r in df.collect()]
+    assert {(str(k), None): v for k, v in got.items()} == brute(rows)
+
+
 from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
