@@ -15,8 +15,10 @@ injured) and ``gravite_max`` is the maximum of the severity *codes*.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,26 +78,26 @@ def enrich_accidents(
 
     if _usable(lieux):
         rows.append(tagged(lieux, "road", F.struct("catr", "surf").alias("_road")))
+    # users and vehicles are counted alike: of both together an accident has one row
     if _usable(usagers):
-        rows.append(tagged(usagers, "user", F.col("grav")))
+        rows.append(tagged(usagers, "count", F.col("grav"), F.lit(1).alias("nb_victimes")))
     if _usable(vehicules):
-        rows.append(tagged(vehicules, "vehicle"))
+        rows.append(tagged(vehicules, "count", F.lit(1).alias("nb_vehicules")))
     every = reduce(lambda p, q: p.unionByName(q, allowMissingColumns=True), rows)
 
-    def count_of(kind: str) -> Column:
-        return F.sum(F.when(F.col("_kind") == kind, F.col("_n")))  # null where there is none
-
     # equal rows of an accident are one row with their number from here on
     payload = [c for c in ("_header", "_road") if c in every.columns]
     worst = [F.max("grav").alias("grav")] if _usable(usagers) else []
-    combined = every.groupBy(*keys, "_kind", *payload).agg(F.count("*").alias("_n"), *worst)
+    counts = [F.sum(c).alias(c) for c in ("nb_victimes", "nb_vehicules") if c in every.columns]  # null where there is none
+    # the number of the accident leads the grouping: sorts then compare it, not years that are all alike
+    grouping = sorted(keys, key=lambda k: k != "Num_Acc")
+    combined = every.groupBy(*grouping, "_kind", *payload).agg(F.count("*").alias("_n"), *worst, *counts)
     roads = F.collect_list(F.when(F.col("_kind") == "road", F.struct("_road", "_n"))) if _usable(lieux) else F.array()
-    merged = combined.groupBy(*keys).agg(
+    merged = combined.groupBy(*grouping).agg(
         F.collect_list(F.when(F.col("_kind") == "header", F.struct("_header", "_n"))).alias("_headers"),
         roads.alias("_roads"),
         *worst,
-        *([count_of("user").alias("nb_victimes")] if _usable(usagers) else []),
-        *([count_of("vehicle").alias("nb_vehicules")] if _usable(vehicules) else []),
+        *counts,
     )
     others = [c for c in ("grav", "nb_victimes", "nb_vehicules") if c in merged.columns]
     opened = merged.select(*keys, F.explode("_headers").alias("_h"), "_roads", *others)
@@ -245,11 +247,14 @@ def write_accident_source(files: dict[str, DataFrame], root: str) -> None:
     """The four files as ``;``/ISO-8859-1 CSV under ``root/<kind>/annee=<year>/``.
 
     Only headers know their year; the other files get it by a join on ``Num_Acc`` (rows without a
-    header go to the default partition). One job per kind whatever the number of years;
+    header go to the default partition). One job per kind whatever the number of years, all at
+    the same time, so that the last tasks of one kind leave no executor idle;
     ``rebalance`` spreads a very large year over several writer tasks.
     """
     years = files["caract"].select("Num_Acc", F.col("an").alias("annee")).distinct()
-    for kind, df in files.items():
+
+    def write(kind: str) -> None:
+        df = files[kind]
         of_year = df.withColumnRenamed("an", "annee") if kind == "caract" else df.join(years, "Num_Acc", "left")
         (
             of_year.hint("rebalance", "annee").write.mode("overwrite").partitionBy("annee")
@@ -257,6 +262,9 @@ def write_accident_source(files: dict[str, DataFrame], root: str) -> None:
             .csv(f"{root.rstrip('/')}/{kind}")
         )
 
+    with ThreadPoolExecutor(max_workers=len(files)) as pool:
+        list(pool.map(inheritable_thread_target(years.sparkSession)(write), files))
+
 
 def read_accident_source(
     spark, root: str, years: list[int] | None = None, kinds: tuple[str, ...] = KINDS

@@ -110,6 +110,30 @@ def test_hot_accident_is_combined_and_written_by_several_tasks(spark, tmp_path,
     assert len(rows) == 5000 + 199 + 101 and sorted(map(str, rows)) == sorted(map(str, want))
 
 
+def test_counts_of_an_accident_are_one_row_and_its_number_leads_the_keys(spark, tmp_path):
+    """Users and vehicles meet in one combined row; sorts and shuffles compare the number before the year."""
+    from actuaria.operators import accidents
+
+    header = spark.createDataFrame([(i, 2020 + i % 2, i % 12) for i in range(60)] + [(None, 2020, 1), (3, None, 1)],
+                                   "Num_Acc long, annee int, mois int")
+    lieux = spark.createDataFrame([(i % 40, 2020 + i % 2, i % 9, i % 3) for i in range(200)], "Num_Acc long, annee int, catr int, surf int")
+    # accidents with users alone, with vehicles alone, with both and with neither
+    users = spark.createDataFrame([(i % 20, 2020 + i % 2, None if i % 3 else i % 4) for i in range(90)], "Num_Acc long, annee int, grav int")
+    vehicles = spark.createDataFrame([(10 + i % 20, 2020 + i % 2) for i in range(70)], "Num_Acc long, annee int")
+    whole = accidents.enrich_accidents(header, lieux, users, vehicles)
+    rows = whole.collect()
+    plan = whole._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [Num_Acc" in plan and "Aggregate [annee" not in plan
+    assert "count AS _kind" in plan and "user AS _kind" not in plan and "vehicle AS _kind" not in plan
+    keys = ["annee", "Num_Acc"]
+    worst = users.groupBy(*keys).agg(F.max("grav").alias("grav"), F.count("*").alias("nb_victimes"))
+    plain = header.join(lieux, keys, "left").join(worst, keys, "left").join(
+        vehicles.groupBy(*keys).agg(F.count("*").alias("nb_vehicules")), keys, "left")
+    want = plain.withColumnsRenamed(accidents.RENAME).select(*whole.columns).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want))
+    assert {(r.nb_victimes is None, r.nb_vehicules is None) for r in rows} == {(a, b) for a in (True, False) for b in (True, False)}
+
+
 def split(df):
     plan = df._jdf.queryExecution().executedPlan().toString()
     return "isFinalPlan=true" in plan and ("isSkewJoin=true" in plan or "skew=true" in plan)
