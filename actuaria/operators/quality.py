@@ -14,7 +14,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.functions.bands import LINES_OF_BUSINESS, LR_SANITY_BOUND, LR_SANITY_MIN_PREMIUM
@@ -191,14 +191,24 @@ def unique_check(suite: str, table: str, df: DataFrame, column: str) -> DataFram
     return _result_rows(agg, [RowCheck(suite, table, column, "unique", F.lit(False))])
 
 
-def run_unique_checks(tables: Mapping[str, DataFrame], spec: list[tuple[str, str, str]]) -> DataFrame:
-    frames = [unique_check(suite, t, tables[t], c) for suite, t, c in spec]
+def run_unique_checks(
+    tables: Mapping[str, DataFrame], spec: list[tuple[str, str, str]], found: Mapping[tuple, Row] | None = None
+) -> DataFrame:
+    """All uniqueness checks; those with a result row in ``found`` are not run again."""
+    found = {} if found is None else found
+    frames = []
+    for suite, t, c in spec:
+        known = found.get((suite, t, c))
+        if known is None:
+            frames.append(unique_check(suite, t, tables[t], c))
+        else:
+            frames.append(tables[t].sparkSession.createDataFrame([tuple(known)], RESULT_SCHEMA))
     return reduce(DataFrame.unionByName, frames)
 
 
 def run_checks(
     tables: Mapping[str, DataFrame], checks: list[RowCheck], unique_spec: list[tuple[str, str, str]] = (),
-    counted: Mapping[str, Counted] | None = None,
+    counted: Mapping[str, Counted] | None = None, found: Mapping[tuple, Row] | None = None,
 ) -> DataFrame:
     """Row checks and uniqueness checks.
 
@@ -208,7 +218,7 @@ def run_checks(
     key leaves nothing to combine on the map side.
     """
     done = run_row_checks(tables, checks, counted)
-    return done.unionByName(run_unique_checks(tables, unique_spec)) if unique_spec else done
+    return done.unionByName(run_unique_checks(tables, unique_spec, found)) if unique_spec else done
 
 
 def gate_checks() -> list[RowCheck]:
@@ -284,6 +294,11 @@ def claims_suite_unique_spec() -> list[tuple[str, str, str]]:
     return [(CLAIMS_SUITE, "raw_claims", "claim_id")]
 
 
+def gate_unique_spec() -> list[tuple[str, str, str]]:
+    """Every declared uniqueness check."""
+    return schema_unique_spec() + claims_suite_unique_spec()
+
+
 # ---- singular tests: the query returns the failing rows ------------------------------
 
 

@@ -14,12 +14,13 @@ import json
 import sys
 import uuid
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from actuaria.operators import intermediate, marts, quality, segments, staging
@@ -104,6 +105,7 @@ class StoredLayers(Layers):
         self.tables_created: list[str] = []
         self.bucketed = bucketed
         self.counted: dict[str, quality.Counted] = {}
+        self.unique_found: dict[tuple[str, str, str], Row] = {}
         self.layout: dict[str, tuple[DataFrame, DataFrame | None]] = {}  # (bucketed rows, rows kept apart)
 
     # Layers in the order of their needs: those of one line need only lines above.
@@ -114,20 +116,32 @@ class StoredLayers(Layers):
         ("mart_loss_ratio", "mart_claims_frequency", "mart_portfolio_performance", "portfolio_summary"),
     )
 
-    def build(self, at_once: int = 4) -> StoredLayers:
+    def build(self, at_once: int = 4, unique: Sequence[tuple[str, str, str]] = ()) -> StoredLayers:
         """Write every stored layer, those that do not need each other at the same time.
 
         The long tail of one write then leaves no executor idle. The bucketed layout is built
-        one after the other, as its policies follow its claims.
+        one after the other, as its policies follow its claims. The uniqueness checks ``unique``
+        (suite, table, column) run beside the writes of later layers, each when its table is
+        there; ``unique_found`` has their result rows.
         """
         tables = {attribute: name for name, attribute in Layers.TABLE_ATTRIBUTES.items()}
         tables["portfolio_summary"] = "int_portfolio_summary"
         write = inheritable_thread_target(self.spark)(lambda name: getattr(self, name))
-        for step in self.STEPS:
-            names = [name for name in step if tables[name] in self.stored]
-            with ThreadPoolExecutor(max_workers=1 if self.bucketed else at_once) as pool:
-                for future in [pool.submit(write, name) for name in names]:
-                    future.result()
+        check = inheritable_thread_target(self.spark)(
+            lambda suite, table, column: quality.unique_check(suite, table, self.tables()[table], column).first()
+        )
+        later = {tables[name] for step in self.STEPS for name in step} & self.stored
+        with ThreadPoolExecutor(max_workers=at_once) as checking:
+            running = {}
+            for step in self.STEPS:
+                names = [name for name in step if tables[name] in self.stored]
+                with ThreadPoolExecutor(max_workers=1 if self.bucketed else at_once) as pool:
+                    for future in [pool.submit(write, name) for name in names]:
+                        future.result()
+                later -= {tables[name] for name in names}
+                ready = [u for u in unique if u[1] not in later and u not in running]
+                running |= {u: checking.submit(check, *u) for u in ready}
+            self.unique_found = {u: future.result() for u, future in running.items()}
         return self
 
     def path(self, name: str) -> str:
@@ -335,7 +349,7 @@ def run_batch(
     layers = layers_class(spark, sf_dir, root, audit=audit)
     report_path = layers.path("data_quality_report")
     try:
-        layers.build()
+        layers.build(unique=quality.gate_unique_spec())
         summary = quality.suite_summary(all_quality_results(layers))
         quality.write_report(summary, report_path)
         rows = [r.asDict() for r in summary.collect()]  # one row per suite

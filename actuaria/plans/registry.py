@@ -408,7 +408,7 @@ def all_quality_results(L: Layers) -> DataFrame:
     among them; the cross-table claim-count reconciliation is its own small query."""
     t = L.tables()
     row_checks = quality.gate_checks()
-    unique = quality.schema_unique_spec() + quality.claims_suite_unique_spec()
+    unique = quality.gate_unique_spec()
     reconciliation = (
         quality.claim_count_consistency(L.mart_loss_ratio, L.stg_claims)
         .agg(F.count(F.lit(1)).alias("unexpected"))
@@ -422,17 +422,18 @@ def all_quality_results(L: Layers) -> DataFrame:
             (F.col("unexpected") == 0).alias("success"),
         )
     )
-    counted = getattr(L, "counted", None)
-    return quality.run_checks(t, row_checks, unique, counted).unionByName(reconciliation)
+    counted, found = getattr(L, "counted", None), getattr(L, "unique_found", None)
+    return quality.run_checks(t, row_checks, unique, counted, found).unionByName(reconciliation)
 
 
 @query("quality_report")
 def _quality_report(L: Layers) -> DataFrame:
     """The quality gate as in a batch run: every layer is written once, its row checks
-    counted by that write; only uniqueness and the reconciliation read a layer again."""
+    counted by that write; only uniqueness (checked while later layers are written) and the
+    reconciliation read a layer again."""
     from actuaria.plans.batch import SHARED_FOR_CHECKS, StoredLayers
 
-    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS).build()
+    stored = StoredLayers(L.spark, L.sf_dir, stored=SHARED_FOR_CHECKS).build(unique=quality.gate_unique_spec())
     return quality.suite_summary(all_quality_results(stored))
 
 

@@ -165,6 +165,27 @@ def test_states_give_the_marts_also_where_a_policy_repeats(spark, tmp_path):
         assert ("claim_id" in plan) == (copies == 2)  # the states suffice, or the staged claims are counted
 
 
+def test_uniqueness_is_checked_beside_the_writes_and_not_again(spark, tmp_path, monkeypatch):
+    from actuaria.operators import quality
+    from actuaria.plans.batch import SHARED_FOR_CHECKS, FileLayers, StoredFileLayers
+    from actuaria.plans.registry import all_quality_results
+    from tests.test_skew import raw_frames
+
+    policies, claims = raw_frames(spark, hot_claims=40, cold_policies=12)
+    for copy in (policies, policies.where("policy_id = 'P3'")):
+        copy.write.mode("append").parquet(str(tmp_path / "policies.parquet"))
+    for copy in (claims, claims.limit(3)):
+        copy.write.mode("append").parquet(str(tmp_path / "claims.parquet"))
+    spec = quality.gate_unique_spec()
+    stored = StoredFileLayers(spark, str(tmp_path), stored=SHARED_FOR_CHECKS).build(unique=spec)
+    want = sorted(map(tuple, quality.run_unique_checks(FileLayers(spark, str(tmp_path)).tables(), spec).collect()))
+    assert sorted(map(tuple, stored.unique_found.values())) == want and set(stored.unique_found) == set(spec)
+    assert any(r.unexpected for r in stored.unique_found.values())
+    monkeypatch.setattr(quality, "unique_check", None)  # not run again
+    results = all_quality_results(stored).where("expectation = 'unique'").collect()
+    assert sorted(map(tuple, results)) == want
+
+
 def test_the_mart_of_the_states_needs_no_stored_enriched_claims(spark, tmp_path):
     """The enriched claims go straight into their state; a repeated policy is still noticed."""
     from actuaria.plans.batch import STATES, FileLayers, StoredFileLayers
