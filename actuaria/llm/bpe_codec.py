@@ -18,6 +18,9 @@
 Texts travel once, compressed, keyed by content; only reused ids travel beside them. Equal
 results to encoding each whole text by itself are what the tests check.
 
+Memory: a worker holds the Arrow batch that Spark hands over, one text of it and the frame being
+filled; frames end at a number of bytes, and the rolling hash runs in blocks.
+
 Defined results: null text is encoded as the empty text (no ids); equal rows give equal rows;
 null doc_id is kept; an empty table gives an empty result; only doc_id and text are read.
 """
@@ -28,19 +31,23 @@ import hashlib
 import json
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actuaria.llm.common import content_key, packed, stored, whole_text
+from actuaria.llm.common import content_key, stored, whole_text
 
 MIN_CHUNK, MEAN_CHUNK, MAX_CHUNK = 512, 2048, 16384  # bytes
+HASHED = 32  # bytes that the rolling hash mixes
+BLOCK = 1 << 20  # bytes hashed at a time
+FRAME_ROWS, FRAME_BYTES = 1024, 1 << 20  # an output frame ends at either
 PLACE = re.compile(rb"[!-~] ")  # a certain pre-token border lies between the two bytes
 # ---- fixed value: the pattern that byte-level BPE splits text by before merging --------
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -177,6 +184,33 @@ def border_before(text: bytes, at: int) -> int | None:
     return None
 
 
+# ---- rows in and out of a worker ------------------------------------------------------
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Scalar, ...]]:
+    """Rows of a task's batches, one at a time and without a copy of the batch."""
+    for batch in batches:
+        yield from zip(*batch.columns)
+
+
+def _frames(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Frames of at most ``FRAME_ROWS`` rows, each closed once it holds ``FRAME_BYTES``."""
+
+    def frame() -> pa.RecordBatch:
+        columns = [pa.array(values, field.type) for values, field in zip(zip(*held), schema)]
+        held.clear()
+        return pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(value) for value in row if isinstance(value, (bytes, str)))
+        if len(held) >= FRAME_ROWS or size >= FRAME_BYTES:
+            yield frame()
+            size = 0
+    if held:
+        yield frame()
+
+
 # ---- chunks -------------------------------------------------------------------------
 def _gear() -> np.ndarray:
     """A fixed pseudo-random number for each byte value."""
@@ -185,17 +219,27 @@ def _gear() -> np.ndarray:
     ).astype(np.uint32)
 
 
+def cut_spots(text: bytes, gear: np.ndarray, block: int = BLOCK) -> np.ndarray:
+    """Places of a text, in order, where the hash meets the condition and a character begins."""
+    found = []
+    for at in range(0, len(text), block):
+        lead = min(at, HASHED - 1)
+        codes = np.frombuffer(text, dtype=np.uint8)[at - lead : at + block + 1]
+        rolled = gear[codes]
+        for step in (1, 2, 4, 8, 16):  # after these, entry i mixes bytes i-31..i
+            rolled[step:] += rolled[:-step] << np.uint32(step)
+        inner = (codes[1:] & 0xC0) != 0x80
+        spots = np.flatnonzero(((rolled[:-1] >> np.uint32(8)) % np.uint32(MEAN_CHUNK) == 0) & inner) + 1
+        found.append(spots[spots > lead] + (at - lead))
+    return np.concatenate(found) if found else np.empty(0, dtype=np.int64)
+
+
 def cut_points(text: bytes, gear: np.ndarray) -> list[int]:
     """Chunk ends of a text, its length included; never inside a UTF-8 character."""
     n = len(text)
     if n <= MIN_CHUNK:
         return [n]
-    codes = np.frombuffer(text, dtype=np.uint8)
-    rolled = gear[codes]
-    for step in (1, 2, 4, 8, 16):  # after these, entry i mixes bytes i-31..i
-        rolled[step:] += rolled[:-step] << np.uint32(step)
-    inner = (codes[1:] & 0xC0) != 0x80
-    spots = np.flatnonzero(((rolled[:-1] >> np.uint32(8)) % np.uint32(MEAN_CHUNK) == 0) & inner) + 1
+    spots = cut_spots(text, gear)
     cuts, last = [], 0
     while n - last > MIN_CHUNK:
         i = np.searchsorted(spots, last + MIN_CHUNK)
@@ -211,21 +255,31 @@ def cut_points(text: bytes, gear: np.ndarray) -> list[int]:
     return cuts
 
 
-def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+CHUNKS = pa.schema([("k", pa.binary()), ("start", pa.int32()), ("stop", pa.int32()), ("digest", pa.binary())])
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     gear = _gear()
-    for batch in batches:
-        keys, starts, stops, digests = [], [], [], []
-        for key, text in zip(batch["k"], batch["text"]):
-            raw, at = text.encode("utf-8"), 0
+
+    def chunks() -> Iterator[tuple]:
+        for key, text in _rows(batches):
+            raw, at, k = text.as_buffer().to_pybytes(), 0, key.as_py()
             if not raw:
                 continue
             for end in cut_points(raw, gear):
-                keys.append(key)
-                starts.append(at)
-                stops.append(end)
-                digests.append(hashlib.sha256(raw[at:end]).digest()[:16])
+                yield k, at, end, hashlib.sha256(raw[at:end]).digest()[:16]
                 at = end
-        yield pd.DataFrame({"k": keys, "start": starts, "stop": stops, "digest": digests})
+
+    return _frames(chunks(), CHUNKS)
+
+
+BODIES = pa.schema([("doc_id", pa.string()), ("k", pa.binary()), ("body", pa.binary())])
+
+
+def _packed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, k and text -> the text zstd-compressed, to halve its shuffle."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    return _frames(((d.as_py(), k.as_py(), squeeze.compress(t.as_buffer())) for d, k, t in _rows(batches)), BODIES)
 
 
 def shared_chunks(keyed: DataFrame) -> DataFrame:
@@ -235,7 +289,8 @@ def shared_chunks(keyed: DataFrame) -> DataFrame:
     many rows hold it, but all its rows count as occurrences. ``own`` marks the one place
     that encodes the chunk.
     """
-    chunks = stored(keyed.mapInPandas(_chunk_rows, "k binary, start int, stop int, digest binary"), "chunks")
+    rows = keyed.select("k", "text").mapInArrow(_chunk_rows, "k binary, start int, stop int, digest binary")
+    chunks = stored(rows, "chunks")
     counted = chunks.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("k", "start")).alias("owner"))
     often = counted.where(F.col("n") > 1).select("digest", "owner")
     return (
@@ -252,55 +307,55 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, decoded: bool = Fa
     """
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary.tokens, vocabulary.special))  # one file: a few MB
     keyed = docs.select("doc_id", whole_text().alias("text")).withColumn("k", content_key(F.col("text")))
-    places = stored(shared_chunks(keyed.select("k", "text")), "places")
-    texts = keyed.select(F.col("doc_id").cast("string"), "k", packed(F.col("text")).alias("body")).where(F.col("k").isNotNull())
+    places = stored(shared_chunks(keyed), "places")
+    # doc_id crosses to Python as text
+    texts = (
+        keyed.select(F.col("doc_id").cast("string"), "k", "text")
+        .mapInArrow(_packed_rows, "doc_id string, k binary, body binary").where(F.col("k").isNotNull())
+    )
 
-    def encode_owned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode_owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, reader = Codec(Vocabulary(*shared.value)), zstandard.ZstdDecompressor()
-        for batch in batches:
-            digests, blobs = [], []
-            for body, wanted in zip(batch["body"], batch["wanted"]):
-                raw = reader.decompress(body)
-                for w in wanted:
-                    digests.append(w["digest"])
+
+        def codes() -> Iterator[tuple]:
+            for _, _, body, wanted in _rows(batches):
+                raw = reader.decompress(body.as_buffer())
+                for w in wanted.as_py():
                     # a cut never splits a character, so the chunk is a text of its own
-                    blobs.append(codec.encode(raw[w["start"] : w["stop"]].decode("utf-8")).tobytes())
-            yield pd.DataFrame({"digest": digests, "ids": blobs})
+                    yield w["digest"], codec.encode(raw[w["start"] : w["stop"]].decode("utf-8")).tobytes()
+
+        return _frames(codes(), pa.schema([("digest", pa.binary()), ("ids", pa.binary())]))
 
     owned = places.where("own").groupBy("k").agg(F.collect_list(F.struct("start", "stop", "digest")).alias("wanted"))
     # rows with equal text all carry its key: one of them is enough. The select keeps every
     # column of texts, so that this join and the one below read one and the same shuffle.
     codes = (
         texts.join(owned, "k").select("doc_id", "k", "body", "wanted")
-        .mapInPandas(encode_owned, "digest binary, ids binary").dropDuplicates(["digest"])
+        .mapInArrow(encode_owned, "digest binary, ids binary").dropDuplicates(["digest"])
     )
     parts = (
         places.join(codes, "digest").groupBy("k")
         .agg(F.collect_list(F.struct("start", "stop", "ids")).alias("parts"))
     )
 
-    def assemble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, reader = Codec(Vocabulary(*shared.value)), zstandard.ZstdDecompressor()
-        for batch in batches:
-            for at in range(0, len(batch), 256):  # bounded output frames
-                some = batch.iloc[at : at + 256]
-                ids = [
-                    codec.join(reader.decompress(body), [(p["start"], p["stop"], p["ids"]) for p in (() if ready is None else ready)])
-                    for body, ready in zip(some["body"], some["parts"])
-                ]
-                columns = {
-                    "doc_id": some["doc_id"],
-                    "n_tokens": [len(x) for x in ids],
-                    "ids": [x.astype("<u4").tobytes() for x in ids],
-                }
-                yield pd.DataFrame(columns | ({"text": [codec.decode(x) for x in ids]} if decoded else {}))
-
-    # doc_id crosses to Python as text: pandas would turn integers beside nulls into floats
+        columns = [("doc_id", pa.string()), ("n_tokens", pa.int64()), ("ids", pa.binary())]
+
+        def encoded() -> Iterator[tuple]:
+            for doc_id, body, ready in _rows(batches):
+                parts = [(p["start"], p["stop"], p["ids"]) for p in ready.as_py() or ()]
+                ids = codec.join(reader.decompress(body.as_buffer()), parts)
+                row = doc_id.as_py(), len(ids), ids.astype("<u4").tobytes()
+                yield row + ((codec.decode(ids),) if decoded else ())
+
+        return _frames(encoded(), pa.schema(columns + [("text", pa.string())] * decoded))
+
     kind = docs.schema["doc_id"].dataType
     return (
         texts.join(parts, "k", "left")
-        .select("doc_id", "k", "body", "parts")
-        .mapInPandas(assemble, "doc_id string, n_tokens long, ids binary" + ", text string" * decoded)
+        .select("doc_id", "body", "parts")
+        .mapInArrow(assemble, "doc_id string, n_tokens long, ids binary" + ", text string" * decoded)
         .withColumn("doc_id", F.col("doc_id").cast(kind))
     )
 

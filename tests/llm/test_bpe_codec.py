@@ -1,9 +1,11 @@
 """Ids and texts against encoding each whole text with the tokenizers library."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -79,6 +81,51 @@ def test_cuts_follow_content():
     assert sizes.max() <= B.MAX_CHUNK and (sizes[:-1] >= B.MIN_CHUNK).all()
 
 
+def test_cuts_do_not_depend_on_blocks():
+    gear, text = B._gear(), (prose(32, 3000) + " é漢" * 500).encode()
+    spots = B.cut_spots(text, gear).tolist()
+    assert spots and all(text[at] & 0xC0 != 0x80 for at in spots)
+    for block in (1, 7, 31, 32, 33, 1000, len(text) - 1, len(text)):
+        assert B.cut_spots(text, gear, block).tolist() == spots
+
+
+def peak_mb(work) -> float:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_cutting_a_long_text_takes_little_memory():
+    gear, text = B._gear(), prose(33, 2000).encode() * 1000
+    assert len(text) > 10_000_000 and peak_mb(lambda: B.cut_points(text, gear)) < 32
+
+
+def test_a_worker_holds_one_text_and_one_frame():
+    texts = [prose(i, 40) * 200 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array([bytes([i % 256, i // 256]) for i in range(300)]), pa.array(texts)], names=["k", "text"])
+    assert batch.nbytes > 10_000_000
+    del texts
+
+    def read():
+        rows = sum(len(frame) for frame in B._chunk_rows(iter([batch])))
+        assert rows > 300
+
+    assert peak_mb(read) < 8
+
+
+def test_frames_end_at_rows_and_bytes():
+    schema = pa.schema([("a", pa.int64()), ("b", pa.string())])
+    rows = [(i, None if i % 5 == 0 else "x" * (B.FRAME_BYTES // 3 if i % 100 == 1 else 10)) for i in range(5000)]
+    frames = list(B._frames(iter(rows), schema))
+    assert [tuple(r.values()) for f in frames for r in f.to_pylist()] == rows
+    assert len(frames) > 5 and max(len(f) for f in frames) <= B.FRAME_ROWS
+    assert max(f.nbytes for f in frames) < 2 * B.FRAME_BYTES
+    assert list(B._frames(iter([]), schema)) == []
+
+
 def test_millions_of_spaces(spark, known):
     rows = [(i, a + run * n + b) for i, (a, run, n, b) in enumerate([
         ("x", " ", 3_000_000, "y z"), ("", "\n", 1_500_000, "word"), ("a ", "\t \n", 500_000, ""), ("b", "\u3000", 1_200_000, "'s<|endoftext|> c"),
