@@ -126,12 +126,27 @@ def counters(checks: list[RowCheck]) -> list[Column]:
     ]
 
 
+class SeenTogether:
+    """What the writes of a table's parts observed, as of one write: sums, but the least and the greatest value."""
+
+    MERGE = {"_least": min, "_most": max}
+
+    def __init__(self, parts: list[Observation]):
+        self.parts = parts
+
+    @property
+    def get(self) -> dict:
+        seen = [part.get for part in self.parts]
+        known = {name: [s[name] for s in seen if s[name] is not None] for name in seen[0]}
+        return {name: self.MERGE.get(name, sum)(values) if values else None for name, values in known.items()}
+
+
 @dataclass
 class Counted:
     """Counters of one table's row checks, collected by the write that read its rows anyway."""
 
     checks: list[RowCheck]
-    seen: Observation
+    seen: Observation | SeenTogether
 
     @classmethod
     def on(cls, df: DataFrame, checks: list[RowCheck], *more: Column) -> tuple[DataFrame, Counted]:
@@ -139,6 +154,11 @@ class Counted:
         counted = cls(checks, Observation())
         return df.observe(counted.seen, *counters(checks), *more), counted
 
+    @classmethod
+    def together(cls, parts: list[Counted]) -> Counted:
+        """The counters of a table from those of its parts."""
+        return parts[0] if len(parts) == 1 else cls(parts[0].checks, SeenTogether([p.seen for p in parts]))
+
     def rows(self) -> int:
         return int(self.seen.get["_rows"])
 
@@ -191,6 +211,12 @@ def unique_check(suite: str, table: str, df: DataFrame, column: str) -> DataFram
     return _result_rows(agg, [RowCheck(suite, table, column, "unique", F.lit(False))])
 
 
+def added_up(parts: list[Row]) -> Row:
+    """The result row of a check from those of a table's parts."""
+    evaluated, unexpected = (sum(r[c] for r in parts) for c in ("evaluated", "unexpected"))
+    return Row(**(parts[0].asDict() | {"evaluated": evaluated, "unexpected": unexpected, "success": unexpected == 0}))
+
+
 def run_unique_checks(
     tables: Mapping[str, DataFrame], spec: list[tuple[str, str, str]], found: Mapping[tuple, Row] | None = None
 ) -> DataFrame:

@@ -22,10 +22,11 @@ from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from actuaria.operators import intermediate, marts, quality, segments, staging
 from actuaria.plans.registry import Layers, all_quality_results
-from actuaria.session import scratch_path
+from actuaria.session import scratch_path, shuffles_removed
 from actuaria.sources import loaders
 from actuaria.sources.generations import LEASE_SECONDS, Generations
 from actuaria.sources.loaders import write_table
@@ -65,12 +66,19 @@ CLUSTERED = {
     "int_portfolio_summary": "accident_year",
 }
 BROADCAST_POLICIES = 1_000_000  # policies of very frequent ids that a join may broadcast
+ROUND_BYTES = 64 * 1024**2  # stored bytes of a layer shuffled in one round, until there are so many rounds
+ROUNDS = 4
 # Staging tables written bucketed by the join key of the enrichment (claims ⋈ policies)
 BUCKETED = {"stg_policies": "policy_id", "stg_claims": "policy_id"}
 # For a quality run alone: every layer that is checked, so that its write carries the checks.
 SHARED_FOR_CHECKS = STORED - {"int_portfolio_summary"}
 
 
+def _of_round(df: DataFrame, key: str, rounds: int, k: int) -> DataFrame:
+    """The rows whose ``key`` (NULL too) falls into round ``k``."""
+    return df if rounds == 1 else df.where(F.pmod(F.xxhash64(key), F.lit(rounds)) == k)
+
+
 class StoredLayers(Layers):
     """Layers that are written on first use and read back from the run folder.
 
@@ -121,18 +129,20 @@ class StoredLayers(Layers):
 
         The long tail of one write then leaves no executor idle. The bucketed layout is built
         one after the other, as its policies follow its claims. The uniqueness checks ``unique``
-        (suite, table, column) run beside the writes of later layers, each when its table is
-        there; ``unique_found`` has their result rows.
+        (suite, table, column) run one at a time beside the writes of later layers, each when its table is
+        there; ``unique_found`` has their result rows. A table that is not stored is checked before the first
+        write: its check makes the largest shuffles of all (the raw claims' join and their ids). Shuffle files are
+        removed after each write and check, so disk is what is stored and the shuffles of that moment.
         """
         tables = {attribute: name for name, attribute in Layers.TABLE_ATTRIBUTES.items()}
         tables["portfolio_summary"] = "int_portfolio_summary"
         write = inheritable_thread_target(self.spark)(lambda name: getattr(self, name))
-        check = inheritable_thread_target(self.spark)(
-            lambda suite, table, column: quality.unique_check(suite, table, self.tables()[table], column).first()
-        )
+        check = inheritable_thread_target(self.spark)(self._unique)
         later = {tables[name] for step in self.STEPS for name in step} & self.stored
-        with ThreadPoolExecutor(max_workers=at_once) as checking:
-            running = {}
+        with shuffles_removed(self.spark), ThreadPoolExecutor(max_workers=1) as checking:
+            running = {u: checking.submit(check, *u) for u in unique if u[1] not in later}
+            for future in running.values():
+                future.result()
             for step in self.STEPS:
                 names = [name for name in step if tables[name] in self.stored]
                 with ThreadPoolExecutor(max_workers=1 if self.bucketed else at_once) as pool:
@@ -144,25 +154,54 @@ class StoredLayers(Layers):
             self.unique_found = {u: future.result() for u, future in running.items()}
         return self
 
+    def _unique(self, suite: str, table: str, column: str) -> Row:
+        """The result row of a uniqueness check, by rounds (half of those of a join: an id is far narrower than its row)."""
+        df = self.tables()[table]
+        rounds = -(-self.rounds([table], [df], column) // 2)
+        return quality.added_up([
+            quality.unique_check(suite, table, _of_round(df, column, rounds, k), column).first() for k in range(rounds)
+        ])
+
+    def rounds(self, names: Sequence[str], layers: Sequence[DataFrame], key: str) -> int:
+        """In how many rounds the rows of the stored layers ``names`` are shuffled by ``key``.
+
+        Each round takes the keys of one range of hash values, reads the first layer again and shuffles its
+        share of the rows; a round's shuffle is gone before the next begins. There are no more than
+        ``ROUNDS``, as each is one more scan. Layers that are not stored would be computed again; and only
+        texts are split, whose equal values surely have equal hashes.
+        """
+        kinds = {df.schema[key].dataType for df in layers}
+        if kinds != {T.StringType()} or not self.stored >= set(names):
+            return 1
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(names[0]))
+        stored = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+        return max(1, min(ROUNDS, -(-stored // ROUND_BYTES)))
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _keep(self, name: str, df: DataFrame) -> DataFrame:
+    def _keep(self, name: str, df: DataFrame, *more: DataFrame) -> DataFrame:
+        """``df`` as a stored layer, or ``df`` and the ``more`` parts that follow it, written one after the other."""
         if name not in self.stored:
             return df
+        parts = [df, *more]
         if self.audit and name in AUDIT_COLUMN:
-            df = df.withColumn(AUDIT_COLUMN[name], F.current_timestamp())
-        stored = self._write(name, df)
+            parts = [part.withColumn(AUDIT_COLUMN[name], F.current_timestamp()) for part in parts]
+        stored = self._write(name, *parts)
         if name in BUCKETED and self.bucketed:
             stored = self._write_bucketed(name, stored, BUCKETED[name])
         return stored.drop(AUDIT_COLUMN[name]) if name in AUDIT_COLUMN and self.audit else stored
 
-    def _write(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` at ``path(name)`` with the counters of its checks; read it back."""
+    def _write(self, name: str, df: DataFrame, *more: DataFrame) -> DataFrame:
+        """Write ``df`` (and ``more`` parts) at ``path(name)`` with the counters of its checks; read it back."""
         year = CLUSTERED.get(name)
-        placed = df if year is None else loaders.clustered(df, year, ["line_of_business", "region"])
-        counted, self.counted[name] = self._with_counters(name, placed)
-        write_table(counted, self.path(name), [year] if year else None)
+        seen = []
+        for part in (df, *more):
+            placed = part if year is None else loaders.clustered(part, year, ["line_of_business", "region"])
+            counted, counters = self._with_counters(name, placed)
+            write_table(counted, self.path(name), [year] if year else None, "append" if seen else "overwrite")
+            seen.append(counters)
+        self.counted[name] = quality.Counted.together(seen)
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
     def _with_counters(self, name: str, df: DataFrame) -> tuple[DataFrame, quality.Counted]:
@@ -271,9 +310,18 @@ class StoredLayers(Layers):
 
     @cached_property
     def enriched(self) -> DataFrame:
-        if not (self.bucketed and self.stored >= set(BUCKETED)):
+        """The bucketed layout is joined at once, without a shuffle; else the join that is stored runs by
+        rounds of policies, as its shuffle of whole claims is larger than any layer."""
+        if self.bucketed and self.stored >= set(BUCKETED):
+            return self._keep("int_claims_enriched", self.joined_by_bucket())
+        if "int_claims_enriched" not in self.stored:
             return Layers.enriched.func(self)
-        return self._keep("int_claims_enriched", self.joined_by_bucket())
+        claims, policies = self.stg_claims, self.stg_policies
+        rounds = self.rounds(["stg_claims", "stg_policies"], [claims, policies], "policy_id")
+        return self._keep("int_claims_enriched", *(
+            intermediate.claims_enriched(*(_of_round(df, "policy_id", rounds, k) for df in (claims, policies)))
+            for k in range(rounds)
+        ))
 
     def rows_written(self) -> dict[str, int]:
         """Rows of every layer written so far, as its write counted them."""

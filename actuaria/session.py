@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -129,6 +132,40 @@ def clear_scratch(spark: SparkSession, older_than_seconds: float) -> list[str]:
     return sorted(gone)
 
 
+# Each execution's shuffle files go when it ends, not when the driver's JVM happens to collect its plan
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_users: dict[int, tuple[int, str | None]] = {}  # session -> (blocks inside, setting before the first)
+_users_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Within this block the shuffle files of a query are removed as soon as it has ended.
+
+    For runs that write table after table: else the shuffles of every write stay on the executors'
+    disks beside those of the next. A frame that is run twice makes its shuffles again, so the session's own
+    setting comes back after the last of the blocks that are open at the same time.
+    """
+    session = spark._jsparkSession.hashCode()
+    with _users_lock:
+        inside, before = _users.get(session, (0, None))
+        if not inside:
+            before = spark.conf.get(SHUFFLE_CLEANUP, None)
+            spark.conf.set(SHUFFLE_CLEANUP, "true")
+        _users[session] = inside + 1, before
+    try:
+        yield
+    finally:
+        with _users_lock:
+            inside, before = _users.pop(session)
+            if inside > 1:
+                _users[session] = inside - 1, before
+            elif before is None:
+                spark.conf.unset(SHUFFLE_CLEANUP)
+            else:
+                spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 

@@ -231,3 +231,61 @@ def test_hot_policy_stays_out_of_the_buckets(spark, tmp_path):
         assert bucketed.count() == 2700 and largest < 3 * 2700 / 8
         assert layers.stg_claims.count() == 6700 and layers.mart_loss_ratio.count() > 0
         layers.drop_catalog_entries()
+
+
+def shuffles_on_disk(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {name.split("_")[1] for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffles_of_a_build_do_not_pile_up(spark):
+    """Disk is what is stored and the shuffles of the moment: those of a write or check that has ended are gone."""
+    import time
+
+    from actuaria.operators import quality
+    from actuaria.plans.batch import SHARED_FOR_CHECKS
+    from actuaria.session import SHUFFLE_CLEANUP
+
+    before, setting = shuffles_on_disk(spark), spark.conf.get(SHUFFLE_CLEANUP, None)
+    StoredLayers(spark, SF_SMALL, stored=SHARED_FOR_CHECKS).build(unique=quality.gate_unique_spec())
+    until = time.time() + 10  # executors remove them in the background
+    while (left := shuffles_on_disk(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+
+
+def test_large_layers_are_shuffled_by_rounds(spark, tmp_path, monkeypatch):
+    """A part of the policies at a time, with the same rows, counters and checks, whatever repeats or has no match."""
+    from pyspark.sql import functions as F
+
+    from actuaria.operators import quality
+    from actuaria.plans import batch
+    from actuaria.plans.batch import SHARED_FOR_CHECKS, FileLayers, StoredFileLayers
+    from actuaria.plans.registry import all_quality_results
+    from tests.test_skew import raw_frames
+
+    policies, claims = raw_frames(spark, hot_claims=40, cold_policies=12)
+    orphans = claims.limit(2).withColumns({"policy_id": F.lit("P-none"), "claim_id": F.concat(F.lit("O"), "claim_id")})
+    for copy in (policies, policies.where("policy_id = 'P3'")):
+        copy.write.mode("append").parquet(str(tmp_path / "policies.parquet"))
+    for copy in (claims, claims.limit(3), orphans, orphans.withColumn("claim_id", F.lit(None).cast("string"))):
+        copy.write.mode("append").parquet(str(tmp_path / "claims.parquet"))
+    spec, lazy = quality.gate_unique_spec(), FileLayers(spark, str(tmp_path))
+    monkeypatch.setattr(batch, "ROUND_BYTES", 1, raising=False)
+    stored = StoredFileLayers(spark, str(tmp_path), stored=SHARED_FOR_CHECKS).build(unique=spec)
+    writes = {f.split("-")[2] for f in os.listdir(stored.path("int_claims_enriched").replace("file:", "")) if f.startswith("part-")}
+    assert len(writes) == 4  # the id of each write
+    assert sorted(map(str, stored.enriched.collect())) == sorted(map(str, lazy.enriched.collect()))
+    assert stored.rows_written()["int_claims_enriched"] == lazy.enriched.count()
+    assert stored.cost_bounds == tuple(lazy.enriched.selectExpr("min(ultimate_cost_eur)", "max(ultimate_cost_eur)").first())
+    assert sorted(all_quality_results(stored).collect()) == sorted(all_quality_results(lazy).collect())
+    assert {u: r.unexpected for u, r in stored.unique_found.items() if r.unexpected}.keys() >= {u for u in spec if u[2] == "claim_id"}
+
+
+def test_ids_that_are_no_texts_are_not_split(spark):
+    """Equal values of two types may have different hashes: 7 and 7L must meet in one round."""
+    layers = StoredLayers(spark, SF_SMALL)
+    a, b = spark.sql("select cast(7 as int) as policy_id"), spark.sql("select 7L as policy_id")
+    assert layers.rounds(["stg_claims", "stg_policies"], [a, b], "policy_id") == 1
+    assert layers.rounds(["raw_claims"], [layers.raw_claims], "claim_id") == 1  # would be joined again

@@ -66,3 +66,16 @@ def test_old_scratch_tables_are_cleared(spark):
     gone = clear_scratch(spark, 3600)
     assert [g for g in gone if g.startswith("clear-")] == [os.path.basename(folder)]
     assert not os.path.exists(folder) and new.count() == 4
+
+
+def test_the_sessions_own_shuffle_setting_comes_back_after_the_last_block(spark):
+    from actuaria.session import SHUFFLE_CLEANUP, shuffles_removed
+
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    first, second = shuffles_removed(spark), shuffles_removed(spark)
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "true"  # the second is still open
+    second.__exit__(None, None, None)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
