@@ -79,7 +79,9 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
             _digest(t).alias("exact"),
         ),
     )
-    rows = docs.select(content_key(whole_text()).alias("k"), "doc_id", F.posexplode(described).alias("at", "line"))
+    # the key stands below the explode: beside it, it would be digested again for each line, from a copy of the text
+    texts = docs.select(content_key(whole_text()).alias("k"), "doc_id", described.alias("described"))
+    rows = texts.select("k", "doc_id", F.posexplode("described").alias("at", "line"))
     return rows.where(F.col("line.size") >= MIN_TOKENS).select("k", "doc_id", "at", "line.leaf", "line.exact")
 
 

@@ -194,3 +194,11 @@ def test_second_template_of_a_leaf_is_found(spark):
     got = {r["doc_id"]: r["text"] for r in L.drop_recurring_lines(docs).collect()}
     assert got[60] == texts[60]
     assert all(got[60 + i] == prose(3000 + i, 5) for i in range(1, 6))
+
+
+def test_a_text_is_digested_once_not_once_a_line(spark):
+    """The key of a text is computed below the explode into lines, whose rows then carry no copy of the text."""
+    docs = spark.createDataFrame([(1, "a b\nc d")], "doc_id long, text string")
+    plan = L._lines(docs, L.DEPTH)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    generate = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    assert not any("sha2" in line for line in plan[:generate]) and any("sha2" in line for line in plan[generate:])
